@@ -8,7 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from workpulse.operators.daily import daily_user_metrics
+from workpulse.operators.engagement import add_active_days_l7d, add_engagement
 from workpulse.operators.enrich import enrich_sessions
+from workpulse.operators.ranks import add_productivity_ranks
+from workpulse.operators.trends import add_trends
+from workpulse.operators.user_activity import user_activity_metrics
 from workpulse.sources import testdata
 
 AS_OF = "2024-01-30"
@@ -46,11 +50,36 @@ def _session_measures(spark, sf_dir):
         "session_id", "duration_hours", "active_hours", "idle_hours", "idle_ratio_pct")
 
 
+def _pick(builder, *cols):
+    key = ("date", "user_id", "account_id")
+    return lambda spark, sf_dir: builder(daily(spark, sf_dir)).select(*key, *cols)
+
+
+def _l7d(d):
+    return add_engagement(add_active_days_l7d(d))
+
+
+def _user_activity(spark, sf_dir):
+    return user_activity_metrics(daily(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
+
+
 QUERIES: dict[str, Query] = {
     "enriched_sessions": enriched,
     "session_flags": _session_flags,
     "session_end_time": _session_end_time,
     "session_measures": _session_measures,
     "daily_user_metrics": daily,
+    "hours_lag7": _pick(add_trends, "total_hours", "total_hours_last_week"),
+    "hours_wow_change": _pick(add_trends, "total_hours", "wow_change_pct"),
+    "hours_rolling_7": _pick(add_trends, "total_hours", "total_hours_7d_avg"),
+    "hours_rolling_30": _pick(add_trends, "total_hours", "total_hours_30d_avg"),
+    "active_days_l7d": _pick(_l7d, "is_active_day", "active_days_l7d"),
+    "engagement_tier": _pick(_l7d, "active_days_l7d", "engagement_tier"),
+    "is_active_l7d": _pick(_l7d, "is_active_l7d"),
+    "productivity_percentile": _pick(add_productivity_ranks, "productive_hours",
+                                     "productivity_percentile"),
+    "productivity_rank": _pick(add_productivity_ranks, "productive_hours", "productivity_rank"),
+    "performance_tier": _pick(add_productivity_ranks, "productive_hours", "performance_tier"),
+    "user_activity_metrics": _user_activity,
 }
-FLAGSHIP = "daily_user_metrics"
+FLAGSHIP = "user_activity_metrics"
