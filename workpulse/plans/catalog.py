@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from workpulse.operators.apps import app_productivity
+from workpulse.operators.cohorts import cohort_sizes, retention_cohorts, user_cohorts, weekly_activity
 from workpulse.operators.daily import daily_user_metrics
 from workpulse.operators.engagement import add_active_days_l7d, add_engagement
 from workpulse.operators.enrich import enrich_sessions
@@ -63,6 +65,23 @@ def _user_activity(spark, sf_dir):
     return user_activity_metrics(daily(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
 
 
+def _apps(spark, sf_dir):
+    return app_productivity(enriched(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
+
+
+def _apps_pick(*cols):
+    key = ("date", "account_id", "app_id")
+    return lambda spark, sf_dir: _apps(spark, sf_dir).select(*key, *cols)
+
+
+def _on_daily(op):
+    return lambda spark, sf_dir: op(daily(spark, sf_dir))
+
+
+def _retention_orders(spark, sf_dir):
+    return retention_cohorts(testdata.order_activity(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "enriched_sessions": enriched,
     "session_flags": _session_flags,
@@ -81,5 +100,15 @@ QUERIES: dict[str, Query] = {
     "productivity_rank": _pick(add_productivity_ranks, "productive_hours", "productivity_rank"),
     "performance_tier": _pick(add_productivity_ranks, "productive_hours", "performance_tier"),
     "user_activity_metrics": _user_activity,
+    "app_productivity": _apps,
+    "app_time_share": _apps_pick("total_hours", "pct_of_total_time"),
+    "app_rank_in_class": _apps_pick("productivity_classification", "total_hours",
+                                    "rank_in_classification"),
+    "app_overall_rank": _apps_pick("total_hours", "overall_rank"),
+    "user_cohorts": _on_daily(user_cohorts),
+    "weekly_activity": _on_daily(weekly_activity),
+    "cohort_sizes": _on_daily(cohort_sizes),
+    "retention_cohorts": _on_daily(retention_cohorts),
+    "retention_orders": _retention_orders,
 }
 FLAGSHIP = "user_activity_metrics"
