@@ -7,18 +7,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from workpulse.operators.allocation import project_allocation
 from workpulse.operators.apps import app_productivity
 from workpulse.operators.cohorts import cohort_sizes, retention_cohorts, user_cohorts, weekly_activity
 from workpulse.operators.daily import daily_user_metrics
 from workpulse.operators.engagement import add_active_days_l7d, add_engagement
 from workpulse.operators.enrich import enrich_sessions
+from workpulse.operators.metrics import (
+    account_churn_risk,
+    active_users_l7d,
+    avg_productive_hours,
+    engagement_distribution,
+    utilization_rate,
+    weekly_retention_rate,
+)
+from workpulse.operators.quality import dedupe_sessions, duplicate_sessions, layer_summary, session_quality
 from workpulse.operators.ranks import add_productivity_ranks
 from workpulse.operators.trends import add_trends
 from workpulse.operators.user_activity import user_activity_metrics
 from workpulse.sources import testdata
+from workpulse.sources.csv import table_inventory
 
 AS_OF = "2024-01-30"
 LOOKBACK_DAYS = 90
+PERIOD = ("2024-01-01", "2024-01-30")
 
 # region (5 rows) and the application catalog (5 rows) have a fixed size here.
 BOUNDED_DIMS = ("accounts", "apps")
@@ -82,6 +94,36 @@ def _retention_orders(spark, sf_dir):
     return retention_cohorts(testdata.order_activity(spark, sf_dir))
 
 
+def _engagement_distribution(spark, sf_dir):
+    return engagement_distribution(daily(spark, sf_dir), testdata.users(spark, sf_dir), AS_OF)
+
+
+def _utilization(spark, sf_dir):
+    return utilization_rate(daily(spark, sf_dir), testdata.users(spark, sf_dir), *PERIOD)
+
+
+def _layer_summary(spark, sf_dir):
+    e = enriched(spark, sf_dir)
+    return layer_summary({
+        "staging_enriched_sessions": (e, "is_valid_session"),
+        "staging_daily_user_metrics": (daily_user_metrics(e), "is_active_day"),
+    })
+
+
+def _analytics_summary(spark, sf_dir):
+    e = enriched(spark, sf_dir)
+    d = daily_user_metrics(e)
+    return layer_summary({
+        "analytics_user_activity_metrics": (user_activity_metrics(d, AS_OF, LOOKBACK_DAYS), None),
+        "analytics_app_productivity": (app_productivity(e, AS_OF, LOOKBACK_DAYS), None),
+        "analytics_retention_cohorts": (retention_cohorts(d), None),
+    })
+
+
+def _raw_inventory(spark, sf_dir):
+    return table_inventory(testdata.model(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "enriched_sessions": enriched,
     "session_flags": _session_flags,
@@ -110,5 +152,21 @@ QUERIES: dict[str, Query] = {
     "cohort_sizes": _on_daily(cohort_sizes),
     "retention_cohorts": _on_daily(retention_cohorts),
     "retention_orders": _retention_orders,
+    "active_users_l7d": lambda spark, sf_dir: active_users_l7d(daily(spark, sf_dir), AS_OF),
+    "engagement_distribution": _engagement_distribution,
+    "weekly_retention_rate": lambda spark, sf_dir: weekly_retention_rate(
+        retention_cohorts(daily(spark, sf_dir)), AS_OF),
+    "account_churn_risk": lambda spark, sf_dir: account_churn_risk(daily(spark, sf_dir), AS_OF),
+    "avg_productive_hours": _on_daily(avg_productive_hours),
+    "utilization_rate": _utilization,
+    "project_allocation": lambda spark, sf_dir: project_allocation(enriched(spark, sf_dir)),
+    "layer_summary": _layer_summary,
+    "analytics_summary": _analytics_summary,
+    "session_quality": lambda spark, sf_dir: session_quality(enriched(spark, sf_dir)),
+    "duplicate_sessions": lambda spark, sf_dir: duplicate_sessions(
+        testdata.sessions_with_copies(spark, sf_dir)),
+    "dedupe_sessions": lambda spark, sf_dir: dedupe_sessions(
+        testdata.sessions_with_copies(spark, sf_dir)),
+    "raw_inventory": _raw_inventory,
 }
 FLAGSHIP = "user_activity_metrics"
