@@ -1,0 +1,5 @@
+"""Incremental staging with Structured Streaming (same operators as the batch pipeline)."""
+
+from workpulse.streaming.incremental import start_incremental_staging
+
+__all__ = ["start_incremental_staging"]
