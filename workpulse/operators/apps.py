@@ -41,10 +41,13 @@ def app_productivity(
     account_day = Window.partitionBy("account_id", "date")
     by_hours = [F.desc("_h"), F.asc("app_id")]
     return (
-        agg.withColumn("_ad", F.sum("_h").over(account_day))
-        .withColumn("overall_rank", F.row_number().over(account_day.orderBy(*by_hours)))
-        .withColumn("rank_in_classification", F.row_number().over(
-            Window.partitionBy("account_id", "date", "productivity_classification").orderBy(*by_hours)))
+        agg.withColumns({
+            "_ad": F.sum("_h").over(account_day),
+            "overall_rank": F.row_number().over(account_day.orderBy(*by_hours)),
+            "rank_in_classification": F.row_number().over(
+                Window.partitionBy("account_id", "date", "productivity_classification")
+                .orderBy(*by_hours)),
+        })
         .select(
             *APP_KEYS, "session_count", "unique_users",
             to_double("_h").alias("total_hours"),

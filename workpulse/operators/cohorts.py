@@ -51,8 +51,8 @@ def cohort_activity(daily: DataFrame) -> DataFrame:
     return (
         weekly_activity(keyed)
         .withColumn("cohort_week", F.min("activity_week").over(member))
-        .withColumn("weeks_since_cohort", weeks_between("activity_week", "cohort_week"))
-        .select("cohort_week", "account_id", "user_id", "activity_week", "weeks_since_cohort")
+        .select("cohort_week", "account_id", "user_id", "activity_week",
+                weeks_between("activity_week", "cohort_week").alias("weeks_since_cohort"))
     )
 
 
@@ -84,8 +84,7 @@ def retention_cohorts(daily: DataFrame, max_weeks: int = MAX_WEEKS) -> DataFrame
     size = F.max(F.when(F.col("weeks_since_cohort") == 0, F.col("retained_users"))).over(cohort)
     prev = F.lag("retained_users").over(cohort.orderBy("weeks_since_cohort"))
     return (
-        cells.withColumn("cohort_size", size)
-        .withColumn("_prev", prev)
+        cells.withColumns({"cohort_size": size, "_prev": prev})
         .select(
             "cohort_week", "account_id", "weeks_since_cohort", "retained_users", "cohort_size",
             to_double(round_units(F.col("retained_users") * 10_000, "cohort_size"))

@@ -28,14 +28,11 @@ def add_active_days_l7d(daily: DataFrame, days: int = L7D_DAYS) -> DataFrame:
     trailing = (Window.partitionBy("user_id").orderBy(day_number("date"))
                 .rangeBetween(-(days - 1), Window.currentRow))
     first_active = (F.row_number().over(by_day) == 1) & (F.col("is_active_day") == 1)
-    counted = (
-        daily.withColumn("_day_active", flag(first_active))
-        .withColumn("_l7d", F.sum("_day_active").over(trailing))
-    )
     unmatched = F.col("user_id").isNull() | F.col("date").isNull()
-    return (counted.withColumn("active_days_l7d",
-                               F.when(unmatched, F.lit(0).cast("bigint")).otherwise(F.col("_l7d")))
-            .drop("_day_active", "_l7d"))
+    l7d = F.when(unmatched, F.lit(0).cast("bigint")).otherwise(F.sum("_day_active").over(trailing))
+    return (daily.withColumn("_day_active", flag(first_active))
+            .withColumn("active_days_l7d", l7d)
+            .drop("_day_active"))
 
 
 def engagement_tier(active_days: Column) -> Column:
@@ -45,5 +42,5 @@ def engagement_tier(active_days: Column) -> Column:
 def add_engagement(daily_with_l7d: DataFrame) -> DataFrame:
     """Add ``engagement_tier`` and ``is_active_l7d`` from ``active_days_l7d``."""
     l7d = F.col("active_days_l7d")
-    return (daily_with_l7d.withColumn("engagement_tier", engagement_tier(l7d))
-            .withColumn("is_active_l7d", flag(l7d > 0)))
+    return daily_with_l7d.withColumns({"engagement_tier": engagement_tier(l7d),
+                                       "is_active_l7d": flag(l7d > 0)})

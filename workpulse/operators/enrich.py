@@ -39,13 +39,13 @@ def session_measures(sessions: DataFrame) -> DataFrame:
     """
     d = units("duration_minutes")
     a = units("activity_percentage")
-    return (
-        sessions.withColumn("end_timestamp", end_timestamp("start_timestamp", "duration_minutes"))
-        .withColumn("duration_hours", to_double(idiv(d + 30, 60)))
-        .withColumn("active_hours", to_double(idiv(d * a + 300_000, 600_000)))
-        .withColumn("idle_hours", to_double(idiv(d * (10_000 - a) + 300_000, 600_000)))
-        .withColumn("idle_ratio_pct", to_double(10_000 - a))
-    )
+    return sessions.withColumns({
+        "end_timestamp": end_timestamp("start_timestamp", "duration_minutes"),
+        "duration_hours": to_double(idiv(d + 30, 60)),
+        "active_hours": to_double(idiv(d * a + 300_000, 600_000)),
+        "idle_hours": to_double(idiv(d * (10_000 - a) + 300_000, 600_000)),
+        "idle_ratio_pct": to_double(10_000 - a),
+    })
 
 
 def session_flags(sessions: DataFrame) -> DataFrame:
@@ -54,17 +54,15 @@ def session_flags(sessions: DataFrame) -> DataFrame:
     minutes = F.col("duration_minutes")
     # Idle share compared in double precision: 1 - 70.00/100 is 0.30000000000000004 > 0.30.
     idle_share = F.lit(1.0) - F.col("activity_percentage") / 100.0
-    return (
-        sessions.withColumn("is_late_arrival", flag(start_day > F.col("date")))
-        .withColumn("is_too_short", flag(minutes < MIN_MINUTES))
-        .withColumn("is_too_long", flag(minutes > MAX_MINUTES))
-        .withColumn(
-            "is_valid_session",
-            flag((minutes >= MIN_MINUTES) & (minutes <= MAX_MINUTES) & (start_day <= F.col("date"))),
-        )
-        .withColumn("is_high_idle", flag(idle_share > HIGH_IDLE))
-        .withColumn("is_weekend", flag(is_weekend("date")))
-    )
+    return sessions.withColumns({
+        "is_late_arrival": flag(start_day > F.col("date")),
+        "is_too_short": flag(minutes < MIN_MINUTES),
+        "is_too_long": flag(minutes > MAX_MINUTES),
+        "is_valid_session": flag((minutes >= MIN_MINUTES) & (minutes <= MAX_MINUTES)
+                                 & (start_day <= F.col("date"))),
+        "is_high_idle": flag(idle_share > HIGH_IDLE),
+        "is_weekend": flag(is_weekend("date")),
+    })
 
 
 def _dim(df: DataFrame, key: str, renames: dict[str, str], broadcast: bool) -> DataFrame:

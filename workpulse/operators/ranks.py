@@ -30,9 +30,11 @@ def add_rank_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFram
     hist = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     ordered = Window.partitionBy(*group).orderBy(value)
     hist = (
-        hist.withColumn("_upto", F.sum("_c").over(
-            ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group)))
+        hist.withColumns({
+            "_upto": F.sum("_c").over(ordered.rowsBetween(Window.unboundedPreceding,
+                                                          Window.currentRow)),
+            "_n": F.sum("_c").over(Window.partitionBy(*group)),
+        })
         .select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                 (F.col("_upto") - F.col("_c")).alias("_below"),
                 (F.col("_n") - F.col("_upto")).alias("_above"),
@@ -55,11 +57,9 @@ def add_productivity_ranks(
     for (num, den), label in PERFORMANCE_BANDS:
         cond = ~lone & (below * den >= (n - 1) * num)
         perf = F.when(cond, label) if perf is None else perf.when(cond, label)
-    return (
-        counted.withColumn(
-            "productivity_percentile",
-            F.when(lone, F.lit(0.0)).otherwise(to_double(round_units(below * 1000, n - 1), 3)))
-        .withColumn("productivity_rank", (F.col("_above") + 1).cast("bigint"))
-        .withColumn("performance_tier", perf.otherwise(PERFORMANCE_DEFAULT))
-        .drop("_below", "_above", "_n")
-    )
+    return counted.withColumns({
+        "productivity_percentile":
+            F.when(lone, F.lit(0.0)).otherwise(to_double(round_units(below * 1000, n - 1), 3)),
+        "productivity_rank": (F.col("_above") + 1).cast("bigint"),
+        "performance_tier": perf.otherwise(PERFORMANCE_DEFAULT),
+    }).drop("_below", "_above", "_n")

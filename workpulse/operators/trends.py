@@ -33,17 +33,18 @@ def add_trends(daily: DataFrame, value: str = "total_hours") -> DataFrame:
     v = units(value)
     short = w.rowsBetween(-(SHORT_ROWS - 1), Window.currentRow)
     long = w.rowsBetween(-(LONG_ROWS - 1), Window.currentRow)
+    lag = F.col("_lag")
     return (
-        daily.withColumn("_v", v)
-        .withColumn("_lag", F.lag("_v", LAG_ROWS).over(w))
-        .withColumn("_s7", F.sum("_v").over(short))
-        .withColumn("_n7", F.count("_v").over(short))
-        .withColumn("_s30", F.sum("_v").over(long))
-        .withColumn("_n30", F.count("_v").over(long))
-        .withColumn(f"{value}_last_week", to_double("_lag"))
-        .withColumn("wow_change_pct", to_double(round_units((F.col("_v") - F.col("_lag")) * 10_000,
-                                                            "_lag")))
-        .withColumn(f"{value}_7d_avg", to_double(round_units("_s7", "_n7")))
-        .withColumn(f"{value}_30d_avg", to_double(round_units("_s30", "_n30")))
-        .drop("_v", "_lag", "_s7", "_n7", "_s30", "_n30")
+        daily.withColumns({
+            "_lag": F.lag(v, LAG_ROWS).over(w),
+            "_s7": F.sum(v).over(short), "_n7": F.count(v).over(short),
+            "_s30": F.sum(v).over(long), "_n30": F.count(v).over(long),
+        })
+        .withColumns({
+            f"{value}_last_week": to_double(lag),
+            "wow_change_pct": to_double(round_units((v - lag) * 10_000, lag)),
+            f"{value}_7d_avg": to_double(round_units("_s7", "_n7")),
+            f"{value}_30d_avg": to_double(round_units("_s30", "_n30")),
+        })
+        .drop("_lag", "_s7", "_n7", "_s30", "_n30")
     )

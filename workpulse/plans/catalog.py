@@ -25,6 +25,7 @@ from workpulse.operators.quality import dedupe_sessions, duplicate_sessions, lay
 from workpulse.operators.ranks import add_productivity_ranks
 from workpulse.operators.trends import add_trends
 from workpulse.operators.user_activity import user_activity_metrics
+from workpulse.session import materialize
 from workpulse.sources import testdata
 from workpulse.sources.csv import table_inventory
 
@@ -64,9 +65,15 @@ def _session_measures(spark, sf_dir):
         "session_id", "duration_hours", "active_hours", "idle_hours", "idle_ratio_pct")
 
 
-def _pick(builder, *cols):
+def daily_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table computed once, for queries that read it in more than one branch."""
+    return materialize(daily(spark, sf_dir))
+
+
+def _pick(builder, *cols, shared=False):
     key = ("date", "user_id", "account_id")
-    return lambda spark, sf_dir: builder(daily(spark, sf_dir)).select(*key, *cols)
+    source = daily_once if shared else daily
+    return lambda spark, sf_dir: builder(source(spark, sf_dir)).select(*key, *cols)
 
 
 def _l7d(d):
@@ -74,7 +81,7 @@ def _l7d(d):
 
 
 def _user_activity(spark, sf_dir):
-    return user_activity_metrics(daily(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
+    return user_activity_metrics(daily_once(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
 
 
 def _apps(spark, sf_dir):
@@ -103,7 +110,7 @@ def _utilization(spark, sf_dir):
 
 
 def _layer_summary(spark, sf_dir):
-    e = enriched(spark, sf_dir)
+    e = materialize(enriched(spark, sf_dir))
     return layer_summary({
         "staging_enriched_sessions": (e, "is_valid_session"),
         "staging_daily_user_metrics": (daily_user_metrics(e), "is_active_day"),
@@ -111,8 +118,8 @@ def _layer_summary(spark, sf_dir):
 
 
 def _analytics_summary(spark, sf_dir):
-    e = enriched(spark, sf_dir)
-    d = daily_user_metrics(e)
+    e = materialize(enriched(spark, sf_dir))
+    d = materialize(daily_user_metrics(e))
     return layer_summary({
         "analytics_user_activity_metrics": (user_activity_metrics(d, AS_OF, LOOKBACK_DAYS), None),
         "analytics_app_productivity": (app_productivity(e, AS_OF, LOOKBACK_DAYS), None),
@@ -138,9 +145,11 @@ QUERIES: dict[str, Query] = {
     "engagement_tier": _pick(_l7d, "active_days_l7d", "engagement_tier"),
     "is_active_l7d": _pick(_l7d, "is_active_l7d"),
     "productivity_percentile": _pick(add_productivity_ranks, "productive_hours",
-                                     "productivity_percentile"),
-    "productivity_rank": _pick(add_productivity_ranks, "productive_hours", "productivity_rank"),
-    "performance_tier": _pick(add_productivity_ranks, "productive_hours", "performance_tier"),
+                                     "productivity_percentile", shared=True),
+    "productivity_rank": _pick(add_productivity_ranks, "productive_hours", "productivity_rank",
+                               shared=True),
+    "performance_tier": _pick(add_productivity_ranks, "productive_hours", "performance_tier",
+                              shared=True),
     "user_activity_metrics": _user_activity,
     "app_productivity": _apps,
     "app_time_share": _apps_pick("total_hours", "pct_of_total_time"),
@@ -155,7 +164,7 @@ QUERIES: dict[str, Query] = {
     "active_users_l7d": lambda spark, sf_dir: active_users_l7d(daily(spark, sf_dir), AS_OF),
     "engagement_distribution": _engagement_distribution,
     "weekly_retention_rate": lambda spark, sf_dir: weekly_retention_rate(
-        retention_cohorts(daily(spark, sf_dir)), AS_OF),
+        materialize(retention_cohorts(daily(spark, sf_dir))), AS_OF),
     "account_churn_risk": lambda spark, sf_dir: account_churn_risk(daily(spark, sf_dir), AS_OF),
     "avg_productive_hours": _on_daily(avg_productive_hours),
     "utilization_rate": _utilization,

@@ -40,7 +40,8 @@ def _publish_and_reload(spark: SparkSession, df: DataFrame, out_dir: str, table:
     path = f"{out_dir.rstrip('/')}/{table}"
     publish_table(df, path, table)
     back = spark.read.parquet(path)
-    return back.drop("month") if "month" not in df.columns and "month" in back.columns else back
+    # partition columns come back last; restore the operator's column order
+    return back.select(*df.columns)
 
 
 def run_pipeline(

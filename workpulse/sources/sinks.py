@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Read layouts for the published tables: the look-up keys of each table become the
-# partition column (coarse, for pruning) and the sort order inside files (Parquet min/max
-# statistics then skip row groups for a user or an account).
+# Read layouts for the published tables (what the reference's indexes served): daily-grain
+# tables are partitioned by ``date``, so the lookback filters prune whole folders, and sorted
+# inside files by the look-up key, so Parquet min/max statistics skip row groups for a user or
+# an account.
 LAYOUTS: dict[str, dict[str, Sequence[str]]] = {
-    "staging_enriched_sessions": {"partition_by": ["month"], "sort_by": ["user_id", "date"]},
-    "staging_daily_user_metrics": {"partition_by": ["month"], "sort_by": ["user_id", "date"]},
-    "analytics_user_activity_metrics": {"partition_by": ["month"], "sort_by": ["user_id", "date"]},
-    "analytics_app_productivity": {"partition_by": ["month"], "sort_by": ["account_id", "date"]},
+    "staging_enriched_sessions": {"partition_by": ["date"], "sort_by": ["user_id"]},
+    "staging_daily_user_metrics": {"partition_by": ["date"], "sort_by": ["user_id"]},
+    "analytics_user_activity_metrics": {"partition_by": ["date"], "sort_by": ["user_id"]},
+    "analytics_app_productivity": {"partition_by": ["date"], "sort_by": ["account_id"]},
     "analytics_retention_cohorts": {
         "partition_by": [],
         "sort_by": ["cohort_week", "account_id", "weeks_since_cohort"],
@@ -32,15 +33,16 @@ def publish(
 ) -> None:
     """Full-refresh write of a table (drop and replace).
 
-    A ``month`` partition column is derived from ``date`` when asked for; rows are clustered by
-    the partition columns (one shuffle) and sorted inside each task by ``sort_by``. The write
-    replaces the whole table, so a rerun is idempotent.
+    A ``month`` partition column is derived from ``date`` when asked for. Rows are clustered by
+    the partition columns with a REBALANCE (one shuffle; AQE splits a partition value that is
+    too big into several tasks and files, and merges small ones), then sorted inside each task
+    by ``sort_by``. The write replaces the whole table, so a rerun is idempotent.
     """
     out = df
     if "month" in partition_by and "month" not in df.columns:
         out = out.withColumn("month", F.date_format("date", "yyyy-MM"))
     if partition_by:
-        out = out.repartition(*partition_by)
+        out = out.hint("rebalance", *partition_by)
     if sort_by:
         out = out.sortWithinPartitions(*[*partition_by, *sort_by])
     writer = out.write.mode("overwrite").format(fmt)
