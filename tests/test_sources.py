@@ -68,3 +68,12 @@ def test_publish_partitions_by_month_and_overwrites(spark):
     assert sorted(p for p in os.listdir(path) if p.startswith("month=")) == ["month=2025-08", "month=2025-09"]
     assert back.count() == 2
     assert back.filter(F.col("month") == "2025-09").select("user_id").collect()[0][0] == "U2"
+
+
+def test_web_based_flag(spark):
+    from workpulse.functions.apps import with_web_flag
+    apps = spark.createDataFrame(
+        [("Google Chrome",), ("Gmail",), ("Jira",), ("Figma",), ("Slack",), ("Jira Cloud",), (None,)],
+        "app_name string")
+    out = [r["is_web_based"] for r in with_web_flag(apps).collect()]
+    assert out == [True, True, True, True, False, False, None]

@@ -126,7 +126,7 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The session fact, one row per event."""
     e = read(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
     late = F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)
     return e.join(user_accounts(spark, sf_dir), "user_id", "left").select(
         F.col("event_id").alias("session_id"),
