@@ -19,18 +19,18 @@ def add_active_days_l7d(daily: DataFrame, days: int = L7D_DAYS) -> DataFrame:
     """Add ``active_days_l7d``: distinct dates in ``[date-(days-1), date]`` on which the *user*
     (any account) has an active day.
 
-    Calendar-based, unlike the row-based trends: one representative row per (user, date) carries
-    the day's activity, and a RANGE frame over the day number sums them. A NULL user or date
-    matches nothing, so it gets 0. Both windows are partitioned by user (one exchange, reused by
-    the trend windows that follow).
+    Calendar-based, unlike the row-based trends: the first row of each (user, date), taken with
+    the day's active rows first, carries the day's activity, and a RANGE frame over the day number
+    sums them. A NULL user or date matches nothing, so it gets 0. Every window here is partitioned
+    by ``user_id`` alone, so they share one exchange with the trend windows that follow.
     """
-    by_day = Window.partitionBy("user_id", "date").orderBy(F.desc("is_active_day"))
-    trailing = (Window.partitionBy("user_id").orderBy(day_number("date"))
-                .rangeBetween(-(days - 1), Window.currentRow))
-    first_active = (F.row_number().over(by_day) == 1) & (F.col("is_active_day") == 1)
+    by_user = Window.partitionBy("user_id")
+    in_date_order = by_user.orderBy(F.col("date"), F.desc("is_active_day"))
+    trailing = by_user.orderBy(day_number("date")).rangeBetween(-(days - 1), Window.currentRow)
+    first_of_day = ~F.lag("date").over(in_date_order).eqNullSafe(F.col("date"))
     unmatched = F.col("user_id").isNull() | F.col("date").isNull()
     l7d = F.when(unmatched, F.lit(0).cast("bigint")).otherwise(F.sum("_day_active").over(trailing))
-    return (daily.withColumn("_day_active", flag(first_active))
+    return (daily.withColumn("_day_active", flag(first_of_day & (F.col("is_active_day") == 1)))
             .withColumn("active_days_l7d", l7d)
             .drop("_day_active"))
 

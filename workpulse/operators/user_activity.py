@@ -41,11 +41,15 @@ def user_activity_metrics(
     Order of work matters: L7D looks back into days before the cutoff, so it is computed first on
     the daily table (restricted to the six days before the cutoff onwards, which is all it can
     reach); then rows before the cutoff are dropped; then the trend windows run on the kept rows
-    only, and the ranks compare the kept users of an account-day. Everything keyed by user shares
-    one hash partitioning on ``user_id``.
+    only, and the ranks compare the kept users of an account-day. Every window keyed by user is
+    partitioned by ``user_id`` alone, so they share one exchange.
+
+    The rank histogram reads the daily input a second time (only three columns of the kept
+    dates); pass a published or checkpointed daily table, not one computed from raw sessions in
+    the same plan.
     """
     cutoff = lookback_start(as_of, lookback_days)
-    reach = daily.filter(F.col("date") >= F.date_sub(cutoff, L7D_DAYS - 1)).repartition("user_id")
+    reach = daily.filter(F.col("date") >= F.date_sub(cutoff, L7D_DAYS - 1))
     with_l7d = add_engagement(add_active_days_l7d(reach))
     kept = with_l7d.filter(F.col("date") >= cutoff)
     trended = add_trends(kept)

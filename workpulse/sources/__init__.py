@@ -2,6 +2,7 @@
 
 from workpulse.sources.csv import RAW_FILES, load_raw, table_inventory
 from workpulse.sources.schemas import RAW_SCHEMAS
-from workpulse.sources.sinks import publish, write_csv
+from workpulse.sources.sinks import LAYOUTS, publish, publish_table, write_csv
 
-__all__ = ["RAW_FILES", "RAW_SCHEMAS", "load_raw", "publish", "table_inventory", "write_csv"]
+__all__ = ["LAYOUTS", "RAW_FILES", "RAW_SCHEMAS", "load_raw", "publish", "publish_table",
+           "table_inventory", "write_csv"]
