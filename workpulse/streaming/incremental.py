@@ -1,9 +1,9 @@
 """Incremental staging with Structured Streaming.
 
 New raw session files are picked up as they land; each micro-batch is enriched against the
-(static) dimensions, written as its own batch folder of the enriched table, and the daily rows of
-every date the batch touched are rebuilt from all enriched rows of those dates and replace those
-date partitions of the daily table. A date is always rebuilt whole, so late-arriving sessions
+(static) dimensions and written into the enriched table (partitioned by date, then batch), and
+the daily rows of every date the batch touched are rebuilt from all enriched rows of those dates
+(a read pruned to those date folders) and replace those date partitions of the daily table. A date is always rebuilt whole, so late-arriving sessions
 (a session whose ``date`` is days old) update the right day, and a retried batch rewrites the same
 folders: the sink is idempotent, progress is tracked in the checkpoint folder.
 
@@ -24,15 +24,27 @@ from workpulse.operators.enrich import enrich_sessions
 
 def _rebuild_touched_days(spark: SparkSession, enriched_path: str, daily_path: str):
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # 1. this batch's enriched rows; overwrite keeps a retried batch from appending twice
-        batch.write.mode("overwrite").parquet(f"{enriched_path}/batch_id={batch_id}")
-        # 2. rebuild every touched date from all enriched rows of that date
-        touched = batch.select("date").distinct()
-        all_rows = spark.read.parquet(enriched_path).drop("batch_id")
-        affected = all_rows.join(F.broadcast(touched), "date", "left_semi")
-        (daily_user_metrics(affected).repartition("date").write
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date").parquet(daily_path))
+        batch.persist()
+        try:
+            # 1. this batch's enriched rows, under date=D/batch_id=N: a retried batch replaces
+            #    exactly its own folders (dynamic overwrite), it never appends twice
+            (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy("date", "batch_id").parquet(enriched_path))
+            # 2. rebuild every touched date from all enriched rows of that date. The touched
+            #    dates are partition keys, at most one per calendar day of history (a handful per
+            #    batch): they are fetched as a list so the read is pruned to those date folders.
+            dates = [r[0] for r in batch.select("date").distinct().collect()]
+            known = [d for d in dates if d is not None]
+            wanted = F.col("date").isin(known) if known else F.lit(False)
+            if len(known) < len(dates):
+                wanted = wanted | F.col("date").isNull()
+            affected = spark.read.parquet(enriched_path).filter(wanted).drop("batch_id")
+            (daily_user_metrics(affected).repartition("date").write
+             .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("date").parquet(daily_path))
+        finally:
+            batch.unpersist()
 
     return handle
 
@@ -53,7 +65,7 @@ def start_incremental_staging(
 
     ``dims`` holds ``users accounts apps projects``. With ``available_now`` the query processes
     what is there and stops (scheduled runs); otherwise it keeps running on new files.
-    The touched-date set of a batch is bounded by the calendar, so it is broadcast.
+    The touched dates of a batch (partition keys, bounded by the calendar) prune the rebuild read.
     """
     reader = spark.readStream.schema(sessions_schema).format(fmt)
     if fmt == "csv":
