@@ -221,3 +221,11 @@ def test_21_user_without_sessions(spark):
 def test_unused_schemas_are_valid(spark):
     assert spark.createDataFrame([], ACCOUNT_SCHEMA).count() == 0
     assert spark.createDataFrame([], APP_SCHEMA).count() == 0
+
+
+def test_day_with_hours_but_no_activity_values(spark):
+    rows = [session("S1", minutes=60.0, activity=None)]
+    r = daily_user_metrics(enrich(spark, rows)).collect()[0]
+    assert r["total_hours"] == 1.0 and r["productivity_pct"] == 100.0
+    assert r["idle_ratio_pct"] is None and r["avg_activity_pct"] is None
+    assert r["is_high_idle_day"] == 0

@@ -55,7 +55,8 @@ def daily_user_metrics(enriched: DataFrame) -> DataFrame:
         F.count(F.when(valid, act)).alias("_act_n"),
     )
     total = F.col("_total")
-    pct = lambda part: F.coalesce(to_double(round_units(F.col(part) * 10_000, total)), F.lit(0.0))
+    # a share of the day's hours; 0 for a day without hours (NULL stays NULL otherwise)
+    pct = lambda part: F.when(total > 0, to_double(round_units(F.col(part) * 10_000, total))).otherwise(0.0)
     return agg.select(
         *DAILY_KEYS,
         "total_sessions", "valid_sessions", "unique_apps_used", "unique_projects",
