@@ -16,7 +16,6 @@ from workpulse.plans.catalog import AS_OF, daily, enriched
 from workpulse.sources import testdata
 
 SMALL = "/root/testdata/sf0.001"
-MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -24,16 +23,26 @@ def small_daily(spark):
     return daily(spark, SMALL).cache()
 
 
-def test_fixture_counts_sf001(spark):
-    e = enriched(spark, MID)
+# FIXTURES.md section 2: sessions, users, with project, too short, too long, late, valid,
+# activity exactly 70.00, weekend
+FIXTURE_COUNTS = {
+    "0.001": (1_000, 15, 702, 10, 0, 11, 979, 0, 267),
+    "0.01": (10_000, 150, 6_987, 178, 1, 104, 9_717, 1, 2_632),
+    "0.1": (100_000, 1_500, 70_064, 1_904, 5, 1_031, 97_082, 10, 26_576),
+}
+
+
+@pytest.mark.parametrize("sf", sorted(FIXTURE_COUNTS))
+def test_fixture_counts(spark, sf):
+    e = enriched(spark, f"/root/testdata/sf{sf}")
     r = e.agg(
-        F.count(F.lit(1)).alias("n"), F.count("project_id").alias("proj"),
-        F.sum("is_too_short").alias("short"), F.sum("is_too_long").alias("long"),
-        F.sum("is_late_arrival").alias("late"), F.sum("is_valid_session").alias("valid"),
-        F.sum(F.when(F.col("activity_percentage") == 70.0, 1).otherwise(0)).alias("a70"),
-        F.sum("is_weekend").alias("weekend"), F.countDistinct("user_id").alias("users"),
+        F.count(F.lit(1)), F.countDistinct("user_id"), F.count("project_id"),
+        F.sum("is_too_short"), F.sum("is_too_long"), F.sum("is_late_arrival"),
+        F.sum("is_valid_session"),
+        F.sum(F.when(F.col("activity_percentage") == 70.0, 1).otherwise(0)),
+        F.sum("is_weekend"),
     ).collect()[0]
-    assert tuple(r) == (10_000, 6_987, 178, 1, 104, 9_717, 1, 2_632, 150)
+    assert tuple(r) == FIXTURE_COUNTS[sf]
 
 
 def test_enrich_keeps_row_count(spark):
