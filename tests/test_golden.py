@@ -229,3 +229,16 @@ def test_day_with_hours_but_no_activity_values(spark):
     assert r["total_hours"] == 1.0 and r["productivity_pct"] == 100.0
     assert r["idle_ratio_pct"] is None and r["avg_activity_pct"] is None
     assert r["is_high_idle_day"] == 0
+
+
+def test_end_timestamp_ignores_session_time_zone(spark):
+    from workpulse.functions.dates import end_timestamp
+    df = spark.createDataFrame([("2024-03-10 01:59:59.5", 1.0)], "ts string, m double").select(
+        F.to_timestamp_ntz("ts").alias("ts"), "m")
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")  # DST gap 02:00-03:00
+        out = df.select(end_timestamp("ts", "m").alias("e")).collect()[0]["e"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
+    assert out == TS(2024, 3, 10, 2, 0, 59)

@@ -16,13 +16,13 @@ def end_timestamp(start: ColumnOrName, duration_minutes: ColumnOrName) -> Column
 
     The duration is a 2-place decimal, so the offset is an exact number of microseconds
     (0.01 min = 0.6 s); the sum is truncated to the second. NULL or negative duration gives NULL.
-    The input type is kept (timestamp_ntz stays timestamp_ntz).
+    The input type is kept (timestamp_ntz stays timestamp_ntz) and no session time zone is used.
     """
     d = units(duration_minutes, 2)
-    start_col = _col(start)
-    shifted = F.timestamp_add("MICROSECOND", d * _MICROS_PER_CENTIMINUTE, start_col)
-    truncated = F.date_trunc("second", shifted).cast("timestamp_ntz")
-    return F.when(d >= 0, truncated)
+    shifted = F.timestamp_add("MICROSECOND", d * _MICROS_PER_CENTIMINUTE, _col(start))
+    # drop the sub-second part arithmetically: no time-zone round trip, type unchanged
+    sub_second = (F.extract(F.lit("SECOND"), shifted) * 1_000_000).cast("bigint") % 1_000_000
+    return F.when(d >= 0, F.timestamp_add("MICROSECOND", -sub_second, shifted))
 
 
 def week_start(d: ColumnOrName) -> Column:
