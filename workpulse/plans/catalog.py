@@ -12,7 +12,7 @@ from workpulse.operators.apps import app_productivity
 from workpulse.operators.cohorts import cohort_sizes, retention_cohorts, user_cohorts, weekly_activity
 from workpulse.operators.daily import daily_user_metrics
 from workpulse.operators.engagement import add_active_days_l7d, add_engagement
-from workpulse.operators.enrich import enrich_sessions
+from workpulse.operators.enrich import enrich_sessions, session_flags, session_measures
 from workpulse.operators.metrics import (
     account_churn_risk,
     active_users_l7d,
@@ -49,19 +49,20 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_user_metrics(enriched(spark, sf_dir))
 
 
+# The session-level operators need no dimension: they run on the session fact alone.
 def _session_flags(spark, sf_dir):
-    return enriched(spark, sf_dir).select(
+    return session_flags(testdata.sessions(spark, sf_dir)).select(
         "session_id", "date", "is_late_arrival", "is_too_short", "is_too_long",
         "is_valid_session", "is_high_idle", "is_weekend")
 
 
 def _session_end_time(spark, sf_dir):
-    return enriched(spark, sf_dir).select(
+    return session_measures(testdata.sessions(spark, sf_dir)).select(
         "session_id", "start_timestamp", "duration_minutes", "end_timestamp")
 
 
 def _session_measures(spark, sf_dir):
-    return enriched(spark, sf_dir).select(
+    return session_measures(testdata.sessions(spark, sf_dir)).select(
         "session_id", "duration_hours", "active_hours", "idle_hours", "idle_ratio_pct")
 
 
