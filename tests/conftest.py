@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from workpulse.session import ensure_checkpoint_dir, get_spark
 
-    s = get_spark(master="local[*]", app_name="workpulse-tests", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="wp-warehouse-", dir="/tmp")
+    s = get_spark(master="local[*]", app_name="workpulse-tests", shuffle_partitions=8,
+                  conf={"spark.sql.warehouse.dir": warehouse})
     ensure_checkpoint_dir(s)
     yield s
     s.stop()

@@ -91,3 +91,17 @@ def test_cli_rebuild_from_csv(spark):
     cohorts = spark.read.parquet(os.path.join(out, "analytics_retention_cohorts"))
     assert cohorts.filter("weeks_since_cohort = 0 AND retention_pct = 100.0").count() == \
         cohorts.filter("weeks_since_cohort = 0").count() > 0
+
+
+def test_pipeline_registers_catalog_tables(spark):
+    from workpulse.sources import catalog_inventory
+
+    out = tempfile.mkdtemp(prefix="wp-cat-", dir="/tmp")
+    run_pipeline(spark, testdata.model(spark, SF), out, AS_OF, 90,
+                 broadcast_dims=BOUNDED_DIMS, database="wp_test").collect()
+    inv = {r["table_name"]: r["row_count"] for r in catalog_inventory(spark, "wp_test").collect()}
+    assert inv["staging_enriched_sessions"] == 1000
+    assert sorted(inv) == sorted([
+        "analytics_app_productivity", "analytics_project_allocation", "analytics_retention_cohorts",
+        "analytics_user_activity_metrics", "staging_daily_user_metrics", "staging_enriched_sessions"])
+    assert spark.table("wp_test.staging_daily_user_metrics").count() == inv["staging_daily_user_metrics"]

@@ -19,7 +19,7 @@ from workpulse.operators.daily import daily_user_metrics
 from workpulse.operators.enrich import enrich_sessions
 from workpulse.operators.quality import dedupe_sessions, layer_summary
 from workpulse.operators.user_activity import LOOKBACK_DAYS, user_activity_metrics
-from workpulse.sources.csv import load_raw
+from workpulse.sources.csv import load_raw, table_inventory
 from workpulse.sources.sinks import publish_table
 
 RAW_TO_MODEL = {
@@ -36,10 +36,13 @@ def model_from_raw(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {RAW_TO_MODEL[k]: v for k, v in raw.items() if k in RAW_TO_MODEL}
 
 
-def _publish_and_reload(spark: SparkSession, df: DataFrame, out_dir: str, table: str) -> DataFrame:
+def _publish_and_reload(
+    spark: SparkSession, df: DataFrame, out_dir: str, table: str, database: str | None = None
+) -> DataFrame:
     path = f"{out_dir.rstrip('/')}/{table}"
-    publish_table(df, path, table)
-    back = spark.read.parquet(path)
+    name = f"{database}.{table}" if database else None
+    publish_table(df, path, table, catalog_name=name)
+    back = spark.table(name) if name else spark.read.parquet(path)
     # partition columns come back last; restore the operator's column order
     return back.select(*df.columns)
 
@@ -52,20 +55,25 @@ def run_pipeline(
     lookback_days: int = LOOKBACK_DAYS,
     dedupe: bool = False,
     broadcast_dims: tuple[str, ...] = (),
+    database: str | None = None,
 ) -> DataFrame:
     """Build and publish all staging and analytics tables; return the layer summary
     (table_name, rows, valid_rows) read from the published tables.
 
     ``dedupe`` removes repeated session ids before staging (the reference keeps them).
+    With ``database`` every table is also registered in that catalog database (created if
+    missing) as an external table under ``out_dir``.
     """
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     sessions = dedupe_sessions(model["sessions"]) if dedupe else model["sessions"]
     enriched = _publish_and_reload(
         spark,
         enrich_sessions(sessions, model["users"], model["accounts"], model["apps"],
                         model["projects"], broadcast=broadcast_dims),
-        out_dir, "staging_enriched_sessions")
+        out_dir, "staging_enriched_sessions", database)
     daily = _publish_and_reload(spark, daily_user_metrics(enriched), out_dir,
-                                "staging_daily_user_metrics")
+                                "staging_daily_user_metrics", database)
     published = {
         "staging_enriched_sessions": (enriched, "is_valid_session"),
         "staging_daily_user_metrics": (daily, "is_active_day"),
@@ -77,7 +85,7 @@ def run_pipeline(
         "analytics_project_allocation": project_allocation(enriched, as_of, lookback_days),
     }
     for table, df in analytics.items():
-        published[table] = (_publish_and_reload(spark, df, out_dir, table), None)
+        published[table] = (_publish_and_reload(spark, df, out_dir, table, database), None)
     return layer_summary(published)
 
 
@@ -90,13 +98,15 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--as-of", default=None, help="reporting date (default: today, UTC)")
     p.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
     p.add_argument("--dedupe", action="store_true", help="drop repeated session ids first")
+    p.add_argument("--database", default=None, help="also register the tables in this database")
     args = p.parse_args(argv)
     spark = get_spark()
     raw, report = load_raw(spark, args.raw_dir)
     for table, path, status in report:
         print(f"{table}: {status} ({path})")
+    table_inventory(raw).show(truncate=False)
     summary = run_pipeline(spark, model_from_raw(raw), args.out_dir, args.as_of,
-                           args.lookback_days, args.dedupe)
+                           args.lookback_days, args.dedupe, database=args.database)
     summary.show(truncate=False)
 
 

@@ -53,6 +53,16 @@ def load_raw(
     return tables, report
 
 
+def catalog_inventory(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Every table of a catalog database with its row count, ordered by name.
+
+    The table list is catalog metadata (names only); each count is a distributed aggregate.
+    """
+    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    prefix = f"{database}." if database else ""
+    return table_inventory({name: spark.table(prefix + name) for name in names})
+
+
 def table_inventory(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: ``table_name``, ``row_count`` (bigint), ordered by name."""
     parts = [

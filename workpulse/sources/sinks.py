@@ -51,10 +51,24 @@ def publish(
     writer.save(path)
 
 
-def publish_table(df: DataFrame, path: str, table: str) -> None:
-    """Publish with the table's registered layout."""
+def publish_table(df: DataFrame, path: str, table: str, catalog_name: str | None = None) -> None:
+    """Publish with the table's registered layout.
+
+    With ``catalog_name`` (``db.table`` or ``table``) the data is also registered in the session
+    catalog as an external table at ``path`` (``CREATE TABLE AS`` semantics, replacing it).
+    """
     layout = LAYOUTS.get(table, {})
-    publish(df, path, layout.get("partition_by", ()), layout.get("sort_by", ()))
+    partition_by, sort_by = layout.get("partition_by", ()), layout.get("sort_by", ())
+    if catalog_name is None:
+        publish(df, path, partition_by, sort_by)
+        return
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    if sort_by:
+        out = out.sortWithinPartitions(*[*partition_by, *sort_by])
+    writer = out.write.mode("overwrite").format("parquet").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(catalog_name)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
