@@ -31,7 +31,8 @@ from workpulse.sources.csv import table_inventory
 
 AS_OF = "2024-01-30"
 LOOKBACK_DAYS = 90
-PERIOD = ("2024-01-01", "2024-01-30")
+# whole event range: late arrivals of the first day are dated 2023-12-31
+PERIOD = ("2023-12-31", "2024-01-30")
 
 # region (5 rows) and the application catalog (5 rows) have a fixed size here.
 BOUNDED_DIMS = ("accounts", "apps")
