@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from workpulse.operators.daily import daily_user_metrics
 from workpulse.plans.catalog import AS_OF, BOUNDED_DIMS, enriched
-from workpulse.plans.pipeline import run_pipeline
+from workpulse.plans.layers import build_layers
 from workpulse.sources import testdata
 from workpulse.streaming import start_incremental_staging
 
@@ -20,9 +20,9 @@ def _rows(df):
     return sorted(map(tuple, df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-def test_pipeline_publishes_every_layer(spark):
+def test_build_publishes_every_layer(spark):
     out = tempfile.mkdtemp(prefix="wp-pipe-", dir="/tmp")
-    summary = {r["table_name"]: r for r in run_pipeline(
+    summary = {r["table_name"]: r for r in build_layers(
         spark, testdata.model(spark, SF), out, AS_OF, 90, broadcast_dims=BOUNDED_DIMS).collect()}
     assert summary["staging_enriched_sessions"]["rows"] == 1000
     assert summary["staging_enriched_sessions"]["valid_rows"] == 979
@@ -63,7 +63,7 @@ def test_incremental_staging_matches_batch_with_late_files(spark):
 
 def test_cli_rebuild_from_csv(spark):
     """Raw CSV files (reference layout) -> load_raw -> all layers, through the command line."""
-    from workpulse.plans.pipeline import main
+    from workpulse.plans.layers import main
     from workpulse.sources import RAW_FILES, RAW_SCHEMAS, write_csv
 
     root = tempfile.mkdtemp(prefix="wp-cli-", dir="/tmp")
@@ -93,11 +93,11 @@ def test_cli_rebuild_from_csv(spark):
         cohorts.filter("weeks_since_cohort = 0").count() > 0
 
 
-def test_pipeline_registers_catalog_tables(spark):
+def test_build_registers_catalog_tables(spark):
     from workpulse.sources import catalog_inventory
 
     out = tempfile.mkdtemp(prefix="wp-cat-", dir="/tmp")
-    run_pipeline(spark, testdata.model(spark, SF), out, AS_OF, 90,
+    build_layers(spark, testdata.model(spark, SF), out, AS_OF, 90,
                  broadcast_dims=BOUNDED_DIMS, database="wp_test").collect()
     inv = {r["table_name"]: r["row_count"] for r in catalog_inventory(spark, "wp_test").collect()}
     assert inv["staging_enriched_sessions"] == 1000

@@ -6,7 +6,7 @@ Layers (all ``DataFrame -> DataFrame``):
 * ``functions`` column expressions: exact rounding, dates, flags, tiers
 * ``operators`` enrich, daily rollup, trends, engagement, ranks, app productivity,
                 retention cohorts, project allocation, metrics, data quality
-* ``plans``     the staging/analytics pipeline and the registered query catalog
+* ``plans``     the staging/analytics layer rebuild and the registered query catalog
 * ``streaming`` incremental staging with Structured Streaming
 """
 

@@ -47,7 +47,7 @@ def _publish_and_reload(
     return back.select(*df.columns)
 
 
-def run_pipeline(
+def build_layers(
     spark: SparkSession,
     model: dict[str, DataFrame],
     out_dir: str,
@@ -105,7 +105,7 @@ def main(argv: list[str] | None = None) -> None:
     for table, path, status in report:
         print(f"{table}: {status} ({path})")
     table_inventory(raw).show(truncate=False)
-    summary = run_pipeline(spark, model_from_raw(raw), args.out_dir, args.as_of,
+    summary = build_layers(spark, model_from_raw(raw), args.out_dir, args.as_of,
                            args.lookback_days, args.dedupe, database=args.database)
     summary.show(truncate=False)
 

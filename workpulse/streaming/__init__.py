@@ -1,4 +1,4 @@
-"""Incremental staging with Structured Streaming (same operators as the batch pipeline)."""
+"""Incremental staging with Structured Streaming (same operators as the batch rebuild)."""
 
 from workpulse.streaming.incremental import start_incremental_staging
 

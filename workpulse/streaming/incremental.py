@@ -7,7 +7,7 @@ the daily rows of every date the batch touched are rebuilt from all enriched row
 (a session whose ``date`` is days old) update the right day, and a retried batch rewrites the same
 folders: the sink is idempotent, progress is tracked in the checkpoint folder.
 
-This runs the same operators as the batch pipeline (``enrich_sessions``,
+This runs the same operators as the batch rebuild (``enrich_sessions``,
 ``daily_user_metrics``); it adds no computation of its own.
 """
 
