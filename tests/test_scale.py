@@ -82,3 +82,23 @@ def test_hot_user_split_by_aqe_gives_identical_results(spark):
             spark.conf.set(k, v)
     assert split == plain
     assert len(plain) > 0
+
+
+def test_bucketed_sessions_and_users_join_without_shuffle(spark):
+    from workpulse.plans.catalog import BOUNDED_DIMS
+    from workpulse.plans.layers import land_co_located
+
+    out = tempfile.mkdtemp(prefix="wp-bucket-", dir="/tmp")
+    m = land_co_located(spark, testdata.model(spark, SF), out, "wp_bucketed", buckets=4)
+    users = m["users"].hint("merge")  # as if too big to broadcast
+    e = enrich_sessions(m["sessions"], users, m["accounts"], m["apps"], m["projects"],
+                        broadcast=BOUNDED_DIMS)
+    daily_df = daily_user_metrics(e)
+    plan = plan_of(daily_df)
+    assert "SortMergeJoin" in plan
+    exchanges = [line.strip() for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # neither join side moves; the only exchanges are the distinct-count aggregation's
+    assert exchanges and all("hashpartitioning(date" in x for x in exchanges), exchanges
+    got = sorted(map(tuple, daily_df.collect()), key=str)
+    expected = sorted(map(tuple, daily(spark, SF).collect()), key=str)
+    assert got == expected

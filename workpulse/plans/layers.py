@@ -20,7 +20,7 @@ from workpulse.operators.enrich import enrich_sessions
 from workpulse.operators.quality import dedupe_sessions, layer_summary
 from workpulse.operators.user_activity import LOOKBACK_DAYS, user_activity_metrics
 from workpulse.sources.csv import load_raw, table_inventory
-from workpulse.sources.sinks import publish_table
+from workpulse.sources.sinks import publish_bucketed, publish_table
 
 RAW_TO_MODEL = {
     "raw_fact_activity_sessions": "sessions",
@@ -36,6 +36,23 @@ def model_from_raw(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {RAW_TO_MODEL[k]: v for k, v in raw.items() if k in RAW_TO_MODEL}
 
 
+def land_co_located(
+    spark: SparkSession, model: dict[str, DataFrame], out_dir: str, database: str, buckets: int
+) -> dict[str, DataFrame]:
+    """Land the session fact and the user dimension bucketed by ``user_id`` (same bucket
+    count) and return the model reading them back, so the enrichment join and the user-keyed
+    rollup run without shuffling the fact. Meant for the ingest step of a deployment where the
+    user dimension is too large to broadcast."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    landed = dict(model)
+    for name in ("sessions", "users"):
+        table = f"{database}.raw_{name}_by_user"
+        publish_bucketed(model[name], f"{out_dir.rstrip('/')}/raw_{name}_by_user", table,
+                         "user_id", buckets)
+        landed[name] = spark.table(table)
+    return landed
+
+
 def _publish_and_reload(
     spark: SparkSession, df: DataFrame, out_dir: str, table: str, database: str | None = None
 ) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from workpulse.sources.csv import RAW_FILES, catalog_inventory, load_raw, table_inventory
 from workpulse.sources.schemas import RAW_SCHEMAS
-from workpulse.sources.sinks import LAYOUTS, publish, publish_table, write_csv
+from workpulse.sources.sinks import LAYOUTS, publish, publish_bucketed, publish_table, write_csv
 
-__all__ = ["LAYOUTS", "RAW_FILES", "RAW_SCHEMAS", "catalog_inventory", "load_raw", "publish", "publish_table",
+__all__ = ["LAYOUTS", "RAW_FILES", "RAW_SCHEMAS", "catalog_inventory", "load_raw", "publish", "publish_bucketed",
+           "publish_table",
            "table_inventory", "write_csv"]
