@@ -98,10 +98,12 @@ def test_build_registers_catalog_tables(spark):
 
     out = tempfile.mkdtemp(prefix="wp-cat-", dir="/tmp")
     build_layers(spark, testdata.model(spark, SF), out, AS_OF, 90,
-                 broadcast_dims=BOUNDED_DIMS, database="wp_test").collect()
+                 broadcast_dims=BOUNDED_DIMS, database="wp_test", co_locate_buckets=4).collect()
     inv = {r["table_name"]: r["row_count"] for r in catalog_inventory(spark, "wp_test").collect()}
     assert inv["staging_enriched_sessions"] == 1000
     assert sorted(inv) == sorted([
         "analytics_app_productivity", "analytics_project_allocation", "analytics_retention_cohorts",
-        "analytics_user_activity_metrics", "staging_daily_user_metrics", "staging_enriched_sessions"])
+        "analytics_user_activity_metrics", "raw_sessions_by_user", "raw_users_by_user",
+        "staging_daily_user_metrics", "staging_enriched_sessions"])
+    assert inv["raw_sessions_by_user"] == 1000
     assert spark.table("wp_test.staging_daily_user_metrics").count() == inv["staging_daily_user_metrics"]

@@ -73,16 +73,23 @@ def build_layers(
     dedupe: bool = False,
     broadcast_dims: tuple[str, ...] = (),
     database: str | None = None,
+    co_locate_buckets: int | None = None,
 ) -> DataFrame:
     """Build and publish all staging and analytics tables; return the layer summary
     (table_name, rows, valid_rows) read from the published tables.
 
     ``dedupe`` removes repeated session ids before staging (the reference keeps them).
     With ``database`` every table is also registered in that catalog database (created if
-    missing) as an external table under ``out_dir``.
+    missing) as an external table under ``out_dir``. With ``co_locate_buckets`` (needs
+    ``database``) sessions and users are first landed bucketed by ``user_id``, so the
+    enrichment join does not shuffle the fact.
     """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if co_locate_buckets:
+        if not database:
+            raise ValueError("co_locate_buckets needs a catalog database")
+        model = land_co_located(spark, model, out_dir, database, co_locate_buckets)
     sessions = dedupe_sessions(model["sessions"]) if dedupe else model["sessions"]
     enriched = _publish_and_reload(
         spark,
@@ -116,6 +123,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
     p.add_argument("--dedupe", action="store_true", help="drop repeated session ids first")
     p.add_argument("--database", default=None, help="also register the tables in this database")
+    p.add_argument("--co-locate-buckets", type=int, default=None,
+                   help="land sessions and users bucketed by user_id first (needs --database)")
     args = p.parse_args(argv)
     spark = get_spark()
     raw, report = load_raw(spark, args.raw_dir)
@@ -123,7 +132,8 @@ def main(argv: list[str] | None = None) -> None:
         print(f"{table}: {status} ({path})")
     table_inventory(raw).show(truncate=False)
     summary = build_layers(spark, model_from_raw(raw), args.out_dir, args.as_of,
-                           args.lookback_days, args.dedupe, database=args.database)
+                           args.lookback_days, args.dedupe, database=args.database,
+                           co_locate_buckets=args.co_locate_buckets)
     summary.show(truncate=False)
 
 
