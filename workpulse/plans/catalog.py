@@ -167,6 +167,8 @@ QUERIES: dict[str, Query] = {
     "engagement_distribution": _engagement_distribution,
     "weekly_retention_rate": lambda spark, sf_dir: weekly_retention_rate(
         materialize(retention_cohorts(daily(spark, sf_dir))), AS_OF),
+    "retention_rate_orders": lambda spark, sf_dir: weekly_retention_rate(
+        materialize(retention_cohorts(testdata.order_activity(spark, sf_dir))), AS_OF),
     "account_churn_risk": lambda spark, sf_dir: account_churn_risk(daily(spark, sf_dir), AS_OF),
     "avg_productive_hours": _on_daily(avg_productive_hours),
     "utilization_rate": _utilization,
