@@ -107,3 +107,32 @@ def test_build_registers_catalog_tables(spark):
         "staging_daily_user_metrics", "staging_enriched_sessions"])
     assert inv["raw_sessions_by_user"] == 1000
     assert spark.table("wp_test.staging_daily_user_metrics").count() == inv["staging_daily_user_metrics"]
+
+
+def test_incremental_staging_from_csv_files(spark):
+    """CSV landing files with the raw (string id) schema, two drops, as the CLI would read them."""
+    from tests.fixtures import D, frames, session
+    from workpulse.operators.enrich import enrich_sessions
+    from workpulse.sources import RAW_SCHEMAS, write_csv
+
+    root = tempfile.mkdtemp(prefix="wp-stream-csv-", dir="/tmp")
+    landing, out, ckpt = (os.path.join(root, p) for p in ("landing", "out", "ckpt"))
+    schema = RAW_SCHEMAS["raw_fact_activity_sessions"]
+    rows = [session("S1", day=D(2025, 8, 4)), session("S2", day=D(2025, 8, 5), minutes=90.0),
+            session("S3", day=D(2025, 8, 4), user="USR0003", account="ACC002")]
+    f = frames(spark, rows)
+    dims = {k: f[k] for k in ("users", "accounts", "apps", "projects")}
+
+    def land(name, df):
+        full = df.select(*[F.col(c.name).cast(c.dataType) if c.name in df.columns
+                           else F.lit(None).cast(c.dataType).alias(c.name) for c in schema.fields])
+        write_csv(full.coalesce(1), os.path.join(landing, name))
+
+    land("drop-1", f["sessions"].filter("session_id = 'S1'"))
+    start_incremental_staging(spark, landing + "/*", schema, dims, out, ckpt, fmt="csv").awaitTermination()
+    land("drop-2", f["sessions"].filter("session_id <> 'S1'"))
+    start_incremental_staging(spark, landing + "/*", schema, dims, out, ckpt, fmt="csv").awaitTermination()
+    got = spark.read.parquet(os.path.join(out, "staging_daily_user_metrics"))
+    expected = daily_user_metrics(enrich_sessions(f["sessions"], *dims.values()))
+    assert _rows(got.select(*expected.columns)) == _rows(expected)
+    assert got.count() == 3

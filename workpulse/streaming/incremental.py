@@ -13,6 +13,8 @@ This runs the same operators as the batch rebuild (``enrich_sessions``,
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +24,9 @@ from workpulse.operators.daily import daily_user_metrics
 from workpulse.operators.enrich import enrich_sessions
 
 
-def _rebuild_touched_days(spark: SparkSession, enriched_path: str, daily_path: str):
+def _rebuild_touched_days(enriched_path: str, daily_path: str):
     def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession  # the micro-batch's own session
         batch.persist()
         try:
             # 1. this batch's enriched rows, under date=D/batch_id=N: a retried batch replaces
@@ -77,9 +80,34 @@ def start_incremental_staging(
                                dims["projects"])
     base = out_dir.rstrip("/")
     writer = (enriched.writeStream
-              .foreachBatch(_rebuild_touched_days(spark, f"{base}/staging_enriched_sessions",
+              .foreachBatch(_rebuild_touched_days(f"{base}/staging_enriched_sessions",
                                                   f"{base}/staging_daily_user_metrics"))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Run the incremental staging once over the files that have landed (``availableNow``)."""
+    from workpulse.plans.layers import model_from_raw
+    from workpulse.session import get_spark
+    from workpulse.sources.csv import load_raw
+    from workpulse.sources.schemas import SESSIONS
+
+    p = argparse.ArgumentParser(description="Incremental staging from landed session files.")
+    p.add_argument("--sessions-dir", required=True, help="landing folder of session CSV files")
+    p.add_argument("--raw-dir", required=True, help="folder with the dimension CSV files")
+    p.add_argument("--out-dir", required=True, help="folder of the staging tables")
+    p.add_argument("--checkpoint", required=True, help="streaming checkpoint folder (shared)")
+    args = p.parse_args(argv)
+    spark = get_spark()
+    raw, _ = load_raw(spark, args.raw_dir)
+    dims = model_from_raw(raw)
+    query = start_incremental_staging(spark, args.sessions_dir, SESSIONS, dims, args.out_dir,
+                                      args.checkpoint, fmt="csv")
+    query.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
