@@ -10,6 +10,8 @@ Values are converted back to doubles only when published.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,3 +48,16 @@ def round_units(num: ColumnOrName, den: ColumnOrName) -> Column:
 def to_double(u: ColumnOrName, scale: int = 2) -> Column:
     """Publish an integer unit count as a double with ``scale`` places."""
     return _col(u).cast("double") / float(10**scale)
+
+
+def ratio_at_least(num: ColumnOrName, den: ColumnOrName, threshold: float) -> Column:
+    """``num / den >= threshold`` decided exactly on integers (``den`` > 0): the decimal
+    threshold is read as the fraction it is written as (0.30 is 3/10, not a binary double)."""
+    t = Fraction(str(threshold))
+    return _col(num) * t.denominator >= _col(den) * t.numerator
+
+
+def ratio_above(num: ColumnOrName, den: ColumnOrName, threshold: float) -> Column:
+    """``num / den > threshold`` decided exactly on integers (``den`` > 0)."""
+    t = Fraction(str(threshold))
+    return _col(num) * t.denominator > _col(den) * t.numerator

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from workpulse.functions.flags import flag
-from workpulse.functions.rounding import round_units, to_double, units
+from workpulse.functions.rounding import ratio_above, round_units, to_double, units
 
 DAILY_KEYS = [
     "date", "user_id", "email", "first_name", "last_name", "role", "department",
     "account_id", "company_name", "industry", "subscription_tier",
 ]
 
-HIGH_IDLE_DAY = (3, 10)  # idle / total > 3/10
+HIGH_IDLE_DAY = 0.30  # idle share of the day's valid hours above which the day is high-idle
 
 
 def _valid_sum(value: Column, extra: Column | None = None) -> Column:
@@ -71,6 +71,5 @@ def daily_user_metrics(enriched: DataFrame) -> DataFrame:
         pct("_idle").alias("idle_ratio_pct"),
         pct("_productive").alias("productivity_pct"),
         flag(total > 0).alias("is_active_day"),
-        flag((total > 0) & (F.col("_idle") * HIGH_IDLE_DAY[1] > total * HIGH_IDLE_DAY[0]))
-        .alias("is_high_idle_day"),
+        flag((total > 0) & ratio_above("_idle", total, HIGH_IDLE_DAY)).alias("is_high_idle_day"),
     )

@@ -9,7 +9,7 @@ Definitions (thresholds and periods are parameters; defaults below):
 * weekly retention rate: retention cells pooled over cohorts and accounts; for week number k only
   cohorts whose week k has started by ``as_of`` count.
 * account churn risk: of the users ever active in an account up to ``as_of``, the share with no
-  active day in the account in ``[as_of-6, as_of]``; High from 1/2, Medium from 1/4, else Low.
+  active day in the account in ``[as_of-6, as_of]``; High from 50 %, Medium from 25 %, else Low.
 * average productive hours per user: per account and week (or month), productive hours over
   users with a daily row in the period.
 * utilization: per account, hours worked in ``[start, end]`` over capacity, where capacity is
@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 
 from workpulse.functions.dates import week_start
 from workpulse.functions.flags import flag
-from workpulse.functions.rounding import idiv, round_units, to_double, units
+from workpulse.functions.rounding import idiv, ratio_at_least, round_units, to_double, units
 from workpulse.operators.engagement import L7D_DAYS, engagement_tier
 from workpulse.operators.user_activity import as_of_date
 
-# Churn-risk bands as shares of inactive users (numerator, denominator).
-CHURN_BANDS = [((1, 2), "High"), ((1, 4), "Medium")]
+# Churn-risk bands: share of ever-active users without activity in the last 7 days
+# (first match wins).
+CHURN_BANDS = [(0.50, "High"), (0.25, "Medium")]
 CHURN_DEFAULT = "Low"
 
 
@@ -112,8 +113,8 @@ def account_churn_risk(daily: DataFrame, as_of=None, days: int = L7D_DAYS) -> Da
     )
     inactive, ever = F.col("inactive_l7d_users"), F.col("ever_active_users")
     risk = None
-    for (num, den), label in CHURN_BANDS:
-        cond = inactive * den >= ever * num
+    for threshold, label in CHURN_BANDS:
+        cond = ratio_at_least(inactive, ever, threshold)
         risk = F.when(cond, label) if risk is None else risk.when(cond, label)
     return per_account.select(
         "account_id", "ever_active_users", "inactive_l7d_users",

@@ -16,10 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from workpulse.functions.rounding import round_units, to_double
+from workpulse.functions.rounding import ratio_at_least, round_units, to_double
 
-# Performance tiers by percent rank (first match wins), as (numerator, denominator).
-PERFORMANCE_BANDS = [((9, 10), "Top Performer"), ((7, 10), "Above Average"), ((3, 10), "Average")]
+# Performance tiers by percent rank (first match wins).
+PERFORMANCE_BANDS = [(0.90, "Top Performer"), (0.70, "Above Average"), (0.30, "Average")]
 PERFORMANCE_DEFAULT = "Below Average"
 
 
@@ -54,8 +54,8 @@ def add_productivity_ranks(
     below, n = F.col("_below"), F.col("_n")
     lone = n <= 1
     perf = None
-    for (num, den), label in PERFORMANCE_BANDS:
-        cond = ~lone & (below * den >= (n - 1) * num)
+    for threshold, label in PERFORMANCE_BANDS:
+        cond = ~lone & ratio_at_least(below, n - 1, threshold)
         perf = F.when(cond, label) if perf is None else perf.when(cond, label)
     return counted.withColumns({
         "productivity_percentile":
