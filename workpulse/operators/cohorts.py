@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from workpulse.functions.dates import week_start, weeks_between
 from workpulse.functions.rounding import round_units, to_double
 
+# Week numbers kept after the cohort week.
 MAX_WEEKS = 12
 
 

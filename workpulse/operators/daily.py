@@ -13,7 +13,8 @@ DAILY_KEYS = [
     "account_id", "company_name", "industry", "subscription_tier",
 ]
 
-HIGH_IDLE_DAY = 0.30  # idle share of the day's valid hours above which the day is high-idle
+# Idle share of the day's valid hours above which the day is high-idle.
+HIGH_IDLE_DAY = 0.30
 
 
 def _valid_sum(value: Column, extra: Column | None = None) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from workpulse.functions.dates import day_number
 from workpulse.functions.flags import flag, tier
 
+# Length of the trailing activity window in calendar days.
 L7D_DAYS = 7
 
 # Engagement tiers by active days in the last seven (first match wins).

@@ -11,7 +11,7 @@ from workpulse.functions.dates import end_timestamp, is_weekend
 from workpulse.functions.flags import flag
 from workpulse.functions.rounding import idiv, to_double, units
 
-# Thresholds of the quality flags (minutes, idle share).
+# Thresholds of the quality flags (minutes, minutes, idle share).
 MIN_MINUTES = 1
 MAX_MINUTES = 480
 HIGH_IDLE = 0.30

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from workpulse.functions.rounding import round_units, to_double, units
 
+# Rows back for last week, rows of the short and long averages.
 LAG_ROWS = 7
 SHORT_ROWS = 7
 LONG_ROWS = 30

@@ -11,6 +11,7 @@ from workpulse.operators.engagement import L7D_DAYS, add_active_days_l7d, add_en
 from workpulse.operators.ranks import add_productivity_ranks
 from workpulse.operators.trends import add_trends
 
+# Default lookback of the published daily-grain analytics tables.
 LOOKBACK_DAYS = 90
 
 USER_ACTIVITY_COLUMNS = [
