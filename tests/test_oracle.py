@@ -33,3 +33,10 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert "engagement_tier" in df.columns
+
+
+def test_folder_may_be_a_path_object(spark):
+    import pathlib
+
+    df = queries()["session_quality"](spark, pathlib.Path(SF))
+    assert df.count() > 0

@@ -61,7 +61,7 @@ TABLE_SCHEMAS = {
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
     schema = TABLE_SCHEMAS.get(name)
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
