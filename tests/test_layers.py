@@ -136,3 +136,16 @@ def test_incremental_staging_from_csv_files(spark):
     expected = daily_user_metrics(enrich_sessions(f["sessions"], *dims.values()))
     assert _rows(got.select(*expected.columns)) == _rows(expected)
     assert got.count() == 3
+
+
+def test_build_keeps_duplicates_unless_asked(spark):
+    model = testdata.model(spark, SF)
+    model["sessions"] = testdata.sessions_with_copies(spark, SF)  # 5 extra copies at sf0.001
+    kept = {r["table_name"]: r["rows"] for r in build_layers(
+        spark, model, tempfile.mkdtemp(prefix="wp-dup-", dir="/tmp"), AS_OF, 90,
+        broadcast_dims=BOUNDED_DIMS).collect()}
+    deduped = {r["table_name"]: r["rows"] for r in build_layers(
+        spark, model, tempfile.mkdtemp(prefix="wp-dedup-", dir="/tmp"), AS_OF, 90, dedupe=True,
+        broadcast_dims=BOUNDED_DIMS).collect()}
+    assert kept["staging_enriched_sessions"] == 1005
+    assert deduped["staging_enriched_sessions"] == 1000
