@@ -132,3 +132,83 @@ def test_l7d_trends_and_ranks_match_brute_force(spark, rows):
         below, n = sum(1 for v in values if v < mine), len(values)
         pr = Decimal(below) / (n - 1) if n > 1 else Decimal(0)
         assert Decimal(repr(r["productivity_percentile"])) == half_up(pr, 3)
+
+
+activity_days = st.lists(
+    st.tuples(st.sampled_from(["U1", "U2", "U3", "U4"]), st.sampled_from(["A", "B"]), st.integers(0, 120)),
+    min_size=1, max_size=40, unique=True)
+
+
+@SETTINGS
+@given(rows=activity_days)
+def test_retention_cohorts_match_brute_force(spark, rows):
+    from workpulse.operators.cohorts import retention_cohorts
+
+    data = [(START + dt.timedelta(days=d), u, a, 1.0) for u, a, d in rows]
+    got = {(r["cohort_week"], r["account_id"], r["weeks_since_cohort"]): r
+           for r in retention_cohorts(daily_rows(spark, data)).collect()}
+
+    def monday(d):
+        return d - dt.timedelta(days=d.weekday())
+
+    weeks = defaultdict(set)
+    for date, u, a, _ in data:
+        weeks[(u, a)].add(monday(date))
+    cells = defaultdict(set)
+    for (u, a), ws in weeks.items():
+        first = min(ws)
+        for w in ws:
+            k = (w - first).days // 7
+            if k <= 12:
+                cells[(first, a, k)].add(u)
+    assert set(got) == set(cells)
+    for (cw, a, k), users in cells.items():
+        r = got[(cw, a, k)]
+        size = len(cells[(cw, a, 0)])
+        assert (r["retained_users"], r["cohort_size"]) == (len(users), size)
+        assert Decimal(repr(r["retention_pct"])) == half_up(Decimal(len(users) * 100) / size, 2)
+        earlier = [j for j in range(k) if (cw, a, j) in cells]
+        if earlier:
+            diff = Decimal((len(users) - len(cells[(cw, a, max(earlier))])) * 100) / size
+            want = abs(diff).quantize(Decimal("0.01"), ROUND_HALF_UP).copy_sign(diff)
+            assert Decimal(repr(r["retention_drop_pct"])) == want
+        else:
+            assert r["retention_drop_pct"] is None
+
+
+@SETTINGS
+@given(rows=session_rows)
+def test_app_productivity_matches_brute_force(spark, rows):
+    from workpulse.operators.apps import app_productivity
+
+    account = {"USR0001": "ACC001", "USR0002": "ACC001", "USR0003": "ACC002"}
+    sessions = [session(f"S{i}", user=u, account=account[u], day=START + dt.timedelta(days=d), minutes=m,
+                        activity=a, app=app, project=p)
+                for i, (u, d, m, a, app, p) in enumerate(rows)]
+    f = frames(spark, sessions)
+    e = enrich_sessions(f["sessions"], f["users"], f["accounts"], f["apps"], f["projects"])
+    got = {(r["account_id"], r["date"], r["app_id"]): r for r in app_productivity(e, "2025-08-21", 90).collect()}
+
+    cells = defaultdict(list)
+    for u, d, m, a, app, p in rows:
+        if Decimal(1) <= dec(m) <= Decimal(480):
+            cells[(account[u], START + dt.timedelta(days=d), app)].append((u, dec(m)))
+    assert set(got) == set(cells)
+    hours = {k: sum((half_up(m / 60, 2) for _, m in v), Decimal(0)) for k, v in cells.items()}
+    for (acct, day, app), items in cells.items():
+        r = got[(acct, day, app)]
+        assert (r["session_count"], r["unique_users"]) == (len(items), len({u for u, _ in items}))
+        assert Decimal(repr(r["total_hours"])) == hours[(acct, day, app)]
+        mean = sum((m for _, m in items), Decimal(0)) / len(items)
+        assert Decimal(repr(r["avg_session_minutes"])) == half_up(mean, 1)
+        peers = {k: h for k, h in hours.items() if k[0] == acct and k[1] == day}
+        day_total = sum(peers.values(), Decimal(0))
+        mine = hours[(acct, day, app)]
+        if day_total > 0:
+            assert Decimal(repr(r["pct_of_total_time"])) == half_up(mine / day_total * 100, 2)
+        else:
+            assert r["pct_of_total_time"] is None
+        order = sorted(peers, key=lambda k: (-peers[k], k[2]))
+        assert r["overall_rank"] == order.index((acct, day, app)) + 1
+        same_class = [k for k in order if CLASS[k[2]] == CLASS[app]]
+        assert r["rank_in_classification"] == same_class.index((acct, day, app)) + 1
