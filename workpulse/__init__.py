@@ -10,6 +10,32 @@ Layers (all ``DataFrame -> DataFrame``):
 * ``streaming`` incremental staging with Structured Streaming
 """
 
-from workpulse.session import ensure_checkpoint_dir, get_spark
+from workpulse.operators.allocation import project_allocation
+from workpulse.operators.apps import app_productivity
+from workpulse.operators.cohorts import cohort_sizes, retention_cohorts, user_cohorts, weekly_activity
+from workpulse.operators.daily import daily_user_metrics
+from workpulse.operators.engagement import add_active_days_l7d, add_engagement
+from workpulse.operators.enrich import enrich_sessions, session_flags, session_measures
+from workpulse.operators.metrics import (
+    account_churn_risk,
+    active_users_l7d,
+    avg_productive_hours,
+    engagement_distribution,
+    utilization_rate,
+    weekly_retention_rate,
+)
+from workpulse.operators.quality import dedupe_sessions, duplicate_sessions, layer_summary, session_quality
+from workpulse.operators.ranks import add_productivity_ranks
+from workpulse.operators.trends import add_trends
+from workpulse.operators.user_activity import user_activity_metrics
+from workpulse.session import ensure_checkpoint_dir, get_spark, materialize
 
-__all__ = ["get_spark", "ensure_checkpoint_dir"]
+__all__ = [
+    "account_churn_risk", "active_users_l7d", "add_active_days_l7d", "add_engagement",
+    "add_productivity_ranks", "add_trends", "app_productivity", "avg_productive_hours",
+    "cohort_sizes", "daily_user_metrics", "dedupe_sessions", "duplicate_sessions",
+    "engagement_distribution", "enrich_sessions", "ensure_checkpoint_dir", "get_spark",
+    "layer_summary", "materialize", "project_allocation", "retention_cohorts", "session_flags",
+    "session_measures", "session_quality", "user_activity_metrics", "user_cohorts",
+    "utilization_rate", "weekly_activity", "weekly_retention_rate",
+]
