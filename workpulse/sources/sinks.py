@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Read layouts for the published tables (what the reference's indexes served): daily-grain
+# Read layouts for the published tables (what the reference's indexes served). Daily-grain
 # tables are partitioned by ``date``, so the lookback filters prune whole folders, and sorted
 # inside files by the look-up key, so Parquet min/max statistics skip row groups for a user or
-# an account.
+# an account. The session table, the one of input size, is not re-clustered by date (that would
+# be a second full shuffle after the enrichment join): its files are sorted by (date, user) inside
+# each write task, so date filters skip row groups by their min/max statistics instead.
 LAYOUTS: dict[str, dict[str, Sequence[str]]] = {
-    "staging_enriched_sessions": {"partition_by": ["date"], "sort_by": ["user_id"]},
+    "staging_enriched_sessions": {"partition_by": [], "sort_by": ["date", "user_id"]},
     "staging_daily_user_metrics": {"partition_by": ["date"], "sort_by": ["user_id"]},
     "analytics_user_activity_metrics": {"partition_by": ["date"], "sort_by": ["user_id"]},
     "analytics_app_productivity": {"partition_by": ["date"], "sort_by": ["account_id"]},
