@@ -212,3 +212,81 @@ def test_app_productivity_matches_brute_force(spark, rows):
         assert r["overall_rank"] == order.index((acct, day, app)) + 1
         same_class = [k for k in order if CLASS[k[2]] == CLASS[app]]
         assert r["rank_in_classification"] == same_class.index((acct, day, app)) + 1
+
+
+metric_days = st.lists(
+    st.tuples(st.sampled_from(["U1", "U2", "U3", "U4", "U5"]), st.sampled_from(["A", "B"]), st.integers(0, 30),
+              st.integers(0, 900).map(lambda c: c / 100), st.integers(0, 900).map(lambda c: c / 100)),
+    min_size=1, max_size=40, unique_by=lambda t: (t[0], t[1], t[2]))
+
+
+@SETTINGS
+@given(rows=metric_days, as_of_day=st.integers(0, 35))
+def test_metrics_match_brute_force(spark, rows, as_of_day):
+    from workpulse.operators.metrics import account_churn_risk, active_users_l7d, avg_productive_hours
+
+    as_of = START + dt.timedelta(days=as_of_day)
+    data = [(START + dt.timedelta(days=d), u, a, total, prod) for u, a, d, total, prod in rows]
+    df = daily_rows(spark, data)
+    active = [(d, u, a) for d, u, a, total, _ in data if total > 0]
+    in_l7d = [(d, u, a) for d, u, a in active if as_of - dt.timedelta(days=6) <= d <= as_of]
+
+    got = {(r["scope"], r["account_id"]): r["active_users"] for r in active_users_l7d(df, as_of).collect()}
+    want = {("account", a): len({u for _, u, x in in_l7d if x == a}) for a in {a for _, _, a in in_l7d}}
+    if in_l7d:
+        want[("all", None)] = len({u for _, u, _ in in_l7d})
+    assert got == want
+
+    churn = {r["account_id"]: r for r in account_churn_risk(df, as_of).collect()}
+    last = {}
+    for d, u, a in active:
+        if d <= as_of:
+            last[(a, u)] = max(d, last.get((a, u), d))
+    assert set(churn) == {a for a, _ in last}
+    for acct, r in churn.items():
+        ever = [d for (a, _), d in last.items() if a == acct]
+        inactive = sum(1 for d in ever if d < as_of - dt.timedelta(days=6))
+        share = Decimal(inactive) / len(ever)
+        assert (r["ever_active_users"], r["inactive_l7d_users"]) == (len(ever), inactive)
+        assert Decimal(repr(r["churn_pct"])) == half_up(share * 100, 2)
+        want_risk = "High" if share >= Decimal("0.50") else "Medium" if share >= Decimal("0.25") else "Low"
+        assert r["churn_risk"] == want_risk
+
+    weekly = {(r["account_id"], r["period_start"]): r for r in avg_productive_hours(df).collect()}
+    cells = defaultdict(lambda: (set(), Decimal(0)))
+    for d, u, a, _, prod in data:
+        users, total = cells[(a, d - dt.timedelta(days=d.weekday()))]
+        cells[(a, d - dt.timedelta(days=d.weekday()))] = (users | {u}, total + dec(prod))
+    assert set(weekly) == set(cells)
+    for key, (users, total) in cells.items():
+        r = weekly[key]
+        assert (r["users"], Decimal(repr(r["productive_hours"]))) == (len(users), total)
+        assert Decimal(repr(r["avg_productive_hours"])) == half_up(total / len(users), 2)
+
+
+@SETTINGS
+@given(rows=session_rows, first=st.integers(0, 10), span=st.integers(0, 20))
+def test_utilization_matches_brute_force(spark, rows, first, span):
+    from workpulse.operators.metrics import utilization_rate
+
+    account = {"USR0001": "ACC001", "USR0002": "ACC001", "USR0003": "ACC002"}
+    sessions = [session(f"S{i}", user=u, account=account[u], day=START + dt.timedelta(days=d), minutes=m,
+                        activity=a, app=app, project=p)
+                for i, (u, d, m, a, app, p) in enumerate(rows)]
+    f = frames(spark, sessions)
+    d = daily_user_metrics(enrich_sessions(f["sessions"], f["users"], f["accounts"], f["apps"], f["projects"]))
+    lo, hi = START + dt.timedelta(days=first), START + dt.timedelta(days=first + span)
+    got = {r["account_id"]: r for r in utilization_rate(d, f["users"], lo.isoformat(), hi.isoformat()).collect()}
+    weekdays = sum(1 for i in range(span + 1) if (lo + dt.timedelta(days=i)).weekday() < 5)
+    users_per_account = {"ACC001": 2, "ACC002": 2}  # tests.fixtures.USERS, 40 h/week each
+    for acct, n in users_per_account.items():
+        used = sum((half_up(dec(m) / 60, 2) for u, day, m, *_ in rows
+                    if account[u] == acct and lo <= START + dt.timedelta(days=day) <= hi
+                    and Decimal(1) <= dec(m) <= Decimal(480)), Decimal(0))
+        capacity = Decimal(n * 40 * weekdays) / 5
+        r = got[acct]
+        assert Decimal(repr(r["used_hours"])) == used and Decimal(repr(r["capacity_hours"])) == capacity
+        if capacity > 0:
+            assert Decimal(repr(r["utilization_pct"])) == half_up(used / capacity * 100, 2)
+        else:
+            assert r["utilization_pct"] is None
