@@ -290,3 +290,56 @@ def test_utilization_matches_brute_force(spark, rows, first, span):
             assert Decimal(repr(r["utilization_pct"])) == half_up(used / capacity * 100, 2)
         else:
             assert r["utilization_pct"] is None
+
+
+@SETTINGS
+@given(rows=session_rows, as_of_day=st.integers(0, 25))
+def test_engagement_distribution_and_allocation_match_brute_force(spark, rows, as_of_day):
+    from workpulse.operators.allocation import project_allocation
+    from workpulse.operators.metrics import engagement_distribution
+
+    account = {"USR0001": "ACC001", "USR0002": "ACC001", "USR0003": "ACC002"}
+    sessions = [session(f"S{i}", user=u, account=account[u], day=START + dt.timedelta(days=d), minutes=m,
+                        activity=a, app=app, project=p)
+                for i, (u, d, m, a, app, p) in enumerate(rows)]
+    f = frames(spark, sessions)
+    e = enrich_sessions(f["sessions"], f["users"], f["accounts"], f["apps"], f["projects"])
+    valid = [(u, START + dt.timedelta(days=d), dec(m), p) for u, d, m, a, app, p in rows
+             if Decimal(1) <= dec(m) <= Decimal(480)]
+
+    # M2: every user of the dimension (4 users in the fixture), tier from active days in the last 7
+    as_of = START + dt.timedelta(days=as_of_day)
+    dist = {r["engagement_tier"]: r for r in engagement_distribution(
+        daily_user_metrics(e), f["users"], as_of).collect()}
+    days = {u: {d for x, d, _, _ in valid if x == u and as_of - dt.timedelta(days=6) <= d <= as_of}
+            for u in ["USR0001", "USR0002", "USR0003", "USR0004"]}
+    tiers = defaultdict(int)
+    for n in (len(v) for v in days.values()):
+        tiers["Highly Active" if n >= 5 else "Moderately Active" if n >= 3 else "Low Activity" if n >= 1
+              else "Inactive"] += 1
+    assert {k: r["users"] for k, r in dist.items()} == dict(tiers)
+    for k, r in dist.items():
+        assert Decimal(repr(r["pct_users"])) == half_up(Decimal(tiers[k] * 100) / 4, 2)
+
+    # M7: valid sessions per (account, project), shares and rank inside the account
+    got = {(r["account_id"], r["project_id"]): r for r in project_allocation(e).collect()}
+    cells = defaultdict(list)
+    for u, _, m, p in valid:
+        cells[(account[u], p)].append((u, half_up(m / 60, 2)))
+    assert set(got) == set(cells)
+    hours = {k: sum((h for _, h in v), Decimal(0)) for k, v in cells.items()}
+    for (acct, proj), items in cells.items():
+        r = got[(acct, proj)]
+        mine = hours[(acct, proj)]
+        acct_total = sum((h for k, h in hours.items() if k[0] == acct), Decimal(0))
+        assert (r["session_count"], r["unique_users"]) == (len(items), len({u for u, _ in items}))
+        assert r["project_name"] == ("unallocated" if proj is None else "Website Redesign")
+        if acct_total > 0:
+            assert Decimal(repr(r["pct_of_account_hours"])) == half_up(mine / acct_total * 100, 2)
+        else:
+            assert r["pct_of_account_hours"] is None
+        if proj is None:
+            assert r["pct_of_budget"] is None
+        else:
+            assert Decimal(repr(r["pct_of_budget"])) == half_up(mine / 100 * 100, 2)
+        assert r["project_rank"] == 1 + sum(1 for k, h in hours.items() if k[0] == acct and h > mine)
