@@ -9,6 +9,8 @@ given TPC-H-like tables onto them, with the same rules as the SQL oracle:
 * users <- ``customer`` (+ ``nation`` for the account), accounts <- ``region`` (5 rows),
   projects <- ``part``, the application catalog is the 5 event types.
 * long activity history (for cohorts) <- ``orders``: one active day per order date.
+* the duplicate operators get the sessions plus an exact copy of every 200th one (0.5 %, the
+  share of copies the reference's generator injects).
 
 Only the columns used downstream are produced. ``region`` and ``nation`` have a fixed size in
 this schema (5 and 25 rows) and the application catalog is 5 literal rows, so they are
@@ -27,7 +29,7 @@ ACCOUNT_INDUSTRY = ["Technology", "Consulting", "Software", "IT Services", "Mark
 ACCOUNT_SIZE = ["Small", "Medium", "Large", "Medium", "Small"]
 ACCOUNT_TIER = ["pro", "enterprise", "pro", "business", "business"]
 
-# The application catalog over the event types
+# Adapter rule (not a reference value): the application catalog over the event types
 # (app_id, app_name, category, productivity_classification).
 APP_CATALOG = [
     ("purchase", "Purchase", "Commerce", "productive"),
