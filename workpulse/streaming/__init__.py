@@ -1,5 +1,12 @@
 """Incremental staging with Structured Streaming (same operators as the batch rebuild)."""
 
-from workpulse.streaming.incremental import start_incremental_staging
-
 __all__ = ["start_incremental_staging"]
+
+
+def __getattr__(name: str):
+    # imported on first use, so ``python -m workpulse.streaming.incremental`` runs cleanly
+    if name == "start_incremental_staging":
+        from workpulse.streaming.incremental import start_incremental_staging
+
+        return start_incremental_staging
+    raise AttributeError(name)
