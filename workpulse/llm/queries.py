@@ -8,15 +8,58 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from workpulse.llm import simhash
-from workpulse.llm.common import read_table
+from workpulse.llm import language, mixing, simhash, tokens, toxicity
+from workpulse.llm.common import held_out, read_table, text_or_empty
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    learnable = docs.where(~held_out("doc_id")).select(F.col("doc_id").alias("id"), "text", "lang")
+    predicted = language.predict(docs.select("doc_id", "text"), language.fit(learnable))
+    return predicted.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op7_tokens(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.token_counts(docs, vocabulary).select(
+        "doc_id",
+        F.octet_length(text_or_empty("text")).cast("long").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > 1024).alias("over_limit"),
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "toxicity.score", "toxicity.predicted", "toxicity.evidence"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op4_language": op4_language,
+    "op5_mixing": op5_mixing,
+    "op7_tokens": op7_tokens,
+    "op10_toxicity": op10_toxicity,
 }
