@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import language, mixing, simhash, tokens, toxicity
+from workpulse.llm import decontaminate, language, licenses, lines, mixing, simhash, tokens, toxicity
 from workpulse.llm.common import held_out, read_table, text_or_empty
 
 
@@ -34,6 +34,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_tokens(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     if vocabulary is None:
         import public_tokenizers
@@ -48,6 +52,22 @@ def op7_tokens(spark: SparkSession, sf_dir: str, vocabulary: str | None = None)
     )
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"),
+        "text",
+        F.coalesce(F.expr("aggregate(blocks, 0, (n, b) -> n + b.last - b.first + 1)"), F.lit(0)).alias("lines_deleted"),
+        F.col("words").alias("words_deleted"),
+        "blocks",
+        "holders",
+    )
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_notices(read_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -60,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_language": op4_language,
     "op5_mixing": op5_mixing,
+    "op6_decontaminate": op6_decontaminate,
     "op7_tokens": op7_tokens,
+    "op8_lines": op8_lines,
+    "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,
 }
