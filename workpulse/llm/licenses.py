@@ -95,23 +95,29 @@ class Matcher:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
         self.templates = templates
         self.words = [words_with_places(text)[0] for _, text in templates]
+        own = [" ".join(words).encode() for words in self.words]  # blocks are compared in this form too
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.given = [
             zstandard.ZstdCompressor(
                 level=LEVEL, write_content_size=False,
-                dict_data=zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                dict_data=zstandard.ZstdCompressionDict(text, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
             )
-            for _, text in templates
+            for text in own
         ]
-        own = [(len(self.plain.compress(text.encode())), len(given.compress(text.encode()))) for (_, text), given in zip(templates, self.given, strict=True)]
-        self.most = [max(1, a - b) for a, b in own]
+        self.most = [
+            max(1, len(self.plain.compress(text)) - len(given.compress(text)))
+            for text, given in zip(own, self.given, strict=True)
+        ]
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
-        """(share of the possible saving, template number) of the templates that save, the best first."""
+        """(share of the possible saving, template number), the best first.
+
+        No template is left out for a low rank: in a long block a short notice saves a few bytes only.
+        """
         data = block.encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(data))
         shares = [((alone - len(given.compress(data))) / most, i) for i, (given, most) in enumerate(zip(self.given, self.most, strict=True))]
-        return sorted((s for s in shares if s[0] > 0), key=lambda s: (-s[0], s[1]))
+        return sorted(shares, key=lambda s: (-s[0], s[1]))
 
     def differences(self, number: int, words: list[str]) -> tuple[list[str], int, int] | None:
         """Differences of a template from the stretch [first, last] of ``words`` that it fits best."""
