@@ -10,10 +10,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import decontaminate, language, licenses, lines, mixing, simhash, tokens, toxicity
+from workpulse.llm import decontaminate, language, licenses, lines, mixing, secrets, simhash, tokens, toxicity
 from workpulse.llm.common import held_out, read_table, text_or_empty
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+    kinds = [rule.kind for rule in secrets.BASE_RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in kinds),
+        F.sha2(secrets.span_list(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_list(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -77,6 +93,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
     "op4_language": op4_language,
     "op5_mixing": op5_mixing,
