@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: One word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
@@ -48,6 +48,25 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def first_by_hash(rows: DataFrame, group: str, sizes: dict, most: int, order: Column) -> DataFrame:
+    """Of each ``group`` value in ``sizes`` (value to number of rows), the ``most`` rows first by ``order``.
+
+    ``order`` is a 64-bit hash. Only rows below the hash that about 2 * ``most`` rows of their group have
+    are shuffled, so that no task gets more than that for a group, however many tasks there are.
+    """
+    span = 1 << 64
+    bounds = [(value, min(span, 2 * most * span // max(1, n)) - (span >> 1) - 1) for value, n in sizes.items()]
+    kind = dict(rows.dtypes)[group]
+    below = rows.sparkSession.createDataFrame(bounds, f"_group {kind}, _bound long")
+    few = (
+        rows.withColumn("_order", order)
+        .join(F.broadcast(below), F.col(group) == F.col("_group"))
+        .where("_order <= _bound")
+    )
+    place = F.row_number().over(Window.partitionBy("_group").orderBy("_order", *(c for c in ("id",) if c in rows.columns)))
+    return few.withColumn("_place", place).where(F.col("_place") <= most).drop("_group", "_bound", "_place")
+
+
 def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str], rows: int) -> Iterator[pd.DataFrame]:
     """Regroup the batches of a partition sorted by ``keys`` into frames of whole groups.
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from workpulse.llm.common import cut, text_or_empty
+from workpulse.llm.common import cut, first_by_hash, text_or_empty
 from workpulse.llm.grams import hashed_grams
 
 GRAMS = (1, 2, 3)
@@ -160,12 +160,7 @@ def fit(learnable: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return Model([], idf, np.zeros((1 << BITS, 0)), np.zeros(0), 1.0)
-    # the rows of a language that come first by hash; each task keeps its own first ones before the shuffle
-    order = F.xxhash64("id", "text")
-    parts = [
-        rows.where(F.col("lang") == name).withColumn("_order", order).orderBy("_order", "id").limit(per_language)
-        for name in languages
-    ]
+    sample = first_by_hash(rows, "lang", {r["lang"]: r["count"] for r in sizes}, per_language, F.xxhash64("id", "text"))
     place = {name: i for i, name in enumerate(languages)}
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,9 +172,6 @@ def fit(learnable: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
                 "counts": [c.astype(np.int32) for _, c in pairs],
             })
 
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.unionByName(part)
     schema = "order long, label int, found array<int>, counts array<int>"
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

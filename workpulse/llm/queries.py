@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import decontaminate, language, licenses, lines, mixing, secrets, simhash, tokens, toxicity
+from workpulse.llm import decontaminate, language, licenses, lines, mixing, secrets, simhash, spotsigs, tokens, toxicity
 from workpulse.llm.common import held_out, read_table, text_or_empty
 
 
@@ -34,6 +34,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.likeness_to_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     learnable = docs.where(~held_out("doc_id")).select(F.col("doc_id").alias("id"), "text", "lang")
@@ -95,6 +99,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
+    "op3_fingerprints": op3_fingerprints,
     "op4_language": op4_language,
     "op5_mixing": op5_mixing,
     "op6_decontaminate": op6_decontaminate,

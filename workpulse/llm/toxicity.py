@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workpulse.llm.common import cut, held_out, text_or_empty
+from workpulse.llm.common import cut, first_by_hash, held_out, text_or_empty
 from workpulse.llm.grams import hashed_grams
 
 GRAMS = (5,)
@@ -267,10 +267,7 @@ def fit(
     if len(totals) < 2:
         return Model(None, 1.0 if 1 in totals else 0.0, 0.0, (1.0, 1.0))
     share = totals[1] / (totals[0] + totals[1])
-    order = F.xxhash64("id")
-    picked = marks.where("toxic = 0").orderBy(order, "id").limit(per_label).unionByName(
-        marks.where("toxic = 1").orderBy(order, "id").limit(per_label)
-    )
+    picked = first_by_hash(marks, "toxic", totals, per_label, F.xxhash64("id")).select("id", "toxic")
     # at most 2 * per_label ids; an id that several rows have gives its first row by hash
     found = (
         texts.join(F.broadcast(picked), "id")
