@@ -1,19 +1,20 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 Texts are bags of hashed character n-grams across word starts. The index keeps the n-grams that tell the
-labels apart in the examples (chi-square at least ``LEAST_CHI2``, the ``MOST_TERMS`` highest at most);
-their inverse document frequencies are counted over all documents. Cosine is exact over these terms.
+labels apart in the examples (a corrected chi-square that is high enough, the ``MOST_TERMS`` highest at
+most); their inverse document frequencies are counted over all documents. Cosine is exact over these terms.
 
 The examples lie in a block-max inverted index: postings (term, block) -> (example, weight), with the
 largest weight of every term in every block. A text's dot product with the block maxima bounds its
 cosine with any example of a block. Blocks of the highest bounds are scored first; then only those
 whose bound reaches the k-th best cosine so far. The k best, ties by example number, are therefore those
 of a full scan. They vote with weight 1 / (distance + ``NEAR``), times how many labelled rows of its
-label an example stands for. A logistic curve, fitted on sample rows outside the index, turns votes
-into calibrated scores. Evidence is the nearest examples' ids, cosines and labels.
+label an example stands for. A logistic curve turns votes into calibrated scores; it is fitted on votes
+for each of ``FOLDS`` parts of the examples by an index, with terms of its own, of the other parts.
+Evidence is the nearest examples' ids, cosines and labels.
 
 The examples are a bounded sample: for each label the ``SAMPLE_PER_LABEL`` learnable labelled rows that
-come first by a hash of their id. Every fifth one calibrates. Nothing else is bounded.
+come first by a hash of their id. Nothing else is bounded.
 
 Defined cases: a null text is the empty text; a text without an index term gets the share of toxic rows
 among the examples without one; without any labelled row every score is 0, with labels of one kind the
@@ -24,6 +25,7 @@ counts; repeated rows score alike; extra columns are kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -33,24 +35,33 @@ from pyspark.sql import functions as F
 from workpulse.llm.common import cut, first_by_hash, held_out, text_or_empty
 from workpulse.llm.grams import hashed_grams
 
-GRAMS = (5,)
+GRAMS = (4, 5)
 BITS = 20
-SAMPLE_PER_LABEL = 2500
-LEAST_CHI2 = 12.0
+SAMPLE_PER_LABEL = 1000
+#: A term's chi-square must be LEAST_CHI2 and LEAST_EFFECT times the number of examples.
+LEAST_CHI2 = 8.0
+LEAST_EFFECT = 0.006
 MOST_TERMS = 8192
+FOLDS = 5
 BLOCK = 64
 FIRST_BLOCKS = 4
-NEIGHBOURS = 15
+NEIGHBOURS = 7
 NEAR = 0.05
 THRESHOLD = 0.7
 
 
 def chi_square(with_toxic: np.ndarray, with_clean: np.ndarray, toxic: int, clean: int) -> np.ndarray:
-    """Chi-square of the 2 x 2 table (has the term, is toxic) for every term."""
+    """Chi-square, corrected for continuity, of the 2 x 2 table (has the term, is toxic) for every term."""
     having, rows = with_toxic + with_clean, toxic + clean
-    difference = with_toxic * (clean - with_clean) - with_clean * (toxic - with_toxic)
+    difference = np.abs(with_toxic * (clean - with_clean) - with_clean * (toxic - with_toxic)) - rows / 2
     scale = having * (rows - having) * float(toxic) * float(clean)
-    return np.where(scale > 0, rows * difference.astype(float) ** 2 / np.maximum(scale, 1), 0.0)
+    return np.where(scale > 0, rows * np.maximum(difference, 0.0) ** 2 / np.maximum(scale, 1), 0.0)
+
+
+def best_terms(chi: np.ndarray, rows: int) -> np.ndarray:
+    """Places of the terms that tell the labels of so many rows apart, ascending."""
+    order = np.argsort(-chi, kind="stable")[:MOST_TERMS]
+    return np.sort(order[chi[order] >= max(LEAST_CHI2, LEAST_EFFECT * rows)])
 
 
 class Index:
@@ -126,6 +137,24 @@ class Index:
         return self.number[best], scores[best]
 
 
+@dataclass
+class Example:
+    """A labelled row: its index terms, as ascending places, and how often they occur."""
+
+    id: str
+    toxic: int
+    fold: int
+    found: np.ndarray
+    counts: np.ndarray
+
+    def narrowed(self, places: np.ndarray, size: int) -> Example:
+        """With only the terms at ``places`` left, numbered anew."""
+        number = np.full(size, -1, dtype=np.int64)
+        number[places] = np.arange(len(places))
+        found = number[self.found]
+        return Example(self.id, self.toxic, self.fold, found[found >= 0], self.counts[found >= 0])
+
+
 class Model:
     """An index, the rows that an example of each label stands for, and the calibration."""
 
@@ -177,7 +206,7 @@ class Model:
         self.slope, self.offset = max(float(beta[0]), 0.0), float(beta[1])
 
 
-SAMPLE = "id string, toxic int, place long, found array<int>, counts array<int>"
+SAMPLE = "id string, toxic int, place long, fold int, found array<int>, counts array<int>"
 
 
 def _term_arrays(rows: DataFrame) -> DataFrame:
@@ -186,7 +215,7 @@ def _term_arrays(rows: DataFrame) -> DataFrame:
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             pairs = [np.unique(hashed_grams(t, GRAMS, BITS), return_counts=True) for t in batch["text"]]
-            kept = batch[["id", "toxic", "place"]].copy()
+            kept = batch[["id", "toxic", "place", "fold"]].copy()
             kept["found"] = [f.astype(np.int32) for f, _ in pairs]
             kept["counts"] = [c.astype(np.int32) for _, c in pairs]
             yield kept
@@ -210,21 +239,41 @@ def rows_of_terms(sample: DataFrame, slot: np.ndarray) -> DataFrame:
     return sample.mapInPandas(of, SAMPLE)
 
 
-def _choose_terms(sample: DataFrame) -> np.ndarray:
-    """The terms of the index: counted per label in a shuffle by term, the best by chi-square."""
-    by_label = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    toxic, clean = by_label.get(1, 0), by_label.get(0, 0)
-    counted = sample.select("toxic", F.explode("found").alias("term")).groupBy("term").agg(
-        F.sum(F.col("toxic")).alias("a"), F.sum(1 - F.col("toxic")).alias("b")
+def _choose_terms(sample: DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The terms that any index needs, and the places among them that each index takes.
+
+    The first index is of all rows, the others leave out one fold each. Terms are counted per label and
+    fold in a shuffle by term; only those that may be taken come to the driver.
+    """
+    cells = [(label, fold) for label in (0, 1) for fold in range(FOLDS)]
+    mine = [(F.col("toxic") == label) & (F.col("fold") == fold) for label, fold in cells]
+    totals = sample.agg(*(F.count(F.when(c, 1)).alias(f"n{i}") for i, c in enumerate(mine))).first()
+    rows = np.array(list(totals), dtype=np.int64).reshape(2, FOLDS)
+    counted = (
+        sample.select("toxic", "fold", F.explode("found").alias("term"))
+        .groupBy("term")
+        .agg(*(F.count(F.when(c, 1)).alias(f"n{i}") for i, c in enumerate(mine)))
     )
 
+    def squares(counts: np.ndarray) -> list[np.ndarray]:
+        """From (terms, 2, FOLDS) the chi-squares over all rows, then without each fold."""
+        kept = [list(range(FOLDS)), *([k for k in range(FOLDS) if k != fold] for fold in range(FOLDS))]
+        return [
+            chi_square(counts[:, 1][:, k].sum(1), counts[:, 0][:, k].sum(1), int(rows[1, k].sum()), int(rows[0, k].sum()))
+            for k in kept
+        ]
+
+    names = [f"n{i}" for i in range(2 * FOLDS)]
+
     @F.pandas_udf("double")
-    def chi(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(chi_square(a.to_numpy(dtype=np.int64), b.to_numpy(dtype=np.int64), toxic, clean))
+    def highest(counts: pd.DataFrame) -> pd.Series:
+        return pd.Series(np.max(squares(counts.to_numpy(dtype=np.int64).reshape(-1, 2, FOLDS)), axis=0))
 
-    best = counted.withColumn("chi", chi("a", "b")).where(F.col("chi") >= LEAST_CHI2)
-    rows = best.orderBy(F.col("chi").desc(), "term").limit(MOST_TERMS).select("term").collect()
-    return np.array(sorted(r["term"] for r in rows), dtype=np.int64)
+    best = counted.withColumn("chi", highest(F.struct(*names))).where(F.col("chi") >= LEAST_CHI2)
+    found = best.orderBy(F.col("chi").desc(), "term").limit((FOLDS + 1) * MOST_TERMS).drop("chi").toPandas()
+    found = found.sort_values("term")
+    counts = found[names].to_numpy(dtype=np.int64).reshape(-1, 2, FOLDS)
+    return found["term"].to_numpy(dtype=np.int64), [best_terms(chi, int(rows.sum())) for chi in squares(counts)]
 
 
 def _term_frequencies(texts: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -273,39 +322,48 @@ def fit(
         texts.join(F.broadcast(picked), "id")
         .groupBy("id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
         .withColumn("place", F.xxhash64("id"))
+        .withColumn("fold", F.pmod("place", F.lit(FOLDS)).cast("int"))
     )
     sample = cut(_term_arrays(found.withColumn("id", F.col("id").cast("string"))))
-    terms = _choose_terms(sample)
-    if not len(terms):
+    terms, taken = _choose_terms(sample)
+    if not len(taken[0]):
         return Model(None, share, share, (1.0, 1.0))
     frequencies, rows = _term_frequencies(texts.select("text"), terms)
     idf = np.log((1.0 + rows) / (1.0 + frequencies)) + 1.0
     slot = np.full(1 << BITS, -1, dtype=np.int64)
     slot[terms] = np.arange(len(terms))
     # only the index terms of the bounded sample come to the driver
-    kept = rows_of_terms(sample, slot)
-    data = []
-    for row in kept.orderBy("place", "id").collect():
-        data.append((row["id"], row["toxic"], np.array(row["found"], dtype=np.int64), np.array(row["counts"], dtype=np.int64)))
-    teach = [x for i, x in enumerate(data) if i % 5 != 4]
-    check = data[4::5]
-    marks_of = np.array([x[1] for x in teach])
+    data = [
+        Example(r["id"], r["toxic"], r["fold"], np.array(r["found"], dtype=np.int64), np.array(r["counts"], dtype=np.int64))
+        for r in rows_of_terms(sample, slot).orderBy("place", "id").collect()
+    ]
     # labelled rows that an example stands for, 1 on average
-    worth = tuple(totals[k] / max(1, sum(x[1] == k for x in data)) for k in (0, 1))
-    mean = sum(worth[x[1]] for x in data) / max(1, len(data))
+    worth = tuple(totals[k] / max(1, sum(x.toxic == k for x in data)) for k in (0, 1))
+    mean = sum(worth[x.toxic] for x in data) / max(1, len(data))
     worth = (worth[0] / mean, worth[1] / mean)
-    lone = [x[1] for x in data if not len(x[2])]
-    lone_toxic, lone_clean = worth[1] * sum(lone), worth[0] * (len(lone) - sum(lone))
-    lone_share = (lone_toxic + worth[0] * share) / (lone_toxic + lone_clean + worth[0])
-    index = Index(terms, idf, [(f, c) for _, _, f, c in teach], [x[0] for x in teach], marks_of)
-    model = Model(index, share, lone_share, worth)
+
+    def model_of(examples: list[Example], places: np.ndarray) -> Model:
+        narrowed = [x.narrowed(places, len(terms)) for x in examples]
+        lone = [x.toxic for x in narrowed if not len(x.found)]
+        lone_toxic, lone_clean = worth[1] * sum(lone), worth[0] * (len(lone) - sum(lone))
+        lone_share = (lone_toxic + worth[0] * share) / (lone_toxic + lone_clean + worth[0])
+        index = Index(
+            terms[places], idf[places], [(x.found, x.counts) for x in narrowed], [x.id for x in narrowed],
+            np.array([x.toxic for x in narrowed]),
+        )
+        return Model(index, share, lone_share, worth)
+
     votes, truth, weights = [], [], []
-    for _, label, f, c in check:
-        odds = model.vote(f, c)[0]
-        if odds is not None:
-            votes.append(odds)
-            truth.append(label)
-            weights.append(worth[label])
+    for fold in range(FOLDS):
+        places = taken[fold + 1]
+        other = model_of([x for x in data if x.fold != fold], places)
+        for x in (x.narrowed(places, len(terms)) for x in data if x.fold == fold):
+            odds = other.vote(x.found, x.counts)[0]
+            if odds is not None:
+                votes.append(odds)
+                truth.append(x.toxic)
+                weights.append(worth[x.toxic])
+    model = model_of(data, taken[0])
     if votes:
         model.calibrate(np.array(votes), np.array(truth), np.array(weights))
     return model
