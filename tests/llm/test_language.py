@@ -1,0 +1,73 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from workpulse.llm import language as L
+from workpulse.llm.grams import hashed_grams, letter_codes
+from workpulse.llm.queries import QUERIES
+
+
+def is_held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 3 == 1
+
+
+def test_grams():
+    assert "".join(map(chr, letter_codes("Ab, 1c!É"))) == " ab c é "
+    assert len(hashed_grams("ab", (1, 2, 3), 15)) == 4 + 3 + 2
+    assert len(hashed_grams("", (1, 2, 3), 15)) == 0 and len(hashed_grams(" 12 ", (1, 2), 15)) == 0
+    same, other = hashed_grams("Hello  world", (3,), 15), hashed_grams("hello, WORLD", (3,), 15)
+    assert same.tolist() == other.tolist()
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op4_language"](spark, sf).collect()
+    assert len(rows) == len(truth)
+    assert all(r["held_out"] == is_held_out(r["doc_id"]) and 0 <= r["score"] <= 1 for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(truth[r["doc_id"]] == r["lang_pred"] for r in held) / len(held) > 0.98
+
+
+def test_weights_are_sparse_and_calibrated():
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(400):
+        label = i % 2
+        found = np.unique(np.r_[rng.integers(100, 2000, 20), label, rng.integers(0, 2, 1)])
+        rows.append((found, np.full(len(found), 1 / np.sqrt(len(found))), label))
+    weights, bias = L.follow_the_leader(rows, 2, epochs=3)
+    assert weights[0, 0] > 0 > weights[0, 1] and (weights == 0).mean() > 0.9
+    scores = np.array([x @ weights[f] + bias for f, x, _ in rows])
+    labels = np.array([y for _, _, y in rows])
+    temperature = L.fit_temperature(scores, labels)
+    losses = [L.log_loss(scores, labels, t) for t in (temperature * 0.9, temperature, temperature * 1.1)]
+    assert temperature <= 0.2501 or losses[1] <= min(losses) + 1e-6
+
+
+def test_undetermined_and_awkward_tables(spark, awkward, empty):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and dog", "en"), ("le chat et la", "fr")] * 20)]
+    model = L.fit(spark.createDataFrame(rows, "id long, text string, lang string"))
+    got = {r["text"]: r["language"] for r in L.predict(awkward, model).collect()}
+    assert got[None]["lang"] == got[""]["lang"] == got[" \n\t "]["lang"] == "und" and got[None]["score"] == 0
+    assert got["one"]["lang"] in ("en", "fr")
+    assert L.predict(empty, model).count() == 0
+    none = L.fit(empty.selectExpr("doc_id as id", "text", "lang"))
+    assert none.predict("any text") == ("und", 0.0)
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        L.fit(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id long, text string, lang string"))
+
+
+def test_document_frequencies(spark):
+    texts = ["abc abc", "abd", "", "xyz abc"]
+    counts = L.document_frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    want = np.zeros((1 << L.BITS) + 1, dtype=np.int64)
+    for t in texts:
+        want[np.unique(hashed_grams(t, L.GRAMS, L.BITS))] += 1
+    want[-1] = len(texts)
+    assert counts.tolist() == want.tolist()

@@ -1,0 +1,107 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from workpulse.llm import mixing as M
+from workpulse.llm.queries import QUERIES
+
+
+def slow_targets(sizes):
+    """Share, stop at three times the size, share the excess again, until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    total, target, open_ = sum(sizes.values()), dict.fromkeys(names, 0.0), set(names)
+    left = float(total)
+    while open_ and left > 1e-9 * max(1, total):
+        share = left / sum(weights[s] for s in open_)
+        left = 0.0
+        for s in list(open_):
+            target[s] += share * weights[s]
+            if target[s] >= 3 * sizes[s]:
+                left += target[s] - 3 * sizes[s]
+                target[s] = 3 * sizes[s]
+                open_.discard(s)
+    return target
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(1500):
+        source = rng.choices(["b", "a", "é", None, "tiny", "zero"], [50, 20, 10, 10, 0.5, 1])[0]
+        words = 0 if source == "zero" else rng.choice([0, 1, 5, 40, 300])
+        rows.append((i, " w" * words if words else rng.choice([None, "", " \n"]), source))
+    return spark.createDataFrame(rows, "doc_id long, text string, source string").cache()
+
+
+def test_targets_and_taken(docs):
+    rows = M.mix(docs, block_docs=200).join(docs.select("doc_id", "source"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    sizes, taken, most = {}, {}, {}
+    for r in rows:
+        assert r["size"] == len((texts[r["doc_id"]] or "").split())
+        assert r["taken"] == r["copies"] * r["size"] <= 3 * r["size"]
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["size"]
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    want = slow_targets(sizes)
+    for r in rows:
+        assert r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(want[r["source"]], abs=1e-6)
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= max(2.0, 0.02 * want[s]), (s, taken[s], want[s])
+
+
+def test_rates_are_tilted_and_meet_the_constraint(docs):
+    rows = [r for r in M.mix(docs).join(docs.select("doc_id", "source"), "doc_id").collect() if r["size"]]
+    by_source = {}
+    for r in rows:
+        by_source.setdefault(r["source"], []).append(r)
+    for own in by_source.values():
+        total = sum(r["rate"] * r["size"] for r in own)
+        assert total == pytest.approx(own[0]["target"], rel=1e-5)
+        if own[0]["target"] < 2.99 * own[0]["source_size"]:
+            mean = sum(r["size"] for r in own) / len(own)
+            # log(rate / (3 - rate)) is linear in the size: one multiplier for a source
+            slopes = {(math.log(r["rate"] / (3 - r["rate"])) + math.log(2)) / (r["size"] / mean) for r in own}
+            assert max(slopes) - min(slopes) < 1e-6 * max(1, abs(max(slopes)))
+
+
+def test_reruns_agree(docs):
+    a, b = (sorted(M.mix(d).select("doc_id", "copies").collect()) for d in (docs, docs.repartition(7)))
+    assert a == b
+
+
+def test_mixed_documents(docs):
+    twice = docs.unionByName(docs.where("doc_id < 50")).withColumn("copy", F.lit("old"))
+    got = M.mixed_documents(twice)
+    assert got.columns == ["doc_id", "text", "source", "copy"]
+    copies = {}
+    for r in got.collect():
+        copies.setdefault(r["doc_id"], []).append(r["copy"])
+    assert all(sorted(c) == list(range(1, len(c) + 1)) for c in copies.values())
+    assert all(len(c) <= (6 if i < 50 else 3) for i, c in copies.items())
+
+
+def test_query_on_the_given_tables(spark):
+    rows = QUERIES["op5_mixing"](spark, "/root/testdata/sf0.01").collect()
+    sources = {r["doc_id"]: r["source"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    taken, target = {}, {}
+    for r in rows:
+        s = sources[r["doc_id"]]
+        taken[s] = taken.get(s, 0) + r["taken"]
+        target[s] = r["target"]
+    assert sum(target.values()) == pytest.approx(sum(r["size"] for r in rows))
+    assert all(abs(taken[s] - target[s]) < 0.01 * target[s] for s in target)
+
+
+def test_awkward_tables(awkward, empty):
+    assert M.mix(awkward).count() == awkward.count()
+    assert M.mix(empty).count() == 0
+    assert M.mixed_documents(empty).count() == 0
+    got = M.mixed_documents(awkward)
+    assert set(got.columns) == set(awkward.columns)
+    assert got.count() > 0

@@ -1,0 +1,92 @@
+import bisect
+import hashlib
+import re
+
+from pyspark.sql import functions as F
+
+from workpulse.llm import spotsigs as S
+from workpulse.llm.queries import QUERIES
+
+
+def slow_signatures(text, chain=2):
+    words = re.sub(r"[^\w]+", " ", (text or "").lower()).split()
+    content = [i for i, w in enumerate(words) if w not in S.ANCHORS]
+    found = set()
+    for i, word in enumerate(words):
+        k = bisect.bisect(content, i)
+        if word in S.ANCHORS and k + chain <= len(content):
+            found.add((word, *(words[j] for j in content[k : k + chain])))
+    return found or {tuple(words)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+TEXTS = [
+    "", None, "the", "the of", "x y z", "the cat and the dog of a house in town", "The CAT, and the dog of a house in town!",
+    "the " * 3000 + "end", "a b " * 2000 + "c d", "und der Hund, die Katze und ein Haus é", "1 2 the 3_4 5",
+]
+
+
+def test_signatures(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    got = {r["id"]: r["hashes"] for r in S.fingerprints(docs).collect()}
+    assert {i: len(h) for i, h in got.items()} == {i: len(slow_signatures(t)) for i, t in enumerate(TEXTS)}
+    assert got[5] == got[6] and got[5] != got[9] and all(h == sorted(h) for h in got.values())
+
+
+def test_likeness_to_edits(spark):
+    rows = list(enumerate(TEXTS))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in S.likeness_to_edits(docs).collect()}
+    order = sorted(rows, reverse=True)
+    for place, (i, text) in enumerate(order):
+        text, after = text or "", order[(place + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        assert got[i]["n_chars"] == len(text)
+        assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        own = slow_signatures(text)
+        assert abs(got[i]["near_edited"] - jaccard(own, slow_signatures(edited))) < 1e-6
+        assert abs(got[i]["near_next"] - jaccard(own, slow_signatures(after))) < 1e-6
+        assert len(got[i]["fingerprint"].split()) == len(own)
+
+
+def test_query_reads_every_document(spark):
+    rows = QUERIES["op3_fingerprints"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
+
+
+def test_near_pairs_match_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    near = docs.where("doc_id < 40").select(
+        (F.col("doc_id") + 10_000).alias("doc_id"), F.concat("text", F.lit(" and the new tail of this text")).alias("text")
+    )
+    docs = docs.select("doc_id", "text").unionByName(near)
+    pairs, members = S.near_pairs(S.fingerprints(docs))
+    own = {r["doc_id"]: frozenset(slow_signatures(r["text"])) for r in docs.collect()}
+    first = {}
+    for i in sorted(own):
+        first.setdefault(own[i], i)
+    assert {(r["id"], r["class"]) for r in members.collect()} == {(i, first[s]) for i, s in own.items()}
+    sets = sorted((i, s) for s, i in first.items())
+    want = {(i, j) for k, (j, b) in enumerate(sets) for i, a in sets[:k] if jaccard(a, b) >= 0.8}
+    assert want and {(r["a"], r["b"]) for r in pairs.collect()} == want
+
+
+def test_partitions_two_apart_are_hopeless(spark):
+    got = dict(spark.range(1, 3000).select("id", S.length_partition(F.col("id"))).collect())
+    for n in range(1, 3000):
+        most = int(n / 0.8)
+        assert got[min(most, 2999)] - got[n] <= 1
+
+
+def test_awkward_tables(spark, awkward, empty):
+    got = S.likeness_to_edits(awkward).collect()
+    assert len(got) == awkward.count()
+    assert S.likeness_to_edits(empty).count() == 0
+    one = spark.createDataFrame([(7, "the only text of a table here")], "doc_id long, text string")
+    row = S.likeness_to_edits(one).first()
+    assert row["near_next"] == 1.0 and row["n_chars"] == 29
