@@ -219,7 +219,7 @@ def _hits_with(sent: Broadcast, kind: str):
     @F.pandas_udf(HITS.format(kind=kind))
     def of(texts: pd.Series) -> pd.Series:
         known = sent.value
-        return pd.Series([known.hits(t) for t in texts])
+        return pd.Series([known.hits(t) for t in texts], dtype="object")
 
     return of
 

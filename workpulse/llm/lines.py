@@ -164,8 +164,8 @@ def _frame(rows: list) -> pd.DataFrame:
     rows = [r for r in rows if r is not None]
     return pd.DataFrame({
         "id": pd.Series([r[0] for r in rows], dtype="object"), "hash": pd.Series([r[1] for r in rows], dtype="int64"),
-        "blocks": [[{"first": a, "last": b} for a, b in r[2]] for r in rows],
-        "words": pd.Series([r[3] for r in rows], dtype="int64"), "holders": [r[4] for r in rows],
+        "blocks": pd.Series([[{"first": a, "last": b} for a, b in r[2]] for r in rows], dtype="object"),
+        "words": pd.Series([r[3] for r in rows], dtype="int64"), "holders": pd.Series([r[4] for r in rows], dtype="object"),
     })
 
 

@@ -379,7 +379,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         rows = [known.score(t) for t in texts]
         return pd.DataFrame({
             "score": [s for s, _ in rows], "predicted": [int(s >= THRESHOLD) for s, _ in rows],
-            "evidence": [[{"id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in rows],
+            "evidence": pd.Series([[{"id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in rows], dtype="object"),
         })
 
     return docs.withColumn("toxicity", of(text_or_empty(docs[text])))
