@@ -1,0 +1,84 @@
+import random
+
+from workpulse.llm import lines as L
+from workpulse.llm.queries import QUERIES
+
+LONG = "this passage of more than ten words stands on a line of its own"
+SHORT = "two words"
+
+
+def run(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r["doc_id"]: r for r in L.dedup_lines(docs).select("_row.doc_id", "text", "blocks", "words", "holders").collect()}
+
+
+def test_later_documents_lose_the_block(spark):
+    got = run(spark, [(3, f"own three\n{LONG}\nend"), (1, f"start\n  {LONG} \nrest"), (2, f"{LONG}\n\n{SHORT}\nlast"), (4, "nothing shared here")])
+    assert got[1]["text"] == f"start\n  {LONG} \nrest" and got[1]["blocks"] is None
+    assert got[2]["text"] == f"\n{SHORT}\nlast" and got[2]["holders"] == [1]
+    assert got[3]["text"] == "own three\nend" and got[3]["words"] == 14
+    assert got[4]["text"] == "nothing shared here"
+
+
+def test_short_lines_go_only_within_a_block(spark):
+    got = run(spark, [(1, f"{SHORT}\n{LONG}\nyes"), (2, f"{SHORT}\nother\n{SHORT}\n{LONG}\nyes\nno"), (3, f"{SHORT}\nmine")])
+    # the second 'two words' of document 2 is its own: document 1 has the line once
+    assert got[2]["text"] == f"{SHORT}\nother\n{SHORT}\nno"
+    assert got[3]["text"] == f"{SHORT}\nmine"
+
+
+def test_moved_passages_and_exact_copies(spark):
+    a, b, c = (f"line {x} with quite a number of different words in it" for x in "abc")
+    got = run(spark, [(1, "\n".join([a, b, c])), (2, "\n".join([c, a, b])), (5, "\n".join([a, b, c]))])
+    assert got[2]["text"] == "" and got[5]["text"] == ""
+
+
+def test_longest_ascent():
+    rng = random.Random(4)
+    for _ in range(200):
+        values = rng.sample(range(30), rng.randrange(0, 9))
+        best = 0
+        for mask in range(1 << len(values)):
+            picked = [v for i, v in enumerate(values) if mask >> i & 1]
+            if picked == sorted(picked):
+                best = max(best, len(picked))
+        found = [values[i] for i in L.longest_ascent(values)]
+        assert len(found) == best and found == sorted(found)
+
+
+def test_against_first_holders(spark):
+    """Long lines that an earlier document has are gone, and no document loses a line that it has first."""
+    rng = random.Random(6)
+    pool = [f"{'word%d ' % i * 9}tail" for i in range(30)] + ["tiny", "also tiny", ""]
+    docs = [(i, "\n".join(dict.fromkeys(rng.choice(pool) for _ in range(rng.randrange(0, 12))))) for i in range(150)]
+    got = run(spark, docs)
+    first = {}
+    for i, text in docs:
+        for line in text.split("\n"):
+            first.setdefault(line, i)
+    for i, text in docs:
+        kept = got[i]["text"].split("\n")
+        for line in text.split("\n"):
+            if len(line.split()) >= L.BLOCK_WORDS:
+                assert (line in kept) == (first[line] == i)
+
+
+def test_hot_line(spark):
+    """A line in every document makes one pair for each of them."""
+    docs = [(i, f"{LONG}\nown line of document {i}") for i in range(3000)]
+    got = run(spark, docs)
+    assert got[0]["text"].startswith(LONG)
+    assert all(got[i]["text"] == f"own line of document {i}" and got[i]["holders"] == [0] for i in range(1, 3000))
+
+
+def test_query_and_awkward_tables(spark, awkward, empty):
+    sf = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op8_lines"](spark, sf).collect()
+    assert {r["doc_id"] for r in rows} == set(docs)
+    assert all((r["lines_deleted"] == 0) == (r["text"] == docs[r["doc_id"]]) for r in rows)
+    got = L.documents_without_repeats(awkward)
+    assert got.columns == awkward.columns and got.count() == awkward.count()
+    texts = {r["doc_id"]: r["text"] for r in got.collect() if r["doc_id"] is not None}
+    assert texts[0] is None and texts[1] == "" and texts[6] == "word " * 6_000
+    assert L.documents_without_repeats(empty).count() == 0
