@@ -18,7 +18,7 @@ from workpulse.operators.apps import app_productivity  # noqa: E402
 from workpulse.operators.daily import daily_user_metrics  # noqa: E402
 from workpulse.operators.user_activity import user_activity_metrics  # noqa: E402
 from workpulse.plans.catalog import AS_OF, LOOKBACK_DAYS, enriched  # noqa: E402
-from workpulse.session import ensure_checkpoint_dir, get_spark  # noqa: E402
+from workpulse.session import get_spark  # noqa: E402
 from workpulse.sources import publish_table  # noqa: E402
 
 
@@ -37,7 +37,6 @@ def plan(df) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark(master="local[8]", shuffle_partitions=16)
-    ensure_checkpoint_dir(spark)
     out = tempfile.mkdtemp(prefix="wp-plans-", dir="/tmp")
     publish_table(enriched(spark, sf_dir), f"{out}/staging_enriched_sessions", "staging_enriched_sessions")
     e = spark.read.parquet(f"{out}/staging_enriched_sessions")

@@ -8,12 +8,11 @@ sys.path.insert(0, ".")
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from tests.oracle_compare import compare, duck  # noqa: E402
-from workpulse.session import ensure_checkpoint_dir, get_spark  # noqa: E402
+from workpulse.session import get_spark  # noqa: E402
 
 sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:] or list(queries())
 spark = get_spark(master="local[8]", shuffle_partitions=8)
-ensure_checkpoint_dir(spark)
 con = duck(sf_dir)
 bad = 0
 for name in names:

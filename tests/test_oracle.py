@@ -7,8 +7,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle_compare import compare, duck
+from workpulse.plans.catalog import QUERIES
+from workpulse.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,12 +21,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, queries()[name], oracle_sql()[name], SF, con)
+    res = compare(spark, QUERIES[name], ORACLE[name], SF, con)
     assert res["columns_match"], res
     assert res["types_match"], res
     assert res["spark_rows"] == res["oracle_rows"], res
@@ -40,15 +42,15 @@ def test_entry_smoke(spark):
 def test_folder_may_be_a_path_object(spark):
     import pathlib
 
-    df = queries()["session_quality"](spark, pathlib.Path(SF))
+    df = QUERIES["session_quality"](spark, pathlib.Path(SF))
     assert df.count() > 0
 
 
 @pytest.mark.skipif(os.environ.get("WORKPULSE_SLOW") != "1", reason="set WORKPULSE_SLOW=1 to run at sf0.1")
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle_at_sf01(spark, name):
     """Same check at sf0.1, where Spark picks different physical plans (sort-merge joins)."""
-    res = compare(spark, queries()[name], oracle_sql()[name], "/root/testdata/sf0.1", _sf01_con())
+    res = compare(spark, QUERIES[name], ORACLE[name], "/root/testdata/sf0.1", _sf01_con())
     assert res["columns_match"] and res["types_match"], res
     assert res["spark_rows"] == res["oracle_rows"] and res["values_match"], res
 

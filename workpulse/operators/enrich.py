@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from workpulse.functions.dates import end_timestamp, is_weekend
 from workpulse.functions.flags import flag
-from workpulse.functions.rounding import idiv, to_double, units
+from workpulse.functions.rounding import round_units, to_double, units
 
 # Thresholds of the quality flags (minutes, minutes, idle share).
 MIN_MINUTES = 1
@@ -35,15 +35,15 @@ def session_measures(sessions: DataFrame) -> DataFrame:
 
     With ``d`` = duration in hundredths of a minute and ``a`` = activity in hundredths of a percent:
     duration_hours = d/6000, active_hours = d*a/6e7, idle_hours = d*(100-a%)/6e7, each rounded half
-    up to 2 places on integers; idle_ratio_pct = 100 - activity (exact).
+    away from zero to 2 places on integers, negative values too; idle_ratio_pct = 100 - activity (exact).
     """
     d = units("duration_minutes")
     a = units("activity_percentage")
     return sessions.withColumns({
         "end_timestamp": end_timestamp("start_timestamp", "duration_minutes"),
-        "duration_hours": to_double(idiv(d + 30, 60)),
-        "active_hours": to_double(idiv(d * a + 300_000, 600_000)),
-        "idle_hours": to_double(idiv(d * (10_000 - a) + 300_000, 600_000)),
+        "duration_hours": to_double(round_units(d, F.lit(60))),
+        "active_hours": to_double(round_units(d * a, F.lit(600_000))),
+        "idle_hours": to_double(round_units(d * (10_000 - a), F.lit(600_000))),
         "idle_ratio_pct": to_double(10_000 - a),
     })
 
@@ -65,44 +65,75 @@ def session_flags(sessions: DataFrame) -> DataFrame:
     })
 
 
-def _dim(df: DataFrame, key: str, renames: dict[str, str], broadcast: bool) -> DataFrame:
-    out = df.select(key, *[F.col(src).alias(dst) for src, dst in renames.items()])
-    return F.broadcast(out) if broadcast else out
+DIMENSIONS = {
+    "users": ("user_id", {
+        "email": "email", "first_name": "first_name", "last_name": "last_name", "role": "role",
+        "department": "department", "status": "user_status"}),
+    "accounts": ("account_id", {
+        "company_name": "company_name", "industry": "industry",
+        "subscription_tier": "subscription_tier", "company_size": "company_size"}),
+    "apps": ("app_id", {
+        "app_name": "app_name", "category": "app_category",
+        "productivity_classification": "productivity_classification"}),
+    "projects": ("project_id", {
+        "project_name": "project_name", "status": "project_status",
+        "budgeted_hours": "project_budget_hours"}),
+}
+# Tasks over which the sessions without a key are spread in a shuffle join.
+SPREAD = 1021
+
+
+def _join_dimension(
+    fact: DataFrame, dim: DataFrame, key: str, renames: dict[str, str], broadcast: bool, spread: bool
+) -> DataFrame:
+    out = dim.select(F.col(key).alias("_key"), *[F.col(src).alias(dst) for src, dst in renames.items()])
+    if broadcast:
+        out = F.broadcast(out)
+        spread = False
+    if not spread:
+        return fact.join(out, fact[key] == F.col("_key"), "left").drop("_key")
+    # rows without a key match nothing: a second key, never that of a dimension row, deals them out
+    none = F.when(F.col(key).isNull(), F.pmod(F.xxhash64("session_id"), F.lit(SPREAD)).cast("int") + 1)
+    fact = fact.withColumn("_none", none.otherwise(0))
+    # not a literal: the optimizer would fold that into a filter, and the key would be gone
+    out = out.withColumn("_spread", F.col("_key").isNull().cast("int"))
+    matched = (fact[key] == F.col("_key")) & (F.col("_none") == F.col("_spread"))
+    return fact.join(out, matched, "left").drop("_key", "_none", "_spread")
 
 
 def enrich_sessions(
     sessions: DataFrame,
-    users: DataFrame,
-    accounts: DataFrame,
-    apps: DataFrame,
-    projects: DataFrame,
+    users: DataFrame | None = None,
+    accounts: DataFrame | None = None,
+    apps: DataFrame | None = None,
+    projects: DataFrame | None = None,
     broadcast: Iterable[str] = (),
+    spread_missing: bool = True,
 ) -> DataFrame:
     """Join each session to its user, account, application and project, add measures and flags.
 
-    All four joins are LEFT joins: an unmatched or NULL key keeps the session with NULL attributes.
+    All joins are LEFT joins: an unmatched or NULL key keeps the session with NULL attributes.
     The account is the session's own ``account_id``. Duplicated dimension keys fan out, as any
     relational join does. ``broadcast`` names the dimensions known to be small and bounded
     (e.g. ``{"accounts", "apps"}``); the others are left to Catalyst's size-checked choice
     between a broadcast and a shuffle join.
+
+    A dimension that is not given is not joined: a query passes only those that it reads. Of its
+    columns the result has those that the sessions already carry. (A LEFT join that may fan out is
+    never removed by the optimizer, even if nothing reads its columns.)
+
+    Sessions without a user or project would meet in one task of a shuffle join; they are dealt out
+    by a second join key. ``spread_missing=False`` leaves that out, for tables that are bucketed by
+    the plain key.
     """
     b = set(broadcast)
-    u = _dim(users, "user_id", {
-        "email": "email", "first_name": "first_name", "last_name": "last_name", "role": "role",
-        "department": "department", "status": "user_status"}, "users" in b)
-    a = _dim(accounts, "account_id", {
-        "company_name": "company_name", "industry": "industry",
-        "subscription_tier": "subscription_tier", "company_size": "company_size"}, "accounts" in b)
-    ap = _dim(apps, "app_id", {
-        "app_name": "app_name", "category": "app_category",
-        "productivity_classification": "productivity_classification"}, "apps" in b)
-    p = _dim(projects, "project_id", {
-        "project_name": "project_name", "status": "project_status",
-        "budgeted_hours": "project_budget_hours"}, "projects" in b)
-    joined = (
-        sessions.join(u, "user_id", "left")
-        .join(a, "account_id", "left")
-        .join(ap, "app_id", "left")
-        .join(p, "project_id", "left")
-    )
-    return session_flags(session_measures(joined)).select(*ENRICHED_COLUMNS)
+    out = sessions
+    given = {"users": users, "accounts": accounts, "apps": apps, "projects": projects}
+    for name, dim in given.items():
+        key, renames = DIMENSIONS[name]
+        if dim is not None:
+            out = _join_dimension(out, dim, key, renames, name in b, spread_missing)
+    if users is None and "status" in out.columns:
+        out = out.withColumnRenamed("status", "user_status")
+    out = session_flags(session_measures(out))
+    return out.select(*[c for c in ENRICHED_COLUMNS if c in out.columns])

@@ -73,28 +73,28 @@ def engagement_distribution(daily: DataFrame, users: DataFrame, as_of=None) -> D
 def weekly_retention_rate(retention: DataFrame, as_of=None, max_weeks: int = 12) -> DataFrame:
     """(weeks_since_cohort, cohorts, cohort_users, retained_users, retention_rate_pct).
 
-    Each cohort contributes its size to the denominators of the week numbers it has reached: an
-    explode over at most ``max_weeks + 1`` numbers per cohort, then a group-by.
+    One pass over the cells: a cohort's week-0 cell adds its size to the denominators of the week
+    numbers it has reached (at most ``max_weeks + 1``), every cell its users to its own numerator.
     """
     end = as_of_date(as_of)
+    week, size = F.col("weeks_since_cohort"), F.col("cohort_size")
     reached = F.least(F.lit(max_weeks), idiv(F.datediff(end, F.col("cohort_week")), 7)).cast("int")
-    sizes = (retention.filter(F.col("weeks_since_cohort") == 0)
-             .select("cohort_size", reached.alias("_reached"))
-             .filter(F.col("_reached") >= 0))
-    denominators = (
-        sizes.select(F.explode(F.sequence(F.lit(0), F.col("_reached"))).alias("weeks_since_cohort"),
-                     "cohort_size")
-        .groupBy("weeks_since_cohort")
-        .agg(F.count(F.lit(1)).alias("cohorts"), F.sum("cohort_size").alias("cohort_users"))
+    started = F.date_add(F.col("cohort_week"), week * 7) <= end
+    part = lambda w, cohorts, users, kept: F.struct(
+        w.cast("int").alias("week"), cohorts.alias("cohorts"), users.cast("bigint").alias("users"), kept.cast("bigint").alias("kept"))
+    none = F.lit(0)
+    denominators = F.when(
+        (week == 0) & (reached >= 0),
+        F.transform(F.sequence(none, reached), lambda w: part(w, F.lit(1), size, none)),
     )
-    started = F.date_add(F.col("cohort_week"), F.col("weeks_since_cohort") * 7) <= end
-    numerators = (retention.filter(started & (F.col("weeks_since_cohort") <= max_weeks))
-                  .groupBy("weeks_since_cohort")
-                  .agg(F.sum("retained_users").alias("retained_users")))
+    own = F.when(started & (week <= max_weeks), F.array(part(week, none, none, F.col("retained_users"))))
+    nothing = F.filter(F.array(part(none, none, none, none)), lambda _: F.lit(False))
     return (
-        denominators.join(numerators, "weeks_since_cohort", "left")
-        .select("weeks_since_cohort", "cohorts", "cohort_users",
-                F.coalesce("retained_users", F.lit(0)).cast("bigint").alias("retained_users"))
+        retention.select(F.inline(F.concat(F.coalesce(denominators, nothing), F.coalesce(own, nothing))))
+        .groupBy(F.col("week").alias("weeks_since_cohort"))
+        .agg(F.sum("cohorts").cast("bigint").alias("cohorts"), F.sum("users").alias("cohort_users"),
+             F.sum("kept").alias("retained_users"))
+        .filter(F.col("cohorts") > 0)
         .withColumn("retention_rate_pct",
                     to_double(round_units(F.col("retained_users") * 10_000, "cohort_users")))
     )

@@ -44,9 +44,34 @@ def duplicate_sessions(sessions: DataFrame, key: str = "session_id") -> DataFram
 def dedupe_sessions(sessions: DataFrame, key: str = "session_id") -> DataFrame:
     """One row per id: the smallest row of its copies (a fixed choice; copies are usually exact).
 
-    A MIN over a struct of the other columns is an ordinary aggregate: partial minima are taken
-    before the shuffle, so a heavily duplicated id never gathers its copies in one task.
+    The repeated ids are found from the id column alone. Rows with an id of their own pass through;
+    only copies are compared, by a MIN over a struct that takes partial minima before its shuffle, so
+    that a heavily repeated id never gathers its copies in one task. Rows without an id are one group.
     """
     others = [c for c in sessions.columns if c != key]
-    return (sessions.groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
-            .select(key, *[F.col(f"_row.{c}").alias(c) for c in others]))
+    repeated = duplicate_sessions(sessions, key).select(F.col(key).alias("_id"))
+    same = sessions[key].eqNullSafe(F.col("_id"))
+    single = sessions.join(repeated, same, "left_anti")
+    chosen = (
+        sessions.join(repeated, same, "left_semi")
+        .groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
+        .select(key, *[F.col(f"_row.{c}").alias(c) for c in others])
+    )
+    return single.unionByName(chosen)
+
+
+def staging_summary(daily: DataFrame) -> DataFrame:
+    """Rows and valid rows of the enriched and the daily table, both from one pass over the daily one:
+    every enriched session is counted in exactly one user-day."""
+    sums = daily.agg(
+        F.coalesce(F.sum("total_sessions"), F.lit(0)).cast("bigint").alias("_sessions"),
+        F.sum("valid_sessions").cast("bigint").alias("_valid"),
+        F.count(F.lit(1)).alias("_days"),
+        F.sum("is_active_day").cast("bigint").alias("_active"),
+    )
+    row = lambda name, rows, valid: F.struct(
+        F.lit(name).alias("table_name"), F.col(rows).alias("rows"), F.col(valid).alias("valid_rows"))
+    return sums.select(F.inline(F.array(
+        row("staging_enriched_sessions", "_sessions", "_valid"),
+        row("staging_daily_user_metrics", "_days", "_active"),
+    )))

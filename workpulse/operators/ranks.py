@@ -44,6 +44,47 @@ def add_rank_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFram
     return df.join(hist, cond, "left").drop(*[f"_k_{k}" for k in keys])
 
 
+# Value ranges per factor e: a group has at most some thousand, whatever its rows and values.
+RANGES = 64
+
+
+def rank_in_ranges(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(_group, _value, _rank, _total): RANK of each value of a group, the largest first, and the sum
+    of the group's values. No step has more than one range of a group's values in a task.
+
+    Values fall into ranges that follow their order (steps of a 64th on a logarithmic scale). The
+    distinct values of a range are counted off in a window over (group, range); how many rows stand in
+    higher ranges comes from one array of range counts per group, as long as there are ranges.
+    """
+    number = F.col(value).cast("double")
+    ranged = F.floor(F.signum(number) * F.log1p(F.abs(number)) * RANGES)
+    hist = (
+        df.groupBy(F.col(group).alias("_group"), F.col(value).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.first(ranged).alias("_range"))
+    )
+    inside = Window.partitionBy("_group", "_range").orderBy(F.desc("_value"))
+    counted = hist.withColumn(
+        "_before", F.coalesce(F.sum("_c").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranges = (
+        hist.groupBy("_group", "_range")
+        .agg(F.sum("_c").alias("_c"), F.sum(F.col("_c") * F.col("_value")).alias("_s"))
+        .groupBy("_group")
+        .agg(F.collect_list(F.struct("_range", "_c")).alias("_ranges"), F.sum("_s").alias("_total"))
+    )
+    add = lambda total, r: total + r["_c"]
+    higher = lambda this: F.aggregate(
+        # values that are missing rank below all others
+        F.filter("_ranges", lambda r: (r["_range"] > this["_range"]) | (this["_range"].isNull() & r["_range"].isNotNull())),
+        F.lit(0).cast("bigint"), add)
+    offsets = ranges.select(
+        F.col("_group").alias("_g"), "_total",
+        F.inline(F.transform("_ranges", lambda r: F.struct(r["_range"].alias("_r"), higher(r).alias("_higher")))),
+    )
+    same = counted["_group"].eqNullSafe(offsets["_g"]) & counted["_range"].eqNullSafe(offsets["_r"])
+    return counted.join(offsets, same, "left").select(
+        "_group", "_value", (F.col("_higher") + F.col("_before") + 1).alias("_rank"), "_total")
+
+
 def add_productivity_ranks(
     df: DataFrame, group: Sequence[str] = ("account_id", "date"), value: str = "productive_hours"
 ) -> DataFrame:

@@ -26,8 +26,9 @@ USER_ACTIVITY_COLUMNS = [
 
 
 def as_of_date(as_of: str | dt.date | None) -> F.Column:
-    """The reporting date: a literal, or today's date (UTC session) when None."""
-    return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    """The reporting date: a literal, or today's date in UTC, whatever the session's zone, when None."""
+    now = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    return F.to_date(now) if as_of is None else F.lit(str(as_of)).cast("date")
 
 
 def lookback_start(as_of: str | dt.date | None, lookback_days: int) -> F.Column:

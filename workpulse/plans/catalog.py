@@ -3,11 +3,14 @@ test tables, built with the library operators on the adapter's model tables."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import lru_cache
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from workpulse.functions.apps import with_web_flag
 from workpulse.operators.allocation import project_allocation
 from workpulse.operators.apps import app_productivity
 from workpulse.operators.cohorts import cohort_sizes, retention_cohorts, user_cohorts, weekly_activity
@@ -22,17 +25,28 @@ from workpulse.operators.metrics import (
     utilization_rate,
     weekly_retention_rate,
 )
-from workpulse.operators.quality import dedupe_sessions, duplicate_sessions, layer_summary, session_quality
+from workpulse.operators.quality import (
+    dedupe_sessions,
+    duplicate_sessions,
+    layer_summary,
+    session_quality,
+    staging_summary,
+)
 from workpulse.operators.ranks import add_productivity_ranks
 from workpulse.operators.trends import add_trends
 from workpulse.operators.user_activity import user_activity_metrics
-from workpulse.session import materialize
+from workpulse.session import shared_folder
 from workpulse.sources import testdata
-from workpulse.sources.csv import table_inventory
+from workpulse.sources.csv import RAW_FILES, load_raw, table_inventory
+from workpulse.sources.schemas import RAW_SCHEMAS
+from workpulse.sources.sinks import publish_table, write_csv
 
 AS_OF = "2024-01-30"
 LOOKBACK_DAYS = 90
-# whole event range: late arrivals of the first day are dated 2023-12-31
+# a cutoff inside the event range: rows before it go, and the 7-day windows look back across it
+SHORT_LOOKBACK_DAYS = 14
+# Reporting period of the utilization query (a parameter of ``utilization_rate``): the range of the
+# given events, where late arrivals of the first day are dated 2023-12-31.
 PERIOD = ("2023-12-31", "2024-01-30")
 
 # region (5 rows) and the application catalog (5 rows) have a fixed size here.
@@ -41,81 +55,61 @@ BOUNDED_DIMS = ("accounts", "apps")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Shared plans (not data): a built logical plan can be the base of any number of queries, which
-# saves rebuilding and re-analysing it. Callers always get a fresh DataFrame on top of it, so each
-# query plans and runs its whole computation itself (re-executing one DataFrame object would
-# reuse its earlier shuffle output). Keyed by the session object: a new session builds anew.
-@lru_cache(maxsize=32)
-def _model_plans(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return testdata.model(spark, sf_dir)
-
-
-@lru_cache(maxsize=32)
-def _enriched_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = _model_plans(spark, sf_dir)
-    return enrich_sessions(m["sessions"], m["users"], m["accounts"], m["apps"], m["projects"],
-                           broadcast=BOUNDED_DIMS)
-
-
-@lru_cache(maxsize=32)
-def _daily_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_user_metrics(_enriched_plan(spark, sf_dir))
-
-
-def _fresh(df: DataFrame) -> DataFrame:
-    return df.select("*")
-
-
-def _model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {k: _fresh(v) for k, v in _model_plans(spark, sf_dir).items()}
+def enriched(spark: SparkSession, sf_dir: str, odd: bool = False) -> DataFrame:
+    """All 38 columns; account and user attributes come with the sessions, from one customer scan."""
+    base = testdata.odd_sessions if odd else testdata.sessions
+    return enrich_sessions(
+        base(spark, sf_dir, attributes=True), None, testdata.accounts(spark, sf_dir), testdata.apps(spark),
+        testdata.projects(spark, sf_dir), broadcast=BOUNDED_DIMS)
 
 
-def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fresh(_enriched_plan(spark, sf_dir))
+def daily(spark: SparkSession, sf_dir: str, odd: bool = False) -> DataFrame:
+    """The user-days read no project attribute, so that dimension is not joined."""
+    base = testdata.odd_sessions if odd else testdata.sessions
+    return daily_user_metrics(enrich_sessions(
+        base(spark, sf_dir, attributes=True), None, testdata.accounts(spark, sf_dir), testdata.apps(spark),
+        broadcast=BOUNDED_DIMS))
 
 
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fresh(_daily_plan(spark, sf_dir))
-
-
-# The session-level operators need no dimension: they run on the session fact alone.
+# The session-level operators need no dimension: they run on the events alone.
 def _session_flags(spark, sf_dir):
-    return session_flags(_model(spark, sf_dir)["sessions"]).select(
+    return session_flags(testdata.bare_sessions(spark, sf_dir)).select(
         "session_id", "date", "is_late_arrival", "is_too_short", "is_too_long",
         "is_valid_session", "is_high_idle", "is_weekend")
 
 
 def _session_end_time(spark, sf_dir):
-    return session_measures(_model(spark, sf_dir)["sessions"]).select(
+    return session_measures(testdata.bare_sessions(spark, sf_dir)).select(
         "session_id", "start_timestamp", "duration_minutes", "end_timestamp")
 
 
 def _session_measures(spark, sf_dir):
-    return session_measures(_model(spark, sf_dir)["sessions"]).select(
+    return session_measures(testdata.bare_sessions(spark, sf_dir)).select(
         "session_id", "duration_hours", "active_hours", "idle_hours", "idle_ratio_pct")
 
 
-def daily_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily table computed once, for queries that read it in more than one branch."""
-    return materialize(daily(spark, sf_dir))
+def _session_quality(spark, sf_dir):
+    return session_quality(session_flags(testdata.bare_sessions(spark, sf_dir)))
 
 
-def _pick(builder, *cols, shared=False):
+def _pick(builder, *cols):
     key = ("date", "user_id", "account_id")
-    source = daily_once if shared else daily
-    return lambda spark, sf_dir: builder(source(spark, sf_dir)).select(*key, *cols)
+    return lambda spark, sf_dir: builder(daily(spark, sf_dir)).select(*key, *cols)
 
 
 def _l7d(d):
     return add_engagement(add_active_days_l7d(d))
 
 
-def _user_activity(spark, sf_dir):
-    return user_activity_metrics(daily_once(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
+def _user_activity(lookback_days):
+    return lambda spark, sf_dir: user_activity_metrics(daily(spark, sf_dir), AS_OF, lookback_days)
 
 
-def _apps(spark, sf_dir):
-    return app_productivity(enriched(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
+def _apps(spark, sf_dir, lookback_days=LOOKBACK_DAYS):
+    e = enrich_sessions(
+        testdata.sessions(spark, sf_dir), None, testdata.accounts(spark, sf_dir), testdata.apps(spark),
+        broadcast=BOUNDED_DIMS)
+    return app_productivity(e, AS_OF, lookback_days)
 
 
 def _apps_pick(*cols):
@@ -123,6 +117,11 @@ def _apps_pick(*cols):
     return lambda spark, sf_dir: _apps(spark, sf_dir).select(*key, *cols)
 
 
+def _allocation(spark, sf_dir):
+    return project_allocation(enrich_sessions(
+        testdata.sessions(spark, sf_dir), projects=testdata.projects(spark, sf_dir)))
+
+
 def _on_daily(op):
     return lambda spark, sf_dir: op(daily(spark, sf_dir))
 
@@ -132,33 +131,67 @@ def _retention_orders(spark, sf_dir):
 
 
 def _engagement_distribution(spark, sf_dir):
-    return engagement_distribution(daily(spark, sf_dir), _model(spark, sf_dir)["users"], AS_OF)
+    return engagement_distribution(daily(spark, sf_dir), testdata.users(spark, sf_dir), AS_OF)
 
 
-def _utilization(spark, sf_dir):
-    return utilization_rate(daily(spark, sf_dir), _model(spark, sf_dir)["users"], *PERIOD)
-
-
-def _layer_summary(spark, sf_dir):
-    e = materialize(enriched(spark, sf_dir))
-    return layer_summary({
-        "staging_enriched_sessions": (e, "is_valid_session"),
-        "staging_daily_user_metrics": (daily_user_metrics(e), "is_active_day"),
-    })
+def _utilization(spark, sf_dir, period=PERIOD):
+    return utilization_rate(daily(spark, sf_dir), testdata.users(spark, sf_dir), *period)
 
 
 def _analytics_summary(spark, sf_dir):
-    e = materialize(enriched(spark, sf_dir))
-    d = materialize(daily_user_metrics(e))
+    d = daily(spark, sf_dir)
     return layer_summary({
         "analytics_user_activity_metrics": (user_activity_metrics(d, AS_OF, LOOKBACK_DAYS), None),
-        "analytics_app_productivity": (app_productivity(e, AS_OF, LOOKBACK_DAYS), None),
+        "analytics_app_productivity": (_apps(spark, sf_dir), None),
         "analytics_retention_cohorts": (retention_cohorts(d), None),
     })
 
 
 def _raw_inventory(spark, sf_dir):
-    return table_inventory(_model(spark, sf_dir))
+    # an account is added to a session by a join on the customers' key: counting needs the events only
+    tables = testdata.model(spark, sf_dir)
+    tables["sessions"] = testdata.bare_sessions(spark, sf_dir)
+    return table_inventory(tables)
+
+
+def _web_apps(spark, sf_dir):
+    """The web flag over a name column of the given tables that has both kinds."""
+    names = testdata.projects(spark, sf_dir).select(
+        F.col("project_id").alias("app_id"),
+        F.when(F.col("project_id") % 5 == 0, F.concat(F.lit("Google "), "project_name"))
+        .when(F.col("project_id") % 5 == 1, F.lit("Figma"))
+        .when(F.col("project_id") % 5 == 2, F.lit(None).cast("string"))
+        .otherwise(F.col("project_name")).alias("app_name"))
+    return with_web_flag(names)
+
+
+def _csv_round_trip(spark, sf_dir):
+    """Load and publish: the model's tables as CSV, loaded with a report, published, read back, counted."""
+    folder = f"{shared_folder(spark)}/csv-round-trip-{uuid.uuid4().hex}"
+    tables = {
+        "raw_fact_activity_sessions": testdata.sessions(spark, sf_dir), "raw_dim_users": testdata.users(spark, sf_dir),
+        "raw_dim_accounts": testdata.accounts(spark, sf_dir), "raw_dim_projects": testdata.projects(spark, sf_dir),
+    }
+    for name, df in tables.items():
+        kept = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
+                else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[name].fields]
+        write_csv(df.select(*kept), f"{folder}/raw/{RAW_FILES[name]}")
+    loaded, _ = load_raw(spark, f"{folder}/raw")
+    published = {}
+    for name, df in loaded.items():
+        publish_table(df, f"{folder}/published/{name}", name)
+        published[name] = spark.read.parquet(f"{folder}/published/{name}")
+    sums = {
+        "raw_fact_activity_sessions": F.sum(F.round(F.col("duration_minutes") * 100).cast("bigint")),
+        "raw_dim_users": F.sum(F.length("email")), "raw_dim_accounts": F.sum(F.length("company_name")),
+        "raw_dim_projects": F.sum("budgeted_hours"),
+    }
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("row_count"), sums[name].cast("bigint").alias("checksum"))
+        .select(F.lit(name).alias("table_name"), "row_count", "checksum")
+        for name, df in sorted(published.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 QUERIES: dict[str, Query] = {
@@ -174,14 +207,13 @@ QUERIES: dict[str, Query] = {
     "active_days_l7d": _pick(_l7d, "is_active_day", "active_days_l7d"),
     "engagement_tier": _pick(_l7d, "active_days_l7d", "engagement_tier"),
     "is_active_l7d": _pick(_l7d, "is_active_l7d"),
-    "productivity_percentile": _pick(add_productivity_ranks, "productive_hours",
-                                     "productivity_percentile", shared=True),
-    "productivity_rank": _pick(add_productivity_ranks, "productive_hours", "productivity_rank",
-                               shared=True),
-    "performance_tier": _pick(add_productivity_ranks, "productive_hours", "performance_tier",
-                              shared=True),
-    "user_activity_metrics": _user_activity,
+    "productivity_percentile": _pick(add_productivity_ranks, "productive_hours", "productivity_percentile"),
+    "productivity_rank": _pick(add_productivity_ranks, "productive_hours", "productivity_rank"),
+    "performance_tier": _pick(add_productivity_ranks, "productive_hours", "performance_tier"),
+    "user_activity_metrics": _user_activity(LOOKBACK_DAYS),
+    "user_activity_short": _user_activity(SHORT_LOOKBACK_DAYS),
     "app_productivity": _apps,
+    "app_productivity_short": lambda spark, sf_dir: _apps(spark, sf_dir, SHORT_LOOKBACK_DAYS),
     "app_time_share": _apps_pick("total_hours", "pct_of_total_time"),
     "app_rank_in_class": _apps_pick("productivity_classification", "total_hours",
                                     "rank_in_classification"),
@@ -194,18 +226,22 @@ QUERIES: dict[str, Query] = {
     "active_users_l7d": lambda spark, sf_dir: active_users_l7d(daily(spark, sf_dir), AS_OF),
     "engagement_distribution": _engagement_distribution,
     "weekly_retention_rate": lambda spark, sf_dir: weekly_retention_rate(
-        materialize(retention_cohorts(daily(spark, sf_dir))), AS_OF),
+        retention_cohorts(daily(spark, sf_dir)), AS_OF),
     "retention_rate_orders": lambda spark, sf_dir: weekly_retention_rate(
-        materialize(retention_cohorts(testdata.order_activity(spark, sf_dir))), AS_OF),
+        retention_cohorts(testdata.order_activity(spark, sf_dir)), AS_OF),
     "account_churn_risk": lambda spark, sf_dir: account_churn_risk(daily(spark, sf_dir), AS_OF),
     "avg_productive_hours": _on_daily(avg_productive_hours),
     "utilization_rate": _utilization,
-    "project_allocation": lambda spark, sf_dir: project_allocation(enriched(spark, sf_dir)),
-    "layer_summary": _layer_summary,
+    "project_allocation": _allocation,
+    "layer_summary": lambda spark, sf_dir: staging_summary(daily(spark, sf_dir)),
     "analytics_summary": _analytics_summary,
-    "session_quality": lambda spark, sf_dir: session_quality(enriched(spark, sf_dir)),
+    "session_quality": _session_quality,
+    "enriched_odd_sessions": lambda spark, sf_dir: enriched(spark, sf_dir, odd=True),
+    "daily_odd_sessions": lambda spark, sf_dir: daily(spark, sf_dir, odd=True),
+    "web_apps": _web_apps,
+    "csv_round_trip": _csv_round_trip,
     "duplicate_sessions": lambda spark, sf_dir: duplicate_sessions(
-        testdata.sessions_with_copies(spark, sf_dir)),
+        testdata.sessions_with_copies(spark, sf_dir, bare=True)),
     "dedupe_sessions": lambda spark, sf_dir: dedupe_sessions(
         testdata.sessions_with_copies(spark, sf_dir)),
     "raw_inventory": _raw_inventory,

@@ -13,9 +13,6 @@ The settings below are the ones the operators rely on:
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -62,33 +59,31 @@ def get_spark(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the session.
+    """The shared checkpoint folder of the session, from ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and Spark uses it from start-up;
-    it is used as is. Only when no folder is set (local tests) a private temporary one is
-    created and registered.
+    It has to be configured: a folder of the local machine would not be seen by other executors.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (a remote session: the server owns its checkpoint folder)
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    path = sc.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="workpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder for written tables that all executors share: that of the checkpoints, else the warehouse."""
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage (reliable checkpoint in ``spark.checkpoint.dir``).
 
-    Used where one intermediate result feeds several branches of a plan: without it Catalyst
-    prunes each branch differently and recomputes the shared input from the raw tables. The
-    checkpoint lives on the shared checkpoint storage, so losing executors later does not
-    recompute it.
+    For callers that feed one intermediate result to several branches of a plan. The files live on the
+    shared checkpoint storage, so losing executors later does not recompute it. No registered query
+    needs it.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

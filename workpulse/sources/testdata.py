@@ -9,13 +9,15 @@ given TPC-H-like tables onto them, with the same rules as the SQL oracle:
 * users <- ``customer`` (+ ``nation`` for the account), accounts <- ``region`` (5 rows),
   projects <- ``part``, the application catalog is the 5 event types.
 * long activity history (for cohorts) <- ``orders``: one active day per order date.
-* the duplicate operators get the sessions plus an exact copy of every 200th one (0.5 %, the
-  share of copies the reference's generator injects).
-
-Only the columns used downstream are produced. ``region`` and ``nation`` have a fixed size in
-this schema (5 and 25 rows) and the application catalog is 5 literal rows, so they are
-broadcast explicitly; ``customer`` and ``part`` grow with the data and are left to Spark's
-size-checked join selection.
+* the duplicate operators get the sessions plus an exact copy of every 200th one (0.5 %).
+* ``odd_sessions`` has the same sessions with the values that a clean source would not send:
+  negative durations, activity over 100, missing users, projects, applications and dates.
+
+Only the columns used downstream are produced. ``customer`` is joined to the events directly, so
+that the planner sees its true size, and only once: account and user attributes come together.
+``nation`` and ``region`` have a fixed size in this schema (25 and 5 rows) and the application
+catalog is 5 literal rows, so they are broadcast explicitly; ``customer`` and ``part`` grow with
+the data and are left to Spark's size-checked join selection.
 """
 
 from __future__ import annotations
@@ -24,10 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Attributes of the five accounts, by region key 0-4.
-ACCOUNT_INDUSTRY = ["Technology", "Consulting", "Software", "IT Services", "Marketing"]
-ACCOUNT_SIZE = ["Small", "Medium", "Large", "Medium", "Small"]
-ACCOUNT_TIER = ["pro", "enterprise", "pro", "business", "business"]
+from workpulse.operators.enrich import SPREAD
 
 # Adapter rule (not a reference value): the application catalog over the event types
 # (app_id, app_name, category, productivity_classification).
@@ -68,35 +67,46 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def _pick(index: F.Column, values: list[str]) -> F.Column:
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(index == i, v) if expr is None else expr.when(index == i, v)
-    return expr
+def _nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return F.broadcast(read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
+
+
+def _user_columns() -> list:
+    """The user attributes, from the columns of ``customer``."""
+    return [
+        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
+        F.col("c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("last_name"),
+        F.col("c_mktsegment").alias("role"),
+        F.col("c_mktsegment").alias("department"),
+        F.when(F.col("c_custkey").isNotNull(), "active").alias("status"),
+    ]
+
 
+def with_user(df: DataFrame, spark: SparkSession, sf_dir: str, attributes: bool = False) -> DataFrame:
+    """``df`` with the account of its ``user_id`` and, if asked for, the user's attributes.
 
-def user_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user_id, account_id): a customer's account is its nation's region."""
-    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    return (
-        read(spark, sf_dir, "customer")
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(F.col("c_custkey").alias("user_id"), F.col("n_regionkey").alias("account_id"))
+    The customers are joined at the size of their own table and the nations after them. Rows without
+    a user can't match: a second key spreads them over the tasks of a shuffle join.
+    """
+    customer = read(spark, sf_dir, "customer").withColumn("_spread", F.col("c_custkey").isNull().cast("int"))
+    keyed = df.withColumn(
+        "_none", F.when(F.col("user_id").isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).cast("int") + 1).otherwise(0)
+    )
+    joined = keyed.join(
+        customer, (F.col("user_id") == F.col("c_custkey")) & (F.col("_none") == F.col("_spread")), "left"
+    ).join(_nation_regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return joined.select(
+        *df.columns, F.col("n_regionkey").alias("account_id"), *(_user_columns() if attributes else [])
     )
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     c = read(spark, sf_dir, "customer")
-    return c.join(F.broadcast(nation), c.c_nationkey == nation.n_nationkey, "left").select(
+    return c.join(_nation_regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         F.col("c_custkey").alias("user_id"),
         F.col("n_regionkey").alias("account_id"),
-        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
-        F.col("c_name").alias("first_name"),
-        F.col("c_mktsegment").alias("last_name"),
-        F.col("c_mktsegment").alias("role"),
-        F.col("c_mktsegment").alias("department"),
-        F.lit("active").alias("status"),
+        *_user_columns(),
         F.lit(40).alias("weekly_capacity_hours"),
     )
 
@@ -106,9 +116,10 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "region").select(
         key.alias("account_id"),
         F.col("r_name").alias("company_name"),
-        _pick(key, ACCOUNT_INDUSTRY).alias("industry"),
-        _pick(key, ACCOUNT_TIER).alias("subscription_tier"),
-        _pick(key, ACCOUNT_SIZE).alias("company_size"),
+        # adapter rules: attributes derived from the region's key and name
+        F.concat(F.lit("industry of "), F.lower("r_name")).alias("industry"),
+        F.concat(F.lit("tier "), (key % 3).cast("string")).alias("subscription_tier"),
+        F.concat(F.lit("size "), F.length("r_name").cast("string")).alias("company_size"),
     )
 
 
@@ -125,15 +136,19 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The session fact, one row per event."""
-    e = read(spark, sf_dir, "events")
+SESSION_COLUMNS = [
+    "session_id", "user_id", "account_id", "app_id", "project_id", "date", "start_timestamp",
+    "duration_minutes", "keyboard_strokes", "mouse_clicks", "activity_percentage",
+]
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions without their account; the raw ``props`` text is parsed here, before any join."""
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     late = F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)
-    return e.join(user_accounts(spark, sf_dir), "user_id", "left").select(
+    return read(spark, sf_dir, "events").select(
         F.col("event_id").alias("session_id"),
         "user_id",
-        "account_id",
         F.col("event_type").alias("app_id"),
         F.when(k % 10 < 7, k).alias("project_id"),
         F.date_sub(F.to_date("ts"), late).alias("date"),
@@ -145,11 +160,37 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sessions_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions plus an exact second copy of every 200th one (0.5 % duplicates, as the
-    reference's generator injects), to exercise the duplicate operators."""
-    s = sessions(spark, sf_dir)
-    return s.unionByName(s.filter(F.col("session_id") % 200 == 0))
+def sessions(spark: SparkSession, sf_dir: str, attributes: bool = False) -> DataFrame:
+    """The session fact, one row per event, with the user's attributes if asked for."""
+    out = with_user(_events(spark, sf_dir), spark, sf_dir, attributes)
+    return out.select(*SESSION_COLUMNS, *out.columns[len(SESSION_COLUMNS):])
+
+
+def bare_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session fact without its account, for what needs no dimension at all."""
+    return _events(spark, sf_dir)
+
+
+def odd_sessions(spark: SparkSession, sf_dir: str, attributes: bool = False) -> DataFrame:
+    """The sessions with values that a clean source would not send, by fixed rules on the id."""
+    i = F.col("session_id")
+    e = _events(spark, sf_dir).withColumns({
+        "user_id": F.when(i % 3 == 0, F.lit(None)).otherwise(F.col("user_id")),
+        "app_id": F.when(i % 11 == 0, F.lit(None)).otherwise(F.col("app_id")),
+        "date": F.when(i % 13 == 0, F.lit(None)).otherwise(F.col("date")),
+        "duration_minutes": F.when(i % 5 == 0, -F.col("duration_minutes")).otherwise(F.col("duration_minutes")),
+        "activity_percentage": F.when(i % 7 == 0, F.lit(None))
+        .when(i % 4 == 0, F.col("activity_percentage") + 100.0).otherwise(F.col("activity_percentage")),
+    })
+    out = with_user(e, spark, sf_dir, attributes)
+    return out.select(*SESSION_COLUMNS, *out.columns[len(SESSION_COLUMNS):])
+
+
+def sessions_with_copies(spark: SparkSession, sf_dir: str, bare: bool = False) -> DataFrame:
+    """Sessions plus an exact second copy of every 200th one, from one scan."""
+    s = bare_sessions(spark, sf_dir) if bare else sessions(spark, sf_dir)
+    times = F.when(F.col("session_id") % 200 == 0, 2).otherwise(1)
+    return s.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
 
 
 def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +199,7 @@ def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("user_id"), F.to_date("o_orderdate").alias("date")
     )
-    return o.join(user_accounts(spark, sf_dir), "user_id", "left").select(
+    return with_user(o, spark, sf_dir).select(
         "date", "user_id", "account_id", F.lit(1).alias("is_active_day")
     )
 
