@@ -53,16 +53,16 @@ USERS = [
     ("USR0004", "ACC002", "d@x.com", "Dee", "Fox", "Developer", "Operations", "active", 40),
 ]
 ACCOUNTS = [
-    ("ACC001", "TechStart Inc", "Technology", "pro", "Small"),
-    ("ACC002", "Global Services LLC", "Consulting", "enterprise", "Medium"),
+    ("ACC001", "Northwind Mills", "Technology", "pro", "Small"),
+    ("ACC002", "Blue Heron Works", "Consulting", "enterprise", "Medium"),
 ]
 APPS = [
-    ("APP001", "Visual Studio Code", "Development", "productive"),
-    ("APP012", "Slack", "Communication", "neutral"),
-    ("APP026", "YouTube", "Entertainment", "unproductive"),
+    ("APP001", "Code Bench", "Development", "productive"),
+    ("APP012", "Chatter Box", "Communication", "neutral"),
+    ("APP026", "Clip Stream", "Entertainment", "unproductive"),
     ("APP099", "Unknown Tool", "Other", None),
 ]
-PROJECTS = [("PRJ001", "Website Redesign", "active", 100), ("PRJ002", "Search Feature", "on_hold", 50)]
+PROJECTS = [("PRJ001", "Harbour Survey", "active", 100), ("PRJ002", "Bridge Audit", "on_hold", 50)]
 
 
 def session(sid, user="USR0001", day=D(2025, 8, 4), minutes=30.0, activity=80.0, app="APP001",

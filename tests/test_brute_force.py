@@ -333,7 +333,7 @@ def test_engagement_distribution_and_allocation_match_brute_force(spark, rows, a
         mine = hours[(acct, proj)]
         acct_total = sum((h for k, h in hours.items() if k[0] == acct), Decimal(0))
         assert (r["session_count"], r["unique_users"]) == (len(items), len({u for u, _ in items}))
-        assert r["project_name"] == ("unallocated" if proj is None else "Website Redesign")
+        assert r["project_name"] == ("unallocated" if proj is None else "Harbour Survey")
         if acct_total > 0:
             assert Decimal(repr(r["pct_of_account_hours"])) == half_up(mine / acct_total * 100, 2)
         else:

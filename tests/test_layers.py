@@ -1,4 +1,4 @@
-"""End-to-end rebuild and incremental staging on the smallest test scale."""
+"""End-to-end rebuild on the smallest test scale."""
 
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from workpulse.operators.daily import daily_user_metrics
 from workpulse.plans.catalog import AS_OF, BOUNDED_DIMS, enriched
 from workpulse.plans.layers import build_layers
 from workpulse.sources import testdata
-from workpulse.streaming import start_incremental_staging
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,37 +29,11 @@ def test_build_publishes_every_layer(spark):
         "staging_enriched_sessions", "staging_daily_user_metrics",
         "analytics_user_activity_metrics", "analytics_app_productivity",
         "analytics_retention_cohorts", "analytics_project_allocation"}
-    daily_back = spark.read.parquet(os.path.join(out, "staging_daily_user_metrics")).drop("month")
+    daily_back = spark.read.parquet(os.path.join(out, "staging_daily_user_metrics"))
     assert _rows(daily_back.select(*daily_user_metrics(enriched(spark, SF)).columns)) == _rows(
         daily_user_metrics(enriched(spark, SF)))
 
 
-def test_incremental_staging_matches_batch_with_late_files(spark):
-    root = tempfile.mkdtemp(prefix="wp-stream-", dir="/tmp")
-    landing, out, ckpt = (os.path.join(root, p) for p in ("landing", "out", "ckpt"))
-    sessions = testdata.sessions(spark, SF).cache()
-    m = testdata.model(spark, SF)
-    dims = {k: m[k] for k in ("users", "accounts", "apps", "projects")}
-    # first drop: the first three weeks; second drop: the rest, plus nothing else
-    early = sessions.filter(F.col("date") < "2024-01-22")
-    late = sessions.filter(F.col("date") >= "2024-01-22")
-    early.write.parquet(os.path.join(landing, "part-1"))
-    q = start_incremental_staging(spark, landing + "/*", sessions.schema, dims, out, ckpt)
-    q.awaitTermination()
-    late.write.parquet(os.path.join(landing, "part-2"))
-    # a late file: sessions re-dated into an already processed day
-    extra = sessions.filter(F.col("session_id") % 50 == 1).withColumn(
-        "session_id", F.col("session_id") + 1_000_000).withColumn("date", F.lit("2024-01-10").cast("date"))
-    extra.write.parquet(os.path.join(landing, "part-3"))
-    q = start_incremental_staging(spark, landing + "/*", sessions.schema, dims, out, ckpt)
-    q.awaitTermination()
-    daily_stream = spark.read.parquet(os.path.join(out, "staging_daily_user_metrics"))
-    full = sessions.unionByName(extra)
-    from workpulse.operators.enrich import enrich_sessions
-    expected = daily_user_metrics(enrich_sessions(full, *dims.values()))
-    assert _rows(daily_stream.select(*expected.columns)) == _rows(expected)
-
-
 def test_cli_rebuild_from_csv(spark):
     """Raw CSV files (reference layout) -> load_raw -> all layers, through the command line."""
     from workpulse.plans.layers import main
@@ -109,33 +82,20 @@ def test_build_registers_catalog_tables(spark):
     assert spark.table("wp_test.staging_daily_user_metrics").count() == inv["staging_daily_user_metrics"]
 
 
-def test_incremental_staging_from_csv_files(spark):
-    """CSV landing files with the raw (string id) schema, two drops, as the CLI would read them."""
-    from tests.fixtures import D, frames, session
-    from workpulse.operators.enrich import enrich_sessions
-    from workpulse.sources import RAW_SCHEMAS, write_csv
-
-    root = tempfile.mkdtemp(prefix="wp-stream-csv-", dir="/tmp")
-    landing, out, ckpt = (os.path.join(root, p) for p in ("landing", "out", "ckpt"))
-    schema = RAW_SCHEMAS["raw_fact_activity_sessions"]
-    rows = [session("S1", day=D(2025, 8, 4)), session("S2", day=D(2025, 8, 5), minutes=90.0),
-            session("S3", day=D(2025, 8, 4), user="USR0003", account="ACC002")]
-    f = frames(spark, rows)
-    dims = {k: f[k] for k in ("users", "accounts", "apps", "projects")}
-
-    def land(name, df):
-        full = df.select(*[F.col(c.name).cast(c.dataType) if c.name in df.columns
-                           else F.lit(None).cast(c.dataType).alias(c.name) for c in schema.fields])
-        write_csv(full.coalesce(1), os.path.join(landing, name))
-
-    land("drop-1", f["sessions"].filter("session_id = 'S1'"))
-    start_incremental_staging(spark, landing + "/*", schema, dims, out, ckpt, fmt="csv").awaitTermination()
-    land("drop-2", f["sessions"].filter("session_id <> 'S1'"))
-    start_incremental_staging(spark, landing + "/*", schema, dims, out, ckpt, fmt="csv").awaitTermination()
-    got = spark.read.parquet(os.path.join(out, "staging_daily_user_metrics"))
-    expected = daily_user_metrics(enrich_sessions(f["sessions"], *dims.values()))
-    assert _rows(got.select(*expected.columns)) == _rows(expected)
-    assert got.count() == 3
+def test_session_table_prunes_dates(spark):
+    """The lookback of the application table reads only the date folders that it needs."""
+    import contextlib
+    import io
+
+    from workpulse.operators.apps import app_productivity
+
+    out = tempfile.mkdtemp(prefix="wp-prune-", dir="/tmp")
+    build_layers(spark, testdata.model(spark, SF), out, AS_OF, 90, broadcast_dims=BOUNDED_DIMS)
+    published = spark.read.parquet(os.path.join(out, "staging_enriched_sessions"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        app_productivity(published, AS_OF, 14).explain()
+    assert "PartitionFilters: [isnotnull(date" in buf.getvalue()
 
 
 def test_build_keeps_duplicates_unless_asked(spark):

@@ -89,10 +89,10 @@ def test_project_allocation(spark):
     f = frames(spark, rows)
     e = enrich_sessions(f["sessions"], f["users"], f["accounts"], f["apps"], f["projects"])
     out = {r["project_name"]: r for r in project_allocation(e).collect()}
-    assert out["Website Redesign"]["total_hours"] == 2.0
-    assert out["Website Redesign"]["pct_of_account_hours"] == 50.0
-    assert out["Website Redesign"]["pct_of_budget"] == 2.0  # 2 h of 100
-    assert out["Website Redesign"]["project_rank"] == 1
+    assert out["Harbour Survey"]["total_hours"] == 2.0
+    assert out["Harbour Survey"]["pct_of_account_hours"] == 50.0
+    assert out["Harbour Survey"]["pct_of_budget"] == 2.0  # 2 h of 100
+    assert out["Harbour Survey"]["project_rank"] == 1
     assert out["unallocated"]["project_id"] is None and out["unallocated"]["project_rank"] == 2
-    assert out["Search Feature"]["session_count"] == 1 and out["Search Feature"]["project_rank"] == 2
-    assert out["Search Feature"]["pct_of_budget"] == 2.0  # 1 h of 50
+    assert out["Bridge Audit"]["session_count"] == 1 and out["Bridge Audit"]["project_rank"] == 2
+    assert out["Bridge Audit"]["pct_of_budget"] == 2.0  # 1 h of 50

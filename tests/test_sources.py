@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from workpulse.sources import RAW_FILES, RAW_SCHEMAS, load_raw, publish, table_inventory, write_csv
 
 ROWS = {
-    "raw_dim_accounts": [("ACC001", "TechStart Inc", "Technology", "Small", "active", "pro",
+    "raw_dim_accounts": [("ACC001", "Northwind Mills", "Technology", "Small", "active", "pro",
                           dt.date(2024, 1, 15), "x@y.com", "America/New_York")],
     "raw_dim_users": [("USR0001", "ACC001", "a@b.com", "Ann", None, "Developer", "Engineering", None,
                        dt.date(2023, 5, 1), "active", "America/New_York", 40)],
-    "raw_dim_applications": [("APP001", "Visual Studio Code", "Development", "productive", False, "2.10")],
-    "raw_dim_projects": [("PRJ001", "ACC002", "Website Redesign", "active", dt.date(2025, 3, 1), None, 120, "High")],
+    "raw_dim_applications": [("APP001", "Code Bench", "Development", "productive", False, "2.10")],
+    "raw_dim_projects": [("PRJ001", "ACC002", "Harbour Survey", "active", dt.date(2025, 3, 1), None, 120, "High")],
     "raw_dim_tasks": [("TSK00001", "PRJ001", "Bug Fix", "todo", 5, dt.date(2025, 6, 1))],
     "raw_fact_activity_sessions": [
         ("SES00000001", "USR0001", "ACC001", "APP001", None, None, dt.date(2025, 8, 4),
@@ -57,23 +57,52 @@ def test_table_inventory_is_ordered_by_name(spark):
     assert [(r["table_name"], r["row_count"]) for r in inv] == [("a", 5), ("b", 3)]
 
 
-def test_publish_partitions_by_month_and_overwrites(spark):
+def test_publish_partitions_by_date_and_overwrites(spark):
     path = os.path.join(_tmp(), "t")
     df = spark.createDataFrame(
         [(dt.date(2025, 8, 1), "U1", 1.0), (dt.date(2025, 9, 2), "U2", 2.0)],
         "date date, user_id string, total_hours double")
-    publish(df, path, partition_by=["month"], sort_by=["user_id", "date"])
-    publish(df, path, partition_by=["month"], sort_by=["user_id", "date"])  # rerun replaces
+    for cluster in (True, False, False):  # a rerun replaces
+        publish(df, path, partition_by=["date"], sort_by=["user_id"], cluster=cluster)
     back = spark.read.parquet(path)
-    assert sorted(p for p in os.listdir(path) if p.startswith("month=")) == ["month=2025-08", "month=2025-09"]
+    assert sorted(p for p in os.listdir(path) if p.startswith("date=")) == ["date=2025-08-01", "date=2025-09-02"]
     assert back.count() == 2
-    assert back.filter(F.col("month") == "2025-09").select("user_id").collect()[0][0] == "U2"
+    assert back.filter(F.col("date") == "2025-09-02").select("user_id").collect()[0][0] == "U2"
+
+
+def test_malformed_values_are_counted(spark):
+    from workpulse.sources.csv import malformed_rows
+
+    raw_dir = _tmp()
+    head = ",".join(f.name for f in RAW_SCHEMAS["raw_dim_tasks"].fields)
+    width = len(RAW_SCHEMAS["raw_dim_tasks"].fields)
+    lines = [head, "T1,P1,Fix,todo,5,2025-06-01", "T2,P1,Fix,todo,many,2025-06-01", "T3,P1,Fix,todo,,someday"]
+    assert all(line.count(",") == width - 1 for line in lines)
+    with open(os.path.join(raw_dir, RAW_FILES["raw_dim_tasks"]), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    tables, report = load_raw(spark, raw_dir)
+    assert tables["raw_dim_tasks"].count() == 3
+    assert [tuple(r) for r in malformed_rows(spark, report).collect()] == [("raw_dim_tasks", 3, 2)]
+
+
+def test_only_a_missing_path_is_skipped(spark, monkeypatch):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from workpulse.sources import csv as module
+
+    def broken(*_):
+        raise AnalysisException("no access", errorClass="UNSUPPORTED_FEATURE", messageParameters={})
+
+    monkeypatch.setattr(module, "read_csv_table", broken)
+    with pytest.raises(AnalysisException):
+        load_raw(spark, _tmp())
 
 
 def test_web_based_flag(spark):
     from workpulse.functions.apps import with_web_flag
     apps = spark.createDataFrame(
-        [("Google Chrome",), ("Gmail",), ("Jira",), ("Figma",), ("Slack",), ("Jira Cloud",), (None,)],
+        [("Google Chrome",), ("Gmail",), ("Jira",), ("Figma",), ("Chatter Box",), ("Jira Cloud",), (None,)],
         "app_name string")
     out = [r["is_web_based"] for r in with_web_flag(apps).collect()]
     assert out == [True, True, True, True, False, False, None]

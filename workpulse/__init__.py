@@ -7,7 +7,6 @@ Layers (all ``DataFrame -> DataFrame``):
 * ``operators`` enrich, daily rollup, trends, engagement, ranks, app productivity,
                 retention cohorts, project allocation, metrics, data quality
 * ``plans``     the staging/analytics layer rebuild and the registered query catalog
-* ``streaming`` incremental staging with Structured Streaming
 """
 
 from workpulse.operators.allocation import project_allocation

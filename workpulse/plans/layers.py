@@ -19,7 +19,7 @@ from workpulse.operators.daily import daily_user_metrics
 from workpulse.operators.enrich import enrich_sessions
 from workpulse.operators.quality import dedupe_sessions, layer_summary
 from workpulse.operators.user_activity import LOOKBACK_DAYS, user_activity_metrics
-from workpulse.sources.csv import load_raw, table_inventory
+from workpulse.sources.csv import load_raw, malformed_rows, table_inventory
 from workpulse.sources.sinks import publish_bucketed, publish_table
 
 RAW_TO_MODEL = {
@@ -91,10 +91,14 @@ def build_layers(
             raise ValueError("co_locate_buckets needs a catalog database")
         model = land_co_located(spark, model, out_dir, database, co_locate_buckets)
     sessions = dedupe_sessions(model["sessions"]) if dedupe else model["sessions"]
+    users = model["users"]
+    if not co_locate_buckets:
+        # a table of its own: the planner then knows the size of what it joins
+        users = _publish_and_reload(spark, users, out_dir, "staging_users", database)
     enriched = _publish_and_reload(
         spark,
-        enrich_sessions(sessions, model["users"], model["accounts"], model["apps"],
-                        model["projects"], broadcast=broadcast_dims),
+        enrich_sessions(sessions, users, model["accounts"], model["apps"], model["projects"],
+                        broadcast=broadcast_dims, spread_missing=not co_locate_buckets),
         out_dir, "staging_enriched_sessions", database)
     daily = _publish_and_reload(spark, daily_user_metrics(enriched), out_dir,
                                 "staging_daily_user_metrics", database)
@@ -130,6 +134,7 @@ def main(argv: list[str] | None = None) -> None:
     raw, report = load_raw(spark, args.raw_dir)
     for table, path, status in report:
         print(f"{table}: {status} ({path})")
+    malformed_rows(spark, report).show(truncate=False)
     table_inventory(raw).show(truncate=False)
     summary = build_layers(spark, model_from_raw(raw), args.out_dir, args.as_of,
                            args.lookback_days, args.dedupe, database=args.database,

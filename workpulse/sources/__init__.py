@@ -1,9 +1,8 @@
 """Raw schemas, CSV loading, publishing, and the adapter over the given test tables."""
 
-from workpulse.sources.csv import RAW_FILES, catalog_inventory, load_raw, table_inventory
+from workpulse.sources.csv import RAW_FILES, catalog_inventory, load_raw, malformed_rows, table_inventory
 from workpulse.sources.schemas import RAW_SCHEMAS
 from workpulse.sources.sinks import LAYOUTS, publish, publish_bucketed, publish_table, write_csv
 
-__all__ = ["LAYOUTS", "RAW_FILES", "RAW_SCHEMAS", "catalog_inventory", "load_raw", "publish", "publish_bucketed",
-           "publish_table",
-           "table_inventory", "write_csv"]
+__all__ = ["LAYOUTS", "RAW_FILES", "RAW_SCHEMAS", "catalog_inventory", "load_raw",
+           "malformed_rows", "publish", "publish_bucketed", "publish_table", "table_inventory", "write_csv"]

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from workpulse.sources.schemas import RAW_SCHEMAS
 
@@ -21,15 +22,18 @@ RAW_FILES: dict[str, str] = {
 }
 
 
-def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read one raw CSV with its explicit schema: header row, empty field -> NULL, bad value -> NULL."""
-    return (
-        spark.read.schema(RAW_SCHEMAS[table])
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(path)
-    )
+def read_csv_table(spark: SparkSession, path: str, table: str, malformed: str | None = None) -> DataFrame:
+    """Read one raw CSV with its explicit schema: header row, empty field -> NULL, bad value -> NULL.
+
+    With ``malformed`` a column of that name holds the line of a row with a bad value, else NULL.
+    """
+    schema = RAW_SCHEMAS[table]
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option(
+        "timestampFormat", "yyyy-MM-dd HH:mm:ss")
+    if malformed:
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
+    return reader.schema(schema).csv(path)
 
 
 def load_raw(
@@ -37,9 +41,10 @@ def load_raw(
 ) -> tuple[dict[str, DataFrame], list[tuple[str, str, str]]]:
     """Load the raw layer from ``raw_dir``.
 
-    Returns the tables that exist and a load report ``[(table, path, 'loaded'|'missing')]``. A
-    missing file is reported and skipped, the others load (the reference warns and goes on).
-    Nothing is read eagerly beyond the path check Spark does when a source is resolved.
+    Returns the tables that exist and a load report ``[(table, path, 'loaded'|'missing')]``. A path
+    that does not exist is reported and skipped, the others load; any other fault (no permission, a
+    wrong format) is raised. Nothing is read beyond the path check Spark does when a source is resolved;
+    ``malformed_rows`` counts the rows with values that don't fit the schema.
     """
     tables: dict[str, DataFrame] = {}
     report: list[tuple[str, str, str]] = []
@@ -48,11 +53,30 @@ def load_raw(
         try:
             tables[table] = read_csv_table(spark, path, table)
             report.append((table, path, "loaded"))
-        except AnalysisException:
+        except AnalysisException as fault:
+            if fault.getCondition() != "PATH_NOT_FOUND":
+                raise
             report.append((table, path, "missing"))
     return tables, report
 
 
+def malformed_rows(spark: SparkSession, report: list[tuple[str, str, str]]) -> DataFrame:
+    """(table_name, row_count, malformed) for the loaded files of a load report: rows, and how many of
+    them have a value that was read as NULL because it doesn't fit the schema."""
+    # a value counts only if its column is read: the flag looks at the whole row
+    bad = lambda table: F.when(
+        F.col("_malformed").isNotNull(), F.struct(*RAW_SCHEMAS[table].fieldNames()))
+    parts = [
+        read_csv_table(spark, path, table, "_malformed")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count(bad(table)).alias("malformed"))
+        .select(F.lit(table).alias("table_name"), "row_count", "malformed")
+        for table, path, status in report if status == "loaded"
+    ]
+    if not parts:
+        return spark.createDataFrame([], "table_name string, row_count bigint, malformed bigint")
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name")
+
+
 def catalog_inventory(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Every table of a catalog database with its row count, ordered by name.
 

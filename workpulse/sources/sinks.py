@@ -5,16 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Read layouts for the published tables (what the reference's indexes served). Daily-grain
-# tables are partitioned by ``date``, so the lookback filters prune whole folders, and sorted
-# inside files by the look-up key, so Parquet min/max statistics skip row groups for a user or
-# an account. The session table, the one of input size, is not re-clustered by date (that would
-# be a second full shuffle after the enrichment join): its files are sorted by (date, user) inside
-# each write task, so date filters skip row groups by their min/max statistics instead.
-LAYOUTS: dict[str, dict[str, Sequence[str]]] = {
-    "staging_enriched_sessions": {"partition_by": [], "sort_by": ["date", "user_id"]},
+# Read layouts for the published tables (what the reference's indexes served). Tables with a date are
+# partitioned by ``date``, so the lookback filters prune whole folders, and sorted inside files by the
+# look-up key, so Parquet min/max statistics skip row groups for a user or an account. The tables of
+# user-day grain are first clustered by date. The session table, the one of input size, is not
+# (``cluster`` is False): that would be a second full shuffle; its write tasks sort their own rows and
+# write one file for each date that they hold.
+LAYOUTS: dict[str, dict] = {
+    "staging_enriched_sessions": {"partition_by": ["date"], "sort_by": ["user_id"], "cluster": False},
     "staging_daily_user_metrics": {"partition_by": ["date"], "sort_by": ["user_id"]},
     "analytics_user_activity_metrics": {"partition_by": ["date"], "sort_by": ["user_id"]},
     "analytics_app_productivity": {"partition_by": ["date"], "sort_by": ["account_id"]},
@@ -31,46 +30,31 @@ def publish(
     path: str,
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
-    fmt: str = "parquet",
+    cluster: bool = True,
+    catalog_name: str | None = None,
 ) -> None:
-    """Full-refresh write of a table (drop and replace).
+    """Full-refresh Parquet write of a table (drop and replace), so that a rerun is idempotent.
 
-    A ``month`` partition column is derived from ``date`` when asked for. Rows are clustered by
-    the partition columns with a REBALANCE (one shuffle; AQE splits a partition value that is
-    too big into several tasks and files, and merges small ones), then sorted inside each task
-    by ``sort_by``. The write replaces the whole table, so a rerun is idempotent.
+    Rows are clustered by the partition columns with a REBALANCE (one shuffle; AQE splits a partition
+    value that is too big into several tasks and files, and merges small ones) unless ``cluster`` is
+    False, then sorted inside each task by ``sort_by``. With ``catalog_name`` (``db.table`` or
+    ``table``) the data is also registered in the session catalog as an external table at ``path``.
     """
-    out = df
-    if "month" in partition_by and "month" not in df.columns:
-        out = out.withColumn("month", F.date_format("date", "yyyy-MM"))
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
+    out = df.hint("rebalance", *partition_by) if partition_by and cluster else df
     if sort_by:
         out = out.sortWithinPartitions(*[*partition_by, *sort_by])
-    writer = out.write.mode("overwrite").format(fmt)
+    writer = out.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if catalog_name is None:
+        writer.save(path)
+    else:
+        writer.option("path", path).saveAsTable(catalog_name)
 
 
 def publish_table(df: DataFrame, path: str, table: str, catalog_name: str | None = None) -> None:
-    """Publish with the table's registered layout.
-
-    With ``catalog_name`` (``db.table`` or ``table``) the data is also registered in the session
-    catalog as an external table at ``path`` (``CREATE TABLE AS`` semantics, replacing it).
-    """
-    layout = LAYOUTS.get(table, {})
-    partition_by, sort_by = layout.get("partition_by", ()), layout.get("sort_by", ())
-    if catalog_name is None:
-        publish(df, path, partition_by, sort_by)
-        return
-    out = df.hint("rebalance", *partition_by) if partition_by else df
-    if sort_by:
-        out = out.sortWithinPartitions(*[*partition_by, *sort_by])
-    writer = out.write.mode("overwrite").format("parquet").option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(catalog_name)
+    """Publish with the table's registered layout."""
+    publish(df, path, **LAYOUTS.get(table, {}), catalog_name=catalog_name)
 
 
 def publish_bucketed(df: DataFrame, path: str, catalog_name: str, key: str, buckets: int) -> None:
