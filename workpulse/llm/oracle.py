@@ -1,5 +1,52 @@
-"""DuckDB SQL for the registered queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the registered queries of this subpackage that SQL can express.
+
+The other operators learn a model, align texts, hash with functions that DuckDB lacks or compress; tests
+hold them against brute force, a library or held-out rows.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from workpulse.llm.secrets import BASE_RULES, RULES, Rule
+
+
+def _rule_spans(place: int, rule: Rule) -> str:
+    """Rows (doc_id, kind, place, first, last) of one rule: a text is cut at its matches, and the lengths
+    of what stands before a match add up to its offset."""
+    # a maximal run of at least so many characters is asked for as such
+    whole_run = rule.group == 0 and rule.pattern.endswith("]+") and rule.pattern.count("+") == 1
+    least = f"{{{rule.least - rule.pattern.index('[')},}}" if whole_run else ""
+    pattern = (rule.pattern[:-1] + least if whole_run else rule.pattern).replace("'", "''")
+    return f"""
+SELECT doc_id, '{rule.kind}' AS kind, {place} AS place, ahead + before AS first, ahead + before + size AS last
+FROM (
+  SELECT doc_id, tested, size, before,
+         coalesce(SUM(before + size) OVER (PARTITION BY doc_id ORDER BY i
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM (
+    SELECT doc_id, unnest(range(1, len(found) + 1)) AS i, length(unnest(pieces[1:len(found)])) AS before,
+           length(unnest(found)) AS size, length(unnest(inner_found)) AS tested
+    FROM (
+      SELECT doc_id, regexp_split_to_array(t, '{pattern}') AS pieces,
+             regexp_extract_all(t, '{pattern}', 0) AS found,
+             regexp_extract_all(t, '{pattern}', {rule.group}) AS inner_found
+      FROM texts WHERE regexp_matches(t, '{pattern}')
+    ) cut
+  ) lengths
+) offsets WHERE tested >= {rule.least}"""
+
+
+def secrets_sql() -> str:
+    base = [rule.kind for rule in BASE_RULES]
+    counts = ", ".join(f"CAST(COUNT(*) FILTER (kind = '{k}') AS BIGINT) AS n_{k}" for k in base)
+    of_base = ", ".join(f"'{k}'" for k in base)
+    listed = "string_agg(kind || ':' || CAST(first AS BIGINT) || ':' || CAST(last AS BIGINT), ',' ORDER BY first, place)"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({" UNION ALL ".join(_rule_spans(place, rule) for place, rule in enumerate(RULES))})
+SELECT d.doc_id, {counts},
+       sha256(coalesce({listed} FILTER (kind IN ({of_base})), '')) AS base_sha256,
+       coalesce({listed} FILTER (kind IS NOT NULL), '') AS spans
+FROM texts d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id"""
+
+
+ORACLE: dict[str, str] = {"op1_secrets": secrets_sql()}
