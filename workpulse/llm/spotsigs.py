@@ -202,12 +202,14 @@ def likeness_to_edits(
     )
     entries = rows.select("id", "key", F.length("text").alias("chars")).distinct()
     before = _neighbours(entries)
-    # what a document sends to the one before it: the beginning that is wanted there, and its fingerprint
+    # what a document sends to the one before it: the beginning that is wanted there, and its fingerprint;
+    # with its id, so that this and the last join read the same columns and share one shuffle of the texts
     sent = (
         rows.join(before, "key")
         .select(
             F.col("before").alias("to"),
             F.struct(
+                F.col("id").alias("id"),
                 F.left("text", F.floor(F.col("before_chars") / 2).cast("int")).alias("head"),
                 signatures(F.col("text"), chain).alias("hashes"),
             ).alias("next"),
@@ -222,10 +224,11 @@ def likeness_to_edits(
         "text",
         F.concat(F.left("text", chars - F.floor(chars / 2).cast("int")), F.col("next.head")).alias("edited"),
         F.col("next.hashes").alias("next"),
+        F.col("next.id").alias("next_id"),
     )
     printed = joined.select(
         "id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        signatures(F.col("text"), chain).alias("own"), signatures(F.col("edited"), chain).alias("other"), "next",
+        signatures(F.col("text"), chain).alias("own"), signatures(F.col("edited"), chain).alias("other"), "next", "next_id",
     )
     return printed.select(
         F.col("id").alias(id_col),
@@ -236,4 +239,5 @@ def likeness_to_edits(
         pruned_jaccard(F.col("own"), F.col("other")).alias("near_edited"),
         pruned_jaccard(F.col("own"), F.col("next")).alias("near_next"),
         length_partition(F.size("own")).alias("partition"),
+        "next_id",
     )
