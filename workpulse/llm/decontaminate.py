@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from workpulse.llm.common import text_or_empty
 
+#: Length of the q-grams: as many bytes as a 64-bit number has.
 Q = 8
 RATE = 0.1
 PART_CHARS = 5_000_000
@@ -55,32 +56,38 @@ def fold(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Compared code points of a text, and the place in the text of each."""
     codes = _folded()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
     space = codes == 32
-    keep = ~space
-    keep[1:] |= ~space[:-1]
-    kept = np.flatnonzero(keep)
-    if len(kept) and space[kept[-1]]:
-        kept = kept[:-1]
-    if len(kept) and space[kept[0]]:
-        kept = kept[1:]
-    return codes[kept], kept
-
-
-def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
-    """A 64-bit number for each run of q code points; equal runs have equal numbers."""
-    size = len(codes) - q + 1
+    again = space[1:] & space[:-1]
+    if again.any():
+        kept = np.flatnonzero(np.concatenate(([True], ~again)))
+        codes = codes[kept]
+    else:
+        kept = np.arange(len(codes))
+    first = int(len(codes) > 0 and codes[0] == 32)
+    last = len(codes) - int(len(codes) > first and codes[-1] == 32)
+    return codes[first:last], kept[first:last]
+
+
+def gram_hashes(codes: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each run of Q code points; equal runs have equal numbers.
+
+    A code point counts as its lowest byte, so that the eight of a run are one number as they lie in
+    memory. Runs that differ in higher bytes only are taken for equal: a band may then seem to share
+    more than it does, never less, and the alignment compares the code points themselves.
+    """
+    size = len(codes) - Q + 1
     if size <= 0:
         return np.empty(0, dtype=np.uint64)
-    wide = codes.astype(np.uint64)
-    state = wide[:size].copy()
-    for j in range(1, q):
-        state *= _FACTOR
-        state += wide[j : j + size]
-    return state * _FACTOR
+    low = codes.astype(np.uint8).tobytes()
+    runs = np.empty(size, dtype=np.uint64)
+    for j in range(min(Q, size)):
+        runs[j::Q] = np.frombuffer(low, dtype=np.uint64, count=(size - j + Q - 1) // Q, offset=j)
+    runs *= _FACTOR
+    return runs
 
 
-def edit_budget(size: int, q: int = Q, rate: float = RATE) -> int:
+def edit_budget(size: int, rate: float = RATE) -> int:
     """Edits allowed for an item, lowered until the lemma asks for one shared q-gram at least."""
-    return min(math.floor(rate * size), (size - q) // q)
+    return min(math.floor(rate * size), (size - Q) // Q)
 
 
 def banded_alignment(item: np.ndarray, codes: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
@@ -125,18 +132,17 @@ def banded_alignment(item: np.ndarray, codes: np.ndarray, low: int, high: int, b
 class ItemIndex:
     """The q-grams of some items with their places."""
 
-    def __init__(self, items: list[tuple], q: int = Q, rate: float = RATE):
-        self.q = q
+    def __init__(self, items: list[tuple], rate: float = RATE):
         folded = [(i, fold(text)[0]) for i, text in items if text]
         self.whole: dict[bytes, list] = {}
         for i, codes in folded:
-            if 0 < len(codes) < q:
+            if 0 < len(codes) < Q:
                 self.whole.setdefault(codes.tobytes(), []).append(i)
-        self.items = [(i, codes) for i, codes in folded if len(codes) >= q]
+        self.items = [(i, codes) for i, codes in folded if len(codes) >= Q]
         self.sizes = np.array([len(c) for _, c in self.items], dtype=np.int64)
-        self.budgets = np.array([edit_budget(len(c), q, rate) for _, c in self.items], dtype=np.int64)
-        self.least = self.sizes - q + 1 - self.budgets * q
-        hashes = [gram_hashes(c, q) for _, c in self.items]
+        self.budgets = np.array([edit_budget(len(c), rate) for _, c in self.items], dtype=np.int64)
+        self.least = self.sizes - Q + 1 - self.budgets * Q
+        hashes = [gram_hashes(c) for _, c in self.items]
         every = np.concatenate(hashes) if hashes else np.empty(0, dtype=np.uint64)
         order = np.argsort(every, kind="stable")
         self.item = np.concatenate([np.full(len(h), k) for k, h in enumerate(hashes)])[order] if hashes else order
@@ -144,33 +150,38 @@ class ItemIndex:
         self.grams, self.first = np.unique(every[order], return_index=True)
         self.first = np.append(self.first, len(every))
         self.seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
-        self.seen[(self.grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+        self.seen[(self.grams >> np.uint64(64 - _FILTER_BITS)).view(np.int64)] = True
 
-    def regions(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, first diagonal of the band, shared q-grams) of the bands that reach the bound."""
-        hashes = gram_hashes(codes, self.q)
-        maybe = np.flatnonzero(self.seen[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+    def shared(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, place in it and diagonal of every q-gram that the text shares with an item."""
+        none = np.empty(0, dtype=np.int64)
+        hashes = gram_hashes(codes)
+        maybe = np.flatnonzero(self.seen[(hashes >> np.uint64(64 - _FILTER_BITS)).view(np.int64)])
         if not len(maybe) or not len(self.grams):
-            return []
+            return none, none, none
         spot = np.searchsorted(self.grams, hashes[maybe])
         spot[spot == len(self.grams)] = 0
         real = self.grams[spot] == hashes[maybe]
         maybe, spot = maybe[real], spot[real]
         sizes = self.first[spot + 1] - self.first[spot]
-        offsets = np.repeat(self.first[spot] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+        offsets = np.repeat(self.first[spot] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         item, place = self.item[offsets], self.place[offsets]
-        diagonal = np.repeat(maybe, sizes) - place
-        step = self.budgets[item] + 1
-        band = diagonal // step
+        # a band can't hold more q-grams of an item than the text
+        enough = (np.bincount(item, minlength=len(self.items)) >= self.least)[item]
+        return item[enough], place[enough], np.repeat(maybe, sizes)[enough] - place[enough]
+
+    def regions(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, first diagonal of the band, shared q-grams) of the bands that reach the bound."""
+        item, place, diagonal = self.shared(codes)
+        if not len(item):
+            return []
+        band = diagonal // (self.budgets[item] + 1)
         # a diagonal is in the band that begins at its step and in the one before
         keys = np.stack([np.tile(item, 2), np.concatenate([band, band - 1]), np.tile(place, 2)], axis=1)
-        order = np.lexsort((keys[:, 2], keys[:, 1], keys[:, 0]))
-        keys = keys[order]
+        keys = keys[np.lexsort((keys[:, 2], keys[:, 1], keys[:, 0]))]
         fresh = np.ones(len(keys), dtype=bool)
         fresh[1:] = (keys[1:] != keys[:-1]).any(axis=1)  # an item's q-gram counts once in a band
         keys = keys[fresh]
-        if not len(keys):
-            return []
         begins = np.flatnonzero(np.r_[True, (keys[1:, :2] != keys[:-1, :2]).any(axis=1)])
         counts = np.diff(np.append(begins, len(keys)))
         some = counts >= self.least[keys[begins, 0]]
@@ -179,20 +190,38 @@ class ItemIndex:
             for b, n in zip(begins[some], counts[some], strict=True)
         ]
 
+    def _unchanged(self, item: int, codes: np.ndarray, diagonal: int, shared: int) -> tuple[int, int, int] | None:
+        """The stretch that equals the item, where a band shares all its q-grams."""
+        wanted = self.items[item][1]
+        if shared < len(wanted) - Q + 1:
+            return None
+        for start in range(max(diagonal, 0), diagonal + 2 * (int(self.budgets[item]) + 1)):
+            if np.array_equal(codes[start : start + len(wanted)], wanted):
+                return 0, start, start + len(wanted)
+        return None
+
     def hits(self, text: str) -> list[dict]:
         """Contained items with their spans, the best of overlapping ones of the same item."""
         codes, where = fold(text)
         found = []
-        if len(codes) < self.q:
+        if len(codes) < Q:
             return [
                 {"item_id": i, "start": int(where[0]), "end": int(where[-1]) + 1, "edits": 0, "item_chars": len(codes), "shared": 0}
                 for i in self.whole.get(codes.tobytes(), [])
             ]
-        for item, diagonal, shared in self.regions(codes):
+        done: set[tuple[int, int]] = set()
+        # bands of an item that lie side by side can't hold two stretches: the fuller one decides
+        for item, diagonal, shared in sorted(self.regions(codes), key=lambda x: (x[0], -x[2], x[1])):
             budget = int(self.budgets[item])
-            # paths stay within the budget of a band's diagonals
-            best = banded_alignment(self.items[item][1], codes, diagonal - budget, diagonal + 3 * budget + 2, budget)
+            band = diagonal // (budget + 1)
+            if (item, band - 1) in done or (item, band + 1) in done:
+                continue
+            best = self._unchanged(item, codes, diagonal, shared)
+            if best is None:
+                # paths stay within the budget of a band's diagonals
+                best = banded_alignment(self.items[item][1], codes, diagonal - budget, diagonal + 3 * budget + 2, budget)
             if best is not None and best[2] > best[1]:
+                done.add((item, band))
                 found.append((item, *best, shared))
         found.sort(key=lambda x: (x[0], x[1], x[2]))
         kept: list[tuple] = []
@@ -226,7 +255,7 @@ def _hits_with(sent: Broadcast, kind: str):
 
 def with_hits(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col: str = "item_id", item_text: str = "text",
-    q: int = Q, rate: float = RATE, part_chars: int = PART_CHARS,
+    rate: float = RATE, part_chars: int = PART_CHARS,
 ) -> DataFrame:
     """(``_row``, ``hits``): the packed rows and the benchmark items that their texts contain."""
     kind = dict(benchmark.dtypes)[id_col]
@@ -234,7 +263,7 @@ def with_hits(
     columns = []
     for part in benchmark_parts(benchmark, id_col, item_text, part_chars):
         # a part is bounded by its characters
-        index = ItemIndex([(r["item_id"], r["text"]) for r in part.collect()], q, rate)
+        index = ItemIndex([(r["item_id"], r["text"]) for r in part.collect()], rate)
         sent = docs.sparkSession.sparkContext.broadcast(index)
         columns.append(_hits_with(sent, kind)("_text"))
     hits = columns[0] if len(columns) == 1 else F.concat(*columns)
