@@ -38,6 +38,11 @@ def text_or_empty(col: Column | str) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A 64-bit hash of all columns; maps, which Spark doesn't hash, count as their JSON text."""
+    return F.xxhash64(*(F.to_json(docs[c]) if "map<" in kind else docs[c] for c, kind in docs.dtypes))
+
+
 def held_out(doc_id: Column | str) -> Column:
     """crc32 of the id as text, modulo 3, is 1; a null id counts as the empty text (not held out)."""
     return F.crc32(text_or_empty(doc_id).cast("binary")) % 3 == 1

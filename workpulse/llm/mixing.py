@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from workpulse.llm.common import cut, word_count
+from workpulse.llm.common import cut, row_hash, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
@@ -215,7 +215,7 @@ def mixed_documents(
     A column of ``docs`` that is itself named ``copy`` gives way to it.
     """
     columns = [docs[c] for c in docs.columns]
-    keyed = docs.select(F.struct(*columns).alias("_row"), F.xxhash64(*columns).alias("_hash"))
+    keyed = docs.select(F.struct(*columns).alias("_row"), row_hash(docs).alias("_hash"))
     sized = keyed.select(
         F.col(f"_row.{id_col}").alias("id"), F.col("_hash").alias("tie"), F.col(f"_row.{source}").alias("source"),
         word_count(F.col(f"_row.{text}")).alias("size"),
