@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workpulse.llm.common import connected_components, cut, text_or_empty, whole_groups
+from workpulse.llm.common import connected_components, cut, row_hash, text_or_empty, whole_groups
 
 BITS = 64
 SEED = 42
@@ -159,19 +159,21 @@ def _trie_groups(distinct: DataFrame, max_bits: int, group_rows: int) -> DataFra
     parts = max_bits + 1
 
     def spread(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
+        if len(masks) == 1:
+            each = F.array(*(F.lit(_signed(x)) for children in masks.values() for x in children))
+            return keyed(rows.select("fp", F.explode(each).alias("mask")))
         cases = rows.sparkSession.createDataFrame(
             [(_signed(m), [_signed(x) for x in children]) for m, children in masks.items()],
             "mask long, children array<long>",
         )
         # one row for each mask of this level: at most parts ** levels, whatever the data
-        return (
-            rows.join(F.broadcast(cases), "mask")
-            .select("fp", F.explode("children").alias("mask"))
-            .select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
-        )
+        return keyed(rows.join(F.broadcast(cases), "mask").select("fp", F.explode("children").alias("mask")))
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
     masks = {0: _cut_masks(0, parts)}
-    rows = spread(distinct.select("fp", F.lit(0).cast("long").alias("mask")), masks)
+    rows = spread(distinct.select("fp"), masks)
     done: list[DataFrame] = []
     while True:
         level = [m for children in masks.values() for m in children]
@@ -236,10 +238,14 @@ def _classes(marked: DataFrame, order, max_bits: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """One row for each row: its id, ``fingerprint`` (16 hex digits) and ``component_id``."""
+    """One row for each row: its id, ``fingerprint`` (16 hex digits) and ``component_id``.
+
+    The classes are cut so that the last join has a shuffle on both sides: the rows of a fingerprint that
+    very many share are then split over tasks.
+    """
     pairs = docs.select(docs[id_col].alias(id_col), docs[text].alias(text))
     marked = cut(with_fingerprint(pairs, text, shingle).select(F.col(f"_row.{id_col}").alias("id"), F.col("_fp").alias("fp")))
-    classes = _classes(marked, F.col("id"), max_bits)
+    classes = cut(_classes(marked, F.col("id"), max_bits))
     return marked.join(classes, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -255,7 +261,7 @@ def drop_near_duplicates(
     Rows of one id are told apart by a hash of all columns; of rows equal in every column one stays.
     """
     columns = [docs[c] for c in docs.columns]
-    keyed = docs.select(F.struct(*columns).alias("_row"), F.xxhash64(*columns).alias("_hash"))
+    keyed = docs.select(F.struct(*columns).alias("_row"), row_hash(docs).alias("_hash"))
     flat = keyed.select(F.col(f"_row.{id_col}").alias("id"), "_hash", F.col(f"_row.{text}").alias("text"))
     marked = cut(
         with_fingerprint(flat, "text", shingle).select("_row.id", F.col("_row._hash").alias("hash"), F.col("_fp").alias("fp"))
