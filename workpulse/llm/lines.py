@@ -27,6 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from workpulse.llm.common import cut, row_hash
+
 RARE_WORDS = 4
 BLOCK_WORDS = 8
 
@@ -107,8 +109,9 @@ def deleted_blocks(
     lines = keyed.where("text is not null").mapInPandas(
         _hashed_lines, f"id {kind}, hash long, place int, line int, words int, digest binary"
     )
-    # sums over documents, not lists of them: a line may be in a third of all documents
-    held = (
+    # sums over documents, not lists of them: a line may be in a third of all documents. Cut, so that
+    # the join below has a shuffle on both sides and splits the rows of such a line over tasks
+    held = cut(
         lines.groupBy("digest")
         .agg(F.min(F.struct("id", "hash", "place")).alias("first"), F.max(F.struct("id", "hash")).alias("last"))
         .where("struct(first.id, first.hash) < last")
@@ -174,7 +177,7 @@ def dedup_lines(
 ) -> DataFrame:
     """(``_row``, ``text``, ``blocks``, ``words``, ``holders``): the packed rows and their texts without the blocks."""
     columns = [docs[c] for c in docs.columns]
-    keyed = docs.select(F.struct(*columns).alias("_row"), F.xxhash64(*columns).alias("hash")).withColumn(
+    keyed = docs.select(F.struct(*columns).alias("_row"), row_hash(docs).alias("hash")).withColumn(
         "id", F.col(f"_row.{id_col}")
     )
     gone = deleted_blocks(
