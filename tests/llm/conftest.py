@@ -12,7 +12,7 @@ def awkward(spark):
     rows += rows[3:5] + [(None, None, None, None, None, None), (None, "one", None, None, None, None)]
     names = "doc_id long, text string, lang string, source string, n_chars long, key string"
     extra = spark.createDataFrame(rows, names).selectExpr(
-        "*", "'c' as copy", "'h' as hash", "'p' as place", "1 as size", "'f' as fp", "array(1) as blocks", "'t' as id"
+        "*", "'c' as copy", "'h' as hash", "'p' as place", "1 as size", "'f' as fp", "array(1) as blocks", "'t' as id", "map('k', 1) as m"
     )
     return extra
 

@@ -42,7 +42,7 @@ def test_block_maxima_bound_every_example():
     index, rows = random_index(rng, 300, 40)
     for place, example in enumerate(index.number):
         found, counts = rows[example]
-        assert (index.most[place // T.BLOCK, found] >= index.weights(found, counts) - 1e-12).all()
+        assert (index.most[found, place // T.BLOCK] >= index.weights(found, counts) - 1e-12).all()
 
 
 def test_chi_square_against_the_table():

@@ -40,7 +40,7 @@ BITS = 20
 SAMPLE_PER_LABEL = 1000
 #: A term's chi-square must be LEAST_CHI2 and LEAST_EFFECT times the number of examples.
 LEAST_CHI2 = 8.0
-LEAST_EFFECT = 0.006
+LEAST_EFFECT = 0.008
 MOST_TERMS = 8192
 FOLDS = 5
 BLOCK = 64
@@ -81,7 +81,7 @@ class Index:
         cells, where, values = [], [], []
         for place, example in enumerate(order):
             found = rows[example][0]
-            cells.append((place // BLOCK) * size + found)
+            cells.append(found * self.blocks + place // BLOCK)
             where.append(np.full(len(found), place))
             values.append(vectors[example])
         cell = np.concatenate(cells) if cells else np.empty(0, dtype=np.int64)
@@ -89,10 +89,11 @@ class Index:
         cell = cell[by_cell]
         self.place = (np.concatenate(where) if where else cell)[by_cell].astype(np.int32)
         self.value = (np.concatenate(values) if values else cell.astype(float))[by_cell]
+        # a term's postings lie together, those of a block within them
         self.start = np.searchsorted(cell, np.arange(self.blocks * size + 1)).astype(np.int32)
-        self.most = np.zeros(self.blocks * size)
-        np.maximum.at(self.most, cell, self.value)
-        self.most = self.most.reshape(self.blocks, size)
+        most = np.zeros(self.blocks * size)
+        np.maximum.at(most, cell, self.value)
+        self.most = np.ascontiguousarray(most.reshape(size, self.blocks))
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Index terms of a text, as places, and how often they occur."""
@@ -106,7 +107,7 @@ class Index:
 
     def _score(self, blocks: np.ndarray, found: np.ndarray, weights: np.ndarray, scores: np.ndarray) -> None:
         """Add to ``scores`` the dot products with all examples of some blocks."""
-        cells = (blocks[:, None] * len(self.terms) + found[None, :]).ravel()
+        cells = (found[None, :] * self.blocks + blocks[:, None]).ravel()
         first, sizes = self.start[cells], self.start[cells + 1] - self.start[cells]
         some = sizes > 0
         first, sizes = first[some].astype(np.int64), sizes[some].astype(np.int64)
@@ -116,9 +117,17 @@ class Index:
         query = np.repeat(np.tile(weights, len(blocks))[some], sizes)
         scores += np.bincount(self.place[offsets], query * self.value[offsets], minlength=len(scores))
 
+    def _score_all(self, found: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The dot products with all examples, from the terms' whole postings."""
+        first, last = self.start[found * self.blocks], self.start[(found + 1) * self.blocks]
+        ranges = list(zip(first.tolist(), last.tolist(), strict=True))
+        places = np.concatenate([self.place[a:b] for a, b in ranges])
+        values = np.concatenate([self.value[a:b] for a, b in ranges]) * np.repeat(weights, last - first)
+        return np.bincount(places, values, minlength=len(self.number))
+
     def nearest(self, found: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """Example numbers and cosines of the k nearest with a positive cosine, best first."""
-        bounds = self.most[:, found] @ weights
+        bounds = weights @ self.most[found]
         scores = np.zeros(len(self.number))
         order = np.argsort(-bounds, kind="stable")
         head, tail = order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]
@@ -126,7 +135,9 @@ class Index:
         reached = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
         # a bound is a sum in another order than the cosine: leave room for its rounding
         rest = tail[(bounds[tail] > 0) & (bounds[tail] >= reached - 1e-9)]
-        if len(rest):
+        if 2 * len(rest) > self.blocks:
+            scores = self._score_all(found, weights)  # most blocks are left: no need to pick them out
+        elif len(rest):
             self._score(rest, found, weights, scores)
         if len(scores) > k:
             least = np.partition(scores, -k)[-k]
