@@ -195,7 +195,11 @@ def license_notices(
             })
 
     # the cue test runs in the JVM: only texts with a cue go to Python
-    found = docs.select(docs[id_col].alias("id"), docs[text].cast("string").alias("text")).where(F.col("text").rlike(CUE))
-    return found.mapInPandas(
-        scan, f"id {kind}, license string, start int, end int, saving double, n_differences int, differences string"
-    ).withColumnRenamed("id", id_col)
+    # Ids go there as text: next to a null, pandas would make long integers floating-point numbers.
+    found = docs.select(docs[id_col].cast("string").alias("id"), docs[text].cast("string").alias("text")).where(
+        F.col("text").rlike(CUE)
+    )
+    notices = found.mapInPandas(
+        scan, "id string, license string, start int, end int, saving double, n_differences int, differences string"
+    )
+    return notices.select(F.col("id").cast(kind).alias(id_col), *notices.columns[1:])

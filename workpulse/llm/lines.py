@@ -94,7 +94,7 @@ def _hashed_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 lines.append(number)
                 words.append(len(line.split()))
                 digests.append(xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"), times))
-        yield pd.DataFrame({"id": pd.Series(ids, dtype=batch["id"].dtype), "hash": hashes, "place": places, "line": lines, "words": words, "digest": digests})
+        yield pd.DataFrame({"id": pd.Series(ids, dtype="object"), "hash": hashes, "place": places, "line": lines, "words": words, "digest": digests})
 
 
 def deleted_blocks(
@@ -106,8 +106,12 @@ def deleted_blocks(
     keep it.
     """
     kind = dict(keyed.dtypes)["id"]
-    lines = keyed.where("text is not null").mapInPandas(
-        _hashed_lines, f"id {kind}, hash long, place int, line int, words int, digest binary"
+    # ids go to pandas as text: next to a null it would make long integers floating-point numbers
+    lines = (
+        keyed.where("text is not null")
+        .withColumn("id", F.col("id").cast("string"))
+        .mapInPandas(_hashed_lines, "id string, hash long, place int, line int, words int, digest binary")
+        .withColumn("id", F.col("id").cast(kind))
     )
     # sums over documents, not lists of them: a line may be in a third of all documents. Cut, so that
     # the join below has a shuffle on both sides and splits the rows of such a line over tasks
@@ -120,7 +124,10 @@ def deleted_blocks(
     shared = (
         lines.join(held, "digest")
         .where(~(F.col("id").eqNullSafe(F.col("holder")) & (F.col("hash") == F.col("holder_hash"))))
-        .select("id", "hash", "place", "line", "words", "holder", "holder_hash", "there")
+        .select(
+            F.col("id").cast("string").alias("id"), "hash", "place", "line", "words",
+            F.col("holder").cast("string").alias("holder"), "holder_hash", "there",
+        )
         .distinct()  # rows equal in all columns are one document
     )
 
@@ -159,7 +166,8 @@ def deleted_blocks(
     return (
         shared.repartition("id", "hash")
         .sortWithinPartitions("id", "hash", "place")
-        .mapInPandas(align, f"id {kind}, hash long, blocks array<struct<first int, last int>>, words long, holders array<{kind}>")
+        .mapInPandas(align, "id string, hash long, blocks array<struct<first int, last int>>, words long, holders array<string>")
+        .withColumns({"id": F.col("id").cast(kind), "holders": F.col("holders").cast(f"array<{kind}>")})
     )
 
 

@@ -171,15 +171,16 @@ def _mixed(
         .when(F.col("tilt") == float("-inf"), 0.0)
         .otherwise(tilted_rate(F.col("tilt"), F.col("size"), F.col("mean"), max_copies))
     )
+    # ids go to pandas as text: next to a null it would make long integers floating-point numbers
     rated = docs.join(known, F.col("source").eqNullSafe(F.col("name"))).select(
-        "id", "tie", "place", "size", rate.alias("rate"),
+        F.col("id").cast("string").alias("id"), "tie", "place", "size", rate.alias("rate"),
         F.pmod(F.xxhash64("tie", "size"), F.col("blocks")).alias("block"),
     )
     kind = dict(docs.dtypes)["id"]
     rounded = rated.groupBy("place", "block").applyInPandas(
-        _round, f"id {kind}, tie long, place int, size long, rate double, copies int"
+        _round, "id string, tie long, place int, size long, rate double, copies int"
     )
-    return rounded, sources
+    return rounded.withColumn("id", F.col("id").cast(kind)), sources
 
 
 def mix(
