@@ -82,3 +82,50 @@ def test_query_and_awkward_tables(spark, awkward, empty):
     texts = {r["doc_id"]: r["text"] for r in got.collect() if r["doc_id"] is not None}
     assert texts[0] is None and texts[1] == "" and texts[6] == "word " * 6_000
     assert L.documents_without_repeats(empty).count() == 0
+
+
+def symbols(text):
+    """(line, how often it came before) of the lines that are not blank, and their line numbers."""
+    seen, found = {}, []
+    for number, line in L.split_lines(text):
+        seen[line] = seen.get(line, -1) + 1
+        found.append((number, (line, seen[line])))
+    return found
+
+
+def blocks_in_common(text, other, words_of):
+    """Line numbers of ``text`` in runs of 8 words or more that ``other`` has too, every run tried."""
+    here, there = symbols(text), {s: k for k, (_, s) in enumerate(symbols(other))}
+    gone = set()
+    for a in range(len(here)):
+        for b in range(a, len(here)):
+            places = [there.get(s) for _, s in here[a : b + 1]]
+            if None in places or places != list(range(places[0], places[0] + len(places))):
+                break
+            if sum(words_of(s[0]) for _, s in here[a : b + 1]) >= L.BLOCK_WORDS:
+                gone.update(range(here[a][0], here[b][0] + 1))
+    return gone
+
+
+def test_passage_with_mixed_first_holders(spark):
+    """Each line has another first holder; only document 10 has the passage, which document 20 repeats."""
+    passage = [f"a line of six words {x}" for x in "abcdefghij"]
+    got = run(spark, [(i, f"{line}\nown {i}") for i, line in enumerate(passage)] + [(10, "\n".join(passage)), (20, "\n\n".join(["mine", *passage, "too"]))])
+    assert all(got[i]["blocks"] is None for i in range(11))
+    assert got[20]["text"] == "mine\n\n\ntoo" and got[20]["holders"] == [10] and got[20]["words"] == 60
+
+
+def test_against_all_pairs(spark):
+    """A document loses what it has in common with any earlier one, all pairs tried."""
+    rng = random.Random(9)
+    pool = [" ".join(f"w{i}x{k}" for k in range(rng.randrange(4, 10))) for i in range(14)] + ["", ""]
+    passages = [[rng.choice(pool) for _ in range(5)] for _ in range(12)]
+    docs = [(i, "\n".join(line for _ in range(rng.randrange(4)) for line in rng.choice(passages)[rng.randrange(3) :])) for i in range(120)]
+    got = run(spark, docs)
+    n = 0
+    for i, text in docs:
+        gone = set().union(*(blocks_in_common(text, other, lambda line: len(line.split())) for _, other in docs[:i]))
+        assert got[i]["text"] == "\n".join(line for k, line in enumerate(text.split("\n")) if k not in gone)
+        assert sorted(gone) == [k for b in got[i]["blocks"] or [] for k in range(b["first"], b["last"] + 1)]
+        n += len(gone)
+    assert n > 300

@@ -1,16 +1,22 @@
-"""Line deduplication by pairwise alignment of documents that share rare lines.
+"""Line deduplication by pairwise alignment of documents that share passages.
 
 Every non-blank line of a text is hashed (128 bits, surrounding white space left out; the second, third,
-... occurrence in a text hash apart, so that a hash occurs once in a text). The first document in order of
-(id, row hash) that holds a hash is its holder. A later document is paired with the holders of its lines
-and with no one else, so that a line in a third of all documents makes one pair for each of them, never
-all pairs; a pair needs at least one shared line that is rare by its length (``RARE_WORDS`` words or
-more; shorter lines recur by chance and only help to align).
+... occurrence in a text hash apart, so that a hash occurs once in a text). A common block of two documents
+is a run of lines that follow each other in both and have ``BLOCK_WORDS`` words or more together; the blocks
+that a document has in common with any earlier one, in order of (id, row hash), are deleted from it.
+
+No pair is tried in vain and none is left out. A text is cut into all its windows: the shortest runs of
+lines of ``BLOCK_WORDS`` words that start or end at a line, and of two lines where one alone has the words.
+Every common block is made up of windows that overlap, whole in both documents, so the first document that
+holds a window (its holder) stands for all earlier ones with it: a document is paired with the holders of
+its windows, and the blocks in common with them cover the blocks in common with all earlier documents. A
+line in a third of all documents makes one pair for each of them, never all pairs. Only windows with a line
+that is rare by its length (``RARE_WORDS`` words or more; shorter lines recur by chance) make pairs.
 
 A pair is aligned by patience: all its shared lines are unique in both texts, and the longest sequence of
 them that ascends in both is the alignment. Lines off it (moved passages) align along their own diagonal.
-Runs of lines that follow each other in both texts are common blocks; those with ``BLOCK_WORDS`` words or
-more are deleted from the later document.
+Runs of lines that follow each other in both texts are the common blocks; blocks in common with several
+documents that share lines are deleted, and told, as one.
 
 Defined cases: a null text stays null and an empty one empty; a document may lose all its lines and then
 has the empty text; null ids come before all others; rows equal in all columns count as one document and
@@ -21,6 +27,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import xxhash
@@ -59,42 +66,86 @@ def longest_ascent(values: list[int]) -> list[int]:
     return found[::-1]
 
 
-def common_blocks(shared: list[tuple[int, int, int]], block_words: int = BLOCK_WORDS) -> list[tuple[int, int]]:
-    """(first, last) indexes into ``shared`` of the blocks to delete.
+def common_blocks(shared: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(first, last) places here of the runs of lines that follow each other in both texts.
 
-    ``shared`` has (place here, place in the holder, words) of the lines that a pair shares, by place here.
+    ``shared`` has (place here, place in the holder) of the lines that a pair shares, by place here.
     """
-    ascent = longest_ascent([there for _, there, _ in shared])
+    ascent = longest_ascent([there for _, there in shared])
     on = set(ascent)
     found = []
     for chain in (ascent, [i for i in range(len(shared)) if i not in on]):
         start = 0
         for k in range(1, len(chain) + 1):
-            here, there, _ = shared[chain[k - 1]]
-            if k < len(chain) and shared[chain[k]][:2] == (here + 1, there + 1):
+            here, there = shared[chain[k - 1]]
+            if k < len(chain) and shared[chain[k]] == (here + 1, there + 1):
                 continue
-            run = chain[start:k]
-            if sum(shared[i][2] for i in run) >= block_words:
-                found.append((run[0], run[-1]))
+            found.append((shared[chain[start]][0], here))
             start = k
     return found
 
 
-def _hashed_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row for each line that is not blank: the document, place among these lines, line number, words, hash."""
+def merged(blocks: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The blocks in order, those that share a place joined."""
+    found: list[tuple[int, int]] = []
+    for first, last in sorted(blocks):
+        if found and first <= found[-1][1]:
+            found[-1] = (found[-1][0], max(found[-1][1], last))
+        else:
+            found.append((first, last))
+    return found
+
+
+def windows(words: list[int], least: int = BLOCK_WORDS) -> list[tuple[int, int]]:
+    """(first, last) of the shortest runs with ``least`` words that start or end at each line.
+
+    A line that has the words alone also makes a run with its neighbours, so that every two lines that
+    follow each other within a longer run are together in one of these.
+    """
+    found = set()
+    last, held = -1, 0
+    for first, own in enumerate(words):
+        while held < least and last + 1 < len(words):
+            last += 1
+            held += words[last]
+        if held < least:
+            break
+        found.add((first, last))
+        if first == last and first + 1 < len(words):
+            found.add((first, first + 1))
+        held -= own
+    first, held = 0, 0
+    for last, own in enumerate(words):
+        held += own
+        while first < last and held - words[first] >= least:
+            held -= words[first]
+            first += 1
+        if held >= least:
+            found.add((first, last))
+    return sorted(found)
+
+
+def _hashed_windows(batches: Iterator[pd.DataFrame], rare_words: int, block_words: int) -> Iterator[pd.DataFrame]:
+    """One row for each window: the document, places and line numbers of its ends, words before it and up to its end, hash."""
+    names = ("id", "hash", "place", "until", "line", "until_line", "before", "through", "digest")
     for batch in batches:
-        ids, hashes, places, lines, words, digests = [], [], [], [], [], []
+        rows = []
         for id_, hash_, text in zip(batch["id"], batch["hash"], batch["text"], strict=True):
             seen: dict[str, int] = {}
-            for place, (number, line) in enumerate(split_lines(text)):
+            numbers, words, digests = [], [], []
+            for number, line in split_lines(text):
                 times = seen[line] = seen.get(line, -1) + 1
-                ids.append(id_)
-                hashes.append(hash_)
-                places.append(place)
-                lines.append(number)
+                numbers.append(number)
                 words.append(len(line.split()))
                 digests.append(xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"), times))
-        yield pd.DataFrame({"id": pd.Series(ids, dtype="object"), "hash": hashes, "place": places, "line": lines, "words": words, "digest": digests})
+            sums = list(accumulate(words, initial=0))
+            for a, b in windows(words, block_words):
+                if max(words[a : b + 1]) < rare_words:
+                    continue
+                digest = digests[a] if a == b else xxhash.xxh3_128_digest(b"".join(digests[a : b + 1]))
+                rows.append((id_, hash_, a, b, numbers[a], numbers[b], sums[a], sums[b + 1], digest))
+        columns = zip(*rows, strict=True) if rows else ([] for _ in names)
+        yield pd.DataFrame({n: pd.Series(list(c), dtype="object" if n in ("id", "digest") else "int64") for n, c in zip(names, columns, strict=True)})
 
 
 def deleted_blocks(
@@ -102,30 +153,34 @@ def deleted_blocks(
 ) -> DataFrame:
     """From (id, hash, text): (id, hash, blocks, words, holders) of the documents that lose lines.
 
-    ``blocks`` has the first and last line number of each block, ``holders`` the ids of the documents that
-    keep it.
+    ``blocks`` has the first and last line number of each block, ``holders`` the ids of the first documents
+    that hold its windows.
     """
     kind = dict(keyed.dtypes)["id"]
     # ids go to pandas as text: next to a null it would make long integers floating-point numbers
-    lines = (
+    runs = (
         keyed.where("text is not null")
         .withColumn("id", F.col("id").cast("string"))
-        .mapInPandas(_hashed_lines, "id string, hash long, place int, line int, words int, digest binary")
+        .mapInPandas(
+            lambda batches: _hashed_windows(batches, rare_words, block_words),
+            "id string, hash long, place int, until int, line int, until_line int, before int, through int, digest binary",
+        )
         .withColumn("id", F.col("id").cast(kind))
     )
     # sums over documents, not lists of them: a line may be in a third of all documents. Cut, so that
     # the join below has a shuffle on both sides and splits the rows of such a line over tasks
     held = cut(
-        lines.groupBy("digest")
+        runs.groupBy("digest")
         .agg(F.min(F.struct("id", "hash", "place")).alias("first"), F.max(F.struct("id", "hash")).alias("last"))
         .where("struct(first.id, first.hash) < last")
         .select("digest", F.col("first.id").alias("holder"), F.col("first.hash").alias("holder_hash"), F.col("first.place").alias("there"))
     )
+    ends = ("place", "until", "line", "until_line", "before", "through")
     shared = (
-        lines.join(held, "digest")
+        runs.join(held, "digest")
         .where(~(F.col("id").eqNullSafe(F.col("holder")) & (F.col("hash") == F.col("holder_hash"))))
         .select(
-            F.col("id").cast("string").alias("id"), "hash", "place", "line", "words",
+            F.col("id").cast("string").alias("id"), "hash", *ends,
             F.col("holder").cast("string").alias("holder"), "holder_hash", "there",
         )
         .distinct()  # rows equal in all columns are one document
@@ -133,25 +188,21 @@ def deleted_blocks(
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def blocks_of(document, rows):
-            pairs: dict[tuple, list[tuple]] = {}
-            for place, line, words, holder, holder_hash, there in rows:
-                pairs.setdefault((None if pd.isna(holder) else holder, holder_hash), []).append((place, there, words, line))
-            blocks, words, holders = [], 0, []
-            for (holder, _), common in pairs.items():
-                if max(row[2] for row in common) < rare_words:
-                    continue
-                found = common_blocks([row[:3] for row in common], block_words)
-                for first, last in found:
-                    blocks.append((common[first][3], common[last][3]))
-                    words += sum(row[2] for row in common[first : last + 1])
-                if found:
-                    holders.append(holder)
-            return (*document, sorted(blocks), words, holders) if blocks else None
+            pairs: dict[tuple, dict[int, int]] = {}
+            starts, stops = {}, {}
+            for place, until, line, until_line, before, through, holder, holder_hash, there in rows:
+                common = pairs.setdefault((None if pd.isna(holder) else holder, holder_hash), {})
+                common.update((place + i, there + i) for i in range(until - place + 1))
+                starts[place], stops[until] = (line, before), (until_line, through)
+            found = merged([block for common in pairs.values() for block in common_blocks(sorted(common.items()))])
+            blocks = [(starts[first][0], stops[last][0]) for first, last in found]
+            words = sum(stops[last][1] - starts[first][1] for first, last in found)
+            return (*document, blocks, words, list(dict.fromkeys(holder for holder, _ in pairs)))
 
         now, rows = None, []
         for batch in batches:
             done = []
-            columns = [batch[c].tolist() for c in ("id", "hash", "place", "line", "words", "holder", "holder_hash", "there")]
+            columns = [batch[c].tolist() for c in ("id", "hash", *ends, "holder", "holder_hash", "there")]
             for id_, hash_, *row in zip(*columns, strict=True):
                 document = (None if pd.isna(id_) else id_, hash_)
                 if document != now:
@@ -165,14 +216,13 @@ def deleted_blocks(
 
     return (
         shared.repartition("id", "hash")
-        .sortWithinPartitions("id", "hash", "place")
+        .sortWithinPartitions("id", "hash", "place", "until")
         .mapInPandas(align, "id string, hash long, blocks array<struct<first int, last int>>, words long, holders array<string>")
         .withColumns({"id": F.col("id").cast(kind), "holders": F.col("holders").cast(f"array<{kind}>")})
     )
 
 
 def _frame(rows: list) -> pd.DataFrame:
-    rows = [r for r in rows if r is not None]
     return pd.DataFrame({
         "id": pd.Series([r[0] for r in rows], dtype="object"), "hash": pd.Series([r[1] for r in rows], dtype="int64"),
         "blocks": pd.Series([[{"first": a, "last": b} for a, b in r[2]] for r in rows], dtype="object"),
