@@ -129,3 +129,19 @@ def test_against_all_pairs(spark):
         assert sorted(gone) == [k for b in got[i]["blocks"] or [] for k in range(b["first"], b["last"] + 1)]
         n += len(gone)
     assert n > 300
+
+
+def test_many_short_lines_make_a_block(spark):
+    verse = "\n".join(f"verse line {i}" for i in range(60))
+    got = run(spark, [(1, f"first\n{verse}"), (2, f"second\n{verse}\nend"), (3, "verse line 4\nverse line 5\nmine")])
+    assert got[2]["text"] == "second\nend" and got[2]["words"] == 180
+    assert got[3]["blocks"] is None
+
+
+def test_scripts_without_spaces(spark):
+    chinese = "这是一个没有空格的很长的中文句子用来测试"
+    thai = "ประโยคภาษาไทยนี้ไม่มีช่องว่างระหว่างคำเลย"
+    code = "x" * 200
+    got = run(spark, [(1, f"{chinese}\n一\n{thai}\n二\n{code}\n短句"), (2, f"甲\n{chinese}\n乙\n{thai}\n丙\n{code}\n丁\n短句"), (3, f"{chinese}\n一")])
+    assert got[2]["text"] == "甲\n乙\n丙\n丁\n短句" and got[3]["text"] == ""
+    assert L.line_words("plain words only") == 3 and L.line_words("Üben é ñ") == 3

@@ -10,8 +10,10 @@ lines of ``BLOCK_WORDS`` words that start or end at a line, and of two lines whe
 Every common block is made up of windows that overlap, whole in both documents, so the first document that
 holds a window (its holder) stands for all earlier ones with it: a document is paired with the holders of
 its windows, and the blocks in common with them cover the blocks in common with all earlier documents. A
-line in a third of all documents makes one pair for each of them, never all pairs. Only windows with a line
-that is rare by its length (``RARE_WORDS`` words or more; shorter lines recur by chance) make pairs.
+line in a third of all documents makes one pair for each of them, never all pairs. What is rare is the
+window, not a line: lines of any length and frequency count if enough of them follow each other.
+
+Words are counted so that scripts without spaces work too: see ``line_words``.
 
 A pair is aligned by patience: all its shared lines are unique in both texts, and the longest sequence of
 them that ascends in both is the alignment. Lines off it (moved passages) align along their own diagonal.
@@ -25,6 +27,7 @@ come out alike; an empty table gives an empty result; extra columns are kept as
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
@@ -36,8 +39,12 @@ from pyspark.sql import functions as F
 
 from workpulse.llm.common import cut, row_hash
 
-RARE_WORDS = 4
 BLOCK_WORDS = 8
+#: Characters of one word where no spaces tell: of a script without them, and of any long string at least.
+SCRIPT_CHARS = 2
+STRING_CHARS = 16
+# Thai, Lao, Tibetan, Myanmar, Khmer, Japanese and Chinese
+_UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
 def split_lines(text: str) -> list[tuple[int, str]]:
@@ -45,6 +52,17 @@ def split_lines(text: str) -> list[tuple[int, str]]:
     return [(i, line) for i, part in enumerate(text.split("\n")) if (line := part.strip())]
 
 
+def line_words(line: str) -> int:
+    """Words of a line: those between spaces, and one more for every ``SCRIPT_CHARS`` characters of scripts without spaces.
+
+    Never fewer than one for every ``STRING_CHARS`` characters (code without spaces, encoded data).
+    """
+    words = len(line.split())
+    if not line.isascii():
+        words += len(_UNSPACED.findall(line)) // SCRIPT_CHARS
+    return max(words, len(line) // STRING_CHARS)
+
+
 def longest_ascent(values: list[int]) -> list[int]:
     """Positions of a longest strictly ascending subsequence, by patience sorting."""
     tops: list[int] = []
@@ -125,7 +143,7 @@ def windows(words: list[int], least: int = BLOCK_WORDS) -> list[tuple[int, int]]
     return sorted(found)
 
 
-def _hashed_windows(batches: Iterator[pd.DataFrame], rare_words: int, block_words: int) -> Iterator[pd.DataFrame]:
+def _hashed_windows(batches: Iterator[pd.DataFrame], block_words: int) -> Iterator[pd.DataFrame]:
     """One row for each window: the document, places and line numbers of its ends, words before it and up to its end, hash."""
     names = ("id", "hash", "place", "until", "line", "until_line", "before", "through", "digest")
     for batch in batches:
@@ -136,21 +154,17 @@ def _hashed_windows(batches: Iterator[pd.DataFrame], rare_words: int, block_word
             for number, line in split_lines(text):
                 times = seen[line] = seen.get(line, -1) + 1
                 numbers.append(number)
-                words.append(len(line.split()))
+                words.append(line_words(line))
                 digests.append(xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"), times))
             sums = list(accumulate(words, initial=0))
             for a, b in windows(words, block_words):
-                if max(words[a : b + 1]) < rare_words:
-                    continue
                 digest = digests[a] if a == b else xxhash.xxh3_128_digest(b"".join(digests[a : b + 1]))
                 rows.append((id_, hash_, a, b, numbers[a], numbers[b], sums[a], sums[b + 1], digest))
         columns = zip(*rows, strict=True) if rows else ([] for _ in names)
         yield pd.DataFrame({n: pd.Series(list(c), dtype="object" if n in ("id", "digest") else "int64") for n, c in zip(names, columns, strict=True)})
 
 
-def deleted_blocks(
-    keyed: DataFrame, rare_words: int = RARE_WORDS, block_words: int = BLOCK_WORDS
-) -> DataFrame:
+def deleted_blocks(keyed: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """From (id, hash, text): (id, hash, blocks, words, holders) of the documents that lose lines.
 
     ``blocks`` has the first and last line number of each block, ``holders`` the ids of the first documents
@@ -162,7 +176,7 @@ def deleted_blocks(
         keyed.where("text is not null")
         .withColumn("id", F.col("id").cast("string"))
         .mapInPandas(
-            lambda batches: _hashed_windows(batches, rare_words, block_words),
+            lambda batches: _hashed_windows(batches, block_words),
             "id string, hash long, place int, until int, line int, until_line int, before int, through int, digest binary",
         )
         .withColumn("id", F.col("id").cast(kind))
@@ -231,16 +245,14 @@ def _frame(rows: list) -> pd.DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", rare_words: int = RARE_WORDS, block_words: int = BLOCK_WORDS
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """(``_row``, ``text``, ``blocks``, ``words``, ``holders``): the packed rows and their texts without the blocks."""
     columns = [docs[c] for c in docs.columns]
     keyed = docs.select(F.struct(*columns).alias("_row"), row_hash(docs).alias("hash")).withColumn(
         "id", F.col(f"_row.{id_col}")
     )
-    gone = deleted_blocks(
-        keyed.select("id", "hash", F.col(f"_row.{text}").alias("text")), rare_words, block_words
-    )
+    gone = deleted_blocks(keyed.select("id", "hash", F.col(f"_row.{text}").alias("text")), block_words)
     gone = gone.withColumnsRenamed({"id": "gone_id", "hash": "gone_hash"})
     joined = keyed.join(
         gone, (F.col("hash") == F.col("gone_hash")) & F.col("id").eqNullSafe(F.col("gone_id")), "left"
