@@ -55,3 +55,33 @@ def test_query_finds_every_notice(spark):
 def test_awkward_tables(awkward, empty):
     assert L.license_notices(awkward).count() == 0
     assert L.license_notices(empty).count() == 0
+
+
+GPL = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+CC = "This work is licensed under a Creative Commons Attribution{} License."
+
+
+@pytest.mark.parametrize(
+    ("name", "text"),
+    [
+        ("GPL-3.0-or-later", GPL.format("", 3)),
+        ("GPL-2.0-or-later", GPL.format("", 2)),
+        ("LGPL-3.0-or-later", GPL.format("Lesser ", 3)),
+        ("LGPL-2.1-or-later", GPL.format("Lesser ", "2.1").replace("program", "library")),
+        ("LGPL-2.0-or-later", GPL.format("Library ", 2).replace("program", "library")),
+        ("AGPL-3.0-or-later", GPL.format("Affero ", 3)),
+        (None, GPL.format("", 9)),
+        (None, GPL.format("Grander ", 3)),
+        ("CC-BY-4.0", CC.format(" 4.0 International")),
+        ("CC-BY-ND-4.0", CC.format("-NoDerivatives 4.0 International")),
+        ("CC-BY-3.0", CC.format(" 3.0 Unported")),
+        (None, CC.format(" 3.0 International")),
+        (None, CC.format("-NonCommercial 1.0 International")),
+        ("GPL-1.0", "This work is licensed under the GNU General Public License, version 1."),
+        ("GPL-2.0-or-later", "This work is licenced under the GNU General Public License, version 2 or later."),
+        (None, "This work is licensed under the GNU General Public License, version 7."),
+        (None, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.0."),
+    ],
+)
+def test_siblings_and_versions_are_told_apart(name, text):
+    assert [n[0] for n in L.text_notices(f"Some words before it. {text} And others behind it.")] == ([name] if name else [])

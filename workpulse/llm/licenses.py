@@ -6,9 +6,10 @@ stretches joined. Every block is compressed with zstandard alone and with each t
 dictionary; what the dictionary saves, as a share of what it could save on the template itself, ranks
 the templates. From the best down, a template is confirmed by aligning its words (lower case, letters and
 digits) with the block's: its differences (words left out, put in or changed within the aligned stretch)
-must be at most ``DIFFERENCE_RATE`` of its words. Short notices must therefore agree word for word, which
-tells apart licenses that differ in one word or a version. A block may hold several notices: a confirmed
-stretch is taken out and the rest is tried again.
+must be at most ``DIFFERENCE_RATE`` of its words, and none may fall on a telling word (``TELLING``: names
+of licenses, versions, conditions), on either side, or between two of them. Templates of under 10 words must
+agree word for word, longer ones in all that tells a license from its siblings and its other versions. A
+block may hold several notices: a confirmed stretch is taken out and the rest is tried again.
 
 Defined cases: a null or empty text holds none; very long texts are searched whole, block by block; of
 templates that fit the same stretch the one with fewer differences per word wins, then the longer, then
@@ -57,8 +58,46 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    # siblings and other versions of the licenses above
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("Apache-1.1", "Released under the Apache License, Version 1.1."),
+    ("BSD-4-Clause", "Licensed under the BSD 4-Clause License."),
+    ("ECL-2.0", "Licensed under the Educational Community License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.osedu.org/licenses/ECL-2.0"),
+    ("LGPL-2.0-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+    ("NCSA", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal with the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    *(
+        (f"{name}-or-later", f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+        for name, kind, version in (("GPL-1.0", "", "1"), ("GPL-2.0", "", "2"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3"))
+    ),
+    *(
+        (name + ("-or-later" if more else ""), f"This work is licensed under the GNU {kind}General Public License, version {version}{more}.")
+        for name, kind, version in (("GPL-1.0", "", "1"), ("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3"))
+        for more in ("", " or later")
+        if more or name not in ("GPL-2.0", "GPL-3.0")
+    ),
+    ("GPL-2.0", "Licensed under the GNU General Public License v2.0."),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    *(
+        (f"CC-{code}-{version}", f"This work is licensed under a Creative Commons {name} {version} {area} License.")
+        for code, name in (("BY", "Attribution"), ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-SA", "Attribution-ShareAlike"))
+        for version, area in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic"))
+        if version != "4.0" or code in ("BY-NC-ND", "BY-NC-SA", "BY-ND")
+    ),
+    *(
+        (f"CC-{code}-{version}", f"Licensed under CC {code} {version}.")
+        for code in ("BY", "BY-NC", "BY-NC-ND", "BY-NC-SA", "BY-ND", "BY-SA")
+        for version in ("3.0", "2.5", "2.0")
+    ),
 )
 
+#: Words that tell a license from another: no difference within the tolerance may take, put or change one.
+TELLING = re.compile(
+    r"v?\d+|gnu|general|public|lesser|affero|mozilla|apache|educational|community|bsd|mit|isc|clause|unlicense"
+    r"|creative|commons|attribution|non|commercial|noncommercial|noderiv\w*|derivatives?|share|alike|sharealike|nc|nd|sa|cc0?"
+    r"|international|unported|generic|universal|igo|version|later|only|either|no|not"
+)
+
 #: Every template has one of these words, whichever of its words differ within the tolerance.
 CUE = r"(?i)licen[cs]|permission|permitted|redistribut|public domain|free software"
 REACH = 400
@@ -95,6 +134,7 @@ class Matcher:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
         self.templates = templates
         self.words = [words_with_places(text)[0] for _, text in templates]
+        self.telling = [[TELLING.fullmatch(w) is not None for w in words] for words in self.words]
         own = [" ".join(words).encode() for words in self.words]  # blocks are compared in this form too
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.given = [
@@ -138,10 +178,18 @@ class Matcher:
             last = start + max((j2 for op, _, _, _, j2 in codes if op == "equal"), default=1) - 1
             found = [f"{' '.join(wanted[i1:i2])}>{' '.join(window[j1:j2])}" for op, i1, i2, j1, j2 in codes if op != "equal"]
             size = sum(max(i2 - i1, j2 - j1) for op, i1, i2, j1, j2 in codes if op != "equal")
-            if size <= allowed and (best is None or size < best[0]):
+            if size > allowed or any(self.telltale(number, i1, i2, window[j1:j2]) for op, i1, i2, j1, j2 in codes if op != "equal"):
+                continue
+            if best is None or size < best[0]:
                 best = (size, found, start, last)
         return best[1:] if best else None
 
+    def telltale(self, number: int, start: int, end: int, put: list[str]) -> bool:
+        """Whether ``put`` in place of words [start, end) of a template makes it the notice of another license."""
+        telling = self.telling[number]
+        between = 0 < start < len(telling) and start == end and telling[start - 1] and telling[start]
+        return between or any(telling[start:end]) or any(TELLING.fullmatch(w) for w in put)
+
     def notices(self, block: str) -> list[tuple]:
         """(license, start, end, saving, differences) of the notices in a block, in order of place."""
         confirmed = []
