@@ -94,3 +94,9 @@ def test_evidence_names_examples(spark):
     got = {r["doc_id"]: r["toxicity"] for r in T.score(docs, T.fit(docs, labels)).collect()}
     assert all(got[i]["predicted"] == int(i % 4 == 0) for i in got)
     assert all(e["label"] == 1 and not is_held_out(int(e["id"])) for i in got if i % 4 == 0 for e in got[i]["evidence"])
+
+
+def test_rare_toxic_wording_is_a_term():
+    """A term of 14 in 1000 toxic examples and of no clean one is indexed."""
+    chi = T.chi_square(np.array([14, 5]), np.array([0, 4]), 1000, 1000)
+    assert T.best_terms(chi, 2000).tolist() == [0]
