@@ -110,3 +110,14 @@ def test_awkward_tables(spark, awkward, empty, items):
     assert kept.columns == awkward.columns and kept.count() == awkward.count() - 4
     assert X.contaminated(empty, benchmark).count() == 0
     assert X.drop_contaminated(awkward, benchmark.where("false")).count() == awkward.count()
+
+
+def test_parts_run_in_turn_and_repeated_items_are_sent_once(spark, items):
+    docs = spark.createDataFrame([(k, f"x {t} y") for k, t in items], "doc_id long, text string")
+    benchmark = spark.createDataFrame([*items, *[items[0]] * 49], "item_id long, text string")
+    assert sum(p.count() for p in X.benchmark_parts(benchmark, "item_id", "text", 300)) == len(items)
+    found = X.contaminated(docs, benchmark, part_chars=300)
+    # the hits of every part are written by now: no part's index is left in the plan
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().toString()
+    got = [r["item_id"] for r in found.collect()]
+    assert got.count(items[0][0]) == 50 and sorted(got) == sorted(r["item_id"] for r in X.contaminated(docs, benchmark).collect())

@@ -9,7 +9,9 @@ match and are dropped. A banded alignment with free ends in the text verifies wh
 span and its exact number of edits.
 
 The benchmark is the query set. Its index goes to the workers in parts of at most ``PART_CHARS``
-characters; a larger benchmark is run in several parts over the documents, with the same result.
+characters, counting repeated items once; a larger benchmark is run part after part over the documents,
+with the same result. The hits of a part are written before the next one is collected, and its index is
+given up.
 
 Defined cases: a null or empty text contains nothing; null and empty items are left out; an item shorter
 than q characters is contained only in a text that equals it; for short items k is lowered so that the
@@ -27,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workpulse.llm.common import text_or_empty
+from workpulse.llm.common import cut, text_or_empty
 
 #: Length of the q-grams: as many bytes as a 64-bit number has.
 Q = 8
@@ -236,8 +238,9 @@ class ItemIndex:
 
 
 def benchmark_parts(benchmark: DataFrame, id_col: str, text: str, part_chars: int) -> list[DataFrame]:
-    """The items (item_id, text) in parts of about ``part_chars`` characters, by a hash of id and text."""
+    """The distinct items (item_id, text, times) in parts of about ``part_chars`` characters, by a hash of id and text."""
     items = benchmark.select(benchmark[id_col].alias("item_id"), benchmark[text].alias("text")).where("length(text) > 0")
+    items = items.groupBy("item_id", "text").agg(F.count("*").alias("times"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, math.ceil(chars / part_chars))
     mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
@@ -248,7 +251,10 @@ def _hits_with(sent: Broadcast, kind: str):
     @F.pandas_udf(HITS.format(kind=kind))
     def of(texts: pd.Series) -> pd.Series:
         known = sent.value
-        return pd.Series([known.hits(t) for t in texts], dtype="object")
+        # an item stands for all its equal ones, which are answered each
+        return pd.Series(
+            [[h | {"item_id": h["item_id"][0]} for h in known.hits(t) for _ in range(h["item_id"][1])] for t in texts], dtype="object"
+        )
 
     return of
 
@@ -260,14 +266,17 @@ def with_hits(
     """(``_row``, ``hits``): the packed rows and the benchmark items that their texts contain."""
     kind = dict(benchmark.dtypes)[id_col]
     found = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), text_or_empty(docs[text]).alias("_text"))
-    columns = []
-    for part in benchmark_parts(benchmark, id_col, item_text, part_chars):
+    parts = benchmark_parts(benchmark, id_col, item_text, part_chars)
+    for number, part in enumerate(parts):
         # a part is bounded by its characters
-        index = ItemIndex([(r["item_id"], r["text"]) for r in part.collect()], rate)
+        index = ItemIndex([((r["item_id"], r["times"]), r["text"]) for r in part.collect()], rate)
         sent = docs.sparkSession.sparkContext.broadcast(index)
-        columns.append(_hits_with(sent, kind)("_text"))
-    hits = columns[0] if len(columns) == 1 else F.concat(*columns)
-    return found.select("_row", hits.alias("hits"))
+        hits = _hits_with(sent, kind)("_text")
+        found = found.select("_row", "_text", (F.concat("hits", hits) if number else hits).alias("hits"))
+        if len(parts) > 1:
+            found = cut(found)
+            sent.destroy()
+    return found.select("_row", "hits")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
