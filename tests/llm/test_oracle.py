@@ -11,7 +11,8 @@ from workpulse.llm.queries import QUERIES
 def test_query_matches_oracle(spark, name, sf):
     con = duckdb.connect()
     folder = f"/root/testdata/{sf}"
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet')")
+    for table in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
     res = compare(spark, QUERIES[name], ORACLE[name], folder, con)
     assert res["columns_match"] and res["types_match"] and res["values_match"], res
     assert res["spark_rows"] == res["oracle_rows"] > 0

@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import decontaminate, language, licenses, lines, mixing, secrets, simhash, spotsigs, tokens, toxicity
+from workpulse.llm import (
+    decontaminate, language, licenses, lines, mixing, packing, prefix_tree, ranked_search, secrets, simhash, spotsigs, tokens, toxicity,
+)
 from workpulse.llm.common import held_out, read_table, text_or_empty
 
 
@@ -96,6 +98,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_tree.turns(read_table(spark, sf_dir, "conversations"))
+    return prefix_tree.prefix_trie(prefix_tree.with_shared_openings(own))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
@@ -107,4 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lines": op8_lines,
     "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,
+    "op11_packing": op11_packing,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_ranked_search": op13_ranked_search,
 }
