@@ -3,7 +3,7 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from workpulse.llm.common import connected_components, first_by_hash, row_hash, whole_groups, word_count
+from workpulse.llm.common import connected_components, first_by_hash, row_hash, sample_rows, whole_groups, word_count
 
 
 def test_first_by_hash(spark):
@@ -14,6 +14,24 @@ def test_first_by_hash(spark):
     assert sorted((r["g"], r["id"]) for r in got) == sorted((g, i) for g, own in want.items() for _, i in own)
 
 
+def test_sample_rows(spark):
+    """Distinct rows: the same as first_by_hash. Repeated rows: as often as their share makes them, never none, never too many."""
+    rows = spark.range(6000).select(F.col("id"), F.when(F.col("id") < 30, "few").otherwise("many").alias("g"))
+    sizes = {"few": 30, "many": 5970}
+    one, other = (f(rows, "g", sizes, 200, F.xxhash64("id")).collect() for f in (first_by_hash, sample_rows))
+    assert sorted((r["g"], r["id"], r["_order"]) for r in one) == sorted((r["g"], r["id"], r["_order"]) for r in other)
+    # a: one row; b: one row with half of the group; c: 40 rows of 500 copies each; d: fewer rows than asked for
+    copies = [("a", 1, 20_000), ("b", 2, 5000), *(("c", 100 + i, 500) for i in range(40)), ("d", 3, 50), ("d", 4, 7)]
+    table = spark.createDataFrame(copies, "g string, id long, n int").selectExpr("g", "id", "explode(sequence(1, n)) as x").drop("x")
+    table = table.unionByName(spark.range(10_000, 15_000).selectExpr("'b' as g", "id")).repartition(7)
+    sizes = {r["g"]: r["count"] for r in table.groupBy("g").count().collect()}
+    got = [(r["g"], r["id"]) for r in sample_rows(table, "g", sizes, 1000, F.xxhash64("id")).collect()]
+    count = lambda g: sum(x == g for x, _ in got)
+    assert (count("a"), count("b"), count("d")) == (1000, 1000, 57) and got.count(("d", 4)) == 7
+    assert 430 < got.count(("b", 2)) < 570 and len({i for g, i in got if g == "b"}) > 400
+    assert count("c") == 1000 and all(5 < got.count(("c", 100 + i)) < 60 for i in range(40))
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(3)
     for size, links in ((60, 40), (200, 180)):

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -57,6 +58,56 @@ def test_undetermined_and_awkward_tables(spark, awkward, empty):
     assert none.predict("any text") == ("und", 0.0)
 
 
+@pytest.mark.parametrize("copies", [{"en": 20_000}, {"en": 20_000, "fr": 9000}, {"en": 3000, "fr": 20}])
+def test_repeated_rows_teach(spark, copies):
+    """Neither one nor several languages of repeated rows are lost, with or without other rows."""
+    texts = {"en": "the cat and the dog", "fr": "le chat et la souris"}
+    rows = spark.createDataFrame([(1, t, lang, copies.get(lang, 0)) for lang, t in texts.items()], "id long, text string, lang string, n int")
+    rows = rows.where("n > 0").selectExpr("id", "text", "lang", "explode(sequence(1, n)) as x").drop("x")
+    if "fr" not in copies:
+        rows = rows.unionByName(spark.range(3000).selectExpr("id", "concat('le chat et la souris ', id % 7) as text", "'fr' as lang"))
+    model = L.fit(rows)
+    assert model.languages == ["en", "fr"]
+    assert model.predict("the cat and the dog")[0] == "en" and model.predict("le chat et la souris")[0] == "fr"
+
+
+def follow_slowly(rows, classes, epochs):
+    """FTRL-proximal with an elastic net, one coordinate at a time."""
+    z, n = {}, {}
+
+    def weight(i, k):
+        l1 = 0.0 if i == "bias" else L.L1
+        v = z.get((i, k), 0.0)
+        return 0.0 if abs(v) <= l1 else -(v - math.copysign(l1, v)) / ((L.BETA + math.sqrt(n.get((i, k), 0.0))) / L.ALPHA + L.L2)
+
+    for _ in range(epochs):
+        for found, values, label in rows:
+            x = {**dict(zip(found.tolist(), values.tolist(), strict=True)), "bias": 1.0}
+            w = {(i, k): weight(i, k) for i in x for k in range(classes)}
+            scores = [sum(v * w[i, k] for i, v in x.items()) for k in range(classes)]
+            top = [math.exp(s - max(scores)) for s in scores]
+            for i, v in x.items():
+                for k in range(classes):
+                    g = v * (top[k] / sum(top) - (k == label))
+                    old = n.get((i, k), 0.0)
+                    sigma = (math.sqrt(old + g * g) - math.sqrt(old)) / L.ALPHA
+                    z[i, k] = z.get((i, k), 0.0) + g - sigma * w[i, k]
+                    n[i, k] = old + g * g
+    return weight
+
+
+def test_leader_matches_plain_coordinates():
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(60):
+        found = np.unique(rng.integers(0, 40, 6))
+        rows.append((found, rng.random(len(found)), i % 3))
+    weights, bias = L.follow_the_leader(rows, 3, epochs=2)
+    weight = follow_slowly(rows, 3, 2)
+    assert np.allclose(weights[:40], [[weight(i, k) for k in range(3)] for i in range(40)])
+    assert np.allclose(bias, [weight("bias", k) for k in range(3)])
+
+
 def test_too_many_languages(spark, monkeypatch):
     monkeypatch.setattr(L, "MOST_LANGUAGES", 1)
     with pytest.raises(ValueError):

@@ -72,6 +72,49 @@ def first_by_hash(rows: DataFrame, group: str, sizes: dict, most: int, order: Co
     return few.withColumn("_place", place).where(F.col("_place") <= most).drop("_group", "_bound", "_place")
 
 
+def sample_rows(rows: DataFrame, group: str, sizes: dict, most: int, order: Column) -> DataFrame:
+    """Of each ``group`` value in ``sizes`` about the ``most`` first rows by the hash ``order``, repeated rows as often as
+    their share of the group makes them.
+
+    Equal rows have one hash. They are counted, as (group, hash) only, and a hash that n of a group's N rows have is due
+    2 * most * n / N candidates: its whole part, and one more where the hash itself falls below the rest. Each
+    candidate of a repeated row has a place of its own below the bound, so that ``most`` of them, the first by
+    place, are a fair share. Without repeated rows this is ``first_by_hash``. The candidates, about 2 * ``most`` a
+    group, are the side that is broadcast; the copies of a row become one before they are dealt out again.
+    """
+    span = 1 << 64
+    spark = rows.sparkSession
+    kind = dict(rows.dtypes)[group]
+    bounds = [(value, float(n), min(span, 2 * most * span // max(1, n)) - (span >> 1) - 1) for value, n in sizes.items()]
+    below = spark.createDataFrame(bounds, f"_group {kind}, _size double, _bound long")
+    hashed = rows.withColumn("_hash", order)
+    low = -(1 << 63)
+    part = (F.col("_hash").cast("double") - float(low)) / float(span)
+    due = F.col("_n") * (2.0 * most) / F.col("_size")
+    once = (F.col("_n") == 1) & (F.col("_hash") <= F.col("_bound"))
+    many = F.least(F.floor(due) + (part < due - F.floor(due)).cast("long"), F.col("_n"))
+    counted = (
+        hashed.groupBy(F.col(group).alias("_group"), "_hash").agg(F.count("*").alias("_n"))
+        .join(F.broadcast(below), "_group")
+        .withColumn("_times", F.when(F.col("_n") == 1, once.cast("long")).otherwise(many))
+        .where("_times > 0")
+    )
+    others = [c for c in rows.columns if c != group]
+    same = (F.col(group) == F.col("_group")) & (hashed["_hash"] == F.col("_h"))
+    chosen = hashed.join(F.broadcast(counted.withColumnRenamed("_hash", "_h")), same).groupBy("_group", "_h", "_n", "_times", "_bound").agg(
+        F.min(F.struct(*others)).alias("_row")
+    )
+    width = F.col("_bound").cast("decimal(38,0)") - F.lit(low).cast("decimal(38,0)") + 1
+    own = (F.pmod(F.xxhash64("_h", "_copy").cast("decimal(38,0)"), width) + F.lit(low).cast("decimal(38,0)")).cast("long")
+    each = chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).withColumn(
+        "_order", F.when(F.col("_n") == 1, F.col("_h")).otherwise(own)
+    )
+    place = F.row_number().over(Window.partitionBy("_group").orderBy("_order", "_h", "_copy"))
+    return each.withColumn("_place", place).where(F.col("_place") <= most).select(
+        F.col("_group").alias(group), *(F.col("_row")[c].alias(c) for c in others), "_order"
+    )
+
+
 def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str], rows: int) -> Iterator[pd.DataFrame]:
     """Regroup the batches of a partition sorted by ``keys`` into frames of whole groups.
 

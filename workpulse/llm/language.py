@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from workpulse.llm.common import cut, first_by_hash, text_or_empty
+from workpulse.llm.common import cut, sample_rows, text_or_empty
 from workpulse.llm.grams import hashed_grams
 
 GRAMS = (1, 2, 3)
@@ -160,7 +160,7 @@ def fit(learnable: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return Model([], idf, np.zeros((1 << BITS, 0)), np.zeros(0), 1.0)
-    sample = first_by_hash(rows, "lang", {r["lang"]: r["count"] for r in sizes}, per_language, F.xxhash64("id", "text"))
+    sample = sample_rows(rows, "lang", {r["lang"]: r["count"] for r in sizes}, per_language, F.xxhash64("id", "text"))
     place = {name: i for i, name in enumerate(languages)}
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,7 +175,8 @@ def fit(learnable: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     schema = "order long, label int, found array<int>, counts array<int>"
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(batches), ignore_index=True).sort_values("order", kind="stable")
+        frame = pd.concat([pd.DataFrame(columns=["order", "label", "found", "counts"]), *batches], ignore_index=True)
+        frame = frame.sort_values("order", kind="stable")
         data = []
         for f, c, label in zip(frame["found"], frame["counts"], frame["label"], strict=True):
             found = np.asarray(f, dtype=np.int64)
