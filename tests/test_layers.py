@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from workpulse.operators.daily import daily_user_metrics
 from workpulse.plans.catalog import AS_OF, BOUNDED_DIMS, enriched
 from workpulse.plans.layers import build_layers
-from workpulse.sources import testdata
+from workpulse.sources import read_published, testdata
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,7 +29,7 @@ def test_build_publishes_every_layer(spark):
         "staging_enriched_sessions", "staging_daily_user_metrics",
         "analytics_user_activity_metrics", "analytics_app_productivity",
         "analytics_retention_cohorts", "analytics_project_allocation"}
-    daily_back = spark.read.parquet(os.path.join(out, "staging_daily_user_metrics"))
+    daily_back = read_published(spark, os.path.join(out, "staging_daily_user_metrics"))
     assert _rows(daily_back.select(*daily_user_metrics(enriched(spark, SF)).columns)) == _rows(
         daily_user_metrics(enriched(spark, SF)))
 
@@ -58,10 +58,10 @@ def test_cli_rebuild_from_csv(spark):
         df = (src if src is not None else spark.range(0)).select(*cols)
         write_csv(df.coalesce(1), os.path.join(raw_dir, RAW_FILES[table]))
     main(["--raw-dir", raw_dir, "--out-dir", out, "--as-of", AS_OF])
-    back = spark.read.parquet(os.path.join(out, "staging_enriched_sessions"))
+    back = read_published(spark, os.path.join(out, "staging_enriched_sessions"))
     assert back.count() == 1000
     assert back.filter("is_valid_session = 1").count() == 979
-    cohorts = spark.read.parquet(os.path.join(out, "analytics_retention_cohorts"))
+    cohorts = read_published(spark, os.path.join(out, "analytics_retention_cohorts"))
     assert cohorts.filter("weeks_since_cohort = 0 AND retention_pct = 100.0").count() == \
         cohorts.filter("weeks_since_cohort = 0").count() > 0
 
@@ -91,7 +91,7 @@ def test_session_table_prunes_dates(spark):
 
     out = tempfile.mkdtemp(prefix="wp-prune-", dir="/tmp")
     build_layers(spark, testdata.model(spark, SF), out, AS_OF, 90, broadcast_dims=BOUNDED_DIMS)
-    published = spark.read.parquet(os.path.join(out, "staging_enriched_sessions"))
+    published = read_published(spark, os.path.join(out, "staging_enriched_sessions"))
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         app_productivity(published, AS_OF, 14).explain()

@@ -106,3 +106,84 @@ def test_web_based_flag(spark):
         "app_name string")
     out = [r["is_web_based"] for r in with_web_flag(apps).collect()]
     assert out == [True, True, True, True, False, False, None]
+
+
+def _write(path, lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_columns_are_matched_by_name(spark):
+    from workpulse.sources import header_drift
+
+    raw_dir = _tmp()
+    _write(os.path.join(raw_dir, "dim_projects.csv"), [
+        "account_id,project_id, remark ,project_name,status,start_date,budgeted_hours,priority",
+        "ACC1,PRJ1,note,Harbour,active,2025-03-01,120,High"])
+    tables, report = load_raw(spark, raw_dir)
+    assert [tuple(r) for r in tables["raw_dim_projects"].collect()] == [
+        ("PRJ1", "ACC1", "Harbour", "active", dt.date(2025, 3, 1), None, 120, "High")]
+    assert tables["raw_dim_projects"].schema == RAW_SCHEMAS["raw_dim_projects"]
+    drift = sorted((r["column_name"], r["drift"], r["declared_at"], r["found_at"]) for r in header_drift(spark, report).collect())
+    assert drift == [("account_id", "reordered", 2, 1), ("end_date", "missing", 6, None), ("project_id", "reordered", 1, 2),
+                     ("remark", "added", None, 3)]
+
+
+def test_header_cases(spark):
+    from workpulse.sources import csv_header, header_drift, malformed_rows
+
+    raw_dir = _tmp()
+    names = [f.name for f in RAW_SCHEMAS["raw_dim_tasks"].fields]
+    path = os.path.join(raw_dir, "dim_tasks.csv")
+    _write(path, ["\ufeff" + ",".join(names), "T1,P1,Fix,todo,5,2025-06-01"])  # byte order mark
+    tables, report = load_raw(spark, raw_dir)
+    assert csv_header(spark, path) == names and tables["raw_dim_tasks"].collect()[0]["task_id"] == "T1"
+    assert header_drift(spark, report).count() == 0
+    open(path, "w").close()  # an empty file has no column and no row
+    tables, report = load_raw(spark, raw_dir)
+    assert tables["raw_dim_tasks"].count() == 0 and tables["raw_dim_tasks"].columns == names
+    assert [r["drift"] for r in header_drift(spark, report).collect()] == ["missing"] * len(names)
+    assert [tuple(r) for r in malformed_rows(spark, report).collect()] == [("raw_dim_tasks", 0, 0)]
+
+
+def test_files_of_a_folder_with_different_headers(spark):
+    """By default the second file is refused, never read by position; each_file reads both by their names."""
+    import pytest
+
+    folder = os.path.join(_tmp(), "dim_tasks.csv")
+    _write(os.path.join(folder, "a.csv"), ["task_id,project_id,task_name", "T1,P1,Fix"])
+    _write(os.path.join(folder, "b.csv"), ["project_id,task_id,estimated_hours", "P2,T2,7"])
+    from workpulse.sources import read_csv_table
+
+    with pytest.raises(Exception, match="header"):
+        read_csv_table(spark, folder, "raw_dim_tasks").collect()
+    got = sorted((r["task_id"], r["project_id"], r["task_name"], r["estimated_hours"])
+                 for r in read_csv_table(spark, folder, "raw_dim_tasks", each_file=True).collect())
+    assert got == [("T1", "P1", "Fix", None), ("T2", "P2", None, 7)]
+
+
+def test_retyped_columns_are_reported(spark):
+    from workpulse.sources import value_drift
+
+    raw_dir = _tmp()
+    _write(os.path.join(raw_dir, "dim_tasks.csv"), [
+        "task_id,project_id,task_name,task_status,estimated_hours,created_date",
+        "T1,P1,Fix,todo,2.5,2025-06-01", "T2,P1,Fix,todo,3,soon", "T3,P1,Fix,todo,,2025-06-02"])
+    _, report = load_raw(spark, raw_dir)
+    assert sorted(tuple(r) for r in value_drift(spark, report).collect()) == [
+        ("raw_dim_tasks", "created_date", "date", 3, 1, "string"), ("raw_dim_tasks", "estimated_hours", "int", 2, 1, "double")]
+
+
+def test_failed_publish_leaves_the_former_table(spark):
+    import pytest
+
+    parent = _tmp()
+    path = os.path.join(parent, "t")
+    publish(spark.range(5), path)
+    boom = spark.range(100).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error("half way")).alias("id"))
+    with pytest.raises(Exception, match="half way"):
+        publish(boom, path)
+    assert spark.read.parquet(path).count() == 5 and os.listdir(parent) == ["t"]
+    publish(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7 and os.listdir(parent) == ["t"]

@@ -1,0 +1,171 @@
+"""Refreshes that commit or leave the former state, and counts observed while writing."""
+
+from __future__ import annotations
+
+import json
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from workpulse.sources import (
+    ConcurrentRefresh,
+    Layout,
+    committed_counts,
+    current_version,
+    read_in_order,
+    read_published,
+    refresh,
+    list_versions,
+)
+
+
+def _tmp():
+    return os.path.join(tempfile.mkdtemp(prefix="wp-versions-", dir="/tmp"), "t")
+
+
+def _boom(df):
+    return df.withColumn("id", F.when(F.col("id") % 50 < 49, F.col("id")).otherwise(F.raise_error("half way")))
+
+
+def _ids(df):
+    return sorted(r["id"] for r in df.collect())
+
+
+def test_refresh_replaces_and_keeps_versions(spark):
+    path = _tmp()
+    for n in (3, 4, 5):
+        assert refresh(spark.range(n), path, keep=2).counts == {"rows": n}
+    assert _ids(read_published(spark, path)) == [0, 1, 2, 3, 4]
+    assert [v.number for v in list_versions(spark, path)] == [2, 3]
+    assert _ids(read_published(spark, path, 2)) == [0, 1, 2, 3]
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, path, 1)
+    assert len(os.listdir(path)) == 3  # two versions and the commits
+
+
+def test_failure_half_way_leaves_the_former_version(spark):
+    path = _tmp()
+    with pytest.raises(Exception, match="half way"):
+        refresh(_boom(spark.range(1000)), path)
+    assert current_version(spark, path) is None
+    refresh(spark.range(4), path)
+    with pytest.raises(Exception, match="half way"):
+        refresh(_boom(spark.range(1000)), path)
+    assert _ids(read_published(spark, path)) == [0, 1, 2, 3]
+    assert sum(name.startswith("v") for name in os.listdir(path)) == 1  # nothing of the failed one is left
+
+
+def test_two_writers(spark, monkeypatch):
+    """The second to commit is refused, and the table is the first one's, whole."""
+    path = _tmp()
+    refresh(spark.range(1), path)
+    from workpulse.sources import versions as V
+
+    real = V.writer
+
+    def slow(df, layout):
+        monkeypatch.setattr(V, "writer", real)
+        refresh(spark.range(10, 13), path)  # another driver is faster
+        return real(df, layout)
+
+    monkeypatch.setattr(V, "writer", slow)
+    with pytest.raises(ConcurrentRefresh):
+        refresh(spark.range(20, 29), path)
+    assert _ids(read_published(spark, path)) == [10, 11, 12]
+    refresh(spark.range(2), path)
+    assert _ids(read_published(spark, path)) == [0, 1]
+
+
+def test_commit_that_is_not_whole_counts_as_none(spark):
+    path = _tmp()
+    refresh(spark.range(2), path)
+    with open(os.path.join(path, "_commits", "00000002.json"), "w") as f:
+        f.write('{"number": 2, "fol')  # a driver died here
+    os.makedirs(os.path.join(path, "v00000002-left"))
+    assert _ids(read_published(spark, path)) == [0, 1]
+    refresh(spark.range(5), path)  # takes the next number
+    assert _ids(read_published(spark, path)) == [0, 1, 2, 3, 4] and current_version(spark, path).number == 3
+    refresh(spark.range(6), path)
+    assert "v00000002-left" not in os.listdir(path)
+
+
+def test_reader_keeps_its_version_while_the_table_is_refreshed(spark):
+    path = _tmp()
+    refresh(spark.range(3), path)
+    before = read_published(spark, path)
+    refresh(spark.range(9), path)
+    assert before.count() == 3 and read_published(spark, path).count() == 9
+
+
+def test_counts_are_observed_while_writing(spark, monkeypatch):
+    """The input is scanned once, and the numbers don't depend on how its tasks are cut."""
+    path = _tmp()
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(1000).repartition(7).mapInPandas(look, "id long").select("id", (F.col("id") % 3 == 0).cast("int").alias("_flag"))
+    version = refresh(df, path, counts={"flagged": F.sum("_flag"), "none": F.sum(F.lit(None).cast("int"))})
+    assert version.counts == {"rows": 1000, "flagged": 334, "none": None} and version.columns == ["id"]
+    assert seen.value == 1000
+    got = committed_counts(spark, {"t": path, "absent": path + "-absent"}, ("rows", "flagged", "other"))
+    assert [tuple(r) for r in got.collect()] == [("t", 1000, 334, None)]
+
+
+def test_empty_and_partitioned_tables(spark):
+    path = _tmp()
+    df = spark.range(4).select("id", F.when(F.col("id") > 0, F.col("id") % 2).alias("part"), F.lit("x").alias("text"))
+    refresh(df, path, Layout(("part",)))
+    assert sorted(map(tuple, read_published(spark, path).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    refresh(df.where("false"), path, Layout(("part",), cluster_by=("id",)))
+    assert read_published(spark, path).count() == 0 and read_published(spark, path).columns == ["id", "part", "text"]
+
+
+def test_view_points_to_the_current_version(spark):
+    path = _tmp()
+    for n in (2, 6):
+        refresh(spark.range(n), path, catalog_name="wp_version_view")
+        assert spark.table("wp_version_view").count() == n
+    spark.sql("DROP VIEW wp_version_view")
+
+
+def test_rebuild_goes_on_after_the_last_committed_layer(spark, monkeypatch):
+    from workpulse.plans import layers
+    from workpulse.plans.catalog import AS_OF, BOUNDED_DIMS
+    from workpulse.sources import testdata
+
+    out = tempfile.mkdtemp(prefix="wp-resume-", dir="/tmp")
+    model = testdata.model(spark, "/root/testdata/sf0.001")
+    real = layers.app_productivity
+    monkeypatch.setattr(layers, "app_productivity", lambda *a: real(*a).withColumn("app_id", F.raise_error("lost")))
+    build = lambda run: layers.build_layers(spark, model, out, AS_OF, 90, broadcast_dims=BOUNDED_DIMS, run=run)
+    with pytest.raises(Exception, match="lost"):
+        build("monday")
+    number = lambda t: getattr(current_version(spark, f"{out}/{t}"), "number", None)
+    assert number("analytics_user_activity_metrics") == 1 and number("analytics_app_productivity") is None
+    monkeypatch.setattr(layers, "app_productivity", real)
+    summary = {r["table_name"]: (r["rows"], r["valid_rows"]) for r in build("monday").collect()}
+    assert summary["staging_enriched_sessions"] == (1000, 979)
+    assert number("staging_enriched_sessions") == number("analytics_user_activity_metrics") == number("analytics_app_productivity") == 1
+    build("tuesday")
+    assert number("staging_enriched_sessions") == 2
+    kept = json.loads(open(f"{out}/staging_daily_user_metrics/_commits/00000002.json").read())
+    assert kept["run"] == "tuesday" and kept["counts"]["rows"] == summary["staging_daily_user_metrics"][0]
+
+
+def test_ordered_table(spark):
+    path = _tmp()
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), F.lit("x").alias("t")).repartition(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        refresh(df, path, Layout(sort_by=("id",), ordered=True))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f for f in os.listdir(os.path.join(path, current_version(spark, path).folder)) if f.endswith(".parquet")]
+    assert len(files) > 3  # the order holds over file boundaries, without a sort in one task
+    assert all(r["position"] == r["id"] + 1 for r in read_in_order(spark, path).collect())

@@ -35,11 +35,13 @@ from workpulse.operators.quality import (
 from workpulse.operators.ranks import add_productivity_ranks
 from workpulse.operators.trends import add_trends
 from workpulse.operators.user_activity import user_activity_metrics
+from workpulse.plans.layers import build_layers, land_raw
 from workpulse.session import shared_folder
 from workpulse.sources import testdata
-from workpulse.sources.csv import RAW_FILES, load_raw, table_inventory
+from workpulse.sources.csv import RAW_FILES, table_inventory
 from workpulse.sources.schemas import RAW_SCHEMAS
-from workpulse.sources.sinks import publish_table, write_csv
+from workpulse.sources.sinks import refresh_table, write_csv
+from workpulse.sources.versions import read_in_order, read_published
 
 AS_OF = "2024-01-30"
 LOOKBACK_DAYS = 90
@@ -165,32 +167,68 @@ def _web_apps(spark, sf_dir):
     return with_web_flag(names)
 
 
+def _new_folder(spark, name):
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _csv_round_trip(spark, sf_dir):
-    """Load and publish: the model's tables as CSV, loaded with a report, published, read back, counted."""
-    folder = f"{shared_folder(spark)}/csv-round-trip-{uuid.uuid4().hex}"
+    """Load and commit: the six raw tables as CSV, loaded by the names in their headers, committed, read back, counted.
+
+    Every second file has its columns in the reverse order, and each has one that isn't declared.
+    """
+    folder = _new_folder(spark, "csv-round-trip")
     tables = {
         "raw_fact_activity_sessions": testdata.sessions(spark, sf_dir), "raw_dim_users": testdata.users(spark, sf_dir),
         "raw_dim_accounts": testdata.accounts(spark, sf_dir), "raw_dim_projects": testdata.projects(spark, sf_dir),
+        "raw_dim_applications": testdata.used_apps(spark, sf_dir), "raw_dim_tasks": testdata.tasks(spark, sf_dir),
     }
-    for name, df in tables.items():
+    for number, (name, df) in enumerate(tables.items()):
         kept = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
                 else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[name].fields]
-        write_csv(df.select(*kept), f"{folder}/raw/{RAW_FILES[name]}")
-    loaded, _ = load_raw(spark, f"{folder}/raw")
-    published = {}
-    for name, df in loaded.items():
-        publish_table(df, f"{folder}/published/{name}", name)
-        published[name] = spark.read.parquet(f"{folder}/published/{name}")
+        kept.insert(1, F.lit("not declared").alias("remark"))
+        write_csv(df.select(*(kept[::-1] if number % 2 else kept)), f"{folder}/raw/{RAW_FILES[name]}")
+    published, _, counts = land_raw(spark, f"{folder}/raw", f"{folder}/published")
     sums = {
         "raw_fact_activity_sessions": F.sum(F.round(F.col("duration_minutes") * 100).cast("bigint")),
         "raw_dim_users": F.sum(F.length("email")), "raw_dim_accounts": F.sum(F.length("company_name")),
-        "raw_dim_projects": F.sum("budgeted_hours"),
+        "raw_dim_projects": F.sum("budgeted_hours"), "raw_dim_applications": F.sum(F.length("productivity_classification")),
+        "raw_dim_tasks": F.sum("estimated_hours"),
     }
     parts = [
         df.agg(F.count(F.lit(1)).alias("row_count"), sums[name].cast("bigint").alias("checksum"))
         .select(F.lit(name).alias("table_name"), "row_count", "checksum")
         for name, df in sorted(published.items())
     ]
+    return reduce(DataFrame.unionByName, parts).join(
+        F.broadcast(counts.select("table_name", F.col("rows").alias("rows_written"), "malformed")), "table_name")
+
+
+def _rebuild_counts(spark, sf_dir):
+    """The full rebuild; its layer counts were observed while the tables were written and come from their commits."""
+    return build_layers(spark, testdata.model(spark, sf_dir), _new_folder(spark, "rebuild"), AS_OF, LOOKBACK_DAYS,
+                        broadcast_dims=BOUNDED_DIMS)
+
+
+def _retention_published(spark, sf_dir):
+    """The retention table as its files follow each other: ``position`` must be its place in the published order."""
+    path = _new_folder(spark, "retention")
+    refresh_table(retention_cohorts(testdata.order_activity(spark, sf_dir)), path, "analytics_retention_cohorts")
+    return read_in_order(spark, path).select("position", "cohort_week", "account_id", "weeks_since_cohort", "retained_users")
+
+
+def _published_lookups(spark, sf_dir):
+    """One user, one account and one day looked up in the committed session table, each by its key alone."""
+    path = _new_folder(spark, "lookups")
+    refresh_table(enriched(spark, sf_dir), path, "staging_enriched_sessions", histogram_of=testdata.sessions(spark, sf_dir))
+    table = read_published(spark, path)
+    parts = []
+    for key in ("user_id", "account_id", "date"):
+        low = table.agg(F.max(key).alias("_key"))
+        found = table.join(F.broadcast(low), table[key] == F.col("_key"))
+        parts.append(found.agg(
+            F.lit(key).alias("looked_up"), F.count(F.lit(1)).alias("sessions"),
+            F.sum(F.round(F.col("duration_minutes") * 100).cast("bigint")).alias("minute_hundredths"),
+            F.countDistinct("user_id").alias("users")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -240,6 +278,9 @@ QUERIES: dict[str, Query] = {
     "daily_odd_sessions": lambda spark, sf_dir: daily(spark, sf_dir, odd=True),
     "web_apps": _web_apps,
     "csv_round_trip": _csv_round_trip,
+    "rebuild_counts": _rebuild_counts,
+    "retention_published": _retention_published,
+    "published_lookups": _published_lookups,
     "duplicate_sessions": lambda spark, sf_dir: duplicate_sessions(
         testdata.sessions_with_copies(spark, sf_dir, bare=True)),
     "dedupe_sessions": lambda spark, sf_dir: dedupe_sessions(

@@ -1,8 +1,9 @@
-"""The full rebuild: raw -> staging -> analytics, each layer published as a table.
+"""The full rebuild: raw -> staging -> analytics, each layer committed as a version of its table.
 
-Every published table is read back before the next layer uses it, so lineage stops at a table
-written to shared storage: if executors are lost later, only the current layer is recomputed,
-from the last written table, and each write is a full-refresh overwrite (a rerun is idempotent).
+Every table is read back before the next layer uses it, so lineage stops at a table written to shared
+storage: if executors are lost later, only the current layer is recomputed. A rebuild that fails leaves
+every table whole, in its new version or its former one; run again with the same run name it goes on after
+the last committed layer. Row counts are observed while the tables are written and kept in their commits.
 """
 
 from __future__ import annotations
@@ -10,17 +11,19 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from workpulse.operators.allocation import project_allocation
 from workpulse.operators.apps import app_productivity
 from workpulse.operators.cohorts import retention_cohorts
 from workpulse.operators.daily import daily_user_metrics
 from workpulse.operators.enrich import enrich_sessions
-from workpulse.operators.quality import dedupe_sessions, layer_summary
+from workpulse.operators.quality import dedupe_sessions
 from workpulse.operators.user_activity import LOOKBACK_DAYS, user_activity_metrics
-from workpulse.sources.csv import load_raw, malformed_rows, table_inventory
-from workpulse.sources.sinks import publish_bucketed, publish_table
+from workpulse.sources.csv import header_drift, load_raw, read_csv_table
+from workpulse.sources.sinks import publish_bucketed, refresh_table
+from workpulse.sources.versions import committed_counts, current_version, read_published
 
 RAW_TO_MODEL = {
     "raw_fact_activity_sessions": "sessions",
@@ -53,15 +56,35 @@ def land_co_located(
     return landed
 
 
-def _publish_and_reload(
-    spark: SparkSession, df: DataFrame, out_dir: str, table: str, database: str | None = None
-) -> DataFrame:
+def _refresh_and_reload(
+    spark: SparkSession, df: DataFrame, out_dir: str, table: str, database: str | None = None, run: str | None = None,
+    counts: dict[str, Column] | None = None, histogram_of: DataFrame | None = None,
+) -> DataFrame:
+    """Commit the next version of a table, unless ``run`` has committed it already, and read it back."""
     path = f"{out_dir.rstrip('/')}/{table}"
-    name = f"{database}.{table}" if database else None
-    publish_table(df, path, table, catalog_name=name)
-    back = spark.table(name) if name else spark.read.parquet(path)
-    # partition columns come back last; restore the operator's column order
-    return back.select(*df.columns)
+    now = current_version(spark, path)
+    if run is None or now is None or now.run != run:
+        refresh_table(df, path, table, counts, run=run, histogram_of=histogram_of,
+                      catalog_name=f"{database}.{table}" if database else None)
+    return read_published(spark, path)
+
+
+def land_raw(
+    spark: SparkSession, raw_dir: str, out_dir: str, files: dict[str, str] | None = None, run: str | None = None
+) -> tuple[dict[str, DataFrame], list[tuple[str, str, str]], DataFrame]:
+    """Load the raw files and commit each as a table: (tables read back, load report, counts).
+
+    ``counts`` has (table_name, rows, malformed): both are counted while the tables are written, from the one
+    scan of each file.
+    """
+    found, report = load_raw(spark, raw_dir, files)
+    tables = {}
+    for table, path, status in report:
+        if status == "loaded":
+            df = read_csv_table(spark, path, table, "_malformed")
+            tables[table] = _refresh_and_reload(spark, df, out_dir, table, run=run, counts={"malformed": F.count("_malformed")})
+    paths = {table: f"{out_dir.rstrip('/')}/{table}" for table in sorted(found)}
+    return tables, report, committed_counts(spark, paths, ("rows", "malformed"))
 
 
 def build_layers(
@@ -74,13 +97,14 @@ def build_layers(
     broadcast_dims: tuple[str, ...] = (),
     database: str | None = None,
     co_locate_buckets: int | None = None,
+    run: str | None = None,
 ) -> DataFrame:
-    """Build and publish all staging and analytics tables; return the layer summary
-    (table_name, rows, valid_rows) read from the published tables.
+    """Build and commit all staging and analytics tables; return the layer summary
+    (table_name, rows, valid_rows), which was counted while they were written.
 
     ``dedupe`` removes repeated session ids before staging (the reference keeps them).
-    With ``database`` every table is also registered in that catalog database (created if
-    missing) as an external table under ``out_dir``. With ``co_locate_buckets`` (needs
+    With ``database`` a view of that catalog database (created if missing) points to each table's
+    current version. Tables that a rebuild with the same ``run`` has committed are not built again. With ``co_locate_buckets`` (needs
     ``database``) sessions and users are first landed bucketed by ``user_id``, so the
     enrichment join does not shuffle the fact.
     """
@@ -94,27 +118,26 @@ def build_layers(
     users = model["users"]
     if not co_locate_buckets:
         # a table of its own: the planner then knows the size of what it joins
-        users = _publish_and_reload(spark, users, out_dir, "staging_users", database)
-    enriched = _publish_and_reload(
+        users = _refresh_and_reload(spark, users, out_dir, "staging_users", database, run)
+    enriched = _refresh_and_reload(
         spark,
         enrich_sessions(sessions, users, model["accounts"], model["apps"], model["projects"],
                         broadcast=broadcast_dims, spread_missing=not co_locate_buckets),
-        out_dir, "staging_enriched_sessions", database)
-    daily = _publish_and_reload(spark, daily_user_metrics(enriched), out_dir,
-                                "staging_daily_user_metrics", database)
-    published = {
-        "staging_enriched_sessions": (enriched, "is_valid_session"),
-        "staging_daily_user_metrics": (daily, "is_active_day"),
-    }
+        out_dir, "staging_enriched_sessions", database, run,
+        {"valid_rows": F.sum("is_valid_session")}, histogram_of=model["sessions"])
+    daily = _refresh_and_reload(spark, daily_user_metrics(enriched), out_dir, "staging_daily_user_metrics", database, run,
+                                {"valid_rows": F.sum("is_active_day")}, histogram_of=enriched)
     analytics = {
-        "analytics_user_activity_metrics": user_activity_metrics(daily, as_of, lookback_days),
-        "analytics_app_productivity": app_productivity(enriched, as_of, lookback_days),
-        "analytics_retention_cohorts": retention_cohorts(daily),
-        "analytics_project_allocation": project_allocation(enriched, as_of, lookback_days),
+        "analytics_user_activity_metrics": lambda: user_activity_metrics(daily, as_of, lookback_days),
+        "analytics_app_productivity": lambda: app_productivity(enriched, as_of, lookback_days),
+        "analytics_retention_cohorts": lambda: retention_cohorts(daily),
+        "analytics_project_allocation": lambda: project_allocation(enriched, as_of, lookback_days),
     }
-    for table, df in analytics.items():
-        published[table] = (_publish_and_reload(spark, df, out_dir, table, database), None)
-    return layer_summary(published)
+    for table, built in analytics.items():
+        source = {"analytics_user_activity_metrics": daily, "analytics_app_productivity": enriched}.get(table)
+        _refresh_and_reload(spark, built(), out_dir, table, database, run, histogram_of=source)
+    names = ["staging_enriched_sessions", "staging_daily_user_metrics", *analytics]
+    return committed_counts(spark, {n: f"{out_dir.rstrip('/')}/{n}" for n in names}, ("rows", "valid_rows"))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -129,16 +152,18 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--database", default=None, help="also register the tables in this database")
     p.add_argument("--co-locate-buckets", type=int, default=None,
                    help="land sessions and users bucketed by user_id first (needs --database)")
+    p.add_argument("--run", default=None,
+                   help="name of this rebuild: started again under it, it goes on after the last committed table")
     args = p.parse_args(argv)
     spark = get_spark()
-    raw, report = load_raw(spark, args.raw_dir)
+    raw, report, counts = land_raw(spark, args.raw_dir, args.out_dir, run=args.run)
     for table, path, status in report:
         print(f"{table}: {status} ({path})")
-    malformed_rows(spark, report).show(truncate=False)
-    table_inventory(raw).show(truncate=False)
+    header_drift(spark, report).show(truncate=False)
+    counts.show(truncate=False)
     summary = build_layers(spark, model_from_raw(raw), args.out_dir, args.as_of,
                            args.lookback_days, args.dedupe, database=args.database,
-                           co_locate_buckets=args.co_locate_buckets)
+                           co_locate_buckets=args.co_locate_buckets, run=args.run)
     summary.show(truncate=False)
 
 

@@ -8,6 +8,7 @@ given TPC-H-like tables onto them, with the same rules as the SQL oracle:
   day before it starts (a late arrival); activity is a fixed pseudo-random 0-100.00 from the id.
 * users <- ``customer`` (+ ``nation`` for the account), accounts <- ``region`` (5 rows),
   projects <- ``part``, the application catalog is the 5 event types.
+* tasks <- ``orders``, one for each (only for loading and publishing).
 * long activity history (for cohorts) <- ``orders``: one active day per order date.
 * the duplicate operators get the sessions plus an exact copy of every 200th one (0.5 %).
 * ``odd_sessions`` has the same sessions with the values that a clean source would not send:
@@ -204,6 +205,24 @@ def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The task dimension from ``orders``, one task for each."""
+    return read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("task_id"),
+        (F.col("o_custkey") % 1000).alias("project_id"),
+        F.col("o_orderpriority").alias("task_name"),
+        F.col("o_orderstatus").alias("task_status"),
+        F.floor(F.col("o_totalprice") / 10_000).cast("int").alias("estimated_hours"),
+        F.to_date("o_orderdate").alias("created_date"),
+    )
+
+
+def used_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The application catalog as far as the events use it."""
+    return read(spark, sf_dir, "events").select(F.col("event_type").alias("app_id")).distinct().join(
+        F.broadcast(apps(spark)), "app_id")
+
+
 def model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All model tables, keyed like the raw layer."""
     return {
