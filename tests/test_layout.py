@@ -106,8 +106,8 @@ def test_each_key_alone_reads_a_small_share(spark, clustered):
     for column, values in (("user_id", [f"U{i:05d}" for i in range(0, 5000, 97)]), ("account_id", [f"A{i:04d}" for i in range(0, 400, 9)])):
         shares = [_share(files, column, v) for v in values]
         assert shares[0][1] > 100
-        # a key at a border of the curve is in more row groups than others
-        assert sum(s for s, _ in shares) / len(shares) <= 0.2 and max(s for s, _ in shares) <= 0.4, (column, shares)
+        # about 1.8 over the root of a date's row groups (52 here); a key at a border of the curve is in more of them
+        assert sum(s for s, _ in shares) / len(shares) <= 0.28 and max(s for s, _ in shares) <= 0.5, (column, shares)
     both = [f for f in files if "date=2024-01-02" in f]
     assert 0.2 < len(both) / len(files) < 0.3  # a date is its folder
 
