@@ -60,7 +60,8 @@ def _initial(plan: str) -> str:
     return plan.split("== Initial Plan ==")[-1]
 
 
-WRITING = {"csv_round_trip", "rebuild_counts", "retention_published", "published_lookups"}
+WRITING = {"csv_round_trip", "rebuild_counts", "retention_published", "published_lookups", "active_users_by_day",
+           "productive_hours_by_period"}
 EVENT_QUERIES = sorted(set(QUERIES) - {"retention_orders", "retention_rate_orders", "web_apps"} - WRITING)
 
 

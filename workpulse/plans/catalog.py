@@ -15,6 +15,7 @@ from workpulse.operators.allocation import project_allocation
 from workpulse.operators.apps import app_productivity
 from workpulse.operators.cohorts import cohort_sizes, retention_cohorts, user_cohorts, weekly_activity
 from workpulse.operators.daily import daily_user_metrics
+from workpulse.operators.distinct import active_users_by_day, productive_hours_by_period, user_bitmaps
 from workpulse.operators.engagement import add_active_days_l7d, add_engagement
 from workpulse.operators.enrich import enrich_sessions, session_flags, session_measures
 from workpulse.operators.metrics import (
@@ -41,7 +42,7 @@ from workpulse.sources import testdata
 from workpulse.sources.csv import RAW_FILES, table_inventory
 from workpulse.sources.schemas import RAW_SCHEMAS
 from workpulse.sources.sinks import refresh_table, write_csv
-from workpulse.sources.versions import read_in_order, read_published
+from workpulse.sources.versions import read_in_order, read_published, refresh
 
 AS_OF = "2024-01-30"
 LOOKBACK_DAYS = 90
@@ -216,6 +217,19 @@ def _retention_published(spark, sf_dir):
     return read_in_order(spark, path).select("position", "cohort_week", "account_id", "weeks_since_cohort", "retained_users")
 
 
+def _stored_bitmaps(spark, sf_dir):
+    """The users' bitmaps of every day, made once and committed as a table."""
+    path = _new_folder(spark, "bitmaps")
+    refresh(user_bitmaps(daily(spark, sf_dir)), path)
+    return read_published(spark, path)
+
+
+def _productive_hours_by_period(spark, sf_dir):
+    stored = _stored_bitmaps(spark, sf_dir)
+    parts = [productive_hours_by_period(stored, p).withColumn("period", F.lit(p)) for p in ("week", "month")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _published_lookups(spark, sf_dir):
     """One user, one account and one day looked up in the committed session table, each by its key alone."""
     path = _new_folder(spark, "lookups")
@@ -281,6 +295,8 @@ QUERIES: dict[str, Query] = {
     "rebuild_counts": _rebuild_counts,
     "retention_published": _retention_published,
     "published_lookups": _published_lookups,
+    "active_users_by_day": lambda spark, sf_dir: active_users_by_day(_stored_bitmaps(spark, sf_dir)),
+    "productive_hours_by_period": _productive_hours_by_period,
     "duplicate_sessions": lambda spark, sf_dir: duplicate_sessions(
         testdata.sessions_with_copies(spark, sf_dir, bare=True)),
     "dedupe_sessions": lambda spark, sf_dir: dedupe_sessions(
