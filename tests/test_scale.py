@@ -234,3 +234,13 @@ def test_bucketed_sessions_and_users_join_without_shuffle(spark):
     got = sorted(map(tuple, daily_df.collect()), key=str)
     expected = sorted(map(tuple, daily(spark, SF).collect()), key=str)
     assert got == expected
+
+
+@pytest.mark.parametrize("name", ["productivity_percentile", "productivity_rank", "performance_tier", "user_activity_metrics", "user_activity_short"])
+def test_ranks_read_the_events_once(spark, name):
+    """Both branches of the ranks, rows and histogram, share the exchange below the user-days."""
+    df = QUERIES[name](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [x for x in final.splitlines() if "FileScan parquet" in x and "event_type" in x]
+    assert len(scans) == 1 and "ReusedExchange" in final

@@ -23,11 +23,25 @@ PERFORMANCE_BANDS = [(0.90, "Top Performer"), (0.70, "Above Average"), (0.30, "A
 PERFORMANCE_DEFAULT = "Below Average"
 
 
-def add_rank_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+def reads_all(df: DataFrame) -> DataFrame:
+    """``df`` as a branch of a plan that reads all its columns, though only a few are used after it.
+
+    Spark takes the result of an exchange twice if both readers ask for the same columns. The condition is true
+    for every row, which the optimizer does not know.
+    """
+    return df.where(F.xxhash64(*df.columns) % 2 < 2)
+
+
+def add_rank_counts(df: DataFrame, group: Sequence[str], value: str, counted: DataFrame | None = None) -> DataFrame:
     """Add ``_below`` (rows of the group with a smaller value; NULL sorts lowest),
-    ``_above`` (rows with a larger value) and ``_n`` (rows in the group)."""
+    ``_above`` (rows with a larger value) and ``_n`` (rows in the group).
+
+    The histogram is made from ``counted``, by default ``df``: an earlier step with the same rows in each group
+    of ``df`` (other groups don't matter). All its columns are read there, so that if ``df`` is made from them too,
+    both branches share the last exchange before it, and what lies below is read once.
+    """
     keys = [*group, value]
-    hist = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+    hist = reads_all(df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     ordered = Window.partitionBy(*group).orderBy(value)
     hist = (
         hist.withColumns({
@@ -86,19 +100,20 @@ def rank_in_ranges(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def add_productivity_ranks(
-    df: DataFrame, group: Sequence[str] = ("account_id", "date"), value: str = "productive_hours"
-) -> DataFrame:
+    df: DataFrame, group: Sequence[str] = ("account_id", "date"), value: str = "productive_hours",
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Add ``productivity_percentile`` (PERCENT_RANK ascending, 3 places; 0 for a lone row),
     ``productivity_rank`` (RANK descending: ties share, next rank skips) and
-    ``performance_tier`` (from the unrounded percent rank)."""
-    counted = add_rank_counts(df, group, value)
+    ``performance_tier`` (from the unrounded percent rank). ``counted``: see ``add_rank_counts``."""
+    ranked = add_rank_counts(df, group, value, counted)
     below, n = F.col("_below"), F.col("_n")
     lone = n <= 1
     perf = None
     for threshold, label in PERFORMANCE_BANDS:
         cond = ~lone & ratio_at_least(below, n - 1, threshold)
         perf = F.when(cond, label) if perf is None else perf.when(cond, label)
-    return counted.withColumns({
+    return ranked.withColumns({
         "productivity_percentile":
             F.when(lone, F.lit(0.0)).otherwise(to_double(round_units(below * 1000, n - 1), 3)),
         "productivity_rank": (F.col("_above") + 1).cast("bigint"),

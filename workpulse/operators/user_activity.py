@@ -46,16 +46,16 @@ def user_activity_metrics(
     only, and the ranks compare the kept users of an account-day. Every window keyed by user is
     partitioned by ``user_id`` alone, so they share one exchange.
 
-    The rank histogram reads the daily input a second time (only three columns of the kept
-    dates); pass a published or checkpointed daily table, not one computed from raw sessions in
-    the same plan.
+    The rank histogram counts the same user-days, before their windows. With a daily input computed in the
+    same plan both branches share its last exchange, so that the sessions are read once.
     """
     cutoff = lookback_start(as_of, lookback_days)
-    reach = daily.filter(F.col("date") >= F.date_sub(cutoff, L7D_DAYS - 1))
+    used = [c for c in daily.columns if c in (*USER_ACTIVITY_COLUMNS, "first_name", "last_name")]
+    reach = daily.select(*used).filter(F.col("date") >= F.date_sub(cutoff, L7D_DAYS - 1))
     with_l7d = add_engagement(add_active_days_l7d(reach))
     kept = with_l7d.filter(F.col("date") >= cutoff)
     trended = add_trends(kept)
-    ranked = add_productivity_ranks(trended)
+    ranked = add_productivity_ranks(trended, counted=reach)
     return ranked.withColumn(
         "full_name", F.concat(F.col("first_name"), F.lit(" "), F.col("last_name"))
     ).select(*USER_ACTIVITY_COLUMNS)

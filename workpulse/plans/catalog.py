@@ -100,6 +100,10 @@ def _pick(builder, *cols):
     return lambda spark, sf_dir: builder(daily(spark, sf_dir)).select(*key, *cols)
 
 
+def _ranks(d):
+    return add_productivity_ranks(d.select("date", "user_id", "account_id", "productive_hours"))
+
+
 def _l7d(d):
     return add_engagement(add_active_days_l7d(d))
 
@@ -259,9 +263,9 @@ QUERIES: dict[str, Query] = {
     "active_days_l7d": _pick(_l7d, "is_active_day", "active_days_l7d"),
     "engagement_tier": _pick(_l7d, "active_days_l7d", "engagement_tier"),
     "is_active_l7d": _pick(_l7d, "is_active_l7d"),
-    "productivity_percentile": _pick(add_productivity_ranks, "productive_hours", "productivity_percentile"),
-    "productivity_rank": _pick(add_productivity_ranks, "productive_hours", "productivity_rank"),
-    "performance_tier": _pick(add_productivity_ranks, "productive_hours", "performance_tier"),
+    "productivity_percentile": _pick(_ranks, "productive_hours", "productivity_percentile"),
+    "productivity_rank": _pick(_ranks, "productive_hours", "productivity_rank"),
+    "performance_tier": _pick(_ranks, "productive_hours", "performance_tier"),
     "user_activity_metrics": _user_activity(LOOKBACK_DAYS),
     "user_activity_short": _user_activity(SHORT_LOOKBACK_DAYS),
     "app_productivity": _apps,
