@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,23 +41,55 @@ def duplicate_sessions(sessions: DataFrame, key: str = "session_id") -> DataFram
             .filter(F.col("copies") > 1))
 
 
-def dedupe_sessions(sessions: DataFrame, key: str = "session_id") -> DataFrame:
+#: Bits of the filter of repeated ids (512 KB): about 10 for each repeated id let 1 to 2 % of the others through, so
+#: pass more where more than some 400 000 ids are repeated (1 << 28, 32 MB, for 25 million).
+FILTER_BITS = 1 << 22
+FILTER_HASHES = 3
+
+
+def _filter_positions(key: str, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(FILTER_HASHES)]
+
+
+def id_filter(ids: DataFrame, key: str, bits: int = FILTER_BITS) -> Column:
+    """A column that is true for every row whose ``key`` is in ``ids``, and for few others.
+
+    A Bloom filter of ``bits`` bits (a multiple of 64), held as 64-bit words: every id sets its bits in its task,
+    words are merged with partial ORs, and the finished array, whose size is ``bits`` whatever the number of
+    ids, is a scalar subquery of the plan that tests it.
+    """
+    spark = ids.sparkSession
+    place = ids.select(F.explode(F.array(*_filter_positions(key, bits))).alias("_p"))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_p").bitwiseAND(F.lit(63)).cast("int"))
+    words = place.select(F.shiftright("_p", 6).alias("id"), one.alias("_bit")).groupBy("id").agg(F.bit_or("_bit").alias("_word"))
+    every = spark.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("_word", F.lit(0).cast("bigint")).alias("_word"))
+    table = every.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "_word"))), lambda w: w["_word"]).alias("_words")).scalar()
+    tests = [
+        F.getbit(F.get(table, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1
+        for p in _filter_positions(key, bits)
+    ]
+    return reduce(lambda x, y: x & y, tests)
+
+
+def dedupe_sessions(sessions: DataFrame, key: str = "session_id", filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row per id: the smallest row of its copies (a fixed choice; copies are usually exact).
 
-    The repeated ids are found from the id column alone. Rows with an id of their own pass through;
-    only copies are compared, by a MIN over a struct that takes partial minima before its shuffle, so
-    that a heavily repeated id never gathers its copies in one task. Rows without an id are one group.
+    The repeated ids are found from the id column alone. Whole rows are tested against a filter of these ids where
+    they are read: what it doesn't hold has an id of its own and passes through without a shuffle; the rest, the
+    copies and a few others, is compared by a MIN over a struct that takes partial minima before its shuffle, so
+    that a heavily repeated id never gathers its copies in one task. The result is exact whatever the filter lets
+    through; with far more repeated ids than ``filter_bits`` / 10 more rows move. Rows without an id are one group.
     """
     others = [c for c in sessions.columns if c != key]
-    repeated = duplicate_sessions(sessions, key).select(F.col(key).alias("_id"))
-    same = sessions[key].eqNullSafe(F.col("_id"))
-    single = sessions.join(repeated, same, "left_anti")
+    repeated = duplicate_sessions(sessions, key).select(key)
+    tested = sessions.withColumn("_maybe", id_filter(repeated, key, filter_bits))
+    single = tested.where(~F.col("_maybe")).drop("_maybe")
     chosen = (
-        sessions.join(repeated, same, "left_semi")
+        tested.where("_maybe")
         .groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
         .select(key, *[F.col(f"_row.{c}").alias(c) for c in others])
     )
-    return single.unionByName(chosen)
+    return single.select(key, *others).unionByName(chosen).select(*sessions.columns)
 
 
 def staging_summary(daily: DataFrame) -> DataFrame:

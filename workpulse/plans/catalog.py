@@ -303,8 +303,9 @@ QUERIES: dict[str, Query] = {
     "productive_hours_by_period": _productive_hours_by_period,
     "duplicate_sessions": lambda spark, sf_dir: duplicate_sessions(
         testdata.sessions_with_copies(spark, sf_dir, bare=True)),
-    "dedupe_sessions": lambda spark, sf_dir: dedupe_sessions(
-        testdata.sessions_with_copies(spark, sf_dir)),
+    # the account is added to the rows that stay
+    "dedupe_sessions": lambda spark, sf_dir: testdata.with_account(
+        dedupe_sessions(testdata.sessions_with_copies(spark, sf_dir, bare=True)), spark, sf_dir),
     "raw_inventory": _raw_inventory,
 }
 FLAGSHIP = "user_activity_metrics"

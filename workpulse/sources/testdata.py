@@ -194,6 +194,11 @@ def sessions_with_copies(spark: SparkSession, sf_dir: str, bare: bool = False) -
     return s.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
 
 
+def with_account(bare: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bare_sessions`` or rows chosen from them, with the account of their user."""
+    return with_user(bare, spark, sf_dir).select(*SESSION_COLUMNS)
+
+
 def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long daily history from ``orders``: (date, user_id, account_id, is_active_day=1), one row
     per order (several orders of a day give several rows, as two daily rows would)."""
