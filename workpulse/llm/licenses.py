@@ -1,23 +1,25 @@
 """License notices by conditional compression, confirmed by exact wording differences.
 
-Candidate blocks are the stretches of a text around words that license wording can't do without
-(``CUE``): the lines of such a word, cut to ``REACH`` characters on both sides of it, overlapping
-stretches joined. Every block is compressed with zstandard alone and with each template as a raw
-dictionary; what the dictionary saves, as a share of what it could save on the template itself, ranks
-the templates. From the best down, a template is confirmed by aligning its words (lower case, letters and
-digits) with the block's: its differences (words left out, put in or changed within the aligned stretch)
-must be at most ``DIFFERENCE_RATE`` of its words, and none may fall on a telling word (``TELLING``: names
-of licenses, versions, conditions), on either side, or between two of them. Templates of under 10 words must
-agree word for word, longer ones in all that tells a license from its siblings and its other versions. A
-block may hold several notices: a confirmed stretch is taken out and the rest is tried again.
-
-Defined cases: a null or empty text holds none; very long texts are searched whole, block by block; of
-templates that fit the same stretch the one with fewer differences per word wins, then the longer, then
-the first by name; repeated rows are answered each; extra columns are ignored.
+License wording can't do without a few words (``CUE``). The text is walked from one such word to the next. The
+block around it reaches as far on both sides as the longest template, with its tolerance, and back to the last
+notice at most. It is compressed with zstandard alone and with each template as a raw dictionary, and the bytes that
+a dictionary saves rank the templates. From the best down, a template is confirmed by aligning its words (lower case,
+letters and digits) with a stretch of the block that holds the cue: its differences (words left out, put in
+or changed within the stretch) must be at most ``DIFFERENCE_RATE`` of its words, and none may fall on a telling word
+(``TELLING``: names of licenses, versions, conditions), on either side, or between two of them. The first
+template that agrees word for word is the notice, or its longer form where the words go on like that; those ranked
+lower are not looked at. Where none agrees, the confirmed one with the fewest differences for its length is,
+the better rank first. A template is never given up for its rank: where none is confirmed, all have been tried. Templates of under 10 words must
+agree word for word, longer ones in all that tells a license from its siblings and its other versions.
+
+Defined cases: a null or empty text holds none; a very long text is walked whole, in time that grows with its
+cues; of templates that save the same number of bytes the first listed is tried first; repeated rows are answered
+each; an empty table has no notice; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import functools
 import re
@@ -98,9 +100,8 @@ TELLING = re.compile(
     r"|international|unported|generic|universal|igo|version|later|only|either|no|not"
 )
 
-#: Every template has one of these words, whichever of its words differ within the tolerance.
+#: Every template has one of these words, which a difference within the tolerance seldom takes.
 CUE = r"(?i)licen[cs]|permission|permitted|redistribut|public domain|free software"
-REACH = 400
 DIFFERENCE_RATE = 0.1
 LEVEL = 3
 _WORD = re.compile(r"[^\W_]+")
@@ -111,23 +112,17 @@ def words_with_places(text: str) -> tuple[list[str], list[tuple[int, int]]]:
     return [w for w, _ in found], [s for _, s in found]
 
 
-def candidate_blocks(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the stretches around the cues, joined where they touch."""
-    blocks: list[list[int]] = []
-    for cue in _cue().finditer(text):
-        start, end = max(0, cue.start() - REACH), min(len(text), cue.end() + REACH)
-        if blocks and start <= blocks[-1][1]:
-            blocks[-1][1] = end
-        else:
-            blocks.append([start, end])
-    return [(a, b) for a, b in blocks]
-
-
 @functools.lru_cache(maxsize=1)
 def _cue() -> re.Pattern:
     return re.compile(CUE)
 
 
+def cue_words(text: str, places: list[tuple[int, int]]) -> list[int]:
+    """Numbers of the words in which a cue begins, ascending."""
+    starts = [start for start, _ in places]
+    return sorted({max(0, bisect.bisect_right(starts, cue.start()) - 1) for cue in _cue().finditer(text)}) if starts else []
+
+
 class Matcher:
     """Templates ready to compress with and to compare."""
 
@@ -144,30 +139,31 @@ class Matcher:
             )
             for text in own
         ]
-        self.most = [
-            max(1, len(self.plain.compress(text)) - len(given.compress(text)))
-            for text, given in zip(own, self.given, strict=True)
+        # templates that begin with all words of another, the longest first
+        self.longer = [
+            sorted((j for j, other in enumerate(self.words) if len(other) > len(own) and other[: len(own)] == own), key=lambda j: -len(self.words[j]))
+            for own in self.words
         ]
+        # a block holds any stretch that a template can be confirmed for and that has its cue
+        self.reach = max(len(words) + int(DIFFERENCE_RATE * len(words)) for words in self.words)
 
-    def ranked(self, block: str) -> list[tuple[float, int]]:
-        """(share of the possible saving, template number), the best first.
-
-        No template is left out for a low rank: in a long block a short notice saves a few bytes only.
-        """
+    def ranked(self, block: str) -> list[tuple[int, int]]:
+        """(bytes saved by the template as a dictionary, template number), the best first."""
         data = block.encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(data))
-        shares = [((alone - len(given.compress(data))) / most, i) for i, (given, most) in enumerate(zip(self.given, self.most, strict=True))]
-        return sorted(shares, key=lambda s: (-s[0], s[1]))
+        return sorted(((alone - len(given.compress(data)), i) for i, given in enumerate(self.given)), key=lambda s: (-s[0], s[1]))
 
-    def differences(self, number: int, words: list[str]) -> tuple[list[str], int, int] | None:
-        """Differences of a template from the stretch [first, last] of ``words`` that it fits best."""
+    def differences(self, number: int, words: list[str], cue: int) -> tuple[list[str], int, int] | None:
+        """Differences of a template from the stretch [first, last] of ``words`` that holds word ``cue`` and that it fits best."""
         wanted = self.words[number]
         allowed = int(DIFFERENCE_RATE * len(wanted))
         best = None
-        starts = [i for i, w in enumerate(words) if w in wanted[: allowed + 1]]
-        for start in starts:
+        opening = set(wanted[: allowed + 1])
+        for start in range(max(0, cue - len(wanted) - allowed), cue + 1):
+            if words[start] not in opening:
+                continue
             window = words[start : start + len(wanted) + allowed]
-            if window[: len(wanted)] == wanted:
+            if window[: len(wanted)] == wanted and start + len(wanted) > cue:
                 return [], start, start + len(wanted) - 1
             if not allowed:
                 continue
@@ -176,6 +172,8 @@ class Matcher:
             if codes and codes[-1][0] == "insert":
                 codes = codes[:-1]
             last = start + max((j2 for op, _, _, _, j2 in codes if op == "equal"), default=1) - 1
+            if last < cue:
+                continue
             found = [f"{' '.join(wanted[i1:i2])}>{' '.join(window[j1:j2])}" for op, i1, i2, j1, j2 in codes if op != "equal"]
             size = sum(max(i2 - i1, j2 - j1) for op, i1, i2, j1, j2 in codes if op != "equal")
             if size > allowed or any(self.telltale(number, i1, i2, window[j1:j2]) for op, i1, i2, j1, j2 in codes if op != "equal"):
@@ -190,26 +188,45 @@ class Matcher:
         between = 0 < start < len(telling) and start == end and telling[start - 1] and telling[start]
         return between or any(telling[start:end]) or any(TELLING.fullmatch(w) for w in put)
 
-    def notices(self, block: str) -> list[tuple]:
-        """(license, start, end, saving, differences) of the notices in a block, in order of place."""
-        confirmed = []
-        words, places = words_with_places(block)
-        while words:
-            ranking = self.ranked(" ".join(words))
-            found = []
-            for share, number in ranking:
-                fit = self.differences(number, words)
-                if fit is not None:
-                    rate = len(fit[0]) / len(self.words[number])
-                    found.append((rate, -len(self.words[number]), self.templates[number][0], share, fit))
-            if not found:
-                break
-            _, _, name, share, (changes, first, last) = min(found, key=lambda x: x[:3])
-            confirmed.append((name, places[first][0], places[last][1], round(share, 4), changes))
-            # a word that no template has keeps the two sides apart
-            words[first : last + 1] = ["\x00"]
-            places[first : last + 1] = [places[first]]
-        return sorted(confirmed, key=lambda x: x[1])
+    def confirmed(self, block: list[str], cue: int) -> tuple | None:
+        """(template number, bytes saved, differences, first, last) of the notice that holds the cue, by rank.
+
+        The first template that agrees word for word ends the walk down the ranking, as does its longer form if the
+        words go on like that. One with differences stands unless a lower one has fewer.
+        """
+        best = None
+        ranking = self.ranked(" ".join(block))
+        saved_by = {number: saved for saved, number in ranking}
+        for saved, number in ranking:
+            fit = self.differences(number, block, cue)
+            if fit is None:
+                continue
+            if fit[0]:
+                rate = len(fit[0]) / len(self.words[number])
+                if best is None or rate < best[0]:
+                    best = (rate, (number, saved, *fit))
+                continue
+            for longer in self.longer[number]:
+                whole = self.differences(longer, block, cue)
+                if whole is not None and not whole[0] and whole[1] == fit[1]:
+                    return longer, saved_by[longer], *whole
+            return number, saved, *fit
+        return best[1] if best else None
+
+    def notices(self, text: str) -> list[tuple]:
+        """(license, start, end, bytes saved, differences) of the notices in a text, in order of place."""
+        words, places = words_with_places(text)
+        out, behind = [], 0
+        for cue in cue_words(text, places):
+            if cue < behind:
+                continue  # in the last notice
+            low = max(behind, cue - self.reach)
+            found = self.confirmed(words[low : cue + self.reach + 1], cue - low)
+            if found:
+                number, saved, changes, first, last = found
+                out.append((self.templates[number][0], places[low + first][0], places[low + last][1], saved, changes))
+                behind = low + last + 1
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -218,19 +235,14 @@ def _matcher(templates: tuple[tuple[str, str], ...]) -> Matcher:
 
 
 def text_notices(text: str, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> list[tuple]:
-    """(license, start, end, saving, differences) of the notices in a text."""
-    matcher = _matcher(templates)
-    return [
-        (name, start + a, start + b, saving, changes)
-        for start, end in candidate_blocks(text)
-        for name, a, b, saving, changes in matcher.notices(text[start:end])
-    ]
+    """(license, start, end, bytes saved, differences) of the notices in a text."""
+    return _matcher(templates).notices(text)
 
 
 def license_notices(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES
 ) -> DataFrame:
-    """One row for each notice: id, license, span, saving, number of differences and the differences."""
+    """One row for each notice: id, license, span, bytes saved, number of differences and the differences."""
     kind = dict(docs.dtypes)[id_col]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,7 +250,7 @@ def license_notices(
             rows = [(i, *n) for i, t in zip(batch["id"], batch["text"], strict=True) for n in text_notices(t, templates)]
             yield pd.DataFrame({
                 "id": pd.Series([r[0] for r in rows], dtype="object"), "license": pd.Series([r[1] for r in rows], dtype="object"),
-                "start": [r[2] for r in rows], "end": [r[3] for r in rows], "saving": [r[4] for r in rows],
+                "start": [r[2] for r in rows], "end": [r[3] for r in rows], "saved": [r[4] for r in rows],
                 "n_differences": [len(r[5]) for r in rows], "differences": pd.Series([", ".join(r[5]) for r in rows], dtype="object"),
             })
 
@@ -248,6 +260,6 @@ def license_notices(
         F.col("text").rlike(CUE)
     )
     notices = found.mapInPandas(
-        scan, "id string, license string, start int, end int, saving double, n_differences int, differences string"
+        scan, "id string, license string, start int, end int, saved int, n_differences int, differences string"
     )
     return notices.select(F.col("id").cast(kind).alias(id_col), *notices.columns[1:])
