@@ -244,3 +244,33 @@ def test_ranks_read_the_events_once(spark, name):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     scans = [x for x in final.splitlines() if "FileScan parquet" in x and "event_type" in x]
     assert len(scans) == 1 and "ReusedExchange" in final
+
+
+def test_co_located_landing_spreads_heavy_users(spark):
+    """A user with a third of the sessions, and as many without one: no bucket has far more than its share, the
+    enrichment has no exchange, and its rows are those of the plain join."""
+    from workpulse.plans.layers import land_co_located
+
+    base = testdata.bare_sessions(spark, "/root/testdata/sf0.01").drop("account_id")
+    i = F.col("session_id")
+    sessions = base.withColumn("user_id", F.when(i % 3 == 0, 7).when(i % 3 == 1, F.lit(None)).otherwise(F.col("user_id")))
+    sessions = sessions.withColumn("account_id", F.lit(1))
+    users = testdata.users(spark, "/root/testdata/sf0.01")
+    out = tempfile.mkdtemp(prefix="wp-hot-", dir="/tmp")
+    landed = land_co_located(spark, {"sessions": sessions, "users": users}, out, "wp_hot", 16)
+    sizes = [r["count"] for r in spark.read.parquet(f"{out}/raw_sessions_by_user").groupBy(
+        F.regexp_extract(F.input_file_name(), r"_(\d+)\.c000", 1)).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * sum(sizes) / 16
+    assert landed["users"].count() <= users.count() + 2 * 16
+    joined = enrich_sessions(landed["sessions"], landed["users"], spread_missing=False)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = enrich_sessions(sessions, users)
+        assert joined.columns == want.columns
+        assert joined.exceptAll(want).count() == want.exceptAll(joined).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    spark.sql("DROP DATABASE wp_hot CASCADE")

@@ -79,6 +79,8 @@ DIMENSIONS = {
         "project_name": "project_name", "status": "project_status",
         "budgeted_hours": "project_budget_hours"}),
 }
+# Second bucket column of sessions and users that were landed with heavy users spread.
+BUCKET = "user_bucket"
 # Tasks over which the sessions without a key are spread in a shuffle join.
 SPREAD = 1021
 
@@ -86,7 +88,12 @@ SPREAD = 1021
 def _join_dimension(
     fact: DataFrame, dim: DataFrame, key: str, renames: dict[str, str], broadcast: bool, spread: bool
 ) -> DataFrame:
-    out = dim.select(F.col(key).alias("_key"), *[F.col(src).alias(dst) for src, dst in renames.items()])
+    out = dim.select(F.col(key).alias("_key"), *[F.col(src).alias(dst) for src, dst in renames.items()],
+                     *[F.col(c).alias("_key_bucket") for c in dim.columns if c == BUCKET])
+    if BUCKET in dim.columns:
+        # landed with its heavy keys spread over buckets: both tables are bucketed by these two columns
+        same = (fact[BUCKET] == F.col("_key_bucket")) & (fact[key] == F.col("_key"))
+        return fact.join(out, same, "left").drop("_key", "_key_bucket")
     if broadcast:
         out = F.broadcast(out)
         spread = False

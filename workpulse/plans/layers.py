@@ -39,19 +39,55 @@ def model_from_raw(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {RAW_TO_MODEL[k]: v for k, v in raw.items() if k in RAW_TO_MODEL}
 
 
+def heavy_users(sessions: DataFrame, buckets: int) -> DataFrame:
+    """(user_id, parts) of the users, and of the missing one, with more sessions than a bucket's fair share: at most
+    ``buckets`` rows. ``parts`` are so many that each is at most that share."""
+    counted = sessions.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    total = sessions.agg(F.count(F.lit(1)).alias("_all"))
+    share = F.greatest(F.lit(1.0), total.scalar() / F.lit(buckets))
+    return counted.where(F.col("_n") > share).select("user_id", F.ceil(F.col("_n") / share).cast("int").alias("parts"))
+
+
+def spread_over_buckets(sessions: DataFrame, users: DataFrame, heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sessions and users with ``user_bucket``: one value for a user, ``parts`` for a heavy one.
+
+    A heavy user's sessions are dealt over the values by a hash of the session, and its dimension row is repeated
+    for each of them: at most two rows for each bucket are added. Sessions without a user match none of them.
+    """
+    of = F.broadcast(heavy.select(F.col("user_id").alias("_heavy"), "parts"))  # at most a row for each bucket
+    value = lambda part: F.xxhash64("user_id", part)
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = sessions.join(of, sessions["user_id"].eqNullSafe(F.col("_heavy")), "left").withColumn(
+        "user_bucket", value(F.pmod(F.xxhash64("session_id"), parts).cast("int")))
+    known = users.where("user_id is not null")
+    repeated = known.join(of, known["user_id"] == F.col("_heavy"), "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("user_bucket", value(F.col("_part").cast("int")))
+    return dealt.select(*sessions.columns, "user_bucket"), repeated.select(*users.columns, "user_bucket")
+
+
 def land_co_located(
     spark: SparkSession, model: dict[str, DataFrame], out_dir: str, database: str, buckets: int
 ) -> dict[str, DataFrame]:
     """Land the session fact and the user dimension bucketed by ``user_id`` (same bucket
-    count) and return the model reading them back, so the enrichment join and the user-keyed
-    rollup run without shuffling the fact. Meant for the ingest step of a deployment where the
-    user dimension is too large to broadcast."""
+    count) and return the model reading them back, so the enrichment join runs without shuffling the fact. Meant
+    for the ingest step of a deployment where the user dimension is too large to broadcast.
+
+    Where a user, or the sessions without one, would fill more than a bucket, both tables are bucketed by
+    (``user_bucket``, ``user_id``): see ``spread_over_buckets``. The enrichment joins on both columns then.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     landed = dict(model)
-    for name in ("sessions", "users"):
+    tables = {name: model[name] for name in ("sessions", "users")}
+    keys = ["user_id"]
+    heavy = heavy_users(tables["sessions"], buckets)
+    found = heavy.collect()  # at most a row for each bucket
+    if found:
+        heavy = spark.createDataFrame(found, heavy.schema)
+        tables = dict(zip(tables, spread_over_buckets(*tables.values(), heavy), strict=True))
+        keys = ["user_bucket", "user_id"]
+    for name, df in tables.items():
         table = f"{database}.raw_{name}_by_user"
-        publish_bucketed(model[name], f"{out_dir.rstrip('/')}/raw_{name}_by_user", table,
-                         "user_id", buckets)
+        publish_bucketed(df, f"{out_dir.rstrip('/')}/raw_{name}_by_user", table, keys, buckets)
         landed[name] = spark.table(table)
     return landed
 

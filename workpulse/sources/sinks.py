@@ -78,16 +78,17 @@ def refresh_table(df: DataFrame, path: str, table: str, counts: dict[str, Column
     return refresh(df, path, LAYOUTS.get(table, Layout()), counts, **options)
 
 
-def publish_bucketed(df: DataFrame, path: str, catalog_name: str, key: str, buckets: int) -> None:
-    """Write a catalog table hash-bucketed and sorted by ``key`` (external, at ``path``).
+def publish_bucketed(df: DataFrame, path: str, catalog_name: str, key: str | Sequence[str], buckets: int) -> None:
+    """Write a catalog table hash-bucketed and sorted by ``key``, a column or several (external, at ``path``).
 
     Two tables bucketed the same way on the join key join without a shuffle on either side:
     Spark reads matching buckets together. Sessions and users bucketed by ``user_id`` make the
     enrichment join, and the user-keyed aggregation after it, exchange-free. ``buckets`` should
     give files of a few hundred MB at the target scale.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     (df.write.mode("overwrite").format("parquet").option("path", path)
-       .bucketBy(buckets, key).sortBy(key).saveAsTable(catalog_name))
+       .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(catalog_name))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
