@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from workpulse.llm import decontaminate, lines, mixing, simhash, toxicity
 from workpulse.llm.common import read_table, shared_checkpoint_dir
+from workpulse.sources.versions import Folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,12 +62,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix made from the documents of ``sf_dir``."""
-    docs = read_table(spark, sf_dir, "documents")
-    folder = f"{shared_checkpoint_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
-    for number, (_, stage) in enumerate(STAGES[:-1]):
-        path = f"{folder}/{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The mix made from the documents of ``sf_dir``.
+
+    Each stage but the last is written to ``folder``, by default a new one in that of the checkpoints, and the one
+    before it is deleted then: one written stage is left, which the result reads. Called again with the same
+    ``folder``, it goes on after the last stage that was written whole.
+    """
+    store = Folder(spark, folder or f"{shared_checkpoint_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}")
+    before = STAGES[:-1]
+    done = max((n for n in range(len(before)) if "_SUCCESS" in store.names(str(n))), default=-1)
+    for number in range(done + 1, len(before)):
+        docs = spark.read.parquet(f"{store.path}/{number - 1}") if number else read_table(spark, sf_dir, "documents")
+        before[number][1](spark, docs, sf_dir).write.mode("overwrite").parquet(f"{store.path}/{number}")
+        if number:
+            store.delete(str(number - 1))
+    return STAGES[-1][1](spark, spark.read.parquet(f"{store.path}/{len(before) - 1}"), sf_dir)
