@@ -1,6 +1,7 @@
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,58 @@ def test_rates_are_tilted_and_meet_the_constraint(docs):
             assert max(slopes) - min(slopes) < 1e-6 * max(1, abs(max(slopes)))
 
 
+def slow_rounding(rows, n_docs):
+    """One document after the other, the largest first: one copy more when the words owed reach half its size."""
+    owed, out = 0.0, []
+    for size, rate in rows:
+        whole = int(rate)
+        owed += (rate - whole) * size
+        if rate > whole and owed >= size / 2:
+            whole += 1
+            owed -= size
+        out.append(whole)
+    assert len(out) == n_docs
+    return out
+
+
+def test_rounding_of_counted_rows_matches_one_by_one():
+    rng = random.Random(12)
+    for _ in range(200):
+        frame = pd.DataFrame(
+            [(str(i), i, 1, rng.randrange(1, 50), rng.choice([0.0, 0.25, 1.0, 1.375, 2.5, 3.0]), rng.choice([1, 1, 2, 7, 90])) for i in range(12)],
+            columns=["id", "tie", "place", "size", "rate", "n"],
+        )
+        got = M._round(frame.copy())
+        each = [(r.size_, r.rate) for r in got.rename(columns={"size": "size_"}).itertuples() for _ in range(r.n)]
+        slow = iter(slow_rounding(each, len(each)))
+        for r in got.itertuples():
+            assert sum(next(slow) for _ in range(r.n)) == r.n * r.copies + r.extra
+            assert 0 <= r.extra <= r.n
+
+
+def test_repeated_rows_share_no_block(spark):
+    """Half of the rows have a null id and one size: they are one counted row, and come out each."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.lit("four words of text").alias("text"),
+        F.when(F.col("id") % 10 < 7, "a").otherwise("b").alias("source"),
+    )
+    sized = rows.select(F.col("doc_id").alias("id"), F.xxhash64("doc_id").alias("tie"), "source", F.lit(4).cast("long").alias("size"))
+    counted, _ = M._mixed(sized, M.WEIGHTS, M.MAX_COPIES, 4096)
+    assert counted.count() == 10_000 + 2
+    got = M.mix(rows).groupBy("source_size").agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    assert sorted(r["n"] for r in got) == [6000, 14_000]
+    assert all(abs(r["taken"] - r["target"]) <= 0.01 * r["target"] for r in got)
+
+
+def test_tilt_settles_without_newton(spark):
+    """No step of Newton's is needed: the bracket is halved until it closes."""
+    counts = spark.createDataFrame([(1, 10, 40), (1, 300, 5), (2, 7, 100)], "place int, size long, n long")
+    sources = spark.createDataFrame([(1, "a", 1900, 3000.0), (2, "b", 700, 90.0)], "place int, source string, source_size long, target double")
+    slow = {r["place"]: r["tilt"] for r in M.solve_duals(counts, sources, max_steps=0).collect()}
+    fast = {r["place"]: r["tilt"] for r in M.solve_duals(counts, sources).collect()}
+    assert all(slow[p] == pytest.approx(fast[p], rel=1e-4, abs=1e-4) for p in (1, 2))
+
+
 def test_reruns_agree(docs):
     a, b = (sorted(M.mix(d).select("doc_id", "copies").collect()) for d in (docs, docs.repartition(7)))
     assert a == b

@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -18,7 +19,7 @@ def test_stages():
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +116,29 @@ def test_awkward_tables(spark, awkward, empty, number):
     assert set(got.columns) == set(awkward.columns)
     assert 0 < got.count() <= 3 * awkward.count()
     assert stage(spark, empty, SF).count() == 0
+
+
+def test_run_goes_on_after_the_last_written_stage(spark, tmp_path, monkeypatch):
+    """A stage that fails leaves the ones before it; earlier stages are deleted once the next is written."""
+    docs = spark.createDataFrame([(i, f"text number {i} of its own words", "en", "s", 5) for i in range(6)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/in/documents.parquet")
+    ran = []
+
+    def stage(name, fails=False):
+        def of(spark, docs, sf_dir):
+            ran.append(name)
+            if fails:
+                raise OSError("lost")
+            return docs.withColumn("text", F.concat("text", F.lit(f" {name}")))
+
+        return name, of
+
+    folder = f"{tmp_path}/stages"
+    monkeypatch.setattr(C, "STAGES", [stage("a"), stage("b"), stage("c", fails=True), stage("d")])
+    with pytest.raises(OSError):
+        C.run(spark, f"{tmp_path}/in", folder)
+    assert sorted(os.listdir(folder)) == ["1"]
+    monkeypatch.setattr(C, "STAGES", [stage("a"), stage("b"), stage("c"), stage("d")])
+    got = C.run(spark, f"{tmp_path}/in", folder)
+    assert ran == ["a", "b", "c", "c", "d"] and sorted(os.listdir(folder)) == ["2"]
+    assert {r["text"].split("words ")[1] for r in got.collect()} == {"a b c d"}

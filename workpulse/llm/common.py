@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -15,10 +16,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where it is unset (tests) one of its own is set."""
+    """The folder of ``spark.checkpoint.dir``; only where it is unset and Spark runs in this process alone a
+    temporary one is set. On a cluster executors would not share that: it is refused."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="workpulse-llm-"))
     return sc.getCheckpointDir()
 

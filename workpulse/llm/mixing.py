@@ -1,13 +1,15 @@
 """Mixing sources to target weights by entropy balancing.
 
-Every document gets a rate, the number of times that the mix wants it. Among all rates that give each
-source its target of words, the ones closest in relative entropy to one copy each are exponentially
-tilted: with a document's size x in units of its source's mean and at most C copies, the rate is
+Every document gets a rate, the number of times that the mix wants it, between 0 and C copies. Among all
+rates r that give each source its target of words, the chosen ones have the least binary relative entropy of r / C
+against 1 / C, summed over the documents: r ln r + (C - r) ln((C - r) / (C - 1)). They are exponentially tilted: with
+a document's size x in units of its source's mean the rate is
 ``C e^(l x) / (C - 1 + e^(l x))``, where l solves the convex dual of the source's token constraint.
-All duals are solved together by Newton steps, each one aggregation over the (source, size) counts,
-kept inside a bracket. Rates are then rounded into whole copies: within blocks of a source, from the
-largest document to the smallest, a document gets one copy more when the words still owed reach half
-its size, so that a block ends off by about half its smallest document.
+All duals are solved together by Newton steps, each one aggregation over the (source, size) counts, kept inside a
+bracket; after ``MAX_STEPS`` of them the bracket is halved until it closes. Rates are then rounded into whole copies:
+within blocks of a source, from the largest document to the smallest, a document gets one copy more when the words
+still owed reach half its size, so that a block ends off by about half its smallest document. Rows equal in id,
+tie and size are one counted row until then, so that a block is bounded however often a row repeats.
 
 Targets: the sources share all words by their weights (cycled over the sources by code point, null
 last); a target stops at C times its source's words, and the excess is shared anew by weight.
@@ -19,7 +21,9 @@ empty result; extra columns are ignored by ``mix`` and kept by ``mixed_documents
 
 from __future__ import annotations
 
-import numpy as np
+import itertools
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +35,11 @@ MAX_COPIES = 3
 #: Documents of one source that are rounded together.
 BLOCK_DOCS = 4096
 MAX_STEPS = 80
+#: A bracket of two numbers closes in far fewer halvings, whatever its ends.
+HALVINGS = 1200
 TOLERANCE = 1e-7
+#: Equal rows that are dealt out together.
+DEAL = 4096
 
 
 def source_targets(
@@ -76,7 +84,7 @@ def solve_duals(
     """(place, tilt, mean): the tilt of each source from ``counts`` (place, size, n) and its target.
 
     A source whose target is all it can give, or nothing, needs no step: its tilt is plus or minus
-    infinity. One row for each source is kept; only the number of open ones comes to the driver.
+    infinity. One row for each source is kept; only whether some are open comes to the driver.
     """
     means = counts.where("size > 0").groupBy("place").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"))
     full = F.col("target") >= max_copies * F.col("source_size") * (1 - 1e-12)
@@ -89,9 +97,11 @@ def solve_duals(
         )
     )
     rows = counts.where("size > 0")
-    for _ in range(max_steps):
+    for step in itertools.count():
         if state.where("not done").isEmpty():
             break
+        if step > max_steps + HALVINGS:
+            raise RuntimeError(f"the tilt of a source did not settle in {step} steps")
         rate = tilted_rate(F.col("tilt"), F.col("size"), F.col("mean"), max_copies)
         words = F.col("n") * F.col("size")
         sums = (
@@ -111,7 +121,10 @@ def solve_duals(
         inside = (
             F.when(F.col("low") == float("-inf"), F.greatest(newton, F.col("tilt") - reach))
             .when(F.col("high") == float("inf"), F.least(newton, F.col("tilt") + reach))
-            .otherwise(F.when((newton > F.col("low")) & (newton < F.col("high")), newton).otherwise((F.col("low") + F.col("high")) / 2))
+            .otherwise(
+                F.when((newton > F.col("low")) & (newton < F.col("high")) & F.lit(step < max_steps), newton)
+                .otherwise((F.col("low") + F.col("high")) / 2)
+            )
         )
         near = F.abs(F.col("value") - F.col("target")) <= TOLERANCE * F.col("target")
         # the bracket has closed to one number: no rate gets closer in double precision
@@ -132,27 +145,37 @@ def solve_duals(
     return state.select("place", "tilt", "mean")
 
 
+def extra_copies(owed: float, size: int, part: float, n: int) -> int:
+    """How many of ``n`` equal documents get one copy more, each when the words owed, ``part`` of its size
+    more with every document, reach half its size."""
+    if part <= 0 or not size:
+        return 0
+    return min(n, max(0, math.floor((owed + n * part * size) / size + 0.5)))
+
+
 def _round(frame: pd.DataFrame) -> pd.DataFrame:
     """Whole copies from rates, with the words owed carried from document to document."""
     frame = frame.sort_values(["size", "tie", "id"], ascending=[False, True, True], kind="stable")
-    owed, copies = 0.0, []
-    for size, rate in zip(frame["size"].tolist(), frame["rate"].tolist(), strict=True):
-        whole = int(rate)
-        owed += (rate - whole) * size
-        if rate > whole and owed >= size / 2:
-            whole += 1
-            owed -= size
-        copies.append(whole)
-    frame["copies"] = np.array(copies, dtype=np.int32)
-    return frame[["id", "tie", "place", "size", "rate", "copies"]]
+    owed, whole, extra = 0.0, [], []
+    for size, rate, n in zip(frame["size"].tolist(), frame["rate"].tolist(), frame["n"].tolist(), strict=True):
+        least = int(rate)
+        more = extra_copies(owed, size, rate - least, n)
+        owed += n * (rate - least) * size - more * size
+        whole.append(least)
+        extra.append(more)
+    frame["copies"], frame["extra"] = whole, extra
+    return frame[["id", "tie", "place", "size", "rate", "n", "copies", "extra"]]
 
 
 def _mixed(
     docs: DataFrame, weights: tuple[float, ...], max_copies: int, block_docs: int
 ) -> tuple[DataFrame, DataFrame]:
-    """From (id, tie, source, size): (id, tie, place, size, rate, copies), and the sources."""
-    docs = cut(docs)
-    counted = cut(docs.groupBy("source", "size").agg(F.count("*").alias("n")))
+    """From (id, tie, source, size): (id, tie, place, size, rate, n, copies, extra), and the sources.
+
+    A row stands for ``n`` equal ones, of which ``extra`` get one more than ``copies``.
+    """
+    docs = cut(docs.groupBy("id", "tie", "source", "size").agg(F.count("*").alias("n")))
+    counted = cut(docs.groupBy("source", "size").agg(F.sum("n").alias("n")))
     sources = cut(
         source_targets(
             counted.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, max_copies
@@ -173,12 +196,12 @@ def _mixed(
     )
     # ids go to pandas as text: next to a null it would make long integers floating-point numbers
     rated = docs.join(known, F.col("source").eqNullSafe(F.col("name"))).select(
-        F.col("id").cast("string").alias("id"), "tie", "place", "size", rate.alias("rate"),
+        F.col("id").cast("string").alias("id"), "tie", "place", "size", rate.alias("rate"), "n",
         F.pmod(F.xxhash64("tie", "size"), F.col("blocks")).alias("block"),
     )
     kind = dict(docs.dtypes)["id"]
     rounded = rated.groupBy("place", "block").applyInPandas(
-        _round, "id string, tie long, place int, size long, rate double, copies int"
+        _round, "id string, tie long, place int, size long, rate double, n long, copies long, extra long"
     )
     return rounded.withColumn("id", F.col("id").cast(kind)), sources
 
@@ -196,7 +219,16 @@ def mix(
     sized = docs.select(
         docs[id_col].alias("id"), F.xxhash64(docs[id_col]).alias("tie"), docs[source].alias("source"), word_count(docs[text]).alias("size")
     )
-    rounded, sources = _mixed(sized, weights, max_copies, block_docs)
+    counted, sources = _mixed(sized, weights, max_copies, block_docs)
+    # equal rows again one by one, in runs of DEAL
+    kinds = F.array(
+        F.struct(F.col("extra").alias("times"), (F.col("copies") + 1).cast("int").alias("each")),
+        F.struct((F.col("n") - F.col("extra")).alias("times"), F.col("copies").cast("int").alias("each")),
+    )
+    runs = counted.select("id", "place", "size", "rate", F.inline(kinds)).where("times > 0")
+    runs = runs.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(DEAL).cast("long"))))
+    left = F.least(F.col("times") - F.col("run"), F.lit(DEAL).cast("long")).cast("int")
+    rounded = runs.select("id", "place", "size", "rate", F.col("each").alias("copies"), F.explode(F.sequence(F.lit(1), left)).alias("one"))
     return rounded.join(sources.select("place", "source_size", "target"), "place").select(
         F.col("id").alias(id_col), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rate", "copies"
     )
@@ -223,9 +255,16 @@ def mixed_documents(
     )
     rounded, _ = _mixed(sized, weights, max_copies, block_docs)
     # rows equal in every column share a key: their copies add up on one of them
-    copies = rounded.groupBy("tie", "id").agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
+    added = F.sum(F.col("n") * F.col("copies") + F.col("extra"))
+    copies = rounded.groupBy("tie", "id").agg(added.alias("_copies")).where("_copies > 0")
     keyed = keyed.withColumn("_id", F.col(f"_row.{id_col}"))
     joined = keyed.join(copies, (F.col("_hash") == copies["tie"]) & F.col("_id").eqNullSafe(copies["id"]))
     one_each = joined.dropDuplicates(["_hash", "_id"])
     kept = [F.col("_row").getField(c).alias(c) for c in docs.columns if c.lower() != "copy"]
-    return one_each.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
+    # in runs of DEAL: a row that repeats without end makes no array of that length
+    runs = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(DEAL).cast("long"))).alias("_run")
+    dealt = one_each.select(*(c.alias(f"_c{i}") for i, c in enumerate(kept)), "_copies", runs)
+    left = F.least(F.col("_copies") - F.col("_run"), F.lit(DEAL).cast("long"))
+    each = dealt.select(*(f"_c{i}" for i in range(len(kept))), "_run", F.explode(F.sequence(F.lit(1).cast("long"), left)).alias("_one"))
+    names = [c for c in docs.columns if c.lower() != "copy"]
+    return each.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)), (F.col("_run") + F.col("_one")).cast("int").alias("copy"))
