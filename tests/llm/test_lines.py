@@ -7,9 +7,9 @@ LONG = "this passage of more than ten words stands on a line of its own"
 SHORT = "two words"
 
 
-def run(spark, rows):
+def run(spark, rows, **options):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    return {r["doc_id"]: r for r in L.dedup_lines(docs).select("_row.doc_id", "text", "blocks", "words", "holders").collect()}
+    return {r["doc_id"]: r for r in L.dedup_lines(docs, **options).select("_row.doc_id", "text", "blocks", "words", "holders").collect()}
 
 
 def test_later_documents_lose_the_block(spark):
@@ -116,19 +116,28 @@ def test_passage_with_mixed_first_holders(spark):
 
 
 def test_against_all_pairs(spark):
-    """A document loses what it has in common with any earlier one, all pairs tried."""
+    """A document loses the blocks it has in common with any earlier one, all pairs tried.
+
+    Beside them go only lines that stand between two of its blocks and that an earlier document has.
+    """
     rng = random.Random(9)
     pool = [" ".join(f"w{i}x{k}" for k in range(rng.randrange(4, 10))) for i in range(14)] + ["", ""]
     passages = [[rng.choice(pool) for _ in range(5)] for _ in range(12)]
     docs = [(i, "\n".join(line for _ in range(rng.randrange(4)) for line in rng.choice(passages)[rng.randrange(3) :])) for i in range(120)]
-    got = run(spark, docs)
-    n = 0
+    got, aligned = run(spark, docs, rare_docs=0), run(spark, docs)
+    n = more = 0
     for i, text in docs:
         gone = set().union(*(blocks_in_common(text, other, lambda line: len(line.split())) for _, other in docs[:i]))
         assert got[i]["text"] == "\n".join(line for k, line in enumerate(text.split("\n")) if k not in gone)
         assert sorted(gone) == [k for b in got[i]["blocks"] or [] for k in range(b["first"], b["last"] + 1)]
         n += len(gone)
-    assert n > 300
+        lines = text.split("\n")
+        every = {k for b in aligned[i]["blocks"] or [] for k in range(b["first"], b["last"] + 1)}
+        before = {line for _, other in docs[:i] for line in other.split("\n")}
+        assert gone <= every and all(min(gone) < k < max(gone) and lines[k] in before for k in every - gone)
+        assert aligned[i]["text"] == "\n".join(line for k, line in enumerate(lines) if k not in every)
+        more += len(every - gone)
+    assert n > 300 and more > 0
 
 
 def test_many_short_lines_make_a_block(spark):
@@ -145,3 +154,59 @@ def test_scripts_without_spaces(spark):
     got = run(spark, [(1, f"{chinese}\n一\n{thai}\n二\n{code}\n短句"), (2, f"甲\n{chinese}\n乙\n{thai}\n丙\n{code}\n丁\n短句"), (3, f"{chinese}\n一")])
     assert got[2]["text"] == "甲\n乙\n丙\n丁\n短句" and got[3]["text"] == ""
     assert L.line_words("plain words only") == 3 and L.line_words("Üben é ñ") == 3
+
+
+BETWEEN = [
+    (1, f"{LONG}\nfirst own\nshort one\n}}\nmore of its own\nshort two\n{LONG[::-1]}\nshort three"),
+    (2, f"{LONG}\nanother line\nshort one\nsomething else\nshort two\nreally\n{LONG[::-1]}\nits end\nshort three"),
+]
+
+
+def test_short_lines_between_two_anchors(spark):
+    got = run(spark, BETWEEN)
+    # 'short three' has no anchor behind it
+    assert got[2]["text"] == "another line\nsomething else\nreally\nits end\nshort three"
+    assert [(b["first"], b["last"]) for b in got[2]["blocks"]] == [(0, 0), (2, 2), (4, 4), (6, 6)]
+    assert got[2]["words"] == 14 + 14 + 4 and got[1]["blocks"] is None
+
+
+def test_alignment_decides(spark, monkeypatch):
+    monkeypatch.setattr(L, "gaps_between", lambda anchors: [])
+    assert "short one" in run(spark, BETWEEN)[2]["text"]
+
+
+def test_frequent_anchors_do_not_make_an_overlap(spark):
+    """A header and a footer of very many documents go; the short lines between them stay."""
+    docs = [(i, f"{LONG}\nown {i}\nshort one\nmine {i}\n{LONG[::-1]}") for i in range(L.RARE_DOCS + 1)]
+    got = run(spark, docs)
+    assert all(got[i]["text"] == f"own {i}\nshort one\nmine {i}" for i, _ in docs[1:])
+    got = run(spark, docs[: L.RARE_DOCS])
+    assert all(got[i]["text"] == f"own {i}\nmine {i}" for i, _ in docs[1 : L.RARE_DOCS])
+
+
+def test_rows_without_an_id_and_repeated_rows_between_anchors(spark):
+    (_, first), (_, second) = BETWEEN
+    docs = spark.createDataFrame([(None, first), (5, second), (5, second), (6, second)], "doc_id long, text string")
+    got = L.documents_without_repeats(docs).collect()
+    # document 6 is a copy of 5, all its windows held by the first two
+    want = {(None, first), (5, "another line\nsomething else\nreally\nits end\nshort three")}
+    assert {(r["doc_id"], r["text"]) for r in got if r["doc_id"] != 6} == want and len(got) == 4
+
+
+def test_patience():
+    rng = random.Random(8)
+    assert L.patience([1, 2, 3], [1, 9, 3]) == [0, 2] and L.patience([5, 5], [5, 5]) == [0, 1] and L.patience([], [1]) == []
+    for _ in range(300):
+        here, there = ([rng.randrange(12) for _ in range(rng.randrange(14))] for _ in range(2))
+        found = L.patience(here, there)
+        # what is aligned is a common subsequence
+        rest = iter(there)
+        assert found == sorted(set(found)) and all(here[k] in rest for k in found)
+        once = rng.sample(range(20), 9)
+        kept = sorted(rng.sample(range(9), 5))
+        assert L.patience(once, [once[k] for k in kept]) == kept
+
+
+def test_gaps_between():
+    assert L.gaps_between([(0, 0), (1, 1), (4, 3), (5, 9), (8, 10)]) == [(2, 3, 2, 2)]
+    assert L.gaps_between([(0, 0), (66, 2)]) == [] and L.gaps_between([(0, 0), (65, 2)]) == [(1, 64, 1, 1)]
