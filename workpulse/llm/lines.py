@@ -10,16 +10,23 @@ lines of ``BLOCK_WORDS`` words that start or end at a line, and of two lines whe
 Every common block is made up of windows that overlap, whole in both documents, so the first document that
 holds a window (its holder) stands for all earlier ones with it: a document is paired with the holders of
 its windows, and the blocks in common with them cover the blocks in common with all earlier documents. A
-line in a third of all documents makes one pair for each of them, never all pairs. What is rare is the
-window, not a line: lines of any length and frequency count if enough of them follow each other.
+line in a third of all documents makes one pair for each of them, never all pairs. Lines of any length and
+frequency count if enough of them follow each other.
 
 Words are counted so that scripts without spaces work too: see ``line_words``.
 
-A pair is aligned by patience: all its shared lines are unique in both texts, and the longest sequence of
+A pair is aligned by patience: the lines of its windows are unique in both texts, and the longest sequence of
 them that ascends in both is the alignment. Lines off it (moved passages) align along their own diagonal.
 Runs of lines that follow each other in both texts are the common blocks; blocks in common with several
 documents that share lines are deleted, and told, as one.
 
+The rows that hold each window are counted. Two documents that share a rare one (``RARE_DOCS`` rows or fewer)
+overlap: the stretches of both texts between two anchors that follow each other in the alignment (up to
+``GAP_LINES`` lines in each) are joined and aligned by patience in turn, and their aligned lines are deleted even
+where a run of them has fewer words than a block. Documents with frequent windows alone (a header and a footer
+of a thousand others) lose their common blocks, and what stands between them stays. This alignment is with the
+first holder of a window: short lines that only a later holder has stay.
+
 Defined cases: a null text stays null and an empty one empty; a document may lose all its lines and then
 has the empty text; null ids come before all others; rows equal in all columns count as one document and
 come out alike; an empty table gives an empty result; extra columns are kept as they are.
