@@ -1,7 +1,10 @@
 import bisect
 import hashlib
+import random
 import re
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from workpulse.llm import spotsigs as S
@@ -76,6 +79,50 @@ def test_near_pairs_match_brute_force(spark):
     assert want and {(r["a"], r["b"]) for r in pairs.collect()} == want
 
 
+def families(n, hot_words, seed):
+    """Texts that share frequent signatures, with small changes: sets that meet only in frequent signatures, too."""
+    rng = random.Random(seed)
+    base = [[f"the {rng.choice('abcdefgh')}{rng.randrange(9)} {w}" for w in range(hot_words)] for _ in range(4)]
+    rows = []
+    for i in range(n):
+        parts = list(rng.choice(base))
+        for _ in range(rng.randrange(4)):
+            parts[rng.randrange(len(parts))] = f"the new{rng.randrange(40)} word"
+        rows.append((None if i % 50 == 49 else i // 2 * 2, " ".join(parts[: len(parts) - rng.randrange(3)])))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [0, 3, 1000])
+@pytest.mark.parametrize("threshold", [0.6, 0.8])
+def test_near_classes_with_hot_signatures(spark, hot, threshold):
+    rows = families(60, 12, 1) + families(30, 3, 2)
+    prints = spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)], "doc_id long, text string")
+    prints = S.fingerprints(prints).withColumn("print", S.print_key(F.col("hashes")))
+    got = {(r["a"], r["b"]): r["likeness"] for r in S.near_classes(prints, threshold, hot).collect()}
+    sets = {r["print"]: frozenset(r["hashes"]) for r in prints.collect()}
+    want = {(a, b): jaccard(x, y) for a, x in sets.items() for b, y in sets.items() if a < b and jaccard(x, y) >= threshold}
+    assert want and got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_query_classes_and_links(spark):
+    """Classes and links of the query's own operator: repeated ids, null ids and copies, against all pairs."""
+    rows = families(70, 12, 3) + [(None, None), (7, ""), (None, "only here and there")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = S.likeness_to_edits(docs).collect()
+    members, sets = {}, {r["id"]: frozenset(r["hashes"]) for r in S.fingerprints(
+        spark.createDataFrame([(n, t) for n, (_, t) in enumerate(rows)], "doc_id long, text string")).collect()}
+    for n, (i, _) in enumerate(rows):
+        members.setdefault(sets[n], []).append(i)
+    want = Counter()
+    for n, (i, text) in enumerate(rows):
+        ids = [m for m in members[sets[n]] if m is not None]
+        links = sum(s != sets[n] and jaccard(s, sets[n]) >= 0.8 for s in members)
+        want[i, len(text or ""), min(ids) if ids else None, links] += 1
+    assert Counter((r["doc_id"], r["n_chars"], r["class_id"], r["n_links"]) for r in got) == want
+    assert any(k[3] for k in want)
+
+
 def test_partitions_two_apart_are_hopeless(spark):
     got = dict(spark.range(1, 3000).select("id", S.length_partition(F.col("id"))).collect())
     for n in range(1, 3000):

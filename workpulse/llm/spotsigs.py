@@ -7,15 +7,18 @@ as the Jaccard similarity of their sets.
 
 Sets of m and n signatures can't be more alike than min(m, n) / max(m, n). So for a near-duplicate search
 the documents are partitioned by set length, with bounds that make any two partitions but neighbours too
-different, and a document looks only into its own and the next one. There it meets only those with which it
-shares a signature among its rarest (a prefix long enough that alike sets must share one), and a pair is
-given up where length, prefix place and intersection can't reach the threshold any more.
+different, and a document looks only into its own and the neighbouring ones. There it meets only those with
+which it shares a signature among its rarest (a prefix long enough that alike sets must share one), and a pair
+is given up where length, prefix place and intersection can't reach the threshold any more. A signature in very
+many prefixes is no meeting place by itself: such sets meet by pairs of signatures.
 
 All of it is DataFrame operations. Words are lower-cased runs of letters, digits and underscores.
 
 Defined cases: a null text is the empty text; a text without a signature has one for its whole sequence of
-words, so that equal texts are alike and others aren't; repeated rows are documents of their own; an empty
-table gives an empty result; extra columns are ignored.
+words, so that equal texts are alike and others aren't; a text of any length is read whole; equal rarity is
+ordered by hash; rows with equal fingerprints are one class, named by its smallest id, null only where it has no
+other; repeated rows are documents of their own in ``near_pairs`` and rows of their own in the query's result;
+an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +40,10 @@ ANCHORS = (
 )
 CHAIN = 2
 THRESHOLD = 0.8
+#: Counts that order signatures by rarity.
+BUCKETS = 1 << 14
+#: Prefixes that may share a signature before pairs of signatures take its place.
+HOT = 1000
 #: Stands behind the last word; no text has it as a word.
 _END = "\x01"
 _NO_WORD = r"[^\p{L}\p{N}_]+"
@@ -107,62 +114,122 @@ def length_partition(size: Column, threshold: float = THRESHOLD) -> Column:
     return F.floor(F.log(size.cast("double")) / F.log(F.lit(1.0 / threshold)) + 1e-9).cast("int")
 
 
+def print_key(hashes: Column) -> Column:
+    """A fingerprint's 64-bit name; sets with one name count as equal."""
+    return F.xxhash64(hashes)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", chain: int = CHAIN) -> DataFrame:
     """(id, hashes, partition) of every row."""
     found = docs.select(docs[id_col].alias("id"), signatures(text_or_empty(docs[text]), chain).alias("hashes"))
     return found.withColumn("partition", length_partition(F.size("hashes")))
 
 
-def near_pairs(prints: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Near-duplicate search over (id, hashes, partition): pairs of classes, and the members of each class.
+def _ordered(sets: DataFrame) -> DataFrame:
+    """(print, size, partition, ordered) of (print, hashes): the set as (rarity, hash), the rarest first.
 
-    A class is a set of equal fingerprints, named by its smallest id, so that copies are not paired. The
-    pairs (a, b, likeness) are all those of two classes with a likeness of at least the threshold.
+    Rarity is the number of sets in a hash's bucket; the table of the ``BUCKETS`` counts has one size for any input.
+    Any order that all sets share gives the same pairs; a good one keeps frequent signatures out of the prefixes.
     """
-    keyed = prints.withColumn("print", F.sha2(F.array_join("hashes", " ").cast("binary"), 256))
-    classes = cut(keyed.groupBy("print").agg(F.min("id").alias("class"), F.first("hashes").alias("hashes")))
-    members = keyed.join(classes.select("print", "class"), "print").select("id", "class")
-    sized = classes.select("class", "hashes", F.size("hashes").alias("size")).withColumn(
-        "partition", length_partition(F.col("size"), threshold)
-    )
-    # the rarest signatures of a class: an alike class shares one of size - ceil(threshold * size) + 1
-    each = sized.select("class", "size", "partition", F.explode("hashes").alias("hash"))
-    rarity = each.groupBy("hash").agg(F.count("*").alias("classes"))
-    rank = F.row_number().over(Window.partitionBy("class").orderBy("classes", "hash"))
-    prefix = cut(
-        each.join(rarity.where("classes > 1"), "hash")
-        .withColumn("unique", F.col("size") - F.count("*").over(Window.partitionBy("class")))
-        .withColumn("place", F.col("unique") + rank)  # signatures of one class only come first
-        .where(F.col("place") <= F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1)
-        .select("class", "size", "partition", "hash", "place")
+    bucket = F.pmod("hash", F.lit(BUCKETS))
+    counted = sets.select(F.explode("hashes").alias("hash")).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    every = sets.sparkSession.range(BUCKETS).join(counted, F.col("id") == F.col("bucket"), "left")
+    sketch = every.agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("n", F.lit(0)).alias("n")))), lambda x: x["n"]).alias("n")
     )
-    # a class meets its own partition and, once, the next one
-    left = prefix.select(
-        F.col("class").alias("a"), F.col("size").alias("na"), F.col("place").alias("pa"), "hash", "partition"
+    known = sets.select("print", F.size("hashes").alias("size"), F.struct("hashes", sketch.scalar().alias("n")).alias("known"))
+    ordered = _let(
+        F.col("known"),
+        lambda x: F.array_sort(
+            F.transform(x["hashes"], lambda h: F.struct(F.get(x["n"], F.pmod(h, F.lit(BUCKETS))).alias("rarity"), h.alias("hash")))
+        ),
     )
-    right = prefix.select(
-        F.col("class").alias("b"), F.col("size").alias("nb"), F.col("place").alias("pb"), "hash",
-        F.explode(F.array(F.col("partition"), F.col("partition") - 1)).alias("partition"),
-        F.col("partition").alias("home"),
+    return known.select("print", "size", ordered.alias("ordered"))
+
+
+def near_classes(prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT) -> DataFrame:
+    """Near-duplicate search over (print, hashes): pairs (a, b, likeness) of unequal prints, each once, a < b.
+
+    These are all pairs with a likeness of at least the threshold. Rows of equal print are one set. A signature that
+    more than ``hot`` prefixes share is no key by itself: alike sets that share only such ones in their prefixes share
+    two signatures in prefixes longer by one, so there they meet by pairs of signatures.
+    """
+    if not 0.5 < threshold <= 1:
+        raise ValueError("the threshold must be above 0.5 and at most 1")
+    least = F.ceil(F.lit(threshold) * F.col("size") - 1e-9)
+    prefixes = _ordered(prints.select("print", "hashes")).select(
+        "print", "size", length_partition(F.col("size"), threshold).alias("partition"),
+        F.transform(F.slice("ordered", F.lit(1), (F.col("size") - least + 2).cast("int")), lambda x: x["hash"]).alias("longer"),
+        (F.col("size") - least + 1).cast("int").alias("own"),
     )
-    most = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))  # that a first shared place allows
-    found = (
-        left.join(right, ["hash", "partition"])
-        .where((F.col("home") > F.col("partition")) | (F.col("a") < F.col("b")))
+    sets = ["print", "size", "partition"]
+    # copies have equal rows: they become one before the shuffle
+    each = cut(
+        prefixes.select(*sets, F.posexplode(F.slice("longer", F.lit(1), F.col("own"))).alias("place", "hash"))
+        .withColumn("place", F.col("place") + 1)
+        .distinct()
+    )
+    counts = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    shared = each.join(counts, "hash")
+    too_hot = counts.where(F.col("n") > hot).select("hash")
+    light = _meet(shared.where(F.col("n") <= hot).drop("n"), ["hash"], 1, threshold)
+    hot_sets = each.join(too_hot, "hash").groupBy("print").agg(F.collect_set("hash").alias("hot"))
+    # the places of two signatures i < j of a longer prefix, of which the first, in the order of all, is hot
+    longer = prefixes.dropDuplicates(["print"]).join(hot_sets, "print").select(*sets, "longer", "hot", F.posexplode("longer").alias("i", "first"))
+    two = (
+        longer.where(F.array_contains("hot", F.col("first")))
+        .select(*sets, "i", "first", F.posexplode("longer").alias("j", "second"))
+        .where("j > i")
+        .select(*sets, "first", "second", (F.col("j") + 1).alias("place"))
+    )
+    found = light.unionByName(_meet(two, ["first", "second"], 2, threshold)).distinct()
+    found = cut(found)
+    needed = found.select(F.explode(F.array("a", "b")).alias("print")).distinct()
+    named = prints.join(needed, "print", "left_semi").groupBy("print").agg(F.first("hashes").alias("hashes"))
+    own = named.select(F.col("print").alias("a"), F.col("hashes").alias("ha"))
+    other = named.select(F.col("print").alias("b"), F.col("hashes").alias("hb"))
+    likeness = pruned_jaccard(F.col("ha"), F.col("hb"), threshold - 1e-12)
+    return found.join(own, "a").join(other, "b").select("a", "b", likeness.alias("likeness")).where("likeness > 0")
+
+
+def _meet(keyed: DataFrame, keys: list[str], shared: int, threshold: float) -> DataFrame:
+    """Pairs (a, b), a < b, of sets with a key in common, in one partition or in neighbours, that can be alike.
+
+    ``place`` is that of the ``shared``-th common signature where the key is the first that they have in common;
+    every alike pair has such a key, so rows whose places leave too few signatures are given up before they are paired
+    off by print.
+    """
+    left = keyed.select(
+        *keys, F.col("print").alias("a"), F.col("size").alias("na"), F.col("place").alias("pa"), F.col("partition").alias("home_a")
+    )
+    right = keyed.select(
+        *keys, F.col("print").alias("b"), F.col("size").alias("nb"), F.col("place").alias("pb"), F.col("partition").alias("home_b")
+    )
+    need = F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("nb")) - 1e-9
+    most = shared + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return (
+        left.join(right, keys)
+        .where((F.col("a") < F.col("b")) & (F.abs(F.col("home_a") - F.col("home_b")) <= 1) & (most >= need))
         .where(F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - 1e-9)
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.max(most + F.least("pa", "pb") - 1).alias("most"))
-        .where(F.col("most") >= F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("nb")) - 1e-9)
+        .select("a", "b")
+        .distinct()
     )
-    own = classes.select(F.col("class").alias("a"), F.col("hashes").alias("ha"))
-    other = classes.select(F.col("class").alias("b"), F.col("hashes").alias("hb"))
-    pairs = (
-        found.join(own, "a").join(other, "b")
-        .withColumn("likeness", pruned_jaccard(F.col("ha"), F.col("hb"), threshold))
-        .where("likeness > 0")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
-    )
-    return pairs, members
+
+
+def near_pairs(prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """Near-duplicate search over (id, hashes): pairs of classes (a, b, likeness), and the members (id, class).
+
+    A class is a set of equal fingerprints, named by its smallest id (null only where it has no other), so that copies
+    are not paired.
+    """
+    keyed = cut(prints.select("id", "hashes", print_key(F.col("hashes")).alias("print")))
+    classes = keyed.groupBy("print").agg(F.min("id").alias("class"))
+    links = near_classes(keyed, threshold, hot)
+    a, b = (classes.select(F.col("print").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
+    pairs = links.join(a, "a").join(b, "b").select(
+        F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), "likeness"
+    )
+    return pairs, keyed.join(classes, "print").select("id", "class")
 
 
 def _neighbours(entries: DataFrame) -> DataFrame:
@@ -195,13 +262,25 @@ def likeness_to_edits(
 ) -> DataFrame:
     """Fingerprints of each text and its edited text, and their likenesses, as the query op3 defines them.
 
-    Rows of equal id and text count as one document.
+    The near-duplicate search over all documents adds ``class_id``, the smallest id with the same fingerprint, and
+    ``n_links``, the number of other classes with a likeness of at least ``THRESHOLD``. Rows of equal id and text
+    count as one document.
     """
     rows = docs.select(docs[id_col].alias("id"), text_or_empty(docs[text]).alias("text")).withColumn(
         "key", F.unhex(F.md5(F.concat(text_or_empty("id"), F.lit("\n"), "text").cast("binary")))
     )
-    entries = rows.select("id", "key", F.length("text").alias("chars")).distinct()
+    hashes = signatures(F.col("text"), chain)
+    prints = cut(
+        rows.select("id", "key", F.length("text").alias("chars"), hashes.alias("hashes")).withColumn("print", print_key(F.col("hashes")))
+    )
+    entries = prints.select("id", "key", "chars").distinct()
     before = _neighbours(entries)
+    # (before, class_id, n_links): small rows, which travel with what is sent to a document
+    links = near_classes(prints).select(F.explode(F.array("a", "b")).alias("print"))
+    classes = prints.groupBy("print").agg(F.min("id").alias("class_id"))
+    near = classes.join(links.groupBy("print").agg(F.count("*").alias("n_links")), "print", "left")
+    named = prints.select(F.col("key").alias("before"), "print").distinct().join(near, "print").drop("print")
+    before = cut(before.join(named.fillna(0, ["n_links"]), "before"))
     # what a document sends to the one before it: the beginning that is wanted there, and its fingerprint;
     # with its id, so that this and the last join read the same columns and share one shuffle of the texts
     sent = (
@@ -210,6 +289,8 @@ def likeness_to_edits(
             F.col("before").alias("to"),
             F.struct(
                 F.col("id").alias("id"),
+                "class_id",
+                "n_links",
                 F.left("text", F.floor(F.col("before_chars") / 2).cast("int")).alias("head"),
                 signatures(F.col("text"), chain).alias("hashes"),
             ).alias("next"),
@@ -225,10 +306,13 @@ def likeness_to_edits(
         F.concat(F.left("text", chars - F.floor(chars / 2).cast("int")), F.col("next.head")).alias("edited"),
         F.col("next.hashes").alias("next"),
         F.col("next.id").alias("next_id"),
+        F.col("next.class_id").alias("class_id"),
+        F.col("next.n_links").alias("n_links"),
     )
     printed = joined.select(
         "id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         signatures(F.col("text"), chain).alias("own"), signatures(F.col("edited"), chain).alias("other"), "next", "next_id",
+        "class_id", "n_links",
     )
     return printed.select(
         F.col("id").alias(id_col),
@@ -240,4 +324,6 @@ def likeness_to_edits(
         pruned_jaccard(F.col("own"), F.col("next")).alias("near_next"),
         length_partition(F.size("own")).alias("partition"),
         "next_id",
+        "class_id",
+        "n_links",
     )
