@@ -23,10 +23,14 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from workpulse.llm.common import cut, text_or_empty
+from workpulse.llm.common import cut, shared_checkpoint_dir, text_or_empty
+from workpulse.sources.versions import Folder
 
 # Frequent function words of English, French, German and Spanish.
 ANCHORS = (
@@ -126,7 +130,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ch
 
 
 def _ordered(sets: DataFrame) -> DataFrame:
-    """(print, size, partition, ordered) of (print, hashes): the set as (rarity, hash), the rarest first.
+    """(print, size, ordered) of (print, hashes): the set as longs of rarity and hash, the rarest first.
 
     Rarity is the number of sets in a hash's bucket; the table of the ``BUCKETS`` counts has one size for any input.
     Any order that all sets share gives the same pairs; a good one keeps frequent signatures out of the prefixes.
@@ -138,82 +142,87 @@ def _ordered(sets: DataFrame) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("n", F.lit(0)).alias("n")))), lambda x: x["n"]).alias("n")
     )
     known = sets.select("print", F.size("hashes").alias("size"), F.struct("hashes", sketch.scalar().alias("n")).alias("known"))
+    # one long for each: the rarity above the 32 bits of the hash
     ordered = _let(
         F.col("known"),
         lambda x: F.array_sort(
-            F.transform(x["hashes"], lambda h: F.struct(F.get(x["n"], F.pmod(h, F.lit(BUCKETS))).alias("rarity"), h.alias("hash")))
+            F.transform(
+                x["hashes"],
+                lambda h: F.shiftleft(F.get(x["n"], F.pmod(h, F.lit(BUCKETS))).cast("long"), 32) + h.cast("long") + F.lit(1 << 31),
+            )
         ),
     )
     return known.select("print", "size", ordered.alias("ordered"))
 
 
-def near_classes(prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT) -> DataFrame:
+def near_classes(
+    prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT, keep: Callable[[DataFrame], DataFrame] = cut
+) -> DataFrame:
     """Near-duplicate search over (print, hashes): pairs (a, b, likeness) of unequal prints, each once, a < b.
 
     These are all pairs with a likeness of at least the threshold. Rows of equal print are one set. A signature that
     more than ``hot`` prefixes share is no key by itself: alike sets that share only such ones in their prefixes share
-    two signatures in prefixes longer by one, so there they meet by pairs of signatures.
+    two signatures in prefixes longer by one, so there they meet by pairs of signatures. ``keep`` writes what is read
+    more than once.
     """
     if not 0.5 < threshold <= 1:
         raise ValueError("the threshold must be above 0.5 and at most 1")
-    least = F.ceil(F.lit(threshold) * F.col("size") - 1e-9)
-    prefixes = _ordered(prints.select("print", "hashes")).select(
-        "print", "size", length_partition(F.col("size"), threshold).alias("partition"),
-        F.transform(F.slice("ordered", F.lit(1), (F.col("size") - least + 2).cast("int")), lambda x: x["hash"]).alias("longer"),
-        (F.col("size") - least + 1).cast("int").alias("own"),
-    )
-    sets = ["print", "size", "partition"]
-    # copies have equal rows: they become one before the shuffle
-    each = cut(
-        prefixes.select(*sets, F.posexplode(F.slice("longer", F.lit(1), F.col("own"))).alias("place", "hash"))
-        .withColumn("place", F.col("place") + 1)
-        .distinct()
+    own = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1
+    longer = F.transform(
+        F.slice("ordered", F.lit(1), (own + 1).cast("int")), lambda x: (x.bitwiseAND(0xFFFFFFFF) - F.lit(1 << 31)).cast("int")
+    )
+    # copies become one before their signatures are dealt out
+    prefixes = keep(
+        _ordered(prints.select("print", "hashes"))
+        .select("print", "size", longer.alias("longer"))
+        .dropDuplicates(["print"])
+        .withColumn("set", F.monotonically_increasing_id())
     )
+    each = prefixes.select("set", "size", F.posexplode(F.slice("longer", F.lit(1), own.cast("int"))).alias("place", "hash"))
     counts = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    shared = each.join(counts, "hash")
-    too_hot = counts.where(F.col("n") > hot).select("hash")
-    light = _meet(shared.where(F.col("n") <= hot).drop("n"), ["hash"], 1, threshold)
-    hot_sets = each.join(too_hot, "hash").groupBy("print").agg(F.collect_set("hash").alias("hot"))
-    # the places of two signatures i < j of a longer prefix, of which the first, in the order of all, is hot
-    longer = prefixes.dropDuplicates(["print"]).join(hot_sets, "print").select(*sets, "longer", "hot", F.posexplode("longer").alias("i", "first"))
+    shared = keep(each.join(counts, "hash").withColumn("place", F.col("place") + 1))
+    light = _meet(shared.where(F.col("n") <= hot), ["hash"], 1, threshold)
+    hot_sets = shared.where(F.col("n") > hot).groupBy("set").agg(F.collect_set("hash").alias("hot"))
+    # two signatures of a longer prefix, of which the first, in the order of all, is hot
+    firsts = prefixes.join(hot_sets, "set").select("set", "size", "longer", "hot", F.posexplode("longer").alias("i", "first"))
     two = (
-        longer.where(F.array_contains("hot", F.col("first")))
-        .select(*sets, "i", "first", F.posexplode("longer").alias("j", "second"))
+        firsts.where(F.array_contains("hot", F.col("first")))
+        .select("set", "size", "i", "first", F.posexplode("longer").alias("j", "second"))
         .where("j > i")
-        .select(*sets, "first", "second", (F.col("j") + 1).alias("place"))
+        .select("set", "size", "first", "second", (F.col("j") + 1).alias("place"))
     )
     found = light.unionByName(_meet(two, ["first", "second"], 2, threshold)).distinct()
-    found = cut(found)
+    one, another = (prefixes.select(F.col("set").alias(f"set_{c}"), F.col("print").alias(c)) for c in "ab")
+    found = keep(found.join(one, "set_a").join(another, "set_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     needed = found.select(F.explode(F.array("a", "b")).alias("print")).distinct()
     named = prints.join(needed, "print", "left_semi").groupBy("print").agg(F.first("hashes").alias("hashes"))
-    own = named.select(F.col("print").alias("a"), F.col("hashes").alias("ha"))
-    other = named.select(F.col("print").alias("b"), F.col("hashes").alias("hb"))
+    left = named.select(F.col("print").alias("a"), F.col("hashes").alias("ha"))
+    right = named.select(F.col("print").alias("b"), F.col("hashes").alias("hb"))
     likeness = pruned_jaccard(F.col("ha"), F.col("hb"), threshold - 1e-12)
-    return found.join(own, "a").join(other, "b").select("a", "b", likeness.alias("likeness")).where("likeness > 0")
+    return found.join(left, "a").join(right, "b").select("a", "b", likeness.alias("likeness")).where("likeness > 0")
 
 
 def _meet(keyed: DataFrame, keys: list[str], shared: int, threshold: float) -> DataFrame:
-    """Pairs (a, b), a < b, of sets with a key in common, in one partition or in neighbours, that can be alike.
+    """Pairs (set_a, set_b) of sets with a key in common, in one partition or in neighbours, that can be alike.
 
     ``place`` is that of the ``shared``-th common signature where the key is the first that they have in common;
-    every alike pair has such a key, so rows whose places leave too few signatures are given up before they are paired
-    off by print.
+    every alike pair has such a key, so rows whose places leave too few signatures are given up at once.
     """
-    left = keyed.select(
-        *keys, F.col("print").alias("a"), F.col("size").alias("na"), F.col("place").alias("pa"), F.col("partition").alias("home_a")
-    )
-    right = keyed.select(
-        *keys, F.col("print").alias("b"), F.col("size").alias("nb"), F.col("place").alias("pb"), F.col("partition").alias("home_b")
-    )
-    need = F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("nb")) - 1e-9
-    most = shared + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    home = length_partition(F.col("size"), threshold).alias("home")
+    sides = [
+        keyed.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in ("set", "size", "place")), home.alias(f"home_{side}"))
+        for side in "ab"
+    ]
+    sizes = F.col("size_a"), F.col("size_b")
+    need = F.lit(threshold / (1 + threshold)) * (sizes[0] + sizes[1]) - 1e-9
+    most = shared + F.least(sizes[0] - F.col("place_a"), sizes[1] - F.col("place_b"))
     return (
-        left.join(right, keys)
-        .where((F.col("a") < F.col("b")) & (F.abs(F.col("home_a") - F.col("home_b")) <= 1) & (most >= need))
-        .where(F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - 1e-9)
-        .select("a", "b")
+        sides[0].join(sides[1], keys)
+        .where((F.col("set_a") < F.col("set_b")) & (F.abs(F.col("home_a") - F.col("home_b")) <= 1) & (most >= need))
+        .where(F.least(*sizes) >= F.lit(threshold) * F.greatest(*sizes) - 1e-9)
+        .select("set_a", "set_b")
         .distinct()
-    )
+    )
 
 
 def near_pairs(prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
@@ -270,17 +279,28 @@ def likeness_to_edits(
         "key", F.unhex(F.md5(F.concat(text_or_empty("id"), F.lit("\n"), "text").cast("binary")))
     )
     hashes = signatures(F.col("text"), chain)
-    prints = cut(
+    # written tables that nothing reads once the small rows below are cut
+    store = Folder(docs.sparkSession, f"{shared_checkpoint_dir(docs.sparkSession)}/spotsigs-{uuid.uuid4().hex}")
+    written = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        written.append(str(len(written)))
+        df.write.parquet(f"{store.path}/{written[-1]}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{store.path}/{written[-1]}")
+
+    prints = keep(
         rows.select("id", "key", F.length("text").alias("chars"), hashes.alias("hashes")).withColumn("print", print_key(F.col("hashes")))
     )
     entries = prints.select("id", "key", "chars").distinct()
     before = _neighbours(entries)
     # (before, class_id, n_links): small rows, which travel with what is sent to a document
-    links = near_classes(prints).select(F.explode(F.array("a", "b")).alias("print"))
+    links = near_classes(prints, keep=keep).select(F.explode(F.array("a", "b")).alias("print"))
     classes = prints.groupBy("print").agg(F.min("id").alias("class_id"))
     near = classes.join(links.groupBy("print").agg(F.count("*").alias("n_links")), "print", "left")
     named = prints.select(F.col("key").alias("before"), "print").distinct().join(near, "print").drop("print")
     before = cut(before.join(named.fillna(0, ["n_links"]), "before"))
+    for name in written:
+        store.delete(name)
     # what a document sends to the one before it: the beginning that is wanted there, and its fingerprint;
     # with its id, so that this and the last join read the same columns and share one shuffle of the texts
     sent = (
