@@ -75,6 +75,29 @@ def test_word_ids_match_the_library(library):
         assert np.frombuffer(encode.encode(text), encode.kind).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_word_reaches_the_tokenizer_once(library):
+    told = K.read_vocabulary(PATH)
+    seen = []
+
+    class Counted:
+        def tokenize(self, word):
+            seen.append(word)
+            return library.model.tokenize(word)
+
+    encode = K.WordIds(library, K.id_kind(told))
+    encode.model = Counted()
+    text = "Thernted, thernted. THERNTED thernted.. thernted, été. Été,"
+    assert np.frombuffer(encode.encode(text), encode.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(seen) == len(set(seen)) == 5  # two words, three runs of punctuation
+
+
+def test_parts_are_forgotten_at_their_bound(library):
+    encode = K.WordIds(library, "<u4", kept=3)
+    text = " ".join(f"{a}{b}{m}" for a in "xyzé" for b in ("ab", "CD") for m in (",", "!?", ""))
+    assert np.frombuffer(encode.encode(text), encode.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(encode.parts) <= 3 and len(encode) <= 3
+
+
 def test_other_vocabularies_are_read_whole():
     other = public_tokenizers.path("byte_bpe_50k.json")
     encode, library = K.encoder(K.read_vocabulary(other)), Tokenizer.from_file(other)

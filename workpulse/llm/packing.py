@@ -24,6 +24,7 @@ import functools
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +47,10 @@ KEPT_CHARS = 64
 #: Normalizer and pre-tokenizer of a vocabulary of lower-case words whose white space is dropped. Fixed values.
 WORD_NORMALIZER = ["NFC", r"\s+", "Lowercase"]
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Punctuation without the apostrophe, which may begin a word of that pattern.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: A Latin word with punctuation after it: two words of that pattern at most, whatever follows.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)")
+_PLAIN = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ]+[{re.escape(_MARKS)}]*")
 
 PIECE = "start long, length long, ids binary, doc_tokens long, sequence_id long, `offset` long"
 
@@ -69,27 +72,45 @@ def _drops_white_space(model: dict) -> bool:
 
 
 class WordIds(dict):
-    """Word to the bytes of its ids, for vocabularies that drop white space; works out what it has not kept."""
+    """Word to the bytes of its ids, for vocabularies that drop white space; works out what it has not kept.
+
+    A word with its capitals and punctuation is put together from ``parts``, the bytes of lower-case words and of
+    punctuation. The tokenizer sees each part once, until its table, of the same bound, starts anew.
+    """
 
     def __init__(self, tokenizer: Tokenizer, kind: str, kept: int = KEPT_WORDS):
         super().__init__({"": b""})
         self.tokenizer, self.model, self.kind, self.kept = tokenizer, tokenizer.model, kind, kept
+        self.parts: dict[str, bytes] = {}
+        self.format = {"<u2": "H", "<u4": "I"}[kind]
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in own]
         self.characters = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-    def of_word(self, word: str) -> list[int]:
-        if not word:
-            return []
-        return [t.id for t in self.model.tokenize(word.encode("utf-8").decode("latin-1").translate(self.characters))]
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.format}", *ids)
+
+    def of_word(self, word: str) -> bytes:
+        """Of a lower-case word or a run of punctuation, as ``_PLAIN`` has them."""
+        found = self.parts.get(word)
+        if found is None:
+            # visible ASCII characters stand for themselves
+            spelled = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.characters)
+            found = self.packed([t.id for t in self.model.tokenize(spelled)])
+            if len(word) <= KEPT_CHARS:
+                if len(self.parts) >= self.kept:
+                    self.parts.clear()
+                self.parts[word] = found
+        return found
 
     def __missing__(self, chunk: str) -> bytes:
-        plain = _PLAIN.fullmatch(chunk)
-        if plain:
-            ids = self.of_word(plain[1].lower()) + self.of_word(plain[2])
+        word = chunk.rstrip(_MARKS)
+        if word.isascii() and word.isalpha() or _PLAIN.fullmatch(chunk):
+            found = self.of_word(word.lower())
+            if len(word) < len(chunk):
+                found += self.of_word(chunk[len(word) :])
         else:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        found = np.array(ids, dtype=self.kind).tobytes()
+            found = self.packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
         if len(chunk) <= KEPT_CHARS:
             if len(self) >= self.kept:
                 self.clear()
