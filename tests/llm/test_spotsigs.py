@@ -123,6 +123,17 @@ def test_query_classes_and_links(spark):
     assert any(k[3] for k in want)
 
 
+def test_sets_in_no_pair_are_not_dealt_out(spark):
+    """Ends of pairs always pass the table of bits, others only where they have an end's bit."""
+    ends = [0, 1, 63, 64, -1, -64, 2**63 - 1, -(2**63), 10**15, 64 * 8]
+    found = spark.createDataFrame(list(zip(ends[::2], ends[1::2])), "a long, b long")
+    names = spark.createDataFrame([(n,) for n in ends + list(range(70, 500)) + [5 + 64 * 8]], "print long")
+    got = {r["print"] for r in names.where(S._ends(found, 8)(F.col("print"))).collect()}
+    assert got == {n for n in ends + list(range(70, 500)) + [5 + 64 * 8] if n % 512 in {e % 512 for e in ends}}
+    none = found.where("false")
+    assert names.where(S._ends(none, 8)(F.col("print"))).count() == 0
+
+
 def test_partitions_two_apart_are_hopeless(spark):
     got = dict(spark.range(1, 3000).select("id", S.length_partition(F.col("id"))).collect())
     for n in range(1, 3000):

@@ -48,6 +48,8 @@ THRESHOLD = 0.8
 BUCKETS = 1 << 14
 #: Prefixes that may share a signature before pairs of signatures take its place.
 HOT = 1000
+#: Words of 64 bits of the table that tells which sets are in a pair.
+ENDS = 1 << 18
 #: Stands behind the last word; no text has it as a word.
 _END = "\x01"
 _NO_WORD = r"[^\p{L}\p{N}_]+"
@@ -155,6 +157,30 @@ def _ordered(sets: DataFrame) -> DataFrame:
     return known.select("print", "size", ordered.alias("ordered"))
 
 
+def _ends(found: DataFrame, words: int = ENDS) -> Callable[[Column], Column]:
+    """Whether a print is an end of a pair (a, b): true for every end, and for a print that has an end's bit.
+
+    The table of bits has one size for any input.
+    """
+    bits = F.lit(64 * words)
+    place = F.pmod("end", bits)
+    counted = (
+        found.select(F.explode(F.array("a", "b")).alias("end"))
+        .select((place / 64).cast("long").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("held"))
+    )
+    every = found.sparkSession.range(words).join(counted, F.col("id") == F.col("word"), "left")
+    table = every.agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("held", F.lit(0)).alias("held")))), lambda x: x["held"]).alias("held")
+    ).scalar()
+
+    def end(name: Column) -> Column:
+        at = F.pmod(name, bits)
+        return F.getbit(F.get(table, (at / 64).cast("int")), (at % 64).cast("int")) == 1
+
+    return end
+
+
 def near_classes(
     prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT, keep: Callable[[DataFrame], DataFrame] = cut
 ) -> DataFrame:
@@ -194,8 +220,8 @@ def near_classes(
     found = light.unionByName(_meet(two, ["first", "second"], 2, threshold)).distinct()
     one, another = (prefixes.select(F.col("set").alias(f"set_{c}"), F.col("print").alias(c)) for c in "ab")
     found = keep(found.join(one, "set_a").join(another, "set_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    needed = found.select(F.explode(F.array("a", "b")).alias("print")).distinct()
-    named = prints.join(needed, "print", "left_semi").groupBy("print").agg(F.first("hashes").alias("hashes"))
+    # sets in no pair stay where they are: their hashes are most of the table
+    named = prints.where(_ends(found)(F.col("print"))).groupBy("print").agg(F.first("hashes").alias("hashes"))
     left = named.select(F.col("print").alias("a"), F.col("hashes").alias("ha"))
     right = named.select(F.col("print").alias("b"), F.col("hashes").alias("hb"))
     likeness = pruned_jaccard(F.col("ha"), F.col("hb"), threshold - 1e-12)
