@@ -105,6 +105,31 @@ def test_near_classes_with_hot_signatures(spark, hot, threshold):
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
+@pytest.mark.parametrize("family, hot, threshold", [(2, 0, 0.6), (2, 1000, 0.8), (5, 3, 0.8), (5, 1000, 0.6)])
+def test_link_counts_match_brute_force(spark, family, hot, threshold):
+    rows = families(60, 12, 4) + families(40, 5, 5) + families(20, 3, 6)
+    prints = spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)], "doc_id long, text string")
+    prints = S.fingerprints(prints).withColumn("print", S.print_key(F.col("hashes")))
+    sets = {r["print"]: frozenset(r["hashes"]) for r in prints.collect()}
+    want = {(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and jaccard(x, y) >= threshold}
+    assert {(r["a"], r["b"]) for r in S.near_classes(prints, threshold, hot, family=family).collect()} == want
+    got = S.link_counts(prints, threshold, hot, family=family).collect()
+    assert len({r["print"] for r in got}) == len(got)
+    assert {r["print"]: r["n_links"] for r in got} == Counter(p for pair in want for p in pair)
+
+
+def test_near_copies_are_counted_not_paired(spark):
+    """Links that no common change decides are counted without a row for each pair."""
+    words = [f"the word{i} next{i}" for i in range(40)]
+    texts = [" ".join([*words[:i], f"the own{i} change{i}", *words[i + 1 :]]) for i in range(40)] + [" ".join(words)]
+    prints = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = S.cut(S.fingerprints(prints).withColumn("print", S.print_key(F.col("hashes"))))
+    found, members = S._search(prints, 0.8, 1000, 8, S.cut)
+    assert found.count() == 0 and S._by_changes(members).count() == 0
+    assert {r["n_links"] for r in S.link_counts(prints, family=8).collect()} == {40}
+    assert S.near_classes(prints, family=8).count() == 41 * 40 // 2
+
+
 def test_query_classes_and_links(spark):
     """Classes and links of the query's own operator: repeated ids, null ids and copies, against all pairs."""
     rows = families(70, 12, 3) + [(None, None), (7, ""), (None, "only here and there")]

@@ -48,6 +48,8 @@ THRESHOLD = 0.8
 BUCKETS = 1 << 14
 #: Prefixes that may share a signature before pairs of signatures take its place.
 HOT = 1000
+#: Prefixes that may share a signature before their sets are told apart by their changes to a centre.
+FAMILY = 32
 #: Words of 64 bits of the table that tells which sets are in a pair.
 ENDS = 1 << 18
 #: Stands behind the last word; no text has it as a word.
@@ -181,16 +183,90 @@ def _ends(found: DataFrame, words: int = ENDS) -> Callable[[Column], Column]:
     return end
 
 
-def near_classes(
-    prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT, keep: Callable[[DataFrame], DataFrame] = cut
+def _hashes_of(prints: DataFrame, names: DataFrame) -> DataFrame:
+    """(print, hashes) of the prints among the ends (a, b) of ``names``, and of few others, each once.
+
+    The others stay where they are: their hashes are most of the table.
+    """
+    return prints.where(_ends(names)(F.col("print"))).groupBy("print").agg(F.first("hashes").alias("hashes"))
+
+
+def _families(
+    shared: DataFrame, prefixes: DataFrame, prints: DataFrame, threshold: float, least: int, keep: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """Near-duplicate search over (print, hashes): pairs (a, b, likeness) of unequal prints, each once, a < b.
+    """Sets like the centre of a family: (set, print, family, common, reach, changes); any other set has no row.
+
+    Sets gather at the signature of their prefix that most prefixes share, if ``least`` do. The signatures that more than half
+    of them have are a centre. A centre gives way to the largest one that it is like and that has its signature. ``changes`` are
+    the signatures that a set has and its centre of ``common`` signatures hasn't, or the other way round. With n signatures, of
+    the centre all but r, two sets a, b of a family share common - r_a - r_b + (the changes that both have). So they are alike
+    exactly where both have at least reach_a + reach_b - common changes in common, where ``reach`` is
+    r + n * threshold / (1 + threshold).
+    """
+    gathered = shared.where(F.col("n") >= least).groupBy("set").agg(F.max(F.struct("n", "hash"))["hash"].alias("key"))
+    gathered = keep(gathered.join(prefixes.select("set", "print"), "set"))
+    sets = keep(gathered.join(_hashes_of(prints, gathered.select(F.col("print").alias("a"), F.col("print").alias("b"))), "print"))
+    centres = keep(
+        sets.select("key", F.explode("hashes").alias("hash")).groupBy("key", "hash").agg(F.count("*").alias("held"))
+        .join(sets.groupBy("key").agg(F.count("*").alias("members")), "key")
+        .where(2 * F.col("held") > F.col("members"))
+        .groupBy("key", "members").agg(F.array_sort(F.collect_list("hash")).alias("centre"))
+    )
+    own = centres.select("key", F.col("centre").alias("own"))
+    others = centres.select(F.col("key").alias("family"), "members", "centre")
+    chosen = keep(
+        others.select("family", F.explode("centre").alias("key"))
+        .join(own, "key").join(others, "family")
+        .where(pruned_jaccard(F.col("own"), F.col("centre"), threshold) > 0)
+        .groupBy("key").agg(F.max(F.struct("members", "family", "centre")).alias("best"))
+        .select("key", "best.family", "best.centre")
+    )
+    # a set less like the centre can't be alike to one that the threshold holds to it
+    near = sets.join(chosen, "key").where(pruned_jaccard(F.col("hashes"), F.col("centre"), 2 * threshold - 1) > 0)
+    lost = F.array_except("centre", "hashes")
+    return keep(
+        near.select(
+            "set", "print", "family", F.size("centre").alias("common"),
+            (F.size(lost) + F.lit(threshold / (1 + threshold)) * F.size("hashes")).alias("reach"),
+            F.concat(F.array_except("hashes", "centre"), lost).alias("changes"),
+        )
+    )
 
-    These are all pairs with a likeness of at least the threshold. Rows of equal print are one set. A signature that
-    more than ``hot`` prefixes share is no key by itself: alike sets that share only such ones in their prefixes share
-    two signatures in prefixes longer by one, so there they meet by pairs of signatures. ``keep`` writes what is read
-    more than once.
+
+def _by_changes(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of a family that are alike because of changes that both have."""
+    each = members.withColumn("most", F.size("changes")).withColumn("change", F.explode("changes"))
+    sides = [each.select("family", "change", "common", *(F.col(c).alias(f"{c}_{side}") for c in ("print", "reach", "most"))) for side in "ab"]
+    need = F.col("reach_a") + F.col("reach_b") - F.col("common") - 1e-9
+    return (
+        sides[0].join(sides[1].drop("common"), ["family", "change"])
+        .where((F.col("print_a") < F.col("print_b")) & (need > 0) & (F.least("most_a", "most_b") >= need))
+        .groupBy(F.col("print_a").alias("a"), F.col("print_b").alias("b")).agg(F.count("*").alias("both"), F.first(need).alias("need"))
+        .where("both >= need")
+        .select("a", "b")
+    )
+
+
+def _surely_alike(members: DataFrame) -> DataFrame:
+    """(print, n): the number of other members of its family that a set is alike to whatever their changes.
+
+    These are all whose reach leaves nothing to have in common: they are counted by reach, not met.
     """
+    counted = members.groupBy("family", "common", "reach").agg(F.count("*").alias("n"))
+    asked = counted.select(
+        "family", "reach", (F.col("common") - F.col("reach") + 1e-9).alias("at"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("asks")
+    )
+    given = counted.select("family", "reach", F.col("reach").alias("at"), "n", F.lit(False).alias("asks"))
+    up_to = Window.partitionBy("family").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = asked.unionByName(given).withColumn("all", F.sum("n").over(up_to)).where("asks").select("family", "reach", "all")
+    itself = (2 * F.col("reach") - F.col("common") <= 1e-9).cast("long")
+    return members.join(sums, ["family", "reach"]).select("print", (F.col("all") - itself).alias("n")).where("n > 0")
+
+
+def _search(
+    prints: DataFrame, threshold: float, hot: int, family: int, keep: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of prints that are in no family together, and the members of the families."""
     if not 0.5 < threshold <= 1:
         raise ValueError("the threshold must be above 0.5 and at most 1")
     own = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1
@@ -207,48 +283,97 @@ def near_classes(
     each = prefixes.select("set", "size", F.posexplode(F.slice("longer", F.lit(1), own.cast("int"))).alias("place", "hash"))
     counts = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
     shared = keep(each.join(counts, "hash").withColumn("place", F.col("place") + 1))
+    members = _families(shared, prefixes, prints, threshold, family, keep)
+    shared = keep(shared.join(members.select("set", "family"), "set", "left"))
     light = _meet(shared.where(F.col("n") <= hot), ["hash"], 1, threshold)
-    hot_sets = shared.where(F.col("n") > hot).groupBy("set").agg(F.collect_set("hash").alias("hot"))
+    hot_sets = shared.where(F.col("n") > hot).groupBy("set", "family").agg(F.collect_set("hash").alias("hot"))
     # two signatures of a longer prefix, of which the first, in the order of all, is hot
-    firsts = prefixes.join(hot_sets, "set").select("set", "size", "longer", "hot", F.posexplode("longer").alias("i", "first"))
-    two = (
+    firsts = prefixes.join(hot_sets, "set").select("set", "family", "size", "longer", "hot", F.posexplode("longer").alias("i", "first"))
+    two = keep(
         firsts.where(F.array_contains("hot", F.col("first")))
-        .select("set", "size", "i", "first", F.posexplode("longer").alias("j", "second"))
+        .select("set", "family", "size", "i", "first", F.posexplode("longer").alias("j", "second"))
         .where("j > i")
-        .select("set", "size", "first", "second", (F.col("j") + 1).alias("place"))
+        .select("set", "family", "size", "first", "second", (F.col("j") + 1).alias("place"))
     )
     found = light.unionByName(_meet(two, ["first", "second"], 2, threshold)).distinct()
     one, another = (prefixes.select(F.col("set").alias(f"set_{c}"), F.col("print").alias(c)) for c in "ab")
-    found = keep(found.join(one, "set_a").join(another, "set_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    # sets in no pair stay where they are: their hashes are most of the table
-    named = prints.where(_ends(found)(F.col("print"))).groupBy("print").agg(F.first("hashes").alias("hashes"))
+    found = found.join(one, "set_a").join(another, "set_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return keep(found), members
+
+
+def _compared(prints: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, likeness) of the pairs that are alike."""
+    named = _hashes_of(prints, found)
     left = named.select(F.col("print").alias("a"), F.col("hashes").alias("ha"))
     right = named.select(F.col("print").alias("b"), F.col("hashes").alias("hb"))
     likeness = pruned_jaccard(F.col("ha"), F.col("hb"), threshold - 1e-12)
     return found.join(left, "a").join(right, "b").select("a", "b", likeness.alias("likeness")).where("likeness > 0")
 
 
+def near_classes(
+    prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT, keep: Callable[[DataFrame], DataFrame] = cut, family: int = FAMILY
+) -> DataFrame:
+    """Near-duplicate search over (print, hashes): pairs (a, b, likeness) of unequal prints, each once, a < b.
+
+    These are all pairs with a likeness of at least the threshold. Rows of equal print are one set. A signature that
+    more than ``hot`` prefixes share is no key by itself: alike sets that share only such ones in their prefixes share
+    two signatures in prefixes longer by one, so there they meet by pairs of signatures. Where ``family`` prefixes share a
+    signature, sets that are like one centre are told apart by their changes to it. ``keep`` writes what is read more than once.
+    """
+    found, members = _search(prints, threshold, hot, family, keep)
+    sides = [members.select("family", "common", *(F.col(c).alias(f"{c}_{side}") for c in ("print", "reach"))) for side in "ab"]
+    sure = (
+        sides[0].join(sides[1].drop("common"), "family")
+        .where((F.col("print_a") < F.col("print_b")) & (F.col("reach_a") + F.col("reach_b") - F.col("common") <= 1e-9))
+        .select(F.col("print_a").alias("a"), F.col("print_b").alias("b"))
+    )
+    return _compared(prints, keep(found.unionByName(sure).unionByName(_by_changes(members))), threshold)
+
+
+def link_counts(
+    prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT, keep: Callable[[DataFrame], DataFrame] = cut, family: int = FAMILY
+) -> DataFrame:
+    """(print, n_links): how many pairs of ``near_classes`` each print is in, where it is in any.
+
+    The same search, but the pairs inside a family are made only where changes in common decide; all others are counted.
+    """
+    found, members = _search(prints, threshold, hot, family, keep)
+    pairs = _compared(prints, found, threshold).select("a", "b").unionByName(_by_changes(members))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("print"), F.lit(1).cast("long").alias("n"))
+    return ends.unionByName(_surely_alike(members)).groupBy("print").agg(F.sum("n").alias("n_links"))
+
+
 def _meet(keyed: DataFrame, keys: list[str], shared: int, threshold: float) -> DataFrame:
-    """Pairs (set_a, set_b) of sets with a key in common, in one partition or in neighbours, that can be alike.
+    """Pairs (set_a < set_b) of sets with a key in common, in one partition or in neighbours, that can be alike.
 
     ``place`` is that of the ``shared``-th common signature where the key is the first that they have in common;
-    every alike pair has such a key, so rows whose places leave too few signatures are given up at once.
+    every alike pair has such a key, so rows whose places leave too few signatures are given up at once. Sets of one family
+    don't meet: at a key families meet first, and only then their members.
     """
     home = length_partition(F.col("size"), threshold).alias("home")
-    sides = [
-        keyed.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in ("set", "size", "place")), home.alias(f"home_{side}"))
-        for side in "ab"
-    ]
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(*keys, *(F.col(c).alias(f"{c}_{name}") for c in ("set", "family", "size", "place")), home.alias(f"home_{name}"))
+
     sizes = F.col("size_a"), F.col("size_b")
     need = F.lit(threshold / (1 + threshold)) * (sizes[0] + sizes[1]) - 1e-9
     most = shared + F.least(sizes[0] - F.col("place_a"), sizes[1] - F.col("place_b"))
-    return (
-        sides[0].join(sides[1], keys)
-        .where((F.col("set_a") < F.col("set_b")) & (F.abs(F.col("home_a") - F.col("home_b")) <= 1) & (most >= need))
-        .where(F.least(*sizes) >= F.lit(threshold) * F.greatest(*sizes) - 1e-9)
-        .select("set_a", "set_b")
-        .distinct()
+    can = (
+        (F.abs(F.col("home_a") - F.col("home_b")) <= 1) & (most >= need)
+        & (F.least(*sizes) >= F.lit(threshold) * F.greatest(*sizes) - 1e-9)
+    )
+    alone, together = keyed.where("family is null"), keyed.where("family is not null")
+    by_set = side(alone, "a").join(side(keyed, "b"), keys).where((F.col("family_b").isNotNull() | (F.col("set_a") < F.col("set_b"))) & can)
+    heads = together.select(*keys, "family").distinct()
+    one, another = (heads.withColumnRenamed("family", f"family_{name}") for name in "ab")
+    by_family = (
+        one.join(another, keys).where("family_a < family_b")
+        .join(side(together, "a"), [*keys, "family_a"])
+        .join(side(together, "b"), [*keys, "family_b"])
+        .where(can)
     )
+    met = by_set.select("set_a", "set_b").unionByName(by_family.select("set_a", "set_b"))
+    return met.select(F.least("set_a", "set_b").alias("set_a"), F.greatest("set_a", "set_b").alias("set_b")).distinct()
 
 
 def near_pairs(prints: DataFrame, threshold: float = THRESHOLD, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
@@ -320,9 +445,8 @@ def likeness_to_edits(
     entries = prints.select("id", "key", "chars").distinct()
     before = _neighbours(entries)
     # (before, class_id, n_links): small rows, which travel with what is sent to a document
-    links = near_classes(prints, keep=keep).select(F.explode(F.array("a", "b")).alias("print"))
     classes = prints.groupBy("print").agg(F.min("id").alias("class_id"))
-    near = classes.join(links.groupBy("print").agg(F.count("*").alias("n_links")), "print", "left")
+    near = classes.join(link_counts(prints, keep=keep), "print", "left")
     named = prints.select(F.col("key").alias("before"), "print").distinct().join(near, "print").drop("print")
     before = cut(before.join(named.fillna(0, ["n_links"]), "before"))
     for name in written:
