@@ -234,16 +234,21 @@ def _families(
 
 
 def _by_changes(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members of a family that are alike because of changes that both have."""
-    each = members.withColumn("most", F.size("changes")).withColumn("change", F.explode("changes"))
-    sides = [each.select("family", "change", "common", *(F.col(c).alias(f"{c}_{side}") for c in ("print", "reach", "most"))) for side in "ab"]
+    """Pairs (a, b) of members of a family that can be alike only by changes that both have; all that are alike are among them.
+
+    Where a pair meets at its first common change, in the order that all share (those not in the centre come first), what
+    follows must leave it enough in common; every alike pair does.
+    """
+    each = members.select("*", F.size("changes").alias("most"), F.posexplode("changes").alias("place", "change"))
+    named = ("print", "reach", "most", "place")
+    sides = [each.select("family", "change", "common", *(F.col(c).alias(f"{c}_{side}") for c in named)) for side in "ab"]
     need = F.col("reach_a") + F.col("reach_b") - F.col("common") - 1e-9
+    can = F.least(F.col("most_a") - F.col("place_a"), F.col("most_b") - F.col("place_b"))
     return (
         sides[0].join(sides[1].drop("common"), ["family", "change"])
-        .where((F.col("print_a") < F.col("print_b")) & (need > 0) & (F.least("most_a", "most_b") >= need))
-        .groupBy(F.col("print_a").alias("a"), F.col("print_b").alias("b")).agg(F.count("*").alias("both"), F.first(need).alias("need"))
-        .where("both >= need")
-        .select("a", "b")
+        .where((F.col("print_a") < F.col("print_b")) & (need > 0) & (can >= need))
+        .select(F.col("print_a").alias("a"), F.col("print_b").alias("b"))
+        .distinct()
     )
 
 
@@ -338,7 +343,7 @@ def link_counts(
     The same search, but the pairs inside a family are made only where changes in common decide; all others are counted.
     """
     found, members = _search(prints, threshold, hot, family, keep)
-    pairs = _compared(prints, found, threshold).select("a", "b").unionByName(_by_changes(members))
+    pairs = _compared(prints, keep(found.unionByName(_by_changes(members))), threshold)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("print"), F.lit(1).cast("long").alias("n"))
     return ends.unionByName(_surely_alike(members)).groupBy("print").agg(F.sum("n").alias("n_links"))
 
