@@ -39,6 +39,24 @@ def test_signatures(spark):
     assert got[5] == got[6] and got[5] != got[9] and all(h == sorted(h) for h in got.values())
 
 
+def test_signatures_are_hashes_of_their_words(spark):
+    """One hash for an anchor and its chain; without any, one for the whole sequence of words and the end mark."""
+    rows = [
+        ("in The cat  (to) the DOG, sat", {("in", "cat", "dog"), ("the", "cat", "dog"), ("to", "dog", "sat"), ("the", "dog", "sat")}),
+        ("the cat sat of", {("the", "cat", "sat")}),
+        ("\tThe\u2028État_1\x01 4 the rest und", {("the", "état_1", "4")}),
+        ("the cat", {("the cat \x01 ",)}),
+        ("the of", {("the of \x01 ",)}),
+        ("", {(" \x01 ",)}),
+    ]
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(rows)], "doc_id long, text string")
+    got = {(r["id"], h) for r in S.fingerprints(docs).collect() for h in r["hashes"]}
+    words = [(i, *w, *[None] * (3 - len(w))) for i, (_, want) in enumerate(rows) for w in want]
+    # a null leaves a hash as it is
+    want = spark.createDataFrame(words, "id long, a string, b string, c string").select("id", F.hash("a", "b", "c").alias("hash"))
+    assert got == {(r["id"], r["hash"]) for r in want.collect()}
+
+
 def test_likeness_to_edits(spark):
     rows = list(enumerate(TEXTS))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -130,6 +148,29 @@ def test_near_copies_are_counted_not_paired(spark):
     assert S.near_classes(prints, family=8).count() == 41 * 40 // 2
 
 
+def test_unlike_sets_at_a_signature_are_no_family(spark, monkeypatch):
+    """Unlike sets that gather at frequent signatures are told from near copies before their hashes are dealt out."""
+    rng = random.Random(8)
+    pool, words = ([f"the {kind}{i} word{i}" for i in range(n)] for kind, n in (("pool", 200), ("word", 40)))
+    unlike = [rng.sample(pool, 40) for _ in range(300)] + [["the few have", *rng.sample(pool, 39)] for _ in range(60)]
+    near = [[*words[:i], f"the own{i} change{i}", *words[i + 1 :]] for i in range(40)]
+    texts = [" end ".join(parts) for parts in [*near, *unlike]]
+    prints = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = S.cut(S.fingerprints(prints).withColumn("print", S.print_key(F.col("hashes"))))
+    asked, hashes_of = set(), S._hashes_of
+
+    def asking(prints, names):
+        asked.update(r["a"] for r in names.collect())
+        return hashes_of(prints, names)
+
+    monkeypatch.setattr(S, "_hashes_of", asking)
+    _, members = S._search(prints, 0.8, 1000, 32, S.cut)
+    monkeypatch.undo()
+    copies = {r["print"] for r in prints.where("id < 40").collect()}
+    assert len(copies) == 40 and asked == copies == {r["print"] for r in members.collect()}
+    assert {r["print"]: r["n_links"] for r in S.link_counts(prints).collect()} == dict.fromkeys(copies, 39)
+
+
 def test_query_classes_and_links(spark):
     """Classes and links of the query's own operator: repeated ids, null ids and copies, against all pairs."""
     rows = families(70, 12, 3) + [(None, None), (7, ""), (None, "only here and there")]

@@ -55,8 +55,6 @@ ENDS = 1 << 18
 #: Stands behind the last word; no text has it as a word.
 _END = "\x01"
 _NO_WORD = r"[^\p{L}\p{N}_]+"
-# a content word with the common words before it; it never gives a common word back
-_GROUP = rf"(?:(?:{'|'.join(ANCHORS)}) )*+[^ ]+ "
 
 
 def _let(value: Column, then) -> Column:
@@ -66,34 +64,25 @@ def _let(value: Column, then) -> Column:
 
 def signatures(text: Column, chain: int = CHAIN) -> Column:
     """The ascending array of a text's distinct signature hashes (32 bits)."""
+    # the end mark is a content word: a chain must stop before it
     words = F.concat(F.trim(F.regexp_replace(F.lower(text), _NO_WORD, " ")), F.lit(f" {_END} "))
-    groups = F.regexp_extract_all(F.ltrim(words), F.lit(_GROUP), F.lit(0))
-
-    def content(group: Column) -> Column:
-        return F.substring_index(F.rtrim(group), " ", -1)
-
-    def of_group(known: Column):
-        def hashes(group: Column, i: Column) -> Column:
-            own = F.get(known["contents"], i)
-            following = [F.get(known["contents"], i + k) for k in range(1, chain)]
-            before = F.split(F.rtrim(F.left(group, F.length(group) - F.length(own) - 1)), " ")
-            # the last group is the end mark: a chain must stop before it
-            whole = (F.length(group) > F.length(own) + 1) & F.get(known["contents"], i + chain).isNotNull()
-            return F.when(whole, F.transform(before, lambda anchor: F.hash(anchor, own, *following))).otherwise(
-                F.array().cast("array<int>")
-            )
 
-        return F.flatten(F.transform(known["groups"], hashes))
+    def places(known: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.size(known) - 1), lambda i: ~F.get(known, i).isin(*ANCHORS))
 
-    def anchored(groups: Column) -> Column:
-        return _let(F.struct(groups.alias("groups"), F.transform(groups, content).alias("contents")), of_group)
+    def of_words(known: Column) -> Column:
+        def hashes(place: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(known["places"], i - 1), F.lit(-1))
+            anchors = F.slice(known["words"], before + 2, place - before - 1)
+            content = [F.get(known["words"], F.get(known["places"], i + k)) for k in range(chain)]
+            whole = (place - before > 1) & F.get(known["places"], i + chain).isNotNull()
+            return F.when(whole, F.transform(anchors, lambda anchor: F.hash(anchor, *content))).otherwise(F.array().cast("array<int>"))
 
-    found = _let(
-        F.struct(words.alias("words"), F.array_distinct(_let(groups, anchored)).alias("hashes")),
-        # without a signature: one for the sequence of words
-        lambda x: F.when(F.size(x["hashes"]) > 0, F.array_sort(x["hashes"])).otherwise(F.array(F.hash(x["words"]))),
-    )
-    return found
+        return F.array_distinct(F.flatten(F.transform(known["places"], hashes)))
+
+    found = _let(F.split(F.trim(words), " "), lambda known: _let(F.struct(known.alias("words"), places(known).alias("places")), of_words))
+    # without a signature: one for the sequence of words
+    return _let(found, lambda known: F.when(F.size(known) > 0, F.array_sort(known)).otherwise(F.array(F.hash(words))))
 
 
 def fingerprint_text(hashes: Column) -> Column:
@@ -196,33 +185,53 @@ def _families(
 ) -> DataFrame:
     """Sets like the centre of a family: (set, print, family, common, reach, changes); any other set has no row.
 
-    Sets gather at the signature of their prefix that most prefixes share, if ``least`` do. The signatures that more than half
-    of them have are a centre. A centre gives way to the largest one that it is like and that has its signature. ``changes`` are
-    the signatures that a set has and its centre of ``common`` signatures hasn't, or the other way round. With n signatures, of
-    the centre all but r, two sets a, b of a family share common - r_a - r_b + (the changes that both have). So they are alike
-    exactly where both have at least reach_a + reach_b - common changes in common, where ``reach`` is
+    Sets gather at the signature of their prefix that most prefixes share, if ``least`` do. Near copies share others there,
+    too: signatures are dealt into four, and only where a quarter of the sets agree in the most shared one of each, the signatures
+    that more than half of the sets have are a centre. It gives way to the largest one that it is like and that has its signature;
+    sets without a centre at theirs go to the largest that has it. Any choice gives the same links, only by other ways.
+
+    ``changes`` are the signatures that a set has and its centre of ``common`` signatures hasn't, or the other way round. With n
+    signatures, of the centre all but r, two sets a, b of a family share common - r_a - r_b + (the changes that both have). So
+    they are alike exactly where both have at least reach_a + reach_b - common changes in common, where ``reach`` is
     r + n * threshold / (1 + threshold).
     """
-    gathered = shared.where(F.col("n") >= least).groupBy("set").agg(F.max(F.struct("n", "hash"))["hash"].alias("key"))
-    gathered = keep(gathered.join(prefixes.select("set", "print"), "set"))
-    sets = keep(gathered.join(_hashes_of(prints, gathered.select(F.col("print").alias("a"), F.col("print").alias("b"))), "print"))
+    # in one long, the number of prefixes above the 32 bits of the hash
+    rank = F.shiftleft(F.col("n"), 32) + F.col("hash").cast("long") + F.lit(1 << 31)
+    quarters = [f"most_{q}" for q in range(4)]
+    top = F.greatest(*quarters)
+    gathered = keep(
+        shared.groupBy("set").agg(*(F.max(F.when(F.pmod("hash", F.lit(4)) == q, rank)).alias(c) for q, c in enumerate(quarters)))
+        .where(F.shiftright(top, 32) >= least)
+        .withColumn("key", (top.bitwiseAND(0xFFFFFFFF) - F.lit(1 << 31)).cast("int"))
+        .join(prefixes.select("set", "print"), "set")
+    )
+    keys = (
+        gathered.groupBy("key", *quarters).agg(F.count("*").alias("n"))
+        .groupBy("key").agg(F.sum("n").alias("members"), F.max("n").alias("agree"))
+    )
+
+    def with_hashes(sets: DataFrame) -> DataFrame:
+        return sets.join(_hashes_of(prints, sets.select(F.col("print").alias("a"), F.col("print").alias("b"))), "print")
+
+    agreed = gathered.select("key", "print").join(keys.where(4 * F.col("agree") >= F.greatest("members", F.lit(least))), "key")
     centres = keep(
-        sets.select("key", F.explode("hashes").alias("hash")).groupBy("key", "hash").agg(F.count("*").alias("held"))
-        .join(sets.groupBy("key").agg(F.count("*").alias("members")), "key")
+        with_hashes(agreed)
+        .select("key", "members", F.explode("hashes").alias("hash")).groupBy("key", "members", "hash").agg(F.count("*").alias("held"))
         .where(2 * F.col("held") > F.col("members"))
         .groupBy("key", "members").agg(F.array_sort(F.collect_list("hash")).alias("centre"))
     )
-    own = centres.select("key", F.col("centre").alias("own"))
+    own = keys.select("key").join(centres.select("key", F.col("centre").alias("own")), "key", "left")
     others = centres.select(F.col("key").alias("family"), "members", "centre")
     chosen = keep(
         others.select("family", F.explode("centre").alias("key"))
         .join(own, "key").join(others, "family")
-        .where(pruned_jaccard(F.col("own"), F.col("centre"), threshold) > 0)
+        .where(F.col("own").isNull() | (pruned_jaccard(F.col("own"), F.col("centre"), threshold) > 0))
         .groupBy("key").agg(F.max(F.struct("members", "family", "centre")).alias("best"))
         .select("key", "best.family", "best.centre")
     )
     # a set less like the centre can't be alike to one that the threshold holds to it
-    near = sets.join(chosen, "key").where(pruned_jaccard(F.col("hashes"), F.col("centre"), 2 * threshold - 1) > 0)
+    near = with_hashes(gathered.select("set", "print", "key").join(chosen, "key"))
+    near = near.where(pruned_jaccard(F.col("hashes"), F.col("centre"), 2 * threshold - 1) > 0)
     lost = F.array_except("centre", "hashes")
     return keep(
         near.select(
